@@ -149,7 +149,7 @@ def level_occurrences(lines: DataFrame, line: str = "log_entry") -> DataFrame:
 def distinct_levels(lines: DataFrame, line: str = "log_entry") -> DataFrame:
     return (lines.select(parse.level(line).alias("log_level"))
             .filter(F.col("log_level") != "")
-            .groupBy("log_level").agg()
+            .distinct()
             .orderBy("log_level"))
 
 

@@ -72,3 +72,355 @@ SQL: dict[str, str] = {}
 
 SQL["log_level_counts"] = with_logs("""
 select log_level, count(*) as count from parsed where log_level <> '' group by log_level order by log_level""")
+
+SQL["log_scan_count"] = with_logs("select count(*) as total_lines from log_lines")
+
+SQL["lines_with_levels"] = with_logs(
+    "select count(*) filter (where log_level <> '') as lines_with_levels from parsed")
+
+SQL["log_scan_totals"] = with_logs("""
+select count(*) as total_lines, count(*) filter (where log_level <> '') as lines_with_levels,
+ count(distinct nullif(log_level, '')) as unique_levels from parsed""")
+
+SQL["log_level_pct"] = with_logs("""
+select log_level, count, cast(count as double) / cast(sum(count) over () as double) * 100.0 as pct
+from (select log_level, count(*) as count from parsed where log_level <> '' group by log_level)
+order by log_level""")
+
+SQL["log_summary_text"] = with_logs(r"""
+select concat_ws(chr(10),
+  'Total log lines processed: ' || format('{:,}', total),
+  'Total lines with log levels: ' || format('{:,}', leveled),
+  'Unique log levels found: ' || cast(levels as varchar),
+  '', 'Log level distribution:') ||
+  coalesce(chr(10) || body, '') as summary
+from (
+ select sum(count) total, sum(count) filter (where log_level <> '') leveled,
+  count(*) filter (where log_level <> '') levels,
+  string_agg(printf('  %-5s: %10s (%6.2f%%)', log_level, format('{:,}', count),
+     cast(count as double) / cast(lv as double) * 100.0), chr(10) order by log_level)
+     filter (where log_level <> '') body
+ from (select log_level, count(*) count, sum(count(*)) filter (where log_level <> '') over () lv
+       from parsed group by log_level)
+)""")
+
+SQL["log_sample"] = with_logs("""
+select log_entry, log_level from parsed where log_level <> ''
+order by md5(concat('42|', cast(event_id as varchar))) limit 10""")
+
+SQL["component_top20"] = with_logs(r"""
+select component, count(*) as count from
+ (select regexp_extract(log_entry, '(INFO|WARN|ERROR|DEBUG)\s+([^:]+):', 2) component from log_lines)
+group by component order by count desc, component limit 20""")
+
+SQL["level_counts_unbounded"] = with_logs("""
+select regexp_extract(log_entry, '(INFO|WARN|ERROR|DEBUG)', 1) as level, count(*) as count
+from log_lines group by 1 order by 1""")
+
+SQL["level_occurrences"] = with_logs("""
+select level, count(*) as occurrences from
+ (select unnest(regexp_extract_all(log_entry, '(INFO|WARN|ERROR|DEBUG)', 1)) as level from log_lines)
+group by level order by level""")
+
+SQL["distinct_levels"] = with_logs(
+    "select distinct log_level from parsed where log_level <> '' order by log_level")
+
+SQL["error_lines"] = with_logs("select file_path, log_entry from parsed where log_level = 'ERROR'")
+
+SQL["parsed_log"] = with_logs(r"""
+select ts_text as timestamp, regexp_extract(log_entry, '(INFO|WARN|ERROR|DEBUG)', 1) as level,
+ regexp_extract(log_entry, '(INFO|WARN|ERROR|DEBUG)\s+([^:]+):', 2) as component,
+ log_entry as message from parsed""")
+
+SQL["parse_quality"] = with_logs(r"""
+select count(*) as total_lines,
+ count(*) filter (where log_level = '') as no_level,
+ count(*) filter (where ts_text = '') as no_timestamp,
+ count(*) filter (where ts_text <> '' and ts is null) as bad_timestamp,
+ count(*) filter (where regexp_extract(log_entry, '(INFO|WARN|ERROR|DEBUG)\s+([^:]+):', 2) = '')
+   as no_component
+from stamped""")
+
+FILES = r"""
+files as (
+select file_path, count(*) log_lines,
+ regexp_extract(file_path, 'application_(\d+_\d+)', 0) application_id,
+ regexp_extract(file_path, '(container_\d+_\d+_\d+_\d+)', 1) container_id,
+ regexp_extract(file_path, 'application_(\d+)_(\d+)/', 1) cluster_id,
+ regexp_extract(file_path, 'application_(\d+)_(\d+)/', 2) app_id
+from log_lines group by file_path
+)"""
+
+SQL["basic_counts"] = with_logs("""
+select count(distinct nullif(application_id, '')) as applications,
+ count(distinct nullif(container_id, '')) as containers,
+ cast(coalesce(sum(log_lines), 0) as bigint) as log_entries from files""", FILES)
+
+SQL["containers_per_app"] = with_logs("""
+select application_id, count(distinct nullif(container_id, '')) as containers
+from files where application_id <> '' group by application_id
+order by containers desc, application_id limit 5""", FILES)
+
+SQL["container_roles"] = with_logs(r"""
+select application_id, container_id,
+ regexp_extract(file_path, 'container_(\d+)_(\d+)_(\d+)_(\d+)', 3) as attempt,
+ regexp_extract(file_path, 'container_(\d+)_(\d+)_(\d+)_(\d+)', 4) as container_number,
+ case when regexp_extract(file_path, 'container_(\d+)_(\d+)_(\d+)_(\d+)', 4) = '000001' then 'ApplicationMaster'
+      when regexp_extract(file_path, 'container_(\d+)_(\d+)_(\d+)_(\d+)', 4) <> '' then 'Executor'
+      else '' end as role,
+ log_lines from files""", FILES)
+
+SQL["cluster_start"] = with_logs("""
+select distinct cluster_id, epoch_ms(cast(cluster_id as bigint)) as cluster_started
+from files where cluster_id <> ''""", FILES)
+
+SQL["timestamped_lines"] = with_logs(
+    "select count(*) as timestamped_lines from stamped where ts is not null")
+
+SQL["app_timeline"] = with_logs(
+    "select * from timeline order by cluster_id, start_time", TIMELINE)
+
+CLUSTERS = """
+clusters as (
+select cluster_id, count(app_id) num_applications, min(start_time) first_app_start,
+ max(end_time) last_app_end, min(duration_sec) min_duration_sec, max(duration_sec) max_duration_sec
+from timeline group by cluster_id
+)"""
+
+SQL["cluster_summary"] = with_logs(
+    "select * from clusters order by cluster_id", TIMELINE, CLUSTERS)
+
+SQL["usage_stats"] = with_logs("""
+select count(distinct cluster_id) as total_clusters, count(*) as total_applications,
+ cast(count(*) as double) / cast(count(distinct cluster_id) as double) as avg_apps_per_cluster,
+ avg(duration_sec) as avg_duration_sec, min(duration_sec) as min_duration_sec,
+ max(duration_sec) as max_duration_sec from timeline""", TIMELINE)
+
+SQL["top_cluster"] = with_logs("""
+select cluster_id, num_applications from clusters
+order by num_applications desc, cluster_id limit 1""", TIMELINE, CLUSTERS)
+
+SQL["top_clusters"] = with_logs("""
+select cluster_id, num_applications from clusters
+order by num_applications desc, cluster_id limit 5""", TIMELINE, CLUSTERS)
+
+LARGEST = """
+largest as (
+select t.* from timeline t
+where t.cluster_id in (select cluster_id from clusters order by num_applications desc, cluster_id limit 1)
+ and t.duration_sec > 0
+)"""
+
+SQL["largest_cluster_apps"] = with_logs("select * from largest", TIMELINE, CLUSTERS, LARGEST)
+
+SQL["app_timeline_contract"] = with_logs("""
+select cluster_id, concat('application_', cluster_id, '_', app_id) as application_id,
+ app_id as app_number, start_time, end_time from timeline order by cluster_id, start_time""",
+    TIMELINE)
+
+SQL["cluster_summary_contract"] = with_logs("""
+select cluster_id, num_applications, first_app_start as cluster_first_app,
+ last_app_end as cluster_last_app from clusters order by cluster_id""", TIMELINE, CLUSTERS)
+
+SQL["cluster_lookup_join"] = with_logs("""
+select t.*, l.cluster_apps, l.cluster_started from timeline t left join
+ (select cluster_id, count(app_id) cluster_apps,
+   epoch_ms(try_cast(cluster_id as bigint)) cluster_started
+  from timeline group by cluster_id) l on t.cluster_id = l.cluster_id""", TIMELINE)
+
+SQL["cluster_share"] = with_logs("""
+select cluster_id, num_applications,
+ cast(num_applications as double) / cast(sum(num_applications) over () as double) as app_share,
+ num_containers,
+ cast(num_containers as double) / cast(sum(num_containers) over () as double) as container_share,
+ log_lines, cast(log_lines as double) / cast(sum(log_lines) over () as double) as line_share
+from (select cluster_id, count(distinct nullif(app_id, '')) num_applications,
+  count(distinct nullif(container_id, '')) num_containers, cast(sum(log_lines) as bigint) log_lines
+  from files group by cluster_id)""", FILES)
+
+SQL["host_lines"] = with_logs(r"""
+select host, count(*) as log_lines from
+ (select regexp_extract(log_entry, '(mesos-(?:slave|master)-\d+)', 1) host from log_lines)
+where host <> '' group by host order by log_lines desc, host""")
+
+SQL["cluster_bar"] = with_logs(
+    "select cluster_id, num_applications from clusters order by cluster_id", TIMELINE, CLUSTERS)
+
+SQL["duration_histogram"] = with_logs("""
+select b.bin, b.bin_start, b.bin_end, coalesce(c.count, 0) as count, s.n,
+ cast(coalesce(c.count, 0) as double) / (b.bin_end - b.bin_start) / cast(s.n as double) as density
+from stats s,
+ (select cast(i as integer) bin,
+   case when i >= 30 then s.hi else cast(i as double) * ((s.hi - s.lo) / 30.0) + s.lo end bin_start,
+   case when i + 1 >= 30 then s.hi else cast(i + 1 as double) * ((s.hi - s.lo) / 30.0) + s.lo end bin_end
+  from stats s, range(0, 30) r(i)) b
+ left join (
+  select bin, count(*) count from (
+   select x, case when i1 + 1 < 30 and x >= (cast(i1 + 1 as double) * st + lo) then i1 + 1 else i1 end bin
+   from (
+    select x, lo, st, case when x < (case when i0 >= 30 then hi else cast(i0 as double) * st + lo end)
+                           then i0 - 1 else i0 end i1
+    from (select x, lo, hi, st,
+           least(cast(floor((x - lo) / (hi - lo) * 30.0) as integer), 29) i0
+          from (select cast(duration_sec as double) x from largest),
+               (select lo, hi, (hi - lo) / 30.0 st from stats))))
+  group by bin) c on c.bin = b.bin
+where s.n >= 2 and s.hi > s.lo
+order by b.bin""", TIMELINE, CLUSTERS, LARGEST, """
+stats as (
+select count(*) n, min(cast(duration_sec as double)) lo, max(cast(duration_sec as double)) hi
+from largest
+)""")
+
+SQL["duration_kde"] = with_logs("""
+select g.point, g.x, round(sum(exp(-0.5 * ((g.x - d.x) / s.h) * ((g.x - d.x) / s.h)))
+   / (cast(s.n as double) * s.h * sqrt(2 * pi())), 15) as density
+from kstats s,
+ (select cast(i as integer) point,
+   round(pow(10.0, case when i = 499 then log10(s.hi)
+            else cast(i as double) * ((log10(s.hi) - log10(s.lo)) / 499.0) + log10(s.lo) end), 9) x
+  from kstats s, range(0, 500) r(i)) g,
+ (select cast(duration_sec as double) x from largest) d
+where s.n >= 2 and s.sd > 0
+group by g.point, g.x, s.n, s.h order by g.point""", TIMELINE, CLUSTERS, LARGEST, """
+kstats as (
+select count(*) n, min(cast(duration_sec as double)) lo, max(cast(duration_sec as double)) hi,
+ stddev_samp(cast(duration_sec as double)) sd,
+ stddev_samp(cast(duration_sec as double)) * pow(cast(count(*) as double), -0.2) h
+from largest
+)""")
+
+TASKS = r"""
+task_lines as (
+select cluster_id, app_id, ts,
+ try_cast(nullif(regexp_extract(log_entry, 'Running task (\S+) in stage (\S+) \(TID (\d+)\)', 3), '') as bigint) start_tid,
+ regexp_extract(log_entry, 'Running task (\S+) in stage (\S+) \(TID (\d+)\)', 2) start_stage,
+ try_cast(nullif(regexp_extract(log_entry, 'Finished task (\S+) in stage (\S+) \(TID (\d+)\)', 3), '') as bigint) finish_tid
+from stamped where contains(log_entry, '(TID ')
+),
+starts as (
+select cluster_id, app_id, start_tid tid, min(start_stage) stage, min(ts) start_time, count(*) n
+from task_lines where start_tid is not null group by all
+),
+finishes as (
+select cluster_id, app_id, finish_tid tid, max(ts) end_time, count(*) n
+from task_lines where finish_tid is not null group by all
+),
+task_times as (
+select s.cluster_id, s.app_id, s.tid, s.stage, s.start_time, f.end_time,
+ date_diff('second', s.start_time, f.end_time) duration_sec
+from starts s join finishes f using (cluster_id, app_id, tid)
+where s.start_time is not null and f.end_time is not null
+)"""
+
+SQL["task_durations"] = with_logs("""
+select cluster_id, app_id, count(*) as num_tasks, avg(duration_sec) as avg_task_sec,
+ min(duration_sec) as min_task_sec, max(duration_sec) as max_task_sec
+from task_times group by cluster_id, app_id""", TASKS)
+
+SQL["unfinished_tasks"] = with_logs("""
+select s.cluster_id, s.app_id, s.tid, s.stage, s.start_time from starts s
+anti join finishes f using (cluster_id, app_id, tid)""", TASKS)
+
+SQL["slowest_tasks"] = with_logs("""
+select cluster_id, app_id, tid, stage, duration_sec from task_times
+order by duration_sec desc, cluster_id, app_id, tid limit 10""", TASKS)
+
+SQL["stage_skew"] = with_logs("""
+select cluster_id, app_id, stage, count(*) as num_tasks, max(duration_sec) as max_task_sec,
+ quantile_cont(duration_sec, 0.5) as median_task_sec,
+ cast(max(duration_sec) as double) / nullif(quantile_cont(duration_sec, 0.5), 0) as skew
+from task_times group by cluster_id, app_id, stage""", TASKS)
+
+SQL["python_timings"] = with_logs(r"""
+select cluster_id, app_id, count(*) as runs, cast(sum(total) as bigint) as sum_total,
+ avg(total) as avg_total, avg(boot) as avg_boot, avg(init) as avg_init, avg(finish) as avg_finish,
+ max(total) as max_total
+from (select cluster_id, app_id,
+  try_cast(nullif(regexp_extract(log_entry, 'Times: total = (-?\d+), boot = (-?\d+), init = (-?\d+), finish = (-?\d+)', 1), '') as bigint) total,
+  try_cast(nullif(regexp_extract(log_entry, 'Times: total = (-?\d+), boot = (-?\d+), init = (-?\d+), finish = (-?\d+)', 2), '') as bigint) boot,
+  try_cast(nullif(regexp_extract(log_entry, 'Times: total = (-?\d+), boot = (-?\d+), init = (-?\d+), finish = (-?\d+)', 3), '') as bigint) init,
+  try_cast(nullif(regexp_extract(log_entry, 'Times: total = (-?\d+), boot = (-?\d+), init = (-?\d+), finish = (-?\d+)', 4), '') as bigint) finish
+ from parsed where contains(log_entry, 'PythonRunner: Times:'))
+where total is not null group by cluster_id, app_id""")
+
+SQL["resource_requests"] = with_logs(r"""
+select cluster_id, app_id, count(*) as requests, cast(sum(executors) as bigint) as executors_requested,
+ max(cores) as max_cores_per_executor, max(memory_mb) as max_memory_mb_per_executor,
+ cast(sum(executors * cores) as bigint) as cores_requested,
+ cast(sum(executors * memory_mb) as bigint) as memory_mb_requested
+from (select cluster_id, app_id,
+  try_cast(nullif(regexp_extract(log_entry, 'Will request (\d+) executor containers, each with (\d+) cores and (\d+) MB memory', 1), '') as bigint) executors,
+  try_cast(nullif(regexp_extract(log_entry, 'Will request (\d+) executor containers, each with (\d+) cores and (\d+) MB memory', 2), '') as bigint) cores,
+  try_cast(nullif(regexp_extract(log_entry, 'Will request (\d+) executor containers, each with (\d+) cores and (\d+) MB memory', 3), '') as bigint) memory_mb
+ from parsed where contains(log_entry, 'Will request'))
+where executors is not null group by cluster_id, app_id""")
+
+SQL["failure_rates"] = with_logs("""
+select cluster_id, app_id, count(*) as log_lines, count(*) filter (where log_level = 'ERROR') as error_lines,
+ cast(count(*) filter (where log_level = 'ERROR') as double) / cast(count(*) as double) as error_rate
+from parsed group by cluster_id, app_id""")
+
+SQL["shuffle_blocks"] = with_logs(r"""
+select cluster_id, app_id, count(*) as fetches, cast(sum(non_empty) as bigint) as non_empty_blocks,
+ cast(sum(blocks) as bigint) as total_blocks,
+ cast(sum(non_empty) as double) / nullif(cast(sum(blocks) as double), 0) as non_empty_share
+from (select cluster_id, app_id,
+  try_cast(nullif(regexp_extract(log_entry, 'Getting (\d+) non-empty blocks out of (\d+) blocks', 1), '') as bigint) non_empty,
+  try_cast(nullif(regexp_extract(log_entry, 'Getting (\d+) non-empty blocks out of (\d+) blocks', 2), '') as bigint) blocks
+ from parsed where contains(log_entry, 'non-empty blocks'))
+where blocks is not null group by cluster_id, app_id""")
+
+SQL["memory_blocks"] = with_logs(r"""
+select cluster_id, app_id, count(*) as blocks, cast(sum(bytes) as bigint) as bytes_stored,
+ max(bytes) as max_block_bytes
+from (select cluster_id, app_id,
+  cast(round(try_cast(regexp_extract(log_entry, 'Block (\S+) stored as bytes in memory \(estimated size ([0-9.]+) (B|KB|MB|GB)', 2) as double)
+   * case regexp_extract(log_entry, 'Block (\S+) stored as bytes in memory \(estimated size ([0-9.]+) (B|KB|MB|GB)', 3)
+       when 'B' then 1 when 'KB' then 1024 when 'MB' then 1048576 when 'GB' then 1073741824 end) as bigint) bytes
+ from parsed where contains(log_entry, 'stored as bytes in memory'))
+where bytes is not null group by cluster_id, app_id""")
+
+SQL["input_splits"] = with_logs(r"""
+select cluster_id, app_id, input_file, count(*) as splits, cast(sum(length) as bigint) as bytes_read
+from (select cluster_id, app_id,
+  regexp_extract(log_entry, 'Input split: (.*):(\d+)\+(\d+)$', 1) input_file,
+  try_cast(nullif(regexp_extract(log_entry, 'Input split: (.*):(\d+)\+(\d+)$', 3), '') as bigint) length
+ from parsed where contains(log_entry, 'Input split:'))
+where length is not null group by cluster_id, app_id, input_file""")
+
+SQL["trip_row_count"] = "select count(*) as total_rows from lineitem"
+
+SQL["year_filter_count"] = with_trips("""
+select count(*) as filtered_rows from trips
+where tpep_pickup_datetime >= timestamp '1997-01-01' and tpep_pickup_datetime < timestamp '1998-01-01'""")
+
+SQL["date_parts"] = with_trips("""
+select tpep_pickup_datetime, cast(year(tpep_pickup_datetime) as integer) as dt_year,
+ cast(month(tpep_pickup_datetime) as integer) as dt_month,
+ cast(day(tpep_pickup_datetime) as integer) as dt_day from trips""")
+
+DAILY = """
+select cast(year(tpep_pickup_datetime) as integer) as dt_year,
+ cast(month(tpep_pickup_datetime) as integer) as dt_month,
+ cast(day(tpep_pickup_datetime) as integer) as dt_day,
+ count(*) as num_trips, avg(trip_distance) as mean_trip_distance, max(mta_tax) as max_mta_tax,
+ quantile_disc(fare_amount, 0.95) as q95_fare_amount, min(tip_amount) as min_tip_amount,
+ cast(ceil(avg(passenger_count)) as bigint) as mean_passenger_count
+from trips {where} group by 1, 2, 3"""
+
+YEAR_1997 = ("where tpep_pickup_datetime >= timestamp '1997-01-01'"
+             " and tpep_pickup_datetime < timestamp '1998-01-01'")
+
+SQL["daily_summary"] = with_trips(DAILY.format(where=YEAR_1997) + " order by 1 desc, 2 desc, 3 desc")
+
+SQL["daily_summary_all_years"] = with_trips(DAILY.format(where="") + " order by 1 desc, 2 desc, 3 desc")
+
+SQL["daily_totals"] = with_trips("""
+select count(*) as num_days, min(make_date(dt_year, dt_month, dt_day)) as first_date,
+ max(make_date(dt_year, dt_month, dt_day)) as last_date, cast(sum(num_trips) as bigint) as total_trips,
+ avg(num_trips) as avg_daily_trips from daily""", "daily as (" + DAILY.format(where=YEAR_1997) + ")")
+
+SQL["sql_count"] = with_logs("select count(*) as total from log_lines")
+
+SQL["even_doubled"] = "select event_id * 2 as doubled from events where event_id % 2 = 0"

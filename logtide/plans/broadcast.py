@@ -1,0 +1,26 @@
+"""Broadcast only what has a proven size bound.
+
+``bounded_broadcast`` counts at most ``max_rows + 1`` rows of a lookup side
+(the count stops early) and marks it for broadcast only when it fits; beyond
+that it returns the DataFrame unchanged, so the planner — and adaptive
+execution, which re-plans on measured shuffle sizes — picks a shuffle join.
+Call it on a side that is cheap to evaluate or already persisted, since the
+check runs the side once.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 100_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def broadcast_single_row(df: DataFrame) -> DataFrame:
+    """Broadcast a global aggregate or a ``limit(1)`` result: one row by construction."""
+    return F.broadcast(df)

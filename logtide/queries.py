@@ -12,7 +12,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .operators import levels
+from .operators import basics, daily, distribution, levels, messages, usage
+from .sources import probe
 from .sources.standins import log_lines_from_events, trips_from_lineitem
 from .sources.tables import table
 
@@ -38,3 +39,278 @@ def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def log_level_counts(spark, sf_dir):
     return levels.level_counts(logs(spark, sf_dir))
+
+
+@register
+def log_scan_count(spark, sf_dir):
+    return levels.total_lines(logs(spark, sf_dir))
+
+
+@register
+def lines_with_levels(spark, sf_dir):
+    return levels.lines_with_levels(logs(spark, sf_dir))
+
+
+@register
+def log_scan_totals(spark, sf_dir):
+    return levels.scan_totals(logs(spark, sf_dir))
+
+
+@register
+def log_level_pct(spark, sf_dir):
+    return levels.level_pct(logs(spark, sf_dir))
+
+
+@register
+def log_summary_text(spark, sf_dir):
+    return levels.summary_text(logs(spark, sf_dir))
+
+
+@register
+def log_sample(spark, sf_dir):
+    return levels.sample_lines(logs(spark, sf_dir), key="event_id", k=10, seed=42)
+
+
+@register
+def component_top20(spark, sf_dir):
+    return levels.component_counts(logs(spark, sf_dir), k=20)
+
+
+@register
+def level_counts_unbounded(spark, sf_dir):
+    return levels.level_counts_loose(logs(spark, sf_dir))
+
+
+@register
+def level_occurrences(spark, sf_dir):
+    return levels.level_occurrences(logs(spark, sf_dir))
+
+
+@register
+def distinct_levels(spark, sf_dir):
+    return levels.distinct_levels(logs(spark, sf_dir))
+
+
+@register
+def error_lines(spark, sf_dir):
+    return levels.error_lines(logs(spark, sf_dir))
+
+
+# --- parsing and files --------------------------------------------------------
+
+@register
+def parsed_log(spark, sf_dir):
+    return messages.parsed_log(logs(spark, sf_dir))
+
+
+@register
+def parse_quality(spark, sf_dir):
+    return messages.parse_quality(logs(spark, sf_dir))
+
+
+@register
+def basic_counts(spark, sf_dir):
+    return usage.basic_counts(logs(spark, sf_dir))
+
+
+@register
+def containers_per_app(spark, sf_dir):
+    return usage.containers_per_app(logs(spark, sf_dir), k=5)
+
+
+@register
+def container_roles(spark, sf_dir):
+    return usage.container_roles(logs(spark, sf_dir))
+
+
+@register
+def cluster_start(spark, sf_dir):
+    return usage.cluster_start(logs(spark, sf_dir))
+
+
+# --- cluster usage ------------------------------------------------------------
+
+def _timeline(spark, sf_dir, ordered=False):
+    return usage.app_timeline(logs(spark, sf_dir), ordered=ordered)
+
+
+@register
+def timestamped_lines(spark, sf_dir):
+    return daily.row_count(usage.timestamped_lines(logs(spark, sf_dir)), "timestamped_lines")
+
+
+@register
+def app_timeline(spark, sf_dir):
+    return _timeline(spark, sf_dir, ordered=True)
+
+
+@register
+def cluster_summary(spark, sf_dir):
+    return usage.cluster_summary(_timeline(spark, sf_dir))
+
+
+@register
+def usage_stats(spark, sf_dir):
+    return usage.usage_stats(_timeline(spark, sf_dir))
+
+
+@register
+def top_cluster(spark, sf_dir):
+    return usage.top_clusters(usage.cluster_summary(_timeline(spark, sf_dir), ordered=False), 1)
+
+
+@register
+def top_clusters(spark, sf_dir):
+    return usage.top_clusters(usage.cluster_summary(_timeline(spark, sf_dir), ordered=False), 5)
+
+
+@register
+def largest_cluster_apps(spark, sf_dir):
+    return usage.largest_cluster_apps(_timeline(spark, sf_dir))
+
+
+@register
+def app_timeline_contract(spark, sf_dir):
+    return usage.timeline_contract(_timeline(spark, sf_dir, ordered=True))
+
+
+@register
+def cluster_summary_contract(spark, sf_dir):
+    return usage.cluster_summary_contract(usage.cluster_summary(_timeline(spark, sf_dir)))
+
+
+@register
+def cluster_lookup_join(spark, sf_dir):
+    return usage.with_cluster_lookup(_timeline(spark, sf_dir))
+
+
+@register
+def cluster_share(spark, sf_dir):
+    return usage.cluster_share(logs(spark, sf_dir))
+
+
+@register
+def host_lines(spark, sf_dir):
+    return usage.host_lines(logs(spark, sf_dir))
+
+
+@register
+def cluster_bar(spark, sf_dir):
+    return distribution.bar_series(usage.cluster_summary(_timeline(spark, sf_dir), ordered=False))
+
+
+@register
+def duration_histogram(spark, sf_dir):
+    apps = usage.largest_cluster_apps(_timeline(spark, sf_dir))
+    return distribution.histogram(spark, apps, "duration_sec")
+
+
+@register
+def duration_kde(spark, sf_dir):
+    apps = usage.largest_cluster_apps(_timeline(spark, sf_dir))
+    return distribution.kde_curve(apps, "duration_sec")
+
+
+# --- messages -----------------------------------------------------------------
+
+@register
+def task_durations(spark, sf_dir):
+    return messages.task_durations(logs(spark, sf_dir))
+
+
+@register
+def unfinished_tasks(spark, sf_dir):
+    return messages.unfinished_tasks(logs(spark, sf_dir))
+
+
+@register
+def slowest_tasks(spark, sf_dir):
+    return messages.slowest_tasks(logs(spark, sf_dir), k=10)
+
+
+@register
+def stage_skew(spark, sf_dir):
+    return messages.stage_skew(logs(spark, sf_dir))
+
+
+@register
+def python_timings(spark, sf_dir):
+    return messages.python_timings(logs(spark, sf_dir))
+
+
+@register
+def resource_requests(spark, sf_dir):
+    return messages.resource_requests(logs(spark, sf_dir))
+
+
+@register
+def failure_rates(spark, sf_dir):
+    return messages.failure_rates(logs(spark, sf_dir))
+
+
+@register
+def shuffle_blocks(spark, sf_dir):
+    return messages.shuffle_blocks(logs(spark, sf_dir))
+
+
+@register
+def memory_blocks(spark, sf_dir):
+    return messages.memory_blocks(logs(spark, sf_dir))
+
+
+@register
+def input_splits(spark, sf_dir):
+    return messages.input_splits(logs(spark, sf_dir))
+
+
+# --- daily trip summaries -----------------------------------------------------
+
+TRIP_YEAR = 1997  # the stand-in's year for the reference's year filter
+
+
+@register
+def trip_row_count(spark, sf_dir):
+    return daily.row_count(trips(spark, sf_dir), "total_rows")
+
+
+@register
+def year_filter_count(spark, sf_dir):
+    return daily.row_count(daily.year_range(trips(spark, sf_dir), TRIP_YEAR), "filtered_rows")
+
+
+@register
+def date_parts(spark, sf_dir):
+    return daily.date_parts(trips(spark, sf_dir))
+
+
+@register
+def daily_summary(spark, sf_dir):
+    return daily.daily_summary(trips(spark, sf_dir), year=TRIP_YEAR)
+
+
+@register
+def daily_summary_all_years(spark, sf_dir):
+    return daily.daily_summary(trips(spark, sf_dir), year=None)
+
+
+@register
+def daily_totals(spark, sf_dir):
+    return daily.daily_totals(daily.daily_summary(trips(spark, sf_dir), year=TRIP_YEAR,
+                                                  ordered=False))
+
+
+# --- installation checks and sources -----------------------------------------
+
+@register
+def sql_count(spark, sf_dir):
+    return basics.sql_count(spark, logs(spark, sf_dir), view="log_lines")
+
+
+@register
+def even_doubled(spark, sf_dir):
+    return basics.even_doubled(table(spark, sf_dir, "events"), "event_id")
+
+
+@register
+def source_probe(spark, sf_dir):
+    return probe.source_probe(spark, sf_dir, glob="*.parquet")
