@@ -44,9 +44,10 @@ def histogram(spark: SparkSession, values: DataFrame, col: str = "duration_sec",
     """Equal-width density histogram over [min, max] with the last bin closed.
 
     Bin edges are ``lo + i·(hi − lo)/bins`` (the last edge is ``hi``); a value
-    goes to ``floor((x − lo)/(hi − lo)·bins)``, moved down or up one bin when
-    it lies outside that bin's edges. ``density = count / width / n``. Empty
-    bins are kept. No rows when n < 2 or all values are equal.
+    goes to ``floor((x − lo)/(hi − lo)·bins)``, one bin lower when it lies
+    below that bin's first edge, one higher when it reaches the next edge
+    (never past the last bin). ``density = count / width / n``. Empty bins
+    are kept. No rows when n < 2 or all values are equal.
     """
     s = _stats(values, col)
     lo, hi, n = s["lo"], s["hi"], s["n"]
@@ -56,13 +57,13 @@ def histogram(spark: SparkSession, values: DataFrame, col: str = "duration_sec",
     def edge(i):
         return F.when(i >= bins, hi).otherwise(i.cast("double") * step + lo)
 
-    f = F.floor((F.col("x") - lo) / span * F.lit(float(bins))).cast("int")
-    i0 = F.when(f >= bins, F.lit(bins - 1)).otherwise(f)
-    i1 = F.when(F.col("x") < edge(F.col("i0")), F.col("i0") - 1).otherwise(F.col("i0"))
-    i2 = F.when((F.col("x") >= edge(F.col("i1") + 1)) & (F.col("i1") != bins - 1),
-                F.col("i1") + 1).otherwise(F.col("i1"))
+    x = F.col("x")
+    guess = F.least(F.floor((x - lo) / span * F.lit(float(bins))).cast("int"), F.lit(bins - 1))
+    below = (x < edge(F.col("i0"))).cast("int")
+    above = ((x >= edge(F.col("i0") + 1)) & (F.col("i0") != bins - 1)).cast("int")
     counts = (_weighted(values, col)
-              .withColumn("i0", i0).withColumn("i1", i1).withColumn("bin", i2)
+              .select("w", guess.alias("i0"), "x")
+              .select("w", (F.col("i0") - below + above).alias("bin"))
               .groupBy("bin").agg(F.sum("w").alias("count")))
     grid = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
     out = (grid.join(counts, "bin", "left")

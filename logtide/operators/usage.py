@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import parse
 from ..plans.broadcast import bounded_broadcast, broadcast_single_row
+from ..plans.session import reuse
 
 
 def timestamped_lines(lines: DataFrame, line: str = "log_entry",
@@ -91,7 +92,10 @@ def largest_cluster_apps(timeline: DataFrame) -> DataFrame:
 
     The top cluster is a ``limit(1)`` result, so broadcasting it is safe; the
     timeline keeps its partitioning and is filtered by a broadcast semi-join.
+    The timeline (one row per application) is read by both sides, so it is
+    materialised once instead of scanning the logs twice.
     """
+    timeline = reuse(timeline)
     top1 = top_clusters(cluster_summary(timeline, ordered=False), 1).select("cluster_id")
     return (timeline.join(broadcast_single_row(top1), "cluster_id", "left_semi")
             .filter(F.col("duration_sec") > 0))
@@ -124,10 +128,10 @@ def cluster_lookup(timeline: DataFrame) -> DataFrame:
 def with_cluster_lookup(timeline: DataFrame, max_lookup_rows: int = 100_000) -> DataFrame:
     """Timeline left-joined to the cluster lookup, broadcast only if it is small.
 
-    The timeline (one row per application) is persisted so that the size check
-    of the lookup and the join read it once.
+    The timeline (one row per application) is materialised so that the size
+    check of the lookup and the join read it once.
     """
-    tl = timeline.persist()
+    tl = reuse(timeline)
     lookup = bounded_broadcast(cluster_lookup(tl), max_lookup_rows)
     return tl.join(lookup, "cluster_id", "left")
 
