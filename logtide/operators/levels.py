@@ -76,7 +76,15 @@ def summary_text(lines: DataFrame, line: str = "log_entry") -> DataFrame:
     Built from the per-level groups (at most four rows), so ``collect_list``
     here gathers four short strings, never input rows.
     """
-    g = level_groups(lines, line)
+    return summary_from_groups(level_groups(lines, line))
+
+
+def counts_from_groups(g: DataFrame) -> DataFrame:
+    return g.filter(F.col("log_level") != "").orderBy("log_level")
+
+
+def summary_from_groups(g: DataFrame) -> DataFrame:
+    """``summary_text`` from the output of :func:`level_groups`."""
     has = F.col("log_level") != ""
     leveled = F.sum(F.when(has, F.col("count"))).over(Window.partitionBy())
     pct = F.try_divide(F.col("count").cast("double"), leveled.cast("double")) * F.lit(100.0)
