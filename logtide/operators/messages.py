@@ -3,8 +3,11 @@
 Input: lines with ``log_entry`` and ``file_path``.
 
 Each operator first keeps only lines holding its message with a cheap
-substring test (pushed below the regex projection), then extracts numbers
-with ``regexp_extract`` and aggregates per application. Grouping keys are
+substring test (pushed into the scan), then extracts numbers with
+``regexp_extract`` and aggregates per application. Lines whose numbers do not
+parse are skipped by the null-skipping aggregates rather than by a row
+filter, so each regex runs once per line; groups left empty are dropped
+after the aggregation. Grouping keys are
 (cluster, app) or (cluster, app, task id); partial aggregation runs before
 every shuffle, so one application holding most lines is no hot spot.
 """
@@ -40,16 +43,19 @@ def tasks(lines: DataFrame, line: str = "log_entry", path: str = "file_path") ->
                   parse.extract_long(line, P.TASK_START, 3).alias("start_tid"),
                   F.regexp_extract(F.col(line), P.TASK_START, 2).alias("start_stage"),
                   parse.extract_long(line, P.TASK_FINISH, 3).alias("finish_tid"))
-          .withColumn("tid", F.coalesce("start_tid", "finish_tid"))
-          .filter(F.col("tid").isNotNull()))
+          .withColumn("tid", F.coalesce("start_tid", "finish_tid")))
     started = F.col("start_tid").isNotNull()
     finished = F.col("finish_tid").isNotNull()
+    # lines that are neither start nor finish form one NULL-tid group per app,
+    # dropped after the aggregation (on an aggregate, so the optimizer does not
+    # push it back below as a second regex evaluation per line)
     return (ev.groupBy(*APP, "tid")
             .agg(F.min(F.when(started, F.col("start_stage"))).alias("stage"),
                  F.min(F.when(started, F.col("ts"))).alias("start_time"),
                  F.max(F.when(finished, F.col("ts"))).alias("end_time"),
                  F.count_if(started).alias("start_lines"),
-                 F.count_if(finished).alias("finish_lines")))
+                 F.count_if(finished).alias("finish_lines"))
+            .filter(F.col("start_lines") + F.col("finish_lines") > 0))
 
 
 def task_times(lines: DataFrame, line: str = "log_entry", path: str = "file_path") -> DataFrame:
@@ -108,16 +114,16 @@ def python_timings(lines: DataFrame, line: str = "log_entry", path: str = "file_
     m = (lines.filter(F.col(line).contains("PythonRunner: Times:"))
          .select(*_app_cols(path),
                  *[parse.extract_long(line, P.PYTHON_TIMES, i).alias(n)
-                   for i, n in enumerate(["total", "boot", "init", "finish"], 1)])
-         .filter(F.col("total").isNotNull()))
+                   for i, n in enumerate(["total", "boot", "init", "finish"], 1)]))
     return (m.groupBy(*APP)
-            .agg(F.count(F.lit(1)).alias("runs"),
+            .agg(F.count("total").alias("runs"),
                  F.sum("total").alias("sum_total"),
                  F.avg("total").alias("avg_total"),
                  F.avg("boot").alias("avg_boot"),
                  F.avg("init").alias("avg_init"),
                  F.avg("finish").alias("avg_finish"),
-                 F.max("total").alias("max_total")))
+                 F.max("total").alias("max_total"))
+            .filter(F.col("runs") > 0))
 
 
 def resource_requests(lines: DataFrame, line: str = "log_entry", path: str = "file_path") -> DataFrame:
@@ -126,15 +132,15 @@ def resource_requests(lines: DataFrame, line: str = "log_entry", path: str = "fi
          .select(*_app_cols(path),
                  parse.extract_long(line, P.RESOURCE_REQUEST, 1).alias("executors"),
                  parse.extract_long(line, P.RESOURCE_REQUEST, 2).alias("cores"),
-                 parse.extract_long(line, P.RESOURCE_REQUEST, 3).alias("memory_mb"))
-         .filter(F.col("executors").isNotNull()))
+                 parse.extract_long(line, P.RESOURCE_REQUEST, 3).alias("memory_mb")))
     return (m.groupBy(*APP)
-            .agg(F.count(F.lit(1)).alias("requests"),
+            .agg(F.count("executors").alias("requests"),
                  F.sum("executors").alias("executors_requested"),
                  F.max("cores").alias("max_cores_per_executor"),
                  F.max("memory_mb").alias("max_memory_mb_per_executor"),
                  F.sum(F.col("executors") * F.col("cores")).alias("cores_requested"),
-                 F.sum(F.col("executors") * F.col("memory_mb")).alias("memory_mb_requested")))
+                 F.sum(F.col("executors") * F.col("memory_mb")).alias("memory_mb_requested"))
+            .filter(F.col("requests") > 0))
 
 
 def failure_rates(lines: DataFrame, line: str = "log_entry", path: str = "file_path") -> DataFrame:
@@ -152,12 +158,12 @@ def shuffle_blocks(lines: DataFrame, line: str = "log_entry", path: str = "file_
     m = (lines.filter(F.col(line).contains("non-empty blocks"))
          .select(*_app_cols(path),
                  parse.extract_long(line, P.SHUFFLE_FETCH, 1).alias("non_empty"),
-                 parse.extract_long(line, P.SHUFFLE_FETCH, 2).alias("blocks"))
-         .filter(F.col("blocks").isNotNull()))
+                 parse.extract_long(line, P.SHUFFLE_FETCH, 2).alias("blocks")))
     return (m.groupBy(*APP)
-            .agg(F.count(F.lit(1)).alias("fetches"),
+            .agg(F.count("blocks").alias("fetches"),
                  F.sum("non_empty").alias("non_empty_blocks"),
                  F.sum("blocks").alias("total_blocks"))
+            .filter(F.col("fetches") > 0)
             .withColumn("non_empty_share",
                         F.try_divide(F.col("non_empty_blocks").cast("double"),
                                      F.col("total_blocks").cast("double"))))
@@ -171,12 +177,12 @@ def memory_blocks(lines: DataFrame, line: str = "log_entry", path: str = "file_p
         mult = mult.when(unit == u, F.lit(P.UNIT_BYTES[u]))
     size = F.regexp_extract(F.col(line), P.MEMORY_BLOCK, 2).try_cast("double")
     m = (lines.filter(F.col(line).contains("stored as bytes in memory"))
-         .select(*_app_cols(path), F.round(size * mult).cast("bigint").alias("bytes"))
-         .filter(F.col("bytes").isNotNull()))
+         .select(*_app_cols(path), F.round(size * mult).cast("bigint").alias("bytes")))
     return (m.groupBy(*APP)
-            .agg(F.count(F.lit(1)).alias("blocks"),
+            .agg(F.count("bytes").alias("blocks"),
                  F.sum("bytes").alias("bytes_stored"),
-                 F.max("bytes").alias("max_block_bytes")))
+                 F.max("bytes").alias("max_block_bytes"))
+            .filter(F.col("blocks") > 0))
 
 
 def input_splits(lines: DataFrame, line: str = "log_entry", path: str = "file_path") -> DataFrame:
@@ -184,11 +190,11 @@ def input_splits(lines: DataFrame, line: str = "log_entry", path: str = "file_pa
     m = (lines.filter(F.col(line).contains("Input split:"))
          .select(*_app_cols(path),
                  F.regexp_extract(F.col(line), P.INPUT_SPLIT, 1).alias("input_file"),
-                 parse.extract_long(line, P.INPUT_SPLIT, 3).alias("length"))
-         .filter(F.col("length").isNotNull()))
+                 parse.extract_long(line, P.INPUT_SPLIT, 3).alias("length")))
     return (m.groupBy(*APP, "input_file")
-            .agg(F.count(F.lit(1)).alias("splits"),
-                 F.sum("length").alias("bytes_read")))
+            .agg(F.count("length").alias("splits"),
+                 F.sum("length").alias("bytes_read"))
+            .filter(F.col("splits") > 0))
 
 
 # --- parsing ------------------------------------------------------------------

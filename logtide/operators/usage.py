@@ -33,11 +33,19 @@ def timestamped_lines(lines: DataFrame, line: str = "log_entry",
 
 
 def per_file_times(lines: DataFrame, line: str = "log_entry", path: str = "file_path") -> DataFrame:
-    return (timestamped_lines(lines, line, path)
+    """Per file: first and last parsable timestamp and the number of such lines.
+
+    ``min``/``max``/``count`` skip NULL timestamps, so no row filter is needed
+    and the timestamp regex runs once per line; files without any parsable
+    timestamp are dropped after the aggregation.
+    """
+    ts = parse.log_timestamp(line)
+    return (lines.select(F.col(path).alias("file_path"), ts.alias("timestamp"))
             .groupBy("file_path")
             .agg(F.min("timestamp").alias("start_time"),
                  F.max("timestamp").alias("end_time"),
-                 F.count(F.lit(1)).alias("log_lines")))
+                 F.count("timestamp").alias("log_lines"))
+            .filter(F.col("log_lines") > 0))
 
 
 def app_timeline(lines: DataFrame, line: str = "log_entry", path: str = "file_path",
