@@ -25,12 +25,18 @@ def _out(root: str, name: str) -> str:
 
 
 def levels_job(spark: SparkSession, input_root: str, output_root: str, *,
-               sample_k: int = 10, seed: int = 42, glob: str | None = "*.log") -> dict[str, str]:
-    """Level counts CSV, a reproducible sample CSV and the summary (CSV cell + text)."""
+               sample_k: int = 10, seed: int = 42, glob: str | None = "*.log",
+               errors: bool = False) -> dict[str, str]:
+    """Level counts CSV, a reproducible sample CSV, the summary (CSV cell + text)
+    and, with ``errors=True``, every ERROR line as text."""
     lines = read_log_lines(spark, input_root, glob=glob)
     groups = reuse(levels.level_groups(lines))
     out = {k: _out(output_root, k) for k in
            ("problem1_counts", "problem1_sample", "problem1_summary", "problem1_summary_txt")}
+    if errors:
+        out["all_errors"] = _out(output_root, "all_errors")
+        write_text(levels.error_lines(lines), out["all_errors"], column="log_entry",
+                   single_file=False)
     write_csv(levels.counts_from_groups(groups), out["problem1_counts"], single_file=True)
     sample = levels.sample_lines(lines, key=["file_path", "log_entry"], k=sample_k, seed=seed)
     write_csv(sample, out["problem1_sample"], single_file=True)

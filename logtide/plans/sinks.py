@@ -20,10 +20,16 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_text(df: DataFrame, path: str, column: str | None = None) -> None:
-    """Text files, one line per row of a single string column."""
+def write_text(df: DataFrame, path: str, column: str | None = None,
+               single_file: bool = True) -> None:
+    """Text files, one line per row of a single string column.
+
+    ``single_file`` is for one-row reports; row-level outputs (e.g. every
+    ERROR line) keep their partitioning and are written in parallel.
+    """
     col = column or df.columns[0]
-    df.select(F.col(col).cast("string")).coalesce(1).write.mode("overwrite").text(path)
+    out = df.select(F.col(col).cast("string"))
+    (out.coalesce(1) if single_file else out).write.mode("overwrite").text(path)
 
 
 def read_csv(spark, path: str) -> DataFrame:

@@ -17,7 +17,9 @@ def _text(path):
 
 
 def test_levels_job_outputs(spark, log_tree, tmp_dir):
-    out = jobs.levels_job(spark, log_tree, tmp_dir)
+    out = jobs.levels_job(spark, log_tree, tmp_dir, errors=True)
+    errs = spark.read.text(out["all_errors"]).collect()
+    assert [r.value for r in errs] == ["17/03/29 10:11:15 ERROR executor.Executor: Exception in task 9.0 in stage 1.0 (TID 10)"]
     counts = {r.log_level: int(r["count"]) for r in read_csv(spark, out["problem1_counts"]).collect()}
     assert counts == {"INFO": 17, "WARN": 1, "ERROR": 1, "DEBUG": 1}
     sample = read_csv(spark, out["problem1_sample"]).collect()
