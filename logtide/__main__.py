@@ -11,9 +11,9 @@ import json
 
 from pyspark.sql import SparkSession
 
-from .plans import jobs
-from .plans.session import RECOMMENDED_CONF
-from .sources.trips import monthly_paths
+from logtide.plans import jobs
+from logtide.plans.session import RECOMMENDED_CONF
+from logtide.sources.trips import monthly_paths
 
 
 def main(argv=None) -> None:

@@ -8,6 +8,7 @@ when the session has none, as in local tests.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,5 +78,14 @@ def materialized(spark: SparkSession, name: str, source: str, build) -> DataFram
         return build()
     target = f"{root.rstrip('/')}/logtide_tables/{name}_{source_key(spark, source)}"
     if not path_exists(spark, f"{target}/_SUCCESS"):
-        build().write.mode("overwrite").parquet(target)
+        # write beside the target, then rename: readers never see a partial
+        # table, and of two concurrent writers the first rename wins
+        tmp = f"{target}.tmp-{uuid.uuid4().hex}"
+        build().write.mode("overwrite").parquet(tmp)
+        p_tmp, fs = _fs(spark, tmp)
+        p_target, _ = _fs(spark, target)
+        if fs.exists(p_target) and not path_exists(spark, f"{target}/_SUCCESS"):
+            fs.delete(p_target, True)  # leftover of an interrupted older write
+        if not fs.rename(p_tmp, p_target):
+            fs.delete(p_tmp, True)
     return spark.read.parquet(target)
