@@ -95,15 +95,17 @@ def top_clusters(summary: DataFrame, k: int = 5) -> DataFrame:
             .orderBy(F.desc("num_applications"), F.asc("cluster_id")).limit(k))
 
 
-def largest_cluster_apps(timeline: DataFrame) -> DataFrame:
+def largest_cluster_apps(timeline: DataFrame, materialize: bool = True) -> DataFrame:
     """Applications of the cluster with most applications, positive durations only.
 
     The top cluster is a ``limit(1)`` result, so broadcasting it is safe; the
     timeline keeps its partitioning and is filtered by a broadcast semi-join.
     The timeline (one row per application) is read by both sides, so it is
-    materialised once instead of scanning the logs twice.
+    materialised once instead of scanning the logs twice (pass
+    ``materialize=False`` when it already is).
     """
-    timeline = reuse(timeline)
+    if materialize:
+        timeline = reuse(timeline)
     top1 = top_clusters(cluster_summary(timeline, ordered=False), 1).select("cluster_id")
     return (timeline.join(broadcast_single_row(top1), "cluster_id", "left_semi")
             .filter(F.col("duration_sec") > 0))

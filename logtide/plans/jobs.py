@@ -84,7 +84,7 @@ def usage_job(spark: SparkSession, input_root: str, output_root: str, *,
     write_csv(summary, out["problem2_cluster_summary"], single_file=True)
     write_text(stats_text(timeline, top_k), out["problem2_stats"])
     write_csv(distribution.bar_series(summary), out["problem2_bar"], single_file=True)
-    apps = reuse(usage.largest_cluster_apps(timeline))
+    apps = reuse(usage.largest_cluster_apps(timeline, materialize=False).select("duration_sec"))
     write_csv(distribution.histogram(spark, apps), out["problem2_histogram"], single_file=True)
     write_csv(distribution.kde_curve(apps), out["problem2_density"], single_file=True)
     return out

@@ -39,13 +39,19 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
 def reuse(df: DataFrame) -> DataFrame:
     """Materialise a small result that several branches of a plan read.
 
-    Reliable checkpoint into the checkpoint folder when one is set (survives
-    executor loss without recomputation); otherwise persist, which recomputes
-    lost blocks from lineage.
+    Written once as a Parquet table in the checkpoint folder and read back:
+    one job computes it (``Dataset.checkpoint`` on an unpersisted plan would
+    compute it twice), later readers survive executor loss without
+    recomputation, and the lineage is cut. Without a checkpoint folder the
+    result is persisted, so lost blocks are recomputed from lineage.
     """
-    if checkpoint_dir(df.sparkSession):
-        return df.checkpoint(eager=True)
-    return df.persist()
+    spark = df.sparkSession
+    root = checkpoint_dir(spark)
+    if not root:
+        return df.persist()
+    path = f"{root.rstrip('/')}/logtide_reuse/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def _fs(spark: SparkSession, path: str):

@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .operators import basics, daily, distribution, levels, messages, usage
-from .plans.session import materialized
+from .plans.session import materialized, reuse
 from .sources import probe
 from .sources.standins import log_lines_from_events, trips_from_lineitem
 from .sources.tables import table
@@ -206,16 +206,21 @@ def cluster_bar(spark, sf_dir):
     return distribution.bar_series(usage.cluster_summary(_timeline(spark, sf_dir), ordered=False))
 
 
+def _largest_durations(spark, sf_dir):
+    """Durations of the largest cluster's applications, materialised once: the
+    chart figures (scalar subquery) and the bins both read them."""
+    tl = reuse(_timeline(spark, sf_dir))
+    return reuse(usage.largest_cluster_apps(tl, materialize=False).select("duration_sec"))
+
+
 @register
 def duration_histogram(spark, sf_dir):
-    apps = usage.largest_cluster_apps(_timeline(spark, sf_dir))
-    return distribution.histogram(spark, apps, "duration_sec")
+    return distribution.histogram(spark, _largest_durations(spark, sf_dir), "duration_sec")
 
 
 @register
 def duration_kde(spark, sf_dir):
-    apps = usage.largest_cluster_apps(_timeline(spark, sf_dir))
-    return distribution.kde_curve(apps, "duration_sec")
+    return distribution.kde_curve(_largest_durations(spark, sf_dir), "duration_sec")
 
 
 # --- messages -----------------------------------------------------------------
