@@ -60,12 +60,15 @@ def read_log_files(spark: SparkSession, root: str, *, glob: str | None = "*.log"
 
 
 def stitch_entries(files: DataFrame, content: str = "content") -> DataFrame:
-    """Multi-line entries: lines without a leading timestamp join the entry above.
+    """Multi-line entries from whole files: lines without a leading timestamp
+    join the entry above.
 
     Input one row per file; output ``file_path``, ``entry_no`` (0-based order
     in the file) and ``log_entry`` (possibly multi-line). Text before the first
-    timestamped line forms entry 0. The split is per file, inside the task that
-    read it, so no shuffle is involved.
+    timestamped line forms entry 0. For files of bounded size only, since each
+    file is one row in one task; for trees whose files may be arbitrarily
+    large use :func:`logtide.operators.entries.number_entries`, which works
+    per split.
     """
     body = F.regexp_replace(F.col(content), r"\n$", "")
     parts = F.split(body, P.ENTRY_BREAK)
