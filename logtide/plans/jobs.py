@@ -32,17 +32,17 @@ def levels_job(spark: SparkSession, input_root: str, output_root: str, *,
     lines = read_log_lines(spark, input_root, glob=glob)
     groups = reuse(levels.level_groups(lines))
     out = {k: _out(output_root, k) for k in
-           ("problem1_counts", "problem1_sample", "problem1_summary", "problem1_summary_txt")}
+           ("level_counts", "level_sample", "level_summary", "level_summary_txt")}
     if errors:
         out["all_errors"] = _out(output_root, "all_errors")
         write_text(levels.error_lines(lines), out["all_errors"], column="log_entry",
                    single_file=False)
-    write_csv(levels.counts_from_groups(groups), out["problem1_counts"], single_file=True)
+    write_csv(levels.counts_from_groups(groups), out["level_counts"], single_file=True)
     sample = levels.sample_lines(lines, key=["file_path", "log_entry"], k=sample_k, seed=seed)
-    write_csv(sample, out["problem1_sample"], single_file=True)
+    write_csv(sample, out["level_sample"], single_file=True)
     summary = levels.summary_from_groups(groups)
-    write_csv(summary, out["problem1_summary"], single_file=True)
-    write_text(summary, out["problem1_summary_txt"])
+    write_csv(summary, out["level_summary"], single_file=True)
+    write_text(summary, out["level_summary_txt"])
     return out
 
 
@@ -77,16 +77,16 @@ def usage_job(spark: SparkSession, input_root: str, output_root: str, *,
     lines = read_log_lines(spark, input_root, glob=glob)
     timeline = reuse(usage.app_timeline(lines, ordered=False))
     summary = usage.cluster_summary(timeline)
-    names = ("problem2_timeline", "problem2_cluster_summary", "problem2_stats",
-             "problem2_bar", "problem2_histogram", "problem2_density")
+    names = ("app_timeline", "cluster_summary", "usage_stats",
+             "cluster_bar", "duration_histogram", "duration_density")
     out = {k: _out(output_root, k) for k in names}
-    write_csv(timeline.orderBy("cluster_id", "start_time"), out["problem2_timeline"], single_file=True)
-    write_csv(summary, out["problem2_cluster_summary"], single_file=True)
-    write_text(stats_text(timeline, top_k), out["problem2_stats"])
-    write_csv(distribution.bar_series(summary), out["problem2_bar"], single_file=True)
+    write_csv(timeline.orderBy("cluster_id", "start_time"), out["app_timeline"], single_file=True)
+    write_csv(summary, out["cluster_summary"], single_file=True)
+    write_text(stats_text(timeline, top_k), out["usage_stats"])
+    write_csv(distribution.bar_series(summary), out["cluster_bar"], single_file=True)
     apps = reuse(usage.largest_cluster_apps(timeline, materialize=False).select("duration_sec"))
-    write_csv(distribution.histogram(spark, apps), out["problem2_histogram"], single_file=True)
-    write_csv(distribution.kde_curve(apps), out["problem2_density"], single_file=True)
+    write_csv(distribution.histogram(spark, apps), out["duration_histogram"], single_file=True)
+    write_csv(distribution.kde_curve(apps), out["duration_density"], single_file=True)
     return out
 
 
@@ -95,9 +95,9 @@ def daily_job(spark: SparkSession, paths: list[str], output: str, *, year: int,
     """Daily summaries of one year, newest day first, and their totals."""
     trips = read_trips(spark, *paths)
     summary = reuse(daily.daily_summary(trips, year=year, accuracy=accuracy, ordered=False))
-    out = {"daily_averages": _out(output, "daily_averages"),
+    out = {"daily_summary": _out(output, "daily_summary"),
            "daily_totals": _out(output, "daily_totals")}
     write_csv(summary.orderBy(F.desc("dt_year"), F.desc("dt_month"), F.desc("dt_day")),
-              out["daily_averages"], single_file=True)
+              out["daily_summary"], single_file=True)
     write_csv(daily.daily_totals(summary), out["daily_totals"], single_file=True)
     return out

@@ -20,31 +20,31 @@ def test_levels_job_outputs(spark, log_tree, tmp_dir):
     out = jobs.levels_job(spark, log_tree, tmp_dir, errors=True)
     errs = spark.read.text(out["all_errors"]).collect()
     assert [r.value for r in errs] == ["17/03/29 10:11:15 ERROR executor.Executor: Exception in task 9.0 in stage 1.0 (TID 10)"]
-    counts = {r.log_level: int(r["count"]) for r in read_csv(spark, out["problem1_counts"]).collect()}
+    counts = {r.log_level: int(r["count"]) for r in read_csv(spark, out["level_counts"]).collect()}
     assert counts == {"INFO": 17, "WARN": 1, "ERROR": 1, "DEBUG": 1}
-    sample = read_csv(spark, out["problem1_sample"]).collect()
+    sample = read_csv(spark, out["level_sample"]).collect()
     assert len(sample) == 10 and all(r.log_level for r in sample)
     again = jobs.levels_job(spark, log_tree, tmp_dir + "/again")
-    assert read_csv(spark, again["problem1_sample"]).collect() == sample
-    (summary,) = read_csv(spark, out["problem1_summary"]).collect()
+    assert read_csv(spark, again["level_sample"]).collect() == sample
+    (summary,) = read_csv(spark, out["level_summary"]).collect()
     assert summary.summary.splitlines()[0] == "Total log lines processed: 23"
-    assert _text(out["problem1_summary_txt"]).startswith("Total log lines processed: 23\n")
+    assert _text(out["level_summary_txt"]).startswith("Total log lines processed: 23\n")
 
 
 def test_usage_job_outputs(spark, log_tree, tmp_dir):
     out = jobs.usage_job(spark, log_tree, tmp_dir)
-    tl = read_csv(spark, out["problem2_timeline"]).collect()
+    tl = read_csv(spark, out["app_timeline"]).collect()
     ids = [r.cluster_id or "" for r in tl]  # '' reads back from CSV as NULL
     assert ids == sorted(ids)
-    cs = read_csv(spark, out["problem2_cluster_summary"]).collect()
+    cs = read_csv(spark, out["cluster_summary"]).collect()
     assert {r.cluster_id or "": int(r.num_applications) for r in cs} == {
         "": 1, "1472621869829": 2, "1485248649253": 1}
-    stats = _text(out["problem2_stats"])
+    stats = _text(out["usage_stats"])
     assert stats.startswith("Total clusters: 3\nTotal applications: 4\n")
     assert "Most heavily used clusters:\n  Cluster 1472621869829: 2 applications\n" in stats
-    hist = read_csv(spark, out["problem2_histogram"]).collect()
+    hist = read_csv(spark, out["duration_histogram"]).collect()
     assert len(hist) == 30 and sum(int(r["count"]) for r in hist) == 2
-    assert len(read_csv(spark, out["problem2_density"]).collect()) == 500
+    assert len(read_csv(spark, out["duration_density"]).collect()) == 500
 
 
 def test_daily_job_outputs(spark, tmp_dir):
@@ -55,7 +55,7 @@ def test_daily_job_outputs(spark, tmp_dir):
     df.write.parquet(f"{tmp_dir}/in/yellow_tripdata_2021-01.parquet")
     from logtide.sources.trips import monthly_paths
     out = jobs.daily_job(spark, monthly_paths(f"{tmp_dir}/in", 2021, [1]), f"{tmp_dir}/out", year=2021)
-    d = read_csv(spark, out["daily_averages"]).collect()
+    d = read_csv(spark, out["daily_summary"]).collect()
     assert [int(r.dt_day) for r in d] == [3, 2, 1]
     assert [int(r.num_trips) for r in d] == [1, 2, 1]
     (t,) = read_csv(spark, out["daily_totals"]).collect()
