@@ -32,3 +32,28 @@ def source_probe(spark: SparkSession, path: str, glob: str | None = None) -> Dat
 def parquet_profile(spark: SparkSession, path: str) -> DataFrame:
     """Row count of a Parquet source (answered from footers where Spark can)."""
     return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def describe_source(spark: SparkSession, path: str, fmt: str = "parquet",
+                    preview: int = 5, names: int = 10) -> dict:
+    """Diagnostic of one source, with bounded results only.
+
+    ``exists``; up to ``names`` file names; the row count and schema; up to
+    ``preview`` rows; on failure the error class instead of an exception.
+    """
+    from pyspark.errors import PySparkException
+
+    from ..plans.session import path_exists
+
+    out: dict = {"path": path, "exists": False}
+    try:
+        out["exists"] = path_exists(spark, path) if "*" not in path else True
+        files = list_files(spark, path)
+        out["files"] = [r.path for r in files.select("path").orderBy("path").limit(names).collect()]
+        df = spark.read.format(fmt).load(path)
+        out["schema"] = df.schema.simpleString()
+        out["rows"] = df.agg(F.count(F.lit(1)).alias("n")).first().n
+        out["preview"] = [r.asDict() for r in df.limit(preview).collect()]
+    except PySparkException as e:
+        out["error"] = e.getCondition() or type(e).__name__
+    return out

@@ -57,3 +57,13 @@ def test_bounded_broadcast_checks_size(spark):
 def test_source_probe_lists_tables(spark):
     rows = QUERIES["source_probe"](spark, SF_SMALL).collect()
     assert len(rows) == 1 and rows[0].files == 14 and rows[0].bytes > 0
+
+
+def test_describe_source_reports_bounded_facts(spark):
+    from logtide.sources.probe import describe_source
+
+    d = describe_source(spark, f"{SF_SMALL}/region.parquet")
+    assert d["exists"] and d["rows"] == 5 and len(d["preview"]) == 5
+    assert d["schema"].startswith("struct<") and len(d["files"]) == 1
+    missing = describe_source(spark, f"{SF_SMALL}/no_such_table.parquet")
+    assert missing["exists"] is False and missing["error"] == "PATH_NOT_FOUND"
