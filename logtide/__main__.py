@@ -24,6 +24,8 @@ def main(argv=None) -> None:
         p = sub.add_parser(name)
         p.add_argument("input", help="root folder of application_*/container_*.log files (any URI)")
         p.add_argument("output", help="output folder")
+        if name == "levels":
+            p.add_argument("--errors", action="store_true", help="also write every ERROR line")
     p = sub.add_parser("daily")
     p.add_argument("base", help="folder holding the monthly Parquet files")
     p.add_argument("output")
@@ -38,7 +40,7 @@ def main(argv=None) -> None:
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     if args.job == "levels":
-        out = jobs.levels_job(spark, args.input, args.output)
+        out = jobs.levels_job(spark, args.input, args.output, errors=args.errors)
     elif args.job == "usage":
         out = jobs.usage_job(spark, args.input, args.output)
     else:
