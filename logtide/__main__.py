@@ -20,7 +20,7 @@ def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="logtide")
     ap.add_argument("--master", default=None)
     sub = ap.add_subparsers(dest="job", required=True)
-    for name in ("levels", "usage"):
+    for name in ("levels", "usage", "messages"):
         p = sub.add_parser(name)
         p.add_argument("input", help="root folder of application_*/container_*.log files (any URI)")
         p.add_argument("output", help="output folder")
@@ -43,6 +43,8 @@ def main(argv=None) -> None:
         out = jobs.levels_job(spark, args.input, args.output, errors=args.errors)
     elif args.job == "usage":
         out = jobs.usage_job(spark, args.input, args.output)
+    elif args.job == "messages":
+        out = jobs.messages_job(spark, args.input, args.output)
     else:
         if "-" in args.months:
             a, b = args.months.split("-")

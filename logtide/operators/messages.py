@@ -220,3 +220,55 @@ def parse_quality(lines: DataFrame, line: str = "log_entry") -> DataFrame:
                  F.count_if("no_timestamp").alias("no_timestamp"),
                  F.count_if("bad_timestamp").alias("bad_timestamp"),
                  F.count_if("no_component").alias("no_component"))
+
+
+# --- all per-application figures in one pass ---------------------------------
+
+def app_report(lines: DataFrame, line: str = "log_entry", path: str = "file_path") -> DataFrame:
+    """Failure rate, PythonRunner timings, resource requests, shuffle fetches and
+    memory blocks per application, from one scan and one shuffle.
+
+    Each figure's regex runs only on lines holding its message (a cheap
+    substring test guards it), and the per-figure operators' groups are
+    reproduced by conditional, null-skipping aggregates. Columns of a figure
+    whose message never occurs in an application are NULL or 0 there.
+    """
+    L = F.col(line)
+
+    def guarded(marker: str, pattern: str, idx: int) -> F.Column:
+        return F.when(L.contains(marker), parse.extract_long(L, pattern, idx))
+
+    unit = F.regexp_extract(L, P.MEMORY_BLOCK, 3)
+    mult = F.when(unit == "B", F.lit(P.UNIT_BYTES["B"]))
+    for u in ("KB", "MB", "GB"):
+        mult = mult.when(unit == u, F.lit(P.UNIT_BYTES[u]))
+    size = F.regexp_extract(L, P.MEMORY_BLOCK, 2).try_cast("double")
+    block_bytes = F.when(L.contains("stored as bytes in memory"),
+                         F.round(size * mult).cast("bigint"))
+    m = lines.select(
+        *_app_cols(path),
+        (parse.level(line) == "ERROR").alias("is_error"),
+        guarded("PythonRunner: Times:", P.PYTHON_TIMES, 1).alias("py_total"),
+        guarded("PythonRunner: Times:", P.PYTHON_TIMES, 2).alias("py_boot"),
+        guarded("Will request", P.RESOURCE_REQUEST, 1).alias("executors"),
+        guarded("Will request", P.RESOURCE_REQUEST, 2).alias("cores"),
+        guarded("Will request", P.RESOURCE_REQUEST, 3).alias("memory_mb"),
+        guarded("non-empty blocks", P.SHUFFLE_FETCH, 1).alias("non_empty"),
+        guarded("non-empty blocks", P.SHUFFLE_FETCH, 2).alias("blocks"),
+        block_bytes.alias("block_bytes"))
+    return (m.groupBy(*APP)
+            .agg(F.count(F.lit(1)).alias("log_lines"),
+                 F.count_if("is_error").alias("error_lines"),
+                 F.count("py_total").alias("python_runs"),
+                 F.avg("py_total").alias("avg_python_total"),
+                 F.avg("py_boot").alias("avg_python_boot"),
+                 F.sum("executors").alias("executors_requested"),
+                 F.sum(F.col("executors") * F.col("memory_mb")).alias("memory_mb_requested"),
+                 F.max("cores").alias("max_cores_per_executor"),
+                 F.count("blocks").alias("shuffle_fetches"),
+                 F.sum("non_empty").alias("non_empty_blocks"),
+                 F.sum("blocks").alias("total_blocks"),
+                 F.count("block_bytes").alias("memory_blocks"),
+                 F.sum("block_bytes").alias("bytes_stored"))
+            .withColumn("error_rate", F.try_divide(F.col("error_lines").cast("double"),
+                                                   F.col("log_lines").cast("double"))))

@@ -424,3 +424,41 @@ select count(*) as num_days, min(make_date(dt_year, dt_month, dt_day)) as first_
 SQL["sql_count"] = with_logs("select count(*) as total from log_lines")
 
 SQL["even_doubled"] = "select event_id * 2 as doubled from events where event_id % 2 = 0"
+
+PY = r"'Times: total = (-?\d+), boot = (-?\d+), init = (-?\d+), finish = (-?\d+)'"
+RQ = r"'Will request (\d+) executor containers, each with (\d+) cores and (\d+) MB memory'"
+SH = r"'Getting (\d+) non-empty blocks out of (\d+) blocks'"
+MB = r"'Block (\S+) stored as bytes in memory \(estimated size ([0-9.]+) (B|KB|MB|GB)'"
+
+
+def _num(marker: str, pattern: str, idx: int) -> str:
+    return (f"case when contains(log_entry, '{marker}') then "
+            f"try_cast(nullif(regexp_extract(log_entry, {pattern}, {idx}), '') as bigint) end")
+
+
+SQL["app_report"] = with_logs(f"""
+select cluster_id, app_id, count(*) as log_lines,
+ count(*) filter (where log_level = 'ERROR') as error_lines,
+ count(py_total) as python_runs, avg(py_total) as avg_python_total, avg(py_boot) as avg_python_boot,
+ cast(sum(executors) as bigint) as executors_requested,
+ cast(sum(executors * memory_mb) as bigint) as memory_mb_requested,
+ max(cores) as max_cores_per_executor,
+ count(blocks) as shuffle_fetches, cast(sum(non_empty) as bigint) as non_empty_blocks,
+ cast(sum(blocks) as bigint) as total_blocks,
+ count(block_bytes) as memory_blocks, cast(sum(block_bytes) as bigint) as bytes_stored,
+ cast(count(*) filter (where log_level = 'ERROR') as double) / cast(count(*) as double) as error_rate
+from (select cluster_id, app_id, log_level,
+  {_num('PythonRunner: Times:', PY, 1)} py_total,
+  {_num('PythonRunner: Times:', PY, 2)} py_boot,
+  {_num('Will request', RQ, 1)} executors,
+  {_num('Will request', RQ, 2)} cores,
+  {_num('Will request', RQ, 3)} memory_mb,
+  {_num('non-empty blocks', SH, 1)} non_empty,
+  {_num('non-empty blocks', SH, 2)} blocks,
+  case when contains(log_entry, 'stored as bytes in memory') then
+   cast(round(try_cast(regexp_extract(log_entry, {MB}, 2) as double)
+    * case regexp_extract(log_entry, {MB}, 3)
+        when 'B' then 1 when 'KB' then 1024 when 'MB' then 1048576 when 'GB' then 1073741824 end) as bigint)
+  end block_bytes
+ from parsed)
+group by cluster_id, app_id""")

@@ -13,7 +13,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import daily, distribution, levels, usage
+from ..operators import daily, distribution, levels, messages, usage
 from ..sources.logs import read_log_lines
 from ..sources.trips import read_trips
 from .session import reuse
@@ -101,3 +101,37 @@ def daily_job(spark: SparkSession, paths: list[str], output: str, *, year: int,
               out["daily_summary"], single_file=True)
     write_csv(daily.daily_totals(summary), out["daily_totals"], single_file=True)
     return out
+
+
+def messages_job(spark: SparkSession, input_root: str, output_root: str, *,
+                 glob: str | None = "*.log", slowest_k: int = 10) -> dict[str, str]:
+    """Figures read from messages: the per-application report (one scan), and
+    task durations, unfinished tasks, stage skew and slowest tasks from one
+    materialised task table (one row per task, a second scan)."""
+    lines = read_log_lines(spark, input_root, glob=glob)
+    names = ("app_report", "task_durations", "unfinished_tasks", "stage_skew", "slowest_tasks",
+             "parse_quality")
+    out = {k: _out(output_root, k) for k in names}
+    write_csv(messages.app_report(lines).orderBy("cluster_id", "app_id"), out["app_report"],
+              single_file=True)
+    tasks = reuse(messages.tasks(lines))
+    done = (tasks.filter(F.col("start_time").isNotNull() & F.col("end_time").isNotNull())
+            .withColumn("duration_sec",
+                        F.timestamp_diff("SECOND", F.col("start_time"), F.col("end_time"))))
+    write_csv(done.groupBy("cluster_id", "app_id")
+              .agg(F.count(F.lit(1)).alias("num_tasks"), F.avg("duration_sec").alias("avg_task_sec"),
+                   F.min("duration_sec").alias("min_task_sec"), F.max("duration_sec").alias("max_task_sec")),
+              out["task_durations"], single_file=True)
+    write_csv(tasks.filter((F.col("start_lines") > 0) & (F.col("finish_lines") == 0))
+              .select("cluster_id", "app_id", "tid", "stage", "start_time"), out["unfinished_tasks"])
+    write_csv(done.groupBy("cluster_id", "app_id", "stage")
+              .agg(F.count(F.lit(1)).alias("num_tasks"), F.max("duration_sec").alias("max_task_sec"),
+                   F.percentile("duration_sec", 0.5).alias("median_task_sec"))
+              .withColumn("skew", F.try_divide(F.col("max_task_sec").cast("double"),
+                                               F.col("median_task_sec"))),
+              out["stage_skew"])
+    write_csv(done.select("cluster_id", "app_id", "tid", "stage", "duration_sec")
+              .orderBy(F.desc("duration_sec"), "cluster_id", "app_id", "tid").limit(slowest_k),
+              out["slowest_tasks"], single_file=True)
+    write_csv(messages.parse_quality(lines), out["parse_quality"], single_file=True)
+    return out

@@ -275,6 +275,11 @@ def input_splits(spark, sf_dir):
     return messages.input_splits(logs(spark, sf_dir))
 
 
+@register
+def app_report(spark, sf_dir):
+    return messages.app_report(logs(spark, sf_dir))
+
+
 # --- daily trip summaries -----------------------------------------------------
 
 TRIP_YEAR = 1997  # the stand-in's year for the reference's year filter

@@ -60,3 +60,15 @@ def test_daily_job_outputs(spark, tmp_dir):
     assert [int(r.num_trips) for r in d] == [1, 2, 1]
     (t,) = read_csv(spark, out["daily_totals"]).collect()
     assert (int(t.num_days), int(t.total_trips)) == (3, 4)
+
+
+def test_messages_job_outputs(spark, log_tree, tmp_dir):
+    out = jobs.messages_job(spark, log_tree, tmp_dir)
+    rep = read_csv(spark, out["app_report"]).collect()
+    assert len(rep) == 4
+    unfinished = read_csv(spark, out["unfinished_tasks"]).collect()
+    assert [int(r.tid) for r in unfinished] == [10]
+    (d,) = read_csv(spark, out["task_durations"]).collect()
+    assert (int(d.num_tasks), int(d.max_task_sec)) == (1, 4)
+    (q,) = read_csv(spark, out["parse_quality"]).collect()
+    assert int(q.bad_timestamp) == 1

@@ -156,3 +156,31 @@ def test_error_lines_use_first_level_only(spark):
     df = spark.createDataFrame([("a", "17/01/01 00:00:00 DEBUG x: retry after ERROR",),
                                 ("a", "17/01/01 00:00:00 ERROR x: real",)], ["file_path", "log_entry"])
     assert [r.log_entry for r in levels.error_lines(df).collect()] == ["17/01/01 00:00:00 ERROR x: real"]
+
+
+def test_glob_of_application_folders_with_recursion(spark, log_tree):
+    df = L.read_log_lines(spark, f"{log_tree}/application_*")
+    expect = [x for x in tree_lines() if x[0].startswith("application_")]
+    assert df.count() == len(expect)
+
+
+def test_app_report_equals_single_figure_operators(spark, log_tree):
+    df = _lines(spark, log_tree)
+    rep = {(r.cluster_id, r.app_id): r for r in messages.app_report(df).collect()}
+    for r in messages.failure_rates(df).collect():
+        x = rep[(r.cluster_id, r.app_id)]
+        assert (x.log_lines, x.error_lines, x.error_rate) == (r.log_lines, r.error_lines, r.error_rate)
+    for r in messages.python_timings(df).collect():
+        x = rep[(r.cluster_id, r.app_id)]
+        assert (x.python_runs, x.avg_python_total, x.avg_python_boot) == (r.runs, r.avg_total, r.avg_boot)
+    for r in messages.resource_requests(df).collect():
+        x = rep[(r.cluster_id, r.app_id)]
+        assert (x.executors_requested, x.memory_mb_requested, x.max_cores_per_executor) == (
+            r.executors_requested, r.memory_mb_requested, r.max_cores_per_executor)
+    for r in messages.shuffle_blocks(df).collect():
+        x = rep[(r.cluster_id, r.app_id)]
+        assert (x.shuffle_fetches, x.non_empty_blocks, x.total_blocks) == (
+            r.fetches, r.non_empty_blocks, r.total_blocks)
+    for r in messages.memory_blocks(df).collect():
+        x = rep[(r.cluster_id, r.app_id)]
+        assert (x.memory_blocks, x.bytes_stored) == (r.blocks, r.bytes_stored)
