@@ -107,3 +107,17 @@ def test_monthly_paths_read_as_one_table(spark, tmp_dir):
     # a stray reader option is ignored by the Parquet source
     assert spark.read.parquet(paths[0], header=True).count() == 5
     assert pd.Series(read_trips(spark, f"{tmp_dir}/*.parquet").columns).tolist() == df.columns
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_histogram_matches_numpy_on_random_floats(spark, seed):
+    rng = np.random.default_rng(seed)
+    vals = np.concatenate([rng.lognormal(5, 1.5, 400), rng.uniform(0, 1, 50)])
+    lo, hi = vals.min(), vals.max()
+    # values exactly on inner bin edges test the one-bin corrections
+    vals = np.concatenate([vals, np.linspace(lo, hi, 31)[1:-1]])
+    df = spark.createDataFrame([(float(v),) for v in vals], ["duration_sec"])
+    got = distribution.histogram(spark, df).collect()
+    counts, edges = np.histogram(vals, bins=30)
+    assert [r["count"] for r in got] == counts.tolist()
+    assert [r.bin_start for r in got] == edges[:-1].tolist()
