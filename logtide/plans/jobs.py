@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..operators import daily, distribution, levels, messages, usage
 from ..sources.logs import read_log_lines
 from ..sources.trips import read_trips
-from .session import reuse
+from .session import reuse, scratch
 from .sinks import write_csv, write_text
 
 
@@ -24,7 +24,7 @@ def _out(root: str, name: str) -> str:
     return os.path.join(root, name) if "://" not in root else f"{root.rstrip('/')}/{name}"
 
 
-def levels_job(spark: SparkSession, input_root: str, output_root: str, *,
+def _levels_job(spark: SparkSession, input_root: str, output_root: str, *,
                sample_k: int = 10, seed: int = 42, glob: str | None = "*.log",
                errors: bool = False) -> dict[str, str]:
     """Level counts CSV, a reproducible sample CSV, the summary (CSV cell + text)
@@ -71,7 +71,7 @@ def stats_text(timeline: DataFrame, top_k: int = 5) -> DataFrame:
     return st.select(text.alias("stats"))
 
 
-def usage_job(spark: SparkSession, input_root: str, output_root: str, *,
+def _usage_job(spark: SparkSession, input_root: str, output_root: str, *,
               glob: str | None = "*.log", top_k: int = 5) -> dict[str, str]:
     """Timeline, cluster summary, statistics and the chart data (bar, histogram, density)."""
     lines = read_log_lines(spark, input_root, glob=glob)
@@ -90,7 +90,7 @@ def usage_job(spark: SparkSession, input_root: str, output_root: str, *,
     return out
 
 
-def daily_job(spark: SparkSession, paths: list[str], output: str, *, year: int,
+def _daily_job(spark: SparkSession, paths: list[str], output: str, *, year: int,
               accuracy: int = 10000) -> dict[str, str]:
     """Daily summaries of one year, newest day first, and their totals."""
     trips = read_trips(spark, *paths)
@@ -103,7 +103,7 @@ def daily_job(spark: SparkSession, paths: list[str], output: str, *, year: int,
     return out
 
 
-def messages_job(spark: SparkSession, input_root: str, output_root: str, *,
+def _messages_job(spark: SparkSession, input_root: str, output_root: str, *,
                  glob: str | None = "*.log", slowest_k: int = 10) -> dict[str, str]:
     """Figures read from messages: the per-application report (one scan), and
     task durations, unfinished tasks, stage skew and slowest tasks from one
@@ -135,3 +135,18 @@ def messages_job(spark: SparkSession, input_root: str, output_root: str, *,
               out["slowest_tasks"], single_file=True)
     write_csv(messages.parse_quality(lines), out["parse_quality"], single_file=True)
     return out
+
+
+def _in_scratch(impl):
+    def job(spark: SparkSession, *args, **kwargs) -> dict[str, str]:
+        with scratch(spark):
+            return impl(spark, *args, **kwargs)
+    job.__doc__ = impl.__doc__
+    job.__name__ = impl.__name__.lstrip("_")
+    return job
+
+
+levels_job = _in_scratch(_levels_job)
+usage_job = _in_scratch(_usage_job)
+daily_job = _in_scratch(_daily_job)
+messages_job = _in_scratch(_messages_job)

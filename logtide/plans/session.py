@@ -7,6 +7,7 @@ when the session has none, as in local tests.
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import uuid
 
@@ -37,6 +38,28 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     return fallback
 
 
+_SCRATCH: list[str] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Tables made by :func:`reuse` inside the block go to one folder that is
+    deleted when the block ends (a job's intermediates, not its outputs)."""
+    root = checkpoint_dir(spark)
+    if not root:
+        yield None
+        return
+    folder = f"{root.rstrip('/')}/logtide_reuse/job-{uuid.uuid4().hex}"
+    _SCRATCH.append(folder)
+    try:
+        yield folder
+    finally:
+        _SCRATCH.pop()
+        p, fs = _fs(spark, folder)
+        if fs.exists(p):
+            fs.delete(p, True)
+
+
 def reuse(df: DataFrame) -> DataFrame:
     """Materialise a small result that several branches of a plan read.
 
@@ -50,7 +73,8 @@ def reuse(df: DataFrame) -> DataFrame:
     root = checkpoint_dir(spark)
     if not root:
         return df.persist()
-    path = f"{root.rstrip('/')}/logtide_reuse/{uuid.uuid4().hex}"
+    base = _SCRATCH[-1] if _SCRATCH else f"{root.rstrip('/')}/logtide_reuse"
+    path = f"{base}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)
 

@@ -72,3 +72,14 @@ def test_messages_job_outputs(spark, log_tree, tmp_dir):
     assert (int(d.num_tasks), int(d.max_task_sec)) == (1, 4)
     (q,) = read_csv(spark, out["parse_quality"]).collect()
     assert int(q.bad_timestamp) == 1
+
+
+def test_jobs_remove_their_intermediate_tables(spark, log_tree, tmp_dir):
+    from logtide.plans.session import checkpoint_dir
+
+    root = checkpoint_dir(spark).replace("file:", "")
+    scratch_root = os.path.join(root, "logtide_reuse")
+    before = set(os.listdir(scratch_root)) if os.path.isdir(scratch_root) else set()
+    jobs.usage_job(spark, log_tree, tmp_dir)
+    after = set(os.listdir(scratch_root)) if os.path.isdir(scratch_root) else set()
+    assert not [d for d in after - before if d.startswith("job-")]
