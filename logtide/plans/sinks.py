@@ -9,13 +9,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def zoned(df: DataFrame) -> DataFrame:
+    """Wall-clock (``TIMESTAMP_NTZ``) columns as session-zone timestamps, which
+    CSV prints with their zone (``2017-03-29T10:04:41.000Z`` in UTC)."""
+    return df.select(*[F.col(f.name).cast("timestamp").alias(f.name)
+                       if isinstance(f.dataType, T.TimestampNTZType) else F.col(f.name)
+                       for f in df.schema.fields])
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """Directory of CSV part files with a header, replacing what was there.
 
-    A multi-line string cell is quoted, so read it back with ``multiLine``.
+    Timestamps are written with their zone (see :func:`zoned`). A multi-line
+    string cell is quoted, so read it back with ``multiLine``.
     """
+    df = zoned(df)
     out = df.coalesce(1) if single_file else df
     out.write.mode("overwrite").option("header", True).csv(path)
 

@@ -83,3 +83,15 @@ def test_jobs_remove_their_intermediate_tables(spark, log_tree, tmp_dir):
     jobs.usage_job(spark, log_tree, tmp_dir)
     after = set(os.listdir(scratch_root)) if os.path.isdir(scratch_root) else set()
     assert not [d for d in after - before if d.startswith("job-")]
+
+
+def test_usage_csv_layout(spark, log_tree, tmp_dir):
+    out = jobs.usage_job(spark, log_tree, tmp_dir)
+    with open(glob.glob(os.path.join(out["app_timeline"], "part-*"))[0]) as f:
+        head, first = f.readline().strip(), f.readline().strip()
+    assert head == "cluster_id,app_id,start_time,end_time,log_lines,duration_sec"
+    import re
+    assert re.search(r",\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.000Z,\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.000Z,\d+,\d+$", first)
+    with open(glob.glob(os.path.join(out["cluster_summary"], "part-*"))[0]) as f:
+        assert f.readline().strip() == ("cluster_id,num_applications,first_app_start,last_app_end,"
+                                        "min_duration_sec,max_duration_sec")
