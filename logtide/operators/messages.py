@@ -7,7 +7,8 @@ substring test (pushed into the scan), then extracts numbers with
 ``regexp_extract`` and aggregates per application. Lines whose numbers do not
 parse are skipped by the null-skipping aggregates rather than by a row
 filter, so each regex runs once per line; groups left empty are dropped
-after the aggregation. Grouping keys are
+after the aggregation. Numbers too large for a long (a corrupt line) become
+NULL through ``try_cast`` / ``try_multiply`` instead of failing the job. Grouping keys are
 (cluster, app) or (cluster, app, task id); partial aggregation runs before
 every shuffle, so one application holding most lines is no hot spot.
 """
@@ -138,8 +139,8 @@ def resource_requests(lines: DataFrame, line: str = "log_entry", path: str = "fi
                  F.sum("executors").alias("executors_requested"),
                  F.max("cores").alias("max_cores_per_executor"),
                  F.max("memory_mb").alias("max_memory_mb_per_executor"),
-                 F.sum(F.col("executors") * F.col("cores")).alias("cores_requested"),
-                 F.sum(F.col("executors") * F.col("memory_mb")).alias("memory_mb_requested"))
+                 F.sum(F.try_multiply("executors", "cores")).alias("cores_requested"),
+                 F.sum(F.try_multiply("executors", "memory_mb")).alias("memory_mb_requested"))
             .filter(F.col("requests") > 0))
 
 
@@ -177,7 +178,7 @@ def memory_blocks(lines: DataFrame, line: str = "log_entry", path: str = "file_p
         mult = mult.when(unit == u, F.lit(P.UNIT_BYTES[u]))
     size = F.regexp_extract(F.col(line), P.MEMORY_BLOCK, 2).try_cast("double")
     m = (lines.filter(F.col(line).contains("stored as bytes in memory"))
-         .select(*_app_cols(path), F.round(size * mult).cast("bigint").alias("bytes")))
+         .select(*_app_cols(path), F.round(size * mult).try_cast("bigint").alias("bytes")))
     return (m.groupBy(*APP)
             .agg(F.count("bytes").alias("blocks"),
                  F.sum("bytes").alias("bytes_stored"),
@@ -244,7 +245,7 @@ def app_report(lines: DataFrame, line: str = "log_entry", path: str = "file_path
         mult = mult.when(unit == u, F.lit(P.UNIT_BYTES[u]))
     size = F.regexp_extract(L, P.MEMORY_BLOCK, 2).try_cast("double")
     block_bytes = F.when(L.contains("stored as bytes in memory"),
-                         F.round(size * mult).cast("bigint"))
+                         F.round(size * mult).try_cast("bigint"))
     m = lines.select(
         *_app_cols(path),
         (parse.level(line) == "ERROR").alias("is_error"),
@@ -263,7 +264,7 @@ def app_report(lines: DataFrame, line: str = "log_entry", path: str = "file_path
                  F.avg("py_total").alias("avg_python_total"),
                  F.avg("py_boot").alias("avg_python_boot"),
                  F.sum("executors").alias("executors_requested"),
-                 F.sum(F.col("executors") * F.col("memory_mb")).alias("memory_mb_requested"),
+                 F.sum(F.try_multiply("executors", "memory_mb")).alias("memory_mb_requested"),
                  F.max("cores").alias("max_cores_per_executor"),
                  F.count("blocks").alias("shuffle_fetches"),
                  F.sum("non_empty").alias("non_empty_blocks"),
