@@ -81,6 +81,7 @@ def start_table(df: DataFrame, name: str, path: str, *, checkpoint: str | None =
         prev = _latest(spark, path)
         cur = batch if prev is None else prev.join(batch.select(*keys), keys, "left_anti").unionByName(batch)
         cur.write.mode("overwrite").parquet(version)
+        _prune(spark, path, keep=2)
 
     w = (df.writeStream.outputMode("update").foreachBatch(merge)
          .option("checkpointLocation", stream_checkpoint(spark, name, checkpoint))
@@ -115,5 +116,22 @@ def _latest(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(done[-1]) if done else None
 
 
+def _prune(spark: SparkSession, path: str, keep: int) -> None:
+    """Delete all but the newest ``keep`` complete versions (and older partial ones)."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    versions = sorted((st.getPath().getName(), st.getPath()) for st in fs.listStatus(p)
+                      if st.isDirectory() and st.getPath().getName().startswith("v="))
+    complete = [name for name, vp in versions
+                if fs.exists(jvm.org.apache.hadoop.fs.Path(vp, "_SUCCESS"))]
+    if len(complete) <= keep:
+        return
+    oldest_kept = complete[-keep]
+    for name, vp in versions:
+        if name < oldest_kept:
+            fs.delete(vp, True)
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     return _latest(spark, path)

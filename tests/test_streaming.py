@@ -42,5 +42,7 @@ def test_stream_tables_follow_new_files(spark, tmp_dir):
     got_tl = sorted(tuple(r) for r in S.read_table(spark, f"{tmp_dir}/timeline").select(cols).collect())
     assert got_tl == want_tl
 
+    assert len([d for d in os.listdir(f"{tmp_dir}/levels") if d.startswith("v=")]) <= 2
+
     errs = spark.read.parquet(f"{tmp_dir}/errors").collect()
     assert [r.log_entry for r in errs] == [r.log_entry for r in levels.error_lines(batch).collect()]
