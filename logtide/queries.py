@@ -33,8 +33,13 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept as Parquet in the checkpoint folder: it plays the part of the log
     files on storage, so queries measure scan + parse, not the rendering."""
     source = os.path.join(sf_dir, "events.parquet")
-    return materialized(spark, "log_lines", source,
-                        lambda: log_lines_from_events(table(spark, sf_dir, "events")))
+    parts = spark.sparkContext.defaultParallelism
+
+    def build():
+        # like a log tree: many files, each container's lines within one file
+        return log_lines_from_events(table(spark, sf_dir, "events")).repartition(parts, "file_path")
+
+    return materialized(spark, "log_lines_v2", source, build)
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
