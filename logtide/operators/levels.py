@@ -12,7 +12,7 @@ small grouped result instead of re-scanning the input.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import parse
@@ -55,15 +55,18 @@ def lines_with_levels(lines: DataFrame, line: str = "log_entry") -> DataFrame:
 def level_pct(lines: DataFrame, line: str = "log_entry") -> DataFrame:
     """``(log_level, count, pct)``; pct = count / lines-with-levels × 100.
 
-    The window over the whole result runs on the grouped rows (at most four),
-    not on the input lines.
+    The per-level rows (at most four: the level pattern has four words) are
+    gathered by one global aggregate next to their total, and the shares are
+    computed in that row; no window over the whole result is needed.
     """
     counts = level_counts(lines, line)
-    total = F.sum("count").over(Window.partitionBy())
-    return (counts
-            .withColumn("pct", F.try_divide(F.col("count").cast("double"),
-                                            total.cast("double")) * F.lit(100.0))
-            .orderBy("log_level"))
+    agg = counts.agg(F.collect_list(F.struct("log_level", "count")).alias("levels"),
+                     F.sum("count").alias("total"))
+    rows = F.transform("levels", lambda e: F.struct(
+        e["log_level"].alias("log_level"), e["count"].alias("count"),
+        (F.try_divide(e["count"].cast("double"), F.col("total").cast("double"))
+         * F.lit(100.0)).alias("pct")))
+    return agg.select(F.inline(rows)).orderBy("log_level")
 
 
 def _thousands(n: Column) -> Column:
@@ -84,21 +87,18 @@ def counts_from_groups(g: DataFrame) -> DataFrame:
 
 
 def summary_from_groups(g: DataFrame) -> DataFrame:
-    """``summary_text`` from the output of :func:`level_groups`."""
+    """``summary_text`` from the output of :func:`level_groups`.
+
+    One global aggregate over the per-level groups (at most five rows: four
+    levels and '') yields the totals and the level entries; each level line
+    is formatted in that row with the leveled total, so no window is used.
+    """
     has = F.col("log_level") != ""
-    leveled = F.sum(F.when(has, F.col("count"))).over(Window.partitionBy())
-    pct = F.try_divide(F.col("count").cast("double"), leveled.cast("double")) * F.lit(100.0)
-    # '%10s' pads without cutting, like Python's '>10' (lpad would truncate)
-    level_line = F.format_string("  %-5s: %10s (%6.2f%%)", F.col("log_level"),
-                                 _thousands(F.col("count")), pct)
-    per_level = g.select(
-        "log_level", "count",
-        F.when(has, F.struct(F.col("log_level"), level_line.alias("text"))).alias("entry"))
-    agg = per_level.agg(
+    agg = g.agg(
         F.coalesce(F.sum("count"), F.lit(0)).alias("total"),
         F.coalesce(F.sum(F.when(has, F.col("count"))), F.lit(0)).alias("leveled"),
         F.count_if(has).alias("levels"),
-        F.array_sort(F.collect_list("entry")).alias("entries"),
+        F.array_sort(F.collect_list(F.when(has, F.struct("log_level", "count")))).alias("entries"),
     )
     header = F.concat_ws(
         "\n",
@@ -108,7 +108,13 @@ def summary_from_groups(g: DataFrame) -> DataFrame:
         F.lit(""),
         F.lit("Log level distribution:"),
     )
-    body = F.array_join(F.transform("entries", lambda e: e["text"]), "\n")
+
+    def level_line(e):
+        pct = F.try_divide(e["count"].cast("double"), F.col("leveled").cast("double")) * F.lit(100.0)
+        # '%10s' pads without cutting, like Python's '>10' (lpad would truncate)
+        return F.format_string("  %-5s: %10s (%6.2f%%)", e["log_level"], _thousands(e["count"]), pct)
+
+    body = F.array_join(F.transform("entries", level_line), "\n")
     text = F.when(F.size("entries") > 0, F.concat_ws("\n", header, body)).otherwise(header)
     return agg.select(text.alias("summary"))
 

@@ -12,7 +12,7 @@ spot: map-side combining leaves one row per file per task before the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import parse
@@ -168,15 +168,19 @@ def cluster_share(lines: DataFrame, path: str = "file_path") -> DataFrame:
         parse.app_id("file_path").alias("app_id"),
         parse.container_id("file_path").alias("container_id"),
         "log_lines")
-    per = (files.groupBy("cluster_id")
-           .agg(F.count_distinct(F.when(F.col("app_id") != "", F.col("app_id"))).alias("num_applications"),
-                F.count_distinct(F.when(F.col("container_id") != "", F.col("container_id")))
-                .alias("num_containers"),
-                F.sum("log_lines").cast("bigint").alias("log_lines")))
-    w = Window.partitionBy()
+    per = reuse(files.groupBy("cluster_id")
+                .agg(F.count_distinct(F.when(F.col("app_id") != "", F.col("app_id")))
+                     .alias("num_applications"),
+                     F.count_distinct(F.when(F.col("container_id") != "", F.col("container_id")))
+                     .alias("num_containers"),
+                     F.sum("log_lines").cast("bigint").alias("log_lines")))
+    # totals as one scalar subquery over the materialised per-cluster table:
+    # partial sums per task, no step moves all cluster rows into one task
+    tot = per.agg(F.struct(*[F.sum(c).alias(c) for c in
+                             ("num_applications", "num_containers", "log_lines")])).scalar()
 
     def share(c):
-        return F.try_divide(F.col(c).cast("double"), F.sum(c).over(w).cast("double"))
+        return F.try_divide(F.col(c).cast("double"), tot[c].cast("double"))
 
     return per.select("cluster_id", "num_applications", share("num_applications").alias("app_share"),
                       "num_containers", share("num_containers").alias("container_share"),
