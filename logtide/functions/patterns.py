@@ -46,16 +46,29 @@ ENTRY_BREAK = r"\n(?=\d{2}/\d{2}/\d{2} \d{2}:\d{2}:\d{2})"
 # --- fixed values: units and summary text ------------------------------------
 UNIT_BYTES = {"B": 1, "KB": 1024, "MB": 1024 ** 2, "GB": 1024 ** 3}
 LEVELS = ("INFO", "WARN", "ERROR", "DEBUG")
-SUMMARY_HEADER = (
-    "Total log lines processed: {total}",
-    "Total lines with log levels: {leveled}",
-    "Unique log levels found: {levels}",
+# summary report: header labels (followed by the figure) and the per-level
+# line (level left-aligned in 5, count with thousands separators right-aligned
+# in 10 and never cut, share with two decimals in 6)
+SUMMARY_LABELS = (
+    "Total log lines processed: ",
+    "Total lines with log levels: ",
+    "Unique log levels found: ",
     "",
     "Log level distribution:",
 )
-# per-level line: level left-aligned in 5, count right-aligned in 10 with
-# thousands separators, percentage as %6.2f
-SUMMARY_LEVEL_LINE = "  {level:<5}: {count:>10,} ({pct:6.2f}%)"
+SUMMARY_LEVEL_FORMAT = "  %-5s: %10s (%6.2f%%)"
+# usage statistics report, in order (format_string patterns)
+STATS_LINES = (
+    "Total clusters: %d",
+    "Total applications: %d",
+    "Average applications per cluster: %.2f",
+    "Average application duration (sec): %.2f",
+    "Min application duration (sec): %d",
+    "Max application duration (sec): %d",
+    "",
+    "Most heavily used clusters:",
+)
+STATS_TOP_LINE = "  Cluster %s: %d applications"
 # histogram and density curve of application durations
 HIST_BINS = 30
 KDE_POINTS = 500

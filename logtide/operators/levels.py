@@ -100,19 +100,19 @@ def summary_from_groups(g: DataFrame) -> DataFrame:
         F.count_if(has).alias("levels"),
         F.array_sort(F.collect_list(F.when(has, F.struct("log_level", "count")))).alias("entries"),
     )
+    figures = (_thousands(F.col("total")), _thousands(F.col("leveled")),
+               F.col("levels").cast("string"))
+    labels = P.SUMMARY_LABELS
     header = F.concat_ws(
         "\n",
-        F.concat(F.lit("Total log lines processed: "), _thousands(F.col("total"))),
-        F.concat(F.lit("Total lines with log levels: "), _thousands(F.col("leveled"))),
-        F.concat(F.lit("Unique log levels found: "), F.col("levels").cast("string")),
-        F.lit(""),
-        F.lit("Log level distribution:"),
+        *[F.concat(F.lit(lab), fig) for lab, fig in zip(labels, figures)],
+        *[F.lit(lab) for lab in labels[len(figures):]],
     )
 
     def level_line(e):
         pct = F.try_divide(e["count"].cast("double"), F.col("leveled").cast("double")) * F.lit(100.0)
-        # '%10s' pads without cutting, like Python's '>10' (lpad would truncate)
-        return F.format_string("  %-5s: %10s (%6.2f%%)", e["log_level"], _thousands(e["count"]), pct)
+        # '%10s' pads without cutting (lpad would truncate wide counts)
+        return F.format_string(P.SUMMARY_LEVEL_FORMAT, e["log_level"], _thousands(e["count"]), pct)
 
     body = F.array_join(F.transform("entries", level_line), "\n")
     text = F.when(F.size("entries") > 0, F.concat_ws("\n", header, body)).otherwise(header)

@@ -13,6 +13,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import patterns as P
 from ..operators import daily, distribution, levels, messages, usage
 from ..sources.logs import read_log_lines
 from ..sources.trips import read_trips
@@ -52,22 +53,15 @@ def stats_text(timeline: DataFrame, top_k: int = 5) -> DataFrame:
     top = (usage.top_clusters(usage.cluster_summary(timeline, ordered=False), top_k)
            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(
                (-F.col("num_applications")).alias("k"), F.col("cluster_id"),
-               F.format_string("  Cluster %s: %d applications", F.col("cluster_id"),
+               F.format_string(P.STATS_TOP_LINE, F.col("cluster_id"),
                                F.col("num_applications")).alias("text")))),
                lambda e: e["text"]), "\n").alias("top"))
            .scalar())
-    text = F.concat_ws(
-        "\n",
-        F.format_string("Total clusters: %d", F.col("total_clusters")),
-        F.format_string("Total applications: %d", F.col("total_applications")),
-        F.format_string("Average applications per cluster: %.2f", F.col("avg_apps_per_cluster")),
-        F.format_string("Average application duration (sec): %.2f", F.col("avg_duration_sec")),
-        F.format_string("Min application duration (sec): %d", F.col("min_duration_sec")),
-        F.format_string("Max application duration (sec): %d", F.col("max_duration_sec")),
-        F.lit(""),
-        F.lit("Most heavily used clusters:"),
-        top,
-    )
+    figures = ("total_clusters", "total_applications", "avg_apps_per_cluster",
+               "avg_duration_sec", "min_duration_sec", "max_duration_sec")
+    parts = [F.format_string(fmt, F.col(c)) for fmt, c in zip(P.STATS_LINES, figures)]
+    parts += [F.lit(x) for x in P.STATS_LINES[len(figures):]]
+    text = F.concat_ws("\n", *parts, top)
     return st.select(text.alias("stats"))
 
 

@@ -60,7 +60,7 @@ def test_summary_text_matches_python_format(spark, log_tree):
         "Log level distribution:",
     ]
     for k in sorted(counts):
-        lines.append(P.SUMMARY_LEVEL_LINE.format(level=k, count=counts[k], pct=counts[k] / leveled * 100))
+        lines.append(f"  {k:<5}: {counts[k]:>10,} ({counts[k] / leveled * 100:6.2f}%)")
     assert levels.summary_text(df).first().summary == "\n".join(lines)
 
 
