@@ -26,7 +26,19 @@ RECOMMENDED_CONF = {
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     d = spark.conf.get("spark.checkpoint.dir", None)
-    return d or spark.sparkContext.getCheckpointDir()
+    if d:
+        return d
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. a Connect session)
+        return None
+
+
+def parallelism(spark: SparkSession, default: int = 8) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. a Connect session)
+        return int(spark.conf.get("spark.default.parallelism", str(default)))
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
@@ -105,8 +117,8 @@ def materialized(spark: SparkSession, name: str, source: str, build) -> DataFram
     DataFrame is returned as built.
     """
     root = checkpoint_dir(spark)
-    if not root:
-        return build()
+    if not root or not hasattr(spark, "_jvm"):
+        return build()  # no shared folder, or no JVM file-system access here
     target = f"{root.rstrip('/')}/logtide_tables/{name}_{source_key(spark, source)}"
     if not path_exists(spark, f"{target}/_SUCCESS"):
         # write beside the target, then rename: readers never see a partial

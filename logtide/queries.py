@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .operators import basics, daily, distribution, levels, messages, usage
-from .plans.session import materialized, reuse
+from .plans.session import materialized, parallelism, reuse
 from .sources import probe
 from .sources.standins import log_lines_from_events, trips_from_lineitem
 from .sources.tables import table
@@ -33,7 +33,7 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept as Parquet in the checkpoint folder: it plays the part of the log
     files on storage, so queries measure scan + parse, not the rendering."""
     source = os.path.join(sf_dir, "events.parquet")
-    parts = spark.sparkContext.defaultParallelism
+    parts = parallelism(spark)
 
     def build():
         # like a log tree: many files, each container's lines within one file
