@@ -35,6 +35,25 @@ COLUMNS = [
 ]
 
 
+NOTES = [
+    "## Reading the table",
+    "",
+    "* Every aggregate appears twice (partial in the scan stage, final after the",
+    "  shuffle); the shuffle carries at most one row per key per task.",
+    "* Timeline-based queries shuffle three times before any sort: per file",
+    "  (per-line timestamp only), per application (ids parsed once per file),",
+    "  per cluster. The later two carry one row per file or application.",
+    "* A trailing sort is a range shuffle of the final, aggregated rows.",
+    "* `largest_cluster_apps`, `cluster_lookup_join`, `cluster_share` and the chart",
+    "  queries first write their small intermediate (timeline, per-cluster table,",
+    "  durations) to the checkpoint folder, so their plans scan that table.",
+    "* The `subqueries` column counts references to scalar subqueries; Spark runs",
+    "  each distinct subquery once and reuses it (`ReusedSubquery`).",
+    "* The only broadcasts are the `limit(1)` top cluster, the checked cluster",
+    "  lookup and the 30-row bin counts; `pair joins` and `python` are 0 everywhere.",
+]
+
+
 def tally(text: str) -> tuple[Counter, int]:
     ops = Counter()
     main, _, subs = text.partition("\n===== Subqueries =====")
@@ -83,6 +102,7 @@ def main() -> None:
     ]
     for name, cells, nsub in rows:
         lines.append(f"| `{name}` | " + " | ".join(str(c) for c in cells) + f" | {nsub} |")
+    lines += ["", *NOTES]
     with open(out, "w") as f:
         f.write("\n".join(lines) + "\n")
     print(out)
