@@ -66,12 +66,13 @@ def _tree():
     return tree
 
 
-def test_entries_match_sequential_numbering(spark, tmp_dir, small_splits):
+@pytest.mark.parametrize("max_splits", [2_000_000, 0])  # broadcast / shuffle join
+def test_entries_match_sequential_numbering(spark, tmp_dir, small_splits, max_splits):
     tree = _tree()
     root = write_tree(os.path.join(tmp_dir, "logs"), tree)
     lines = entries.with_split_position(read_log_lines(spark, root))
     assert lines.rdd.getNumPartitions() > 6  # files really are split
-    got = entries.number_entries(lines).collect()
+    got = entries.number_entries(lines, max_splits=max_splits).collect()
     assert len(got) == sum(len(v) for v in tree.values())
 
     by_file = {}

@@ -67,3 +67,28 @@ def test_describe_source_reports_bounded_facts(spark):
     assert d["schema"].startswith("struct<") and len(d["files"]) == 1
     missing = describe_source(spark, f"{SF_SMALL}/no_such_table.parquet")
     assert missing["exists"] is False and missing["error"] == "PATH_NOT_FOUND"
+
+
+def test_lookup_join_same_result_without_broadcast(spark):
+    from logtide.operators import usage
+    from logtide.queries import _timeline
+
+    tl = _timeline(spark, SF_SMALL)
+    small = sorted(map(tuple, usage.with_cluster_lookup(tl).collect()))
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        # over the row bound and with Spark's own size-based broadcast off: a shuffle join
+        for k in keys:
+            spark.conf.set(k, "-1")
+        df = usage.with_cluster_lookup(tl, max_lookup_rows=0)
+        plan = _plan(df)
+        assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+        big = sorted(map(tuple, df.collect()))
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert small == big
