@@ -92,6 +92,18 @@ def slowest_tasks(lines: DataFrame, k: int = 10, line: str = "log_entry",
             .orderBy(F.desc("duration_sec"), *APP, "tid").limit(k))
 
 
+def slowest_stages(lines: DataFrame, k: int = 10, line: str = "log_entry",
+                   path: str = "file_path") -> DataFrame:
+    """The ``k`` stages with the longest span (first task start to last finish),
+    with their finished tasks and summed task seconds; ties by cluster, app, stage."""
+    return (task_times(lines, line, path)
+            .groupBy(*APP, "stage")
+            .agg(F.count(F.lit(1)).alias("num_tasks"),
+                 F.sum("duration_sec").alias("task_sec"),
+                 F.timestamp_diff("SECOND", F.min("start_time"), F.max("end_time")).alias("span_sec"))
+            .orderBy(F.desc("span_sec"), *APP, "stage").limit(k))
+
+
 def stage_skew(lines: DataFrame, line: str = "log_entry", path: str = "file_path") -> DataFrame:
     """Per (cluster, app, stage): tasks, max and median duration, max / median.
 

@@ -326,6 +326,12 @@ SQL["slowest_tasks"] = with_logs("""
 select cluster_id, app_id, tid, stage, duration_sec from task_times
 order by duration_sec desc, cluster_id, app_id, tid limit 10""", TASKS)
 
+SQL["slowest_stages"] = with_logs("""
+select cluster_id, app_id, stage, count(*) as num_tasks, cast(sum(duration_sec) as bigint) as task_sec,
+ date_diff('second', min(start_time), max(end_time)) as span_sec
+from task_times group by cluster_id, app_id, stage
+order by span_sec desc, cluster_id, app_id, stage limit 10""", TASKS)
+
 SQL["stage_skew"] = with_logs("""
 select cluster_id, app_id, stage, count(*) as num_tasks, max(duration_sec) as max_task_sec,
  quantile_cont(duration_sec, 0.5) as median_task_sec,

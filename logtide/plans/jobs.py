@@ -104,7 +104,7 @@ def _messages_job(spark: SparkSession, input_root: str, output_root: str, *,
     materialised task table (one row per task, a second scan)."""
     lines = read_log_lines(spark, input_root, glob=glob)
     names = ("app_report", "task_durations", "unfinished_tasks", "stage_skew", "slowest_tasks",
-             "parse_quality")
+             "slowest_stages", "parse_quality")
     out = {k: _out(output_root, k) for k in names}
     write_csv(messages.app_report(lines).orderBy("cluster_id", "app_id"), out["app_report"],
               single_file=True)
@@ -127,6 +127,11 @@ def _messages_job(spark: SparkSession, input_root: str, output_root: str, *,
     write_csv(done.select("cluster_id", "app_id", "tid", "stage", "duration_sec")
               .orderBy(F.desc("duration_sec"), "cluster_id", "app_id", "tid").limit(slowest_k),
               out["slowest_tasks"], single_file=True)
+    write_csv(done.groupBy("cluster_id", "app_id", "stage")
+              .agg(F.count(F.lit(1)).alias("num_tasks"), F.sum("duration_sec").alias("task_sec"),
+                   F.timestamp_diff("SECOND", F.min("start_time"), F.max("end_time")).alias("span_sec"))
+              .orderBy(F.desc("span_sec"), "cluster_id", "app_id", "stage").limit(slowest_k),
+              out["slowest_stages"], single_file=True)
     write_csv(messages.parse_quality(lines), out["parse_quality"], single_file=True)
     return out
 

@@ -245,6 +245,11 @@ def slowest_tasks(spark, sf_dir):
     return messages.slowest_tasks(logs(spark, sf_dir), k=10)
 
 
+@register
+def slowest_stages(spark, sf_dir):
+    return messages.slowest_stages(logs(spark, sf_dir), k=10)
+
+
 @register
 def stage_skew(spark, sf_dir):
     return messages.stage_skew(logs(spark, sf_dir))
