@@ -59,49 +59,75 @@ def tasks(lines: DataFrame, line: str = "log_entry", path: str = "file_path") ->
             .filter(F.col("start_lines") + F.col("finish_lines") > 0))
 
 
-def task_times(lines: DataFrame, line: str = "log_entry", path: str = "file_path") -> DataFrame:
-    """Tasks with both a start and a finish, with ``duration_sec``."""
-    return (tasks(lines, line, path)
+def finished(tasks_df: DataFrame) -> DataFrame:
+    """Tasks (from :func:`tasks`) with both a start and a finish, with ``duration_sec``."""
+    return (tasks_df
             .filter(F.col("start_time").isNotNull() & F.col("end_time").isNotNull())
             .withColumn("duration_sec",
                         F.timestamp_diff("SECOND", F.col("start_time"), F.col("end_time"))))
 
 
-def task_durations(lines: DataFrame, line: str = "log_entry", path: str = "file_path") -> DataFrame:
-    """Per application: finished tasks and their average, min and max duration."""
-    return (task_times(lines, line, path)
-            .groupBy(*APP)
+def task_times(lines: DataFrame, line: str = "log_entry", path: str = "file_path") -> DataFrame:
+    """Tasks with both a start and a finish, with ``duration_sec``."""
+    return finished(tasks(lines, line, path))
+
+
+def durations_of(times: DataFrame) -> DataFrame:
+    return (times.groupBy(*APP)
             .agg(F.count(F.lit(1)).alias("num_tasks"),
                  F.avg("duration_sec").alias("avg_task_sec"),
                  F.min("duration_sec").alias("min_task_sec"),
                  F.max("duration_sec").alias("max_task_sec")))
 
 
+def unfinished_of(tasks_df: DataFrame) -> DataFrame:
+    return (tasks_df.filter((F.col("start_lines") > 0) & (F.col("finish_lines") == 0))
+            .select(*APP, "tid", "stage", "start_time"))
+
+
+def slowest_tasks_of(times: DataFrame, k: int = 10) -> DataFrame:
+    return (times.select(*APP, "tid", "stage", "duration_sec")
+            .orderBy(F.desc("duration_sec"), *APP, "tid").limit(k))
+
+
+def slowest_stages_of(times: DataFrame, k: int = 10) -> DataFrame:
+    return (times.groupBy(*APP, "stage")
+            .agg(F.count(F.lit(1)).alias("num_tasks"),
+                 F.sum("duration_sec").alias("task_sec"),
+                 F.timestamp_diff("SECOND", F.min("start_time"), F.max("end_time")).alias("span_sec"))
+            .orderBy(F.desc("span_sec"), *APP, "stage").limit(k))
+
+
+def stage_skew_of(times: DataFrame) -> DataFrame:
+    return (times.groupBy(*APP, "stage")
+            .agg(F.count(F.lit(1)).alias("num_tasks"),
+                 F.max("duration_sec").alias("max_task_sec"),
+                 F.percentile("duration_sec", 0.5).alias("median_task_sec"))
+            .withColumn("skew", F.try_divide(F.col("max_task_sec").cast("double"),
+                                             F.col("median_task_sec"))))
+
+
+def task_durations(lines: DataFrame, line: str = "log_entry", path: str = "file_path") -> DataFrame:
+    """Per application: finished tasks and their average, min and max duration."""
+    return durations_of(task_times(lines, line, path))
+
+
 def unfinished_tasks(lines: DataFrame, line: str = "log_entry", path: str = "file_path") -> DataFrame:
     """Tasks that started and never logged a finish (failed or lost)."""
-    return (tasks(lines, line, path)
-            .filter((F.col("start_lines") > 0) & (F.col("finish_lines") == 0))
-            .select(*APP, "tid", "stage", "start_time"))
+    return unfinished_of(tasks(lines, line, path))
 
 
 def slowest_tasks(lines: DataFrame, k: int = 10, line: str = "log_entry",
                   path: str = "file_path") -> DataFrame:
     """The ``k`` longest finished tasks (top-k, ties by cluster, app, tid)."""
-    return (task_times(lines, line, path)
-            .select(*APP, "tid", "stage", "duration_sec")
-            .orderBy(F.desc("duration_sec"), *APP, "tid").limit(k))
+    return slowest_tasks_of(task_times(lines, line, path), k)
 
 
 def slowest_stages(lines: DataFrame, k: int = 10, line: str = "log_entry",
                    path: str = "file_path") -> DataFrame:
     """The ``k`` stages with the longest span (first task start to last finish),
     with their finished tasks and summed task seconds; ties by cluster, app, stage."""
-    return (task_times(lines, line, path)
-            .groupBy(*APP, "stage")
-            .agg(F.count(F.lit(1)).alias("num_tasks"),
-                 F.sum("duration_sec").alias("task_sec"),
-                 F.timestamp_diff("SECOND", F.min("start_time"), F.max("end_time")).alias("span_sec"))
-            .orderBy(F.desc("span_sec"), *APP, "stage").limit(k))
+    return slowest_stages_of(task_times(lines, line, path), k)
 
 
 def stage_skew(lines: DataFrame, line: str = "log_entry", path: str = "file_path") -> DataFrame:
@@ -111,13 +137,7 @@ def stage_skew(lines: DataFrame, line: str = "log_entry", path: str = "file_path
     with the distinct durations (whole seconds), not with the task count.
     A zero median gives a NULL ratio instead of a division error.
     """
-    return (task_times(lines, line, path)
-            .groupBy(*APP, "stage")
-            .agg(F.count(F.lit(1)).alias("num_tasks"),
-                 F.max("duration_sec").alias("max_task_sec"),
-                 F.percentile("duration_sec", 0.5).alias("median_task_sec"))
-            .withColumn("skew", F.try_divide(F.col("max_task_sec").cast("double"),
-                                             F.col("median_task_sec"))))
+    return stage_skew_of(task_times(lines, line, path))
 
 
 # --- message figures ----------------------------------------------------------

@@ -99,9 +99,10 @@ def _daily_job(spark: SparkSession, paths: list[str], output: str, *, year: int,
 
 def _messages_job(spark: SparkSession, input_root: str, output_root: str, *,
                  glob: str | None = "*.log", slowest_k: int = 10) -> dict[str, str]:
-    """Figures read from messages: the per-application report (one scan), and
-    task durations, unfinished tasks, stage skew and slowest tasks from one
-    materialised task table (one row per task, a second scan)."""
+    """Figures read from messages in three scans: the per-application report;
+    one materialised task table (one row per task) that task durations,
+    unfinished tasks, stage skew and the slowest tasks and stages all read;
+    and the parse-quality counts."""
     lines = read_log_lines(spark, input_root, glob=glob)
     names = ("app_report", "task_durations", "unfinished_tasks", "stage_skew", "slowest_tasks",
              "slowest_stages", "parse_quality")
@@ -109,29 +110,12 @@ def _messages_job(spark: SparkSession, input_root: str, output_root: str, *,
     write_csv(messages.app_report(lines).orderBy("cluster_id", "app_id"), out["app_report"],
               single_file=True)
     tasks = reuse(messages.tasks(lines))
-    done = (tasks.filter(F.col("start_time").isNotNull() & F.col("end_time").isNotNull())
-            .withColumn("duration_sec",
-                        F.timestamp_diff("SECOND", F.col("start_time"), F.col("end_time"))))
-    write_csv(done.groupBy("cluster_id", "app_id")
-              .agg(F.count(F.lit(1)).alias("num_tasks"), F.avg("duration_sec").alias("avg_task_sec"),
-                   F.min("duration_sec").alias("min_task_sec"), F.max("duration_sec").alias("max_task_sec")),
-              out["task_durations"], single_file=True)
-    write_csv(tasks.filter((F.col("start_lines") > 0) & (F.col("finish_lines") == 0))
-              .select("cluster_id", "app_id", "tid", "stage", "start_time"), out["unfinished_tasks"])
-    write_csv(done.groupBy("cluster_id", "app_id", "stage")
-              .agg(F.count(F.lit(1)).alias("num_tasks"), F.max("duration_sec").alias("max_task_sec"),
-                   F.percentile("duration_sec", 0.5).alias("median_task_sec"))
-              .withColumn("skew", F.try_divide(F.col("max_task_sec").cast("double"),
-                                               F.col("median_task_sec"))),
-              out["stage_skew"])
-    write_csv(done.select("cluster_id", "app_id", "tid", "stage", "duration_sec")
-              .orderBy(F.desc("duration_sec"), "cluster_id", "app_id", "tid").limit(slowest_k),
-              out["slowest_tasks"], single_file=True)
-    write_csv(done.groupBy("cluster_id", "app_id", "stage")
-              .agg(F.count(F.lit(1)).alias("num_tasks"), F.sum("duration_sec").alias("task_sec"),
-                   F.timestamp_diff("SECOND", F.min("start_time"), F.max("end_time")).alias("span_sec"))
-              .orderBy(F.desc("span_sec"), "cluster_id", "app_id", "stage").limit(slowest_k),
-              out["slowest_stages"], single_file=True)
+    done = messages.finished(tasks)
+    write_csv(messages.durations_of(done), out["task_durations"], single_file=True)
+    write_csv(messages.unfinished_of(tasks), out["unfinished_tasks"])
+    write_csv(messages.stage_skew_of(done), out["stage_skew"])
+    write_csv(messages.slowest_tasks_of(done, slowest_k), out["slowest_tasks"], single_file=True)
+    write_csv(messages.slowest_stages_of(done, slowest_k), out["slowest_stages"], single_file=True)
     write_csv(messages.parse_quality(lines), out["parse_quality"], single_file=True)
     return out
 
