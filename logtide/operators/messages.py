@@ -142,8 +142,11 @@ def stage_skew(lines: DataFrame, line: str = "log_entry", path: str = "file_path
 
 # --- message figures ----------------------------------------------------------
 
-def python_timings(lines: DataFrame, line: str = "log_entry", path: str = "file_path") -> DataFrame:
-    """PythonRunner phase times per application (values as logged; boot may be negative)."""
+def python_timings(lines: DataFrame, line: str = "log_entry", path: str = "file_path",
+                   accuracy: int = 10000) -> DataFrame:
+    """PythonRunner phase times per application (values as logged; boot may be
+    negative): runs, sum, averages, maximum and approximate median / 95th
+    percentile of ``total`` (mergeable sketches, bounded memory per app)."""
     m = (lines.filter(F.col(line).contains("PythonRunner: Times:"))
          .select(*_app_cols(path),
                  *[parse.extract_long(line, P.PYTHON_TIMES, i).alias(n)
@@ -155,7 +158,9 @@ def python_timings(lines: DataFrame, line: str = "log_entry", path: str = "file_
                  F.avg("boot").alias("avg_boot"),
                  F.avg("init").alias("avg_init"),
                  F.avg("finish").alias("avg_finish"),
-                 F.max("total").alias("max_total"))
+                 F.max("total").alias("max_total"),
+                 F.percentile_approx("total", 0.5, accuracy).alias("p50_total"),
+                 F.percentile_approx("total", 0.95, accuracy).alias("p95_total"))
             .filter(F.col("runs") > 0))
 
 

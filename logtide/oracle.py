@@ -341,7 +341,7 @@ from task_times group by cluster_id, app_id, stage""", TASKS)
 SQL["python_timings"] = with_logs(r"""
 select cluster_id, app_id, count(*) as runs, cast(sum(total) as bigint) as sum_total,
  avg(total) as avg_total, avg(boot) as avg_boot, avg(init) as avg_init, avg(finish) as avg_finish,
- max(total) as max_total
+ max(total) as max_total, quantile_disc(total, 0.5) as p50_total, quantile_disc(total, 0.95) as p95_total
 from (select cluster_id, app_id,
   try_cast(nullif(regexp_extract(log_entry, 'Times: total = (-?\d+), boot = (-?\d+), init = (-?\d+), finish = (-?\d+)', 1), '') as bigint) total,
   try_cast(nullif(regexp_extract(log_entry, 'Times: total = (-?\d+), boot = (-?\d+), init = (-?\d+), finish = (-?\d+)', 2), '') as bigint) boot,
