@@ -220,6 +220,25 @@ def containers_per_app(lines: DataFrame, k: int = 5, path: str = "file_path") ->
             .orderBy(F.desc("containers"), "application_id").limit(k))
 
 
+def failed_containers(lines: DataFrame, line: str = "log_entry", path: str = "file_path") -> DataFrame:
+    """Containers whose log holds ERROR lines or task exceptions, with both counts.
+
+    Counted per file first (ids are parsed once per file afterwards).
+    """
+    per_file = (lines.select(F.col(path).alias("file_path"),
+                             (parse.level(line) == "ERROR").alias("is_error"),
+                             F.col(line).contains("Exception in task").alias("is_exception"))
+                .groupBy("file_path")
+                .agg(F.count_if("is_error").alias("error_lines"),
+                     F.count_if("is_exception").alias("task_exceptions"))
+                .filter((F.col("error_lines") > 0) | (F.col("task_exceptions") > 0)))
+    return per_file.select(
+        parse.application_id("file_path").alias("application_id"),
+        parse.container_id("file_path").alias("container_id"),
+        parse.container_role("file_path").alias("role"),
+        "error_lines", "task_exceptions")
+
+
 def container_roles(lines: DataFrame, path: str = "file_path") -> DataFrame:
     """Per container file: application, attempt, container number, role, lines."""
     return per_file_lines(lines, path).select(

@@ -170,6 +170,18 @@ select application_id, container_id,
       else '' end as role,
  log_lines from files""", FILES)
 
+SQL["failed_containers"] = with_logs(r"""
+select regexp_extract(file_path, 'application_(\d+_\d+)', 0) as application_id,
+ regexp_extract(file_path, '(container_\d+_\d+_\d+_\d+)', 1) as container_id,
+ case when regexp_extract(file_path, 'container_(\d+)_(\d+)_(\d+)_(\d+)', 4) = '000001' then 'ApplicationMaster'
+      when regexp_extract(file_path, 'container_(\d+)_(\d+)_(\d+)_(\d+)', 4) <> '' then 'Executor'
+      else '' end as role,
+ error_lines, task_exceptions
+from (select file_path, count(*) filter (where log_level = 'ERROR') error_lines,
+  count(*) filter (where contains(log_entry, 'Exception in task')) task_exceptions
+ from parsed group by file_path)
+where error_lines > 0 or task_exceptions > 0""")
+
 SQL["cluster_start"] = with_logs("""
 select distinct cluster_id, epoch_ms(cast(cluster_id as bigint)) as cluster_started
 from files where cluster_id <> ''""", FILES)

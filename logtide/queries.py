@@ -135,6 +135,11 @@ def container_roles(spark, sf_dir):
     return usage.container_roles(logs(spark, sf_dir))
 
 
+@register
+def failed_containers(spark, sf_dir):
+    return usage.failed_containers(logs(spark, sf_dir))
+
+
 @register
 def cluster_start(spark, sf_dir):
     return usage.cluster_start(logs(spark, sf_dir))

@@ -184,3 +184,10 @@ def test_app_report_equals_single_figure_operators(spark, log_tree):
     for r in messages.memory_blocks(df).collect():
         x = rep[(r.cluster_id, r.app_id)]
         assert (x.memory_blocks, x.bytes_stored) == (r.blocks, r.bytes_stored)
+
+
+def test_failed_containers_on_files(spark, log_tree):
+    df = _lines(spark, log_tree)
+    got = [(r.container_id, r.role, r.error_lines, r.task_exceptions)
+           for r in usage.failed_containers(df).collect()]
+    assert got == [("container_1485248649253_0001_01_000002", "Executor", 1, 1)]
