@@ -65,16 +65,23 @@ def stream_checkpoint(spark: SparkSession, name: str, location: str | None = Non
     return f"{root.rstrip('/')}/logtide_streams/{name}"
 
 
-def start_table(df: DataFrame, name: str, path: str, *, checkpoint: str | None = None,
-                trigger: dict | None = None) -> StreamingQuery:
+GROUP_KEYS = ("log_level", "cluster_id", "app_id")
+
+
+def start_table(df: DataFrame, name: str, path: str, *, keys: list[str] | None = None,
+                checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
     """Keep ``path`` holding the current result of an aggregating stream.
 
     Each micro-batch carries the rows whose aggregate changed (update mode);
-    they replace their old versions in the table. The table is small (one row
-    per group), so each batch rewrites it whole into a new version folder.
+    they replace their old versions (matched on ``keys``, by default the
+    grouping columns of the operators here) in the table. The table is small
+    (one row per group), so each batch rewrites it whole into a new version
+    folder; a replayed batch rewrites the same version, so retries are safe.
     """
     spark = df.sparkSession
-    keys = [c for c in df.columns if c in ("log_level", "cluster_id", "app_id")]
+    keys = keys or [c for c in df.columns if c in GROUP_KEYS]
+    if not keys:
+        raise ValueError("pass the grouping columns as keys")
 
     def merge(batch: DataFrame, epoch: int) -> None:
         version = f"{path.rstrip('/')}/v={epoch:012d}"
