@@ -75,3 +75,31 @@ def stitch_entries(files: DataFrame, content: str = "content") -> DataFrame:
     return (files
             .select("file_path", F.posexplode(parts).alias("entry_no", "log_entry"))
             .filter(F.col("log_entry") != ""))
+
+
+def compact_logs(spark: SparkSession, roots, out: str, *, glob: str | None = "*.log",
+                 mode: str = "append") -> int:
+    """Copy log trees into one Parquet table ``(log_entry, file_path)`` partitioned
+    by ``cluster_id``; returns the number of roots written.
+
+    A tree of many small container logs is listed on the driver when it is
+    scanned; reading it in batches of roots (e.g. ``[".../application_14*",
+    ".../application_15*"]``) bounds each listing, and every later query reads
+    a columnar, splittable table where a filter on ``cluster_id`` prunes whole
+    folders. Each root is one Spark job; the data never passes the driver.
+    """
+    from ..functions import parse
+
+    n = 0
+    for root in roots:
+        lines = read_log_lines(spark, root, glob=glob)
+        first_mode = mode if n == 0 else "append"  # later roots add to the first
+        (lines.withColumn("cluster_id", parse.cluster_id("file_path"))
+         .write.mode(first_mode).partitionBy("cluster_id").parquet(out))
+        n += 1
+    return n
+
+
+def read_compacted(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of a table written by :func:`compact_logs` (with ``cluster_id``)."""
+    return spark.read.parquet(path)

@@ -191,3 +191,21 @@ def test_failed_containers_on_files(spark, log_tree):
     got = [(r.container_id, r.role, r.error_lines, r.task_exceptions)
            for r in usage.failed_containers(df).collect()]
     assert got == [("container_1485248649253_0001_01_000002", "Executor", 1, 1)]
+
+
+def test_compacted_logs_give_the_same_results(spark, log_tree, tmp_dir):
+    out = f"{tmp_dir}/compact"
+    n = L.compact_logs(spark, [f"{log_tree}/application_1485*", f"{log_tree}/application_1472*",
+                               f"{log_tree}/nested", f"{log_tree}/stray"], out)
+    assert n == 4
+    comp = L.read_compacted(spark, out)
+    direct = _lines(spark, log_tree)
+    assert comp.count() == direct.count()
+    assert sorted(map(tuple, levels.level_counts(comp).collect())) == \
+        sorted(map(tuple, levels.level_counts(direct).collect()))
+    assert sorted(map(tuple, usage.app_timeline(comp).collect())) == \
+        sorted(map(tuple, usage.app_timeline(direct).collect()))
+    pruned = comp.filter("cluster_id = '1472621869829'")
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(cluster_id" in plan
+    assert pruned.count() == 5
