@@ -13,6 +13,7 @@ from pyspark.sql import SparkSession
 
 from logtide.plans import jobs
 from logtide.plans.session import RECOMMENDED_CONF
+from logtide.sources.logs import compact_logs
 from logtide.sources.trips import monthly_paths
 
 
@@ -24,8 +25,13 @@ def main(argv=None) -> None:
         p = sub.add_parser(name)
         p.add_argument("input", help="root folder of application_*/container_*.log files (any URI)")
         p.add_argument("output", help="output folder")
+        p.add_argument("--compacted", action="store_true",
+                       help="input is a table written by the compact command")
         if name == "levels":
             p.add_argument("--errors", action="store_true", help="also write every ERROR line")
+    p = sub.add_parser("compact")
+    p.add_argument("output", help="Parquet table to write")
+    p.add_argument("roots", nargs="+", help="log roots or globs, one Spark job each")
     p = sub.add_parser("daily")
     p.add_argument("base", help="folder holding the monthly Parquet files")
     p.add_argument("output")
@@ -40,11 +46,15 @@ def main(argv=None) -> None:
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     if args.job == "levels":
-        out = jobs.levels_job(spark, args.input, args.output, errors=args.errors)
+        out = jobs.levels_job(spark, args.input, args.output, errors=args.errors,
+                              compacted=args.compacted)
     elif args.job == "usage":
-        out = jobs.usage_job(spark, args.input, args.output)
+        out = jobs.usage_job(spark, args.input, args.output, compacted=args.compacted)
     elif args.job == "messages":
-        out = jobs.messages_job(spark, args.input, args.output)
+        out = jobs.messages_job(spark, args.input, args.output, compacted=args.compacted)
+    elif args.job == "compact":
+        out = {"roots": compact_logs(spark, args.roots, args.output, mode="overwrite"),
+               "table": args.output}
     else:
         if "-" in args.months:
             a, b = args.months.split("-")

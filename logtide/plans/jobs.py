@@ -15,22 +15,29 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..operators import daily, distribution, levels, messages, usage
-from ..sources.logs import read_log_lines
+from ..sources.logs import read_compacted, read_log_lines
 from ..sources.trips import read_trips
 from .session import reuse, scratch
 from .sinks import write_csv, write_text
 
 
+def _lines(spark: SparkSession, input_root: str, glob: str | None, compacted: bool) -> DataFrame:
+    """Log lines from a text tree, or from a table written by ``compact_logs``."""
+    if compacted:
+        return read_compacted(spark, input_root)
+    return read_log_lines(spark, input_root, glob=glob)
+
+
 def _out(root: str, name: str) -> str:
     return os.path.join(root, name) if "://" not in root else f"{root.rstrip('/')}/{name}"
 
 
 def _levels_job(spark: SparkSession, input_root: str, output_root: str, *,
                sample_k: int = 10, seed: int = 42, glob: str | None = "*.log",
-               errors: bool = False) -> dict[str, str]:
+               errors: bool = False, compacted: bool = False) -> dict[str, str]:
     """Level counts CSV, a reproducible sample CSV, the summary (CSV cell + text)
     and, with ``errors=True``, every ERROR line as text."""
-    lines = read_log_lines(spark, input_root, glob=glob)
+    lines = _lines(spark, input_root, glob, compacted)
     groups = reuse(levels.level_groups(lines))
     out = {k: _out(output_root, k) for k in
            ("level_counts", "level_sample", "level_summary", "level_summary_txt")}
@@ -66,9 +73,10 @@ def stats_text(timeline: DataFrame, top_k: int = 5) -> DataFrame:
 
 
 def _usage_job(spark: SparkSession, input_root: str, output_root: str, *,
-              glob: str | None = "*.log", top_k: int = 5) -> dict[str, str]:
+              glob: str | None = "*.log", top_k: int = 5,
+              compacted: bool = False) -> dict[str, str]:
     """Timeline, cluster summary, statistics and the chart data (bar, histogram, density)."""
-    lines = read_log_lines(spark, input_root, glob=glob)
+    lines = _lines(spark, input_root, glob, compacted)
     timeline = reuse(usage.app_timeline(lines, ordered=False))
     summary = usage.cluster_summary(timeline)
     names = ("app_timeline", "cluster_summary", "usage_stats",
@@ -98,12 +106,13 @@ def _daily_job(spark: SparkSession, paths: list[str], output: str, *, year: int,
 
 
 def _messages_job(spark: SparkSession, input_root: str, output_root: str, *,
-                 glob: str | None = "*.log", slowest_k: int = 10) -> dict[str, str]:
+                 glob: str | None = "*.log", slowest_k: int = 10,
+                 compacted: bool = False) -> dict[str, str]:
     """Figures read from messages in three scans: the per-application report;
     one materialised task table (one row per task) that task durations,
     unfinished tasks, stage skew and the slowest tasks and stages all read;
     and the parse-quality counts."""
-    lines = read_log_lines(spark, input_root, glob=glob)
+    lines = _lines(spark, input_root, glob, compacted)
     names = ("app_report", "task_durations", "unfinished_tasks", "stage_skew", "slowest_tasks",
              "slowest_stages", "parse_quality")
     out = {k: _out(output_root, k) for k in names}
