@@ -120,6 +120,11 @@ def materialized(spark: SparkSession, name: str, source: str, build) -> DataFram
     if not root or not hasattr(spark, "_jvm"):
         return build()  # no shared folder, or no JVM file-system access here
     target = f"{root.rstrip('/')}/logtide_tables/{name}_{source_key(spark, source)}"
+    # the folder name changes with the source, so a table opened once in this
+    # session stays valid; keep it instead of listing and reading its schema again
+    opened = spark.__dict__.setdefault("_logtide_opened", {})
+    if target in opened:
+        return opened[target]
     if not path_exists(spark, f"{target}/_SUCCESS"):
         # write beside the target, then rename: readers never see a partial
         # table, and of two concurrent writers the first rename wins
@@ -131,4 +136,5 @@ def materialized(spark: SparkSession, name: str, source: str, build) -> DataFram
             fs.delete(p_target, True)  # leftover of an interrupted older write
         if not fs.rename(p_tmp, p_target):
             fs.delete(p_tmp, True)
-    return spark.read.parquet(target)
+    opened[target] = spark.read.parquet(target)
+    return opened[target]
