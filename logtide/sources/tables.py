@@ -12,4 +12,15 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """Open a supplied table once per session (keyed by path, size and
+    modification time), so repeated queries skip listing and schema reading."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    if not hasattr(spark, "_jvm"):
+        return spark.read.parquet(path)
+    from ..plans.session import source_key
+
+    opened = spark.__dict__.setdefault("_logtide_opened", {})
+    key = f"{path}#{source_key(spark, path)}"
+    if key not in opened:
+        opened[key] = spark.read.parquet(path)
+    return opened[key]
