@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import patterns as P
 from ..operators import daily, distribution, levels, messages, usage
 from ..sources.logs import read_compacted, read_log_lines
-from ..sources.trips import read_trips
+from ..sources.trips import read_trips_unified
 from .session import reuse, scratch
 from .sinks import write_csv, write_text
 
@@ -95,7 +95,7 @@ def _usage_job(spark: SparkSession, input_root: str, output_root: str, *,
 def _daily_job(spark: SparkSession, paths: list[str], output: str, *, year: int,
               accuracy: int = 10000) -> dict[str, str]:
     """Daily summaries of one year, newest day first, and their totals."""
-    trips = read_trips(spark, *paths)
+    trips = read_trips_unified(spark, *paths)
     summary = reuse(daily.daily_summary(trips, year=year, accuracy=accuracy, ordered=False))
     out = {"daily_summary": _out(output, "daily_summary"),
            "daily_totals": _out(output, "daily_totals")}

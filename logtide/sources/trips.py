@@ -8,10 +8,22 @@ settings such as ``spark.hadoop.fs.s3a.*`` belong to the session config.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-# FIXED VALUE: file name pattern of the monthly trip files
+# FIXED VALUES: file name pattern of the monthly trip files, and the columns
+# the daily summary reads with the type each is read as
 MONTHLY_FILE = "yellow_tripdata_{year:04d}-{month:02d}.parquet"
+TRIP_COLUMNS = {
+    "tpep_pickup_datetime": None,  # kept as the first file's timestamp type
+    "trip_distance": "double",
+    "passenger_count": "double",
+    "fare_amount": "double",
+    "tip_amount": "double",
+    "mta_tax": "double",
+}
 
 
 def monthly_paths(base: str, year: int, months, template: str = MONTHLY_FILE) -> list[str]:
@@ -29,3 +41,19 @@ def read_partitioned(spark: SparkSession, root: str) -> DataFrame:
     """Read a ``key=value`` partitioned tree from its root, so filters on the
     partition column prune whole directories."""
     return spark.read.option("basePath", root).parquet(root)
+
+
+def read_trips_unified(spark: SparkSession, *paths: str) -> DataFrame:
+    """Monthly files whose column types differ (e.g. ``passenger_count`` as
+    long in some months, double in others) read as one table.
+
+    Each file is scanned with its own footer schema, only the used columns are
+    cast to one type, and the scans are unioned; each scan still prunes
+    columns and takes pushed filters.
+    """
+    frames = [spark.read.parquet(p) for p in paths]
+    ts = "tpep_pickup_datetime"
+    ts_type = frames[0].schema[ts].dataType
+    cols = [(c, t or ts_type) for c, t in TRIP_COLUMNS.items()]
+    parts = [f.select(*[F.col(c).cast(t).alias(c) for c, t in cols]) for f in frames]
+    return reduce(lambda a, b: a.unionByName(b), parts)

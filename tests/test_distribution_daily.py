@@ -121,3 +121,19 @@ def test_histogram_matches_numpy_on_random_floats(spark, seed):
     counts, edges = np.histogram(vals, bins=30)
     assert [r["count"] for r in got] == counts.tolist()
     assert [r.bin_start for r in got] == edges[:-1].tolist()
+
+
+def test_months_with_different_column_types_read_as_one(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from logtide.sources.trips import monthly_paths, read_trips_unified
+
+    df = _trips(spark)
+    p1, p2 = monthly_paths(tmp_dir, 2021, [1, 2])
+    df.limit(5).write.parquet(p1)
+    df.limit(4).withColumn("passenger_count", F.col("passenger_count").cast("long")).write.parquet(p2)
+    both = read_trips_unified(spark, p1, p2)
+    assert dict(both.dtypes)["passenger_count"] == "double"
+    assert both.count() == 9
+    got = daily.daily_summary(both, year=2021).collect()
+    assert sum(r.num_trips for r in got) == 9
