@@ -58,8 +58,8 @@ def scratch(spark: SparkSession):
     """Tables made by :func:`reuse` inside the block go to one folder that is
     deleted when the block ends (a job's intermediates, not its outputs)."""
     root = checkpoint_dir(spark)
-    if not root:
-        yield None
+    if not root or not hasattr(spark, "_jvm"):
+        yield None  # intermediates go to the default reuse folder
         return
     folder = f"{root.rstrip('/')}/logtide_reuse/job-{uuid.uuid4().hex}"
     _SCRATCH.append(folder)
