@@ -268,8 +268,9 @@ def app_report(lines: DataFrame, line: str = "log_entry", path: str = "file_path
 
     Each figure's regex runs only on lines holding its message (a cheap
     substring test guards it), and the per-figure operators' groups are
-    reproduced by conditional, null-skipping aggregates. Columns of a figure
-    whose message never occurs in an application are NULL or 0 there.
+    reproduced by conditional, null-skipping aggregates. Counts, sums and
+    maxima of a message that never occurs in an application are 0 there; its
+    averages are NULL.
     """
     L = F.col(line)
 
@@ -294,19 +295,22 @@ def app_report(lines: DataFrame, line: str = "log_entry", path: str = "file_path
         guarded("non-empty blocks", P.SHUFFLE_FETCH, 1).alias("non_empty"),
         guarded("non-empty blocks", P.SHUFFLE_FETCH, 2).alias("blocks"),
         block_bytes.alias("block_bytes"))
+    def zero(c):
+        return F.coalesce(c, F.lit(0).cast("bigint"))
+
     return (m.groupBy(*APP)
             .agg(F.count(F.lit(1)).alias("log_lines"),
                  F.count_if("is_error").alias("error_lines"),
                  F.count("py_total").alias("python_runs"),
                  F.avg("py_total").alias("avg_python_total"),
                  F.avg("py_boot").alias("avg_python_boot"),
-                 F.sum("executors").alias("executors_requested"),
-                 F.sum(F.try_multiply("executors", "memory_mb")).alias("memory_mb_requested"),
-                 F.max("cores").alias("max_cores_per_executor"),
+                 zero(F.sum("executors")).alias("executors_requested"),
+                 zero(F.sum(F.try_multiply("executors", "memory_mb"))).alias("memory_mb_requested"),
+                 zero(F.max("cores")).alias("max_cores_per_executor"),
                  F.count("blocks").alias("shuffle_fetches"),
-                 F.sum("non_empty").alias("non_empty_blocks"),
-                 F.sum("blocks").alias("total_blocks"),
+                 zero(F.sum("non_empty")).alias("non_empty_blocks"),
+                 zero(F.sum("blocks")).alias("total_blocks"),
                  F.count("block_bytes").alias("memory_blocks"),
-                 F.sum("block_bytes").alias("bytes_stored"))
+                 zero(F.sum("block_bytes")).alias("bytes_stored"))
             .withColumn("error_rate", F.try_divide(F.col("error_lines").cast("double"),
                                                    F.col("log_lines").cast("double"))))

@@ -458,12 +458,12 @@ SQL["app_report"] = with_logs(f"""
 select cluster_id, app_id, count(*) as log_lines,
  count(*) filter (where log_level = 'ERROR') as error_lines,
  count(py_total) as python_runs, avg(py_total) as avg_python_total, avg(py_boot) as avg_python_boot,
- cast(sum(executors) as bigint) as executors_requested,
- cast(sum(executors * memory_mb) as bigint) as memory_mb_requested,
- max(cores) as max_cores_per_executor,
- count(blocks) as shuffle_fetches, cast(sum(non_empty) as bigint) as non_empty_blocks,
- cast(sum(blocks) as bigint) as total_blocks,
- count(block_bytes) as memory_blocks, cast(sum(block_bytes) as bigint) as bytes_stored,
+ cast(coalesce(sum(executors), 0) as bigint) as executors_requested,
+ cast(coalesce(sum(executors * memory_mb), 0) as bigint) as memory_mb_requested,
+ coalesce(max(cores), 0) as max_cores_per_executor,
+ count(blocks) as shuffle_fetches, cast(coalesce(sum(non_empty), 0) as bigint) as non_empty_blocks,
+ cast(coalesce(sum(blocks), 0) as bigint) as total_blocks,
+ count(block_bytes) as memory_blocks, cast(coalesce(sum(block_bytes), 0) as bigint) as bytes_stored,
  cast(count(*) filter (where log_level = 'ERROR') as double) / cast(count(*) as double) as error_rate
 from (select cluster_id, app_id, log_level,
   {_num('PythonRunner: Times:', PY, 1)} py_total,
