@@ -59,8 +59,9 @@ def daily_summary(trips: DataFrame, year: int | None = None, accuracy: int = 100
 
 
 def daily_totals(daily: DataFrame) -> DataFrame:
-    """One row over the daily result: days, first and last date, total and mean trips."""
-    d = F.make_date("dt_year", "dt_month", "dt_day")
+    """One row over the daily result: days, first and last day (midnight, as a
+    timestamp like the other time columns), total and mean trips."""
+    d = F.make_date("dt_year", "dt_month", "dt_day").cast("timestamp_ntz")
     return daily.agg(F.count(F.lit(1)).alias("num_days"),
                      F.min(d).alias("first_date"),
                      F.max(d).alias("last_date"),

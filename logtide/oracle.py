@@ -435,8 +435,8 @@ SQL["daily_summary"] = with_trips(DAILY.format(where=YEAR_1997) + " order by 1 d
 SQL["daily_summary_all_years"] = with_trips(DAILY.format(where="") + " order by 1 desc, 2 desc, 3 desc")
 
 SQL["daily_totals"] = with_trips("""
-select count(*) as num_days, min(make_date(dt_year, dt_month, dt_day)) as first_date,
- max(make_date(dt_year, dt_month, dt_day)) as last_date, cast(sum(num_trips) as bigint) as total_trips,
+select count(*) as num_days, cast(min(make_date(dt_year, dt_month, dt_day)) as timestamp) as first_date,
+ cast(max(make_date(dt_year, dt_month, dt_day)) as timestamp) as last_date, cast(sum(num_trips) as bigint) as total_trips,
  avg(num_trips) as avg_daily_trips from daily""", "daily as (" + DAILY.format(where=YEAR_1997) + ")")
 
 SQL["sql_count"] = with_logs("select count(*) as total from log_lines")

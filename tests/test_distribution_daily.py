@@ -81,8 +81,8 @@ def test_daily_summary_matches_pandas(spark):
         # exact for small groups: the smallest value with at least 95% of rows at or below it
         assert r.q95_fare_amount == sorted(part.fare_amount)[math.ceil(0.95 * len(part)) - 1]
     tot = daily.daily_totals(daily.daily_summary(df, year=2021, ordered=False)).first()
-    assert (tot.num_days, tot.total_trips, str(tot.first_date), str(tot.last_date)) == (
-        3, 15, "2021-01-01", "2021-01-03")
+    assert (tot.num_days, tot.total_trips, tot.first_date, tot.last_date) == (
+        3, 15, datetime(2021, 1, 1), datetime(2021, 1, 3))
 
 
 def test_year_filter_reaches_the_parquet_scan(spark, tmp_dir):
