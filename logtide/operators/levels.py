@@ -25,12 +25,12 @@ def level_groups(lines: DataFrame, line: str = "log_entry") -> DataFrame:
             .groupBy("log_level").agg(F.count(F.lit(1)).alias("count")))
 
 
-def level_counts(lines: DataFrame, line: str = "log_entry") -> DataFrame:
+def level_counts(lines: DataFrame, line: str = "log_entry", ordered: bool = True) -> DataFrame:
     """Lines per level, levels found only, ordered by level."""
-    return (lines.select(parse.level(line).alias("log_level"))
-            .filter(F.col("log_level") != "")
-            .groupBy("log_level").agg(F.count(F.lit(1)).alias("count"))
-            .orderBy("log_level"))
+    out = (lines.select(parse.level(line).alias("log_level"))
+           .filter(F.col("log_level") != "")
+           .groupBy("log_level").agg(F.count(F.lit(1)).alias("count")))
+    return out.orderBy("log_level") if ordered else out
 
 
 def scan_totals(lines: DataFrame, line: str = "log_entry") -> DataFrame:
@@ -59,7 +59,7 @@ def level_pct(lines: DataFrame, line: str = "log_entry") -> DataFrame:
     gathered by one global aggregate next to their total, and the shares are
     computed in that row; no window over the whole result is needed.
     """
-    counts = level_counts(lines, line)
+    counts = level_counts(lines, line, ordered=False)
     agg = counts.agg(F.collect_list(F.struct("log_level", "count")).alias("levels"),
                      F.sum("count").alias("total"))
     rows = F.transform("levels", lambda e: F.struct(
