@@ -112,3 +112,56 @@ def with_log_fields(df, line: str = "log_entry", path: str = "file_path"):
             "app_id": app_id(path),
         })
     return df.withColumns(cols)
+
+
+# --- fixed-width codes ---------------------------------------------------------
+# Aggregation buffers of strings are not fixed-width, so Spark would aggregate
+# them by sorting. The codes below pack a short text into a long that decodes
+# back exactly, keeping aggregates on hash tables.
+
+_STAGE = r"^(\d+)\.(\d+)$"
+_ATTEMPT_BITS = 20
+
+
+def stage_code(stage: str | Column) -> Column:
+    """'<stage>.<attempt>' → stage·2^20 + attempt; NULL for other text."""
+    s = _c(stage)
+    sid = F.regexp_extract(s, _STAGE, 1).try_cast("bigint")
+    att = F.regexp_extract(s, _STAGE, 2).try_cast("bigint")
+    ok = sid.isNotNull() & att.isNotNull() & (att < (1 << _ATTEMPT_BITS))
+    return F.when(ok, F.shiftleft(sid, _ATTEMPT_BITS) + att)
+
+
+def stage_text(code: str | Column) -> Column:
+    c = _c(code)
+    return F.concat(F.shiftright(c, _ATTEMPT_BITS).cast("string"), F.lit("."),
+                    (c.bitwiseAND((1 << _ATTEMPT_BITS) - 1)).cast("string"))
+
+
+def head_code(ts_text: str | Column, level_text: str | Column) -> Column:
+    """Entry head (timestamp text, level) → its 12 digits·8 + level number.
+
+    The timestamp text matched the timestamp pattern, so it has exactly 12
+    digits (even when it is no valid date); the level is one of the four
+    words or ''.
+    """
+    digits = F.regexp_replace(_c(ts_text), r"\D", "").try_cast("bigint")
+    lv = _c(level_text)
+    idx = F.lit(0)
+    for i, name in enumerate(P.LEVELS, 1):
+        idx = F.when(lv == name, F.lit(i)).otherwise(idx)
+    return F.when(_c(ts_text) != "", digits * 8 + idx)
+
+
+def head_ts_text(code: str | Column) -> Column:
+    d = F.lpad(F.shiftright(_c(code), 3).cast("string"), 12, "0")
+    part = [F.substring(d, i, 2) for i in range(1, 13, 2)]
+    return F.when(_c(code).isNotNull(), F.concat(part[0], F.lit("/"), part[1], F.lit("/"), part[2],
+                                                 F.lit(" "), part[3], F.lit(":"), part[4],
+                                                 F.lit(":"), part[5]))
+
+
+def head_level(code: str | Column) -> Column:
+    names = F.array(*[F.lit(x) for x in ("",) + tuple(P.LEVELS)])
+    return F.when(_c(code).isNotNull(),
+                  F.element_at(names, (_c(code).bitwiseAND(7) + 1).cast("int")))

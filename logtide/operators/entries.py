@@ -103,10 +103,10 @@ def split_table(lines: DataFrame, line: str = "log_entry", path: str = "file_pat
                        ts.alias("ts_text"), parse.level(line).alias("level"),
                        F.monotonically_increasing_id().alias("pos"))
     starts = F.col("ts_text") != ""
+    # the head travels as a long code so the aggregate stays hash-based
     return (src.groupBy("file_path", "block")
             .agg(F.count_if(starts).alias("n_starts"),
-                 F.max_by(F.struct(F.col("ts_text").alias("entry_ts_text"),
-                                   F.col("level").alias("entry_level")),
+                 F.max_by(parse.head_code("ts_text", "level"),
                           F.when(starts, F.col("pos"))).alias("last_head")))
 
 
@@ -152,9 +152,9 @@ def number_entries(lines: DataFrame, line: str = "log_entry", path: str = "file_
                     .otherwise(F.coalesce(F.col("prev.k"), F.lit(0).cast("long"))).alias("entry_k"),
                     "block", "seq", "log_entry",
                     F.when(own, F.col("entry_ts_text"))
-                    .otherwise(F.col("prev.head.entry_ts_text")).alias("entry_ts_text"),
+                    .otherwise(parse.head_ts_text("prev.head")).alias("entry_ts_text"),
                     F.when(own, F.col("entry_level"))
-                    .otherwise(F.col("prev.head.entry_level")).alias("entry_level"),
+                    .otherwise(parse.head_level("prev.head")).alias("entry_level"),
                     (parse.timestamp_text("log_entry") == "").alias("continuation")))
 
 

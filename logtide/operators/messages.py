@@ -36,13 +36,15 @@ def tasks(lines: DataFrame, line: str = "log_entry", path: str = "file_path") ->
     Start and finish lines are paired with one aggregation on the task key
     instead of a self-join: conditional ``min``/``max`` pick the start and
     finish times, so the input is shuffled once and no pair is ever emitted.
-    ``start_time`` / ``end_time`` are NULL when the task has no such line.
+    ``start_time`` / ``end_time`` are NULL when the task has no such line;
+    ``stage`` is the '<stage>.<attempt>' of its start line (NULL if that text
+    has another form).
     """
     ev = (lines.filter(F.col(line).contains("(TID "))
           .select(*_app_cols(path),
                   parse.log_timestamp(line).alias("ts"),
                   parse.extract_long(line, P.TASK_START, 3).alias("start_tid"),
-                  F.regexp_extract(F.col(line), P.TASK_START, 2).alias("start_stage"),
+                  parse.stage_code(F.regexp_extract(F.col(line), P.TASK_START, 2)).alias("start_stage"),
                   parse.extract_long(line, P.TASK_FINISH, 3).alias("finish_tid"))
           .withColumn("tid", F.coalesce("start_tid", "finish_tid")))
     started = F.col("start_tid").isNotNull()
@@ -50,13 +52,17 @@ def tasks(lines: DataFrame, line: str = "log_entry", path: str = "file_path") ->
     # lines that are neither start nor finish form one NULL-tid group per app,
     # dropped after the aggregation (on an aggregate, so the optimizer does not
     # push it back below as a second regex evaluation per line)
+    # the stage is aggregated as a long code (a string min would make Spark
+    # aggregate by sorting) and turned back into its text afterwards
     return (ev.groupBy(*APP, "tid")
-            .agg(F.min(F.when(started, F.col("start_stage"))).alias("stage"),
+            .agg(F.min(F.when(started, F.col("start_stage"))).alias("stage_code"),
                  F.min(F.when(started, F.col("ts"))).alias("start_time"),
                  F.max(F.when(finished, F.col("ts"))).alias("end_time"),
                  F.count_if(started).alias("start_lines"),
                  F.count_if(finished).alias("finish_lines"))
-            .filter(F.col("start_lines") + F.col("finish_lines") > 0))
+            .filter(F.col("start_lines") + F.col("finish_lines") > 0)
+            .withColumn("stage", parse.stage_text("stage_code"))
+            .drop("stage_code"))
 
 
 def finished(tasks_df: DataFrame) -> DataFrame:
