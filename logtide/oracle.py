@@ -439,6 +439,8 @@ select count(*) as num_days, cast(min(make_date(dt_year, dt_month, dt_day)) as t
  cast(max(make_date(dt_year, dt_month, dt_day)) as timestamp) as last_date, cast(sum(num_trips) as bigint) as total_trips,
  avg(num_trips) as avg_daily_trips from daily""", "daily as (" + DAILY.format(where=YEAR_1997) + ")")
 
+SQL["range_count"] = "select count(*) as total from range((select count(*) from events))"
+
 SQL["sql_count"] = with_logs("select count(*) as total from log_lines")
 
 SQL["even_doubled"] = "select event_id * 2 as doubled from events where event_id % 2 = 0"

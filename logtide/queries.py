@@ -340,6 +340,13 @@ def daily_totals(spark, sf_dir):
 
 # --- installation checks and sources -----------------------------------------
 
+@register
+def range_count(spark, sf_dir):
+    """A range source as long as ``events`` (one scalar read from the table)."""
+    n = table(spark, sf_dir, "events").count()
+    return basics.range_count(spark, n)
+
+
 @register
 def sql_count(spark, sf_dir):
     return basics.sql_count(spark, logs(spark, sf_dir), view="log_lines")
