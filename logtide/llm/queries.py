@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sharding
+from . import sharding, simhash
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,3 +21,8 @@ def _register(fn):
 @_register
 def op1_sharding(spark, sf_dir):
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), shards=16)
+
+
+@_register
+def op9_simhash(spark, sf_dir):
+    return simhash.components(read_table(spark, sf_dir, "documents"), words=4, distance=4)
