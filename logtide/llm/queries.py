@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import sharding, simhash
+from . import mixing, sharding, simhash
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,3 +26,8 @@ def op1_sharding(spark, sf_dir):
 @_register
 def op9_simhash(spark, sf_dir):
     return simhash.components(read_table(spark, sf_dir, "documents"), words=4, distance=4)
+
+
+@_register
+def op7_mixing(spark, sf_dir):
+    return mixing.mix_documents(read_table(spark, sf_dir, "documents"))
