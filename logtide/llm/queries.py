@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, sharding, simhash
+from . import mixing, quality_rules, sharding, simhash
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,11 @@ def op9_simhash(spark, sf_dir):
 @_register
 def op7_mixing(spark, sf_dir):
     return mixing.mix_documents(read_table(spark, sf_dir, "documents"))
+
+
+@_register
+def op4_quality_rules(spark, sf_dir):
+    labels = read_table(spark, sf_dir, "labels")
+    judged = quality_rules.judge(read_table(spark, sf_dir, "documents"), labels.filter("quality = 1").select("doc_id"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                         "kept", "score")
