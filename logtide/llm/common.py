@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..plans.session import checkpoint_dir, ensure_checkpoint_dir
 
@@ -57,3 +61,36 @@ def free_name(df: DataFrame, base: str) -> str:
 def word_count(text: Column) -> Column:
     """Number of words of a text; null has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def text_slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices of about ``limit`` bytes of text, a row at least."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    begin, held = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        held += n
+        if held >= limit:
+            yield batch.slice(begin, i + 1 - begin)
+            begin, held = i + 1, 0
+    if begin < batch.num_rows:
+        yield batch.slice(begin)
+
+
+def map_texts(df: DataFrame, column: str, keep: list[str], added: str, make) -> DataFrame:
+    """The columns ``keep`` of ``df`` and ``added`` (a DDL string), which ``make(texts)``
+    returns as a list of Arrow arrays for a list of texts (null: empty). A kept column that
+    an added one has the name of is replaced."""
+    new = T.StructType.fromDDL(added)
+    names = {f.name.lower() for f in new}
+    keep = [c for c in keep if c.lower() not in names]
+    schema = T.StructType([df.schema[c] for c in keep] + list(new))
+    text = free_name(df, "_text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_slices(batch, text):
+                texts = [t or "" for t in part.column(text).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(keep))), *make(texts)],
+                                                 names=schema.names)
+
+    return df.select(*keep, F.col(column).alias(text)).mapInArrow(run, schema)

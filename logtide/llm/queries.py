@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality_rules, sharding, simhash
+from . import mixing, quality_rules, sentencepiece_codec, sharding, simhash
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +19,12 @@ def _register(fn):
     return fn
 
 
+def vocabulary(name: str) -> bytes:
+    """Content of a public tokenizer's file, read on the driver."""
+    with open(public_tokenizers.path(name), "rb") as f:
+        return f.read()
+
+
 @_register
 def op1_sharding(spark, sf_dir):
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), shards=16)
@@ -39,3 +46,8 @@ def op4_quality_rules(spark, sf_dir):
     judged = quality_rules.judge(read_table(spark, sf_dir, "documents"), labels.filter("quality = 1").select("doc_id"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                          "kept", "score")
+
+
+@_register
+def op3_sentencepiece(spark, sf_dir):
+    return sentencepiece_codec.digests(read_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
