@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality_rules, sentencepiece_codec, sharding, simhash
+from . import mixing, pii, quality_rules, sentencepiece_codec, sharding, simhash
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,8 @@ def op4_quality_rules(spark, sf_dir):
 @_register
 def op3_sentencepiece(spark, sf_dir):
     return sentencepiece_codec.digests(read_table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@_register
+def op2_pii(spark, sf_dir):
+    return pii.digests(read_table(spark, sf_dir, "documents"))
