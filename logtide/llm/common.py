@@ -94,3 +94,19 @@ def map_texts(df: DataFrame, column: str, keep: list[str], added: str, make) ->
                                                  names=schema.names)
 
     return df.select(*keep, F.col(column).alias(text)).mapInArrow(run, schema)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
+    """(doc_id, text, label) of the documents whose label is known: of ``labels`` (doc_id,
+    label) the ``most`` first by hash of the id, joined to whole texts by broadcast and
+    stored. Repeated labels count as the largest, repeated texts once, with their smallest id."""
+    known = (labels.filter("doc_id is not null and label is not null").groupBy("doc_id").agg(F.max("label").alias("label"))
+             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(known), "doc_id")
+    return stored(texts.groupBy("text").agg(F.min("doc_id").alias("doc_id"), F.max("label").alias("label"))
+                  .select("doc_id", "text", F.col("label").cast("int").alias("label")))
+
+
+def in_fold(doc_id: Column, parts: int, part: int) -> Column:
+    """Whether crc32 of the id as text leaves ``part`` modulo ``parts``; a null id is the empty text."""
+    return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(parts)) == part

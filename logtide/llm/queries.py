@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, pii, quality_rules, sentencepiece_codec, sharding, simhash
+from . import mixing, pii, quality_rules, sentencepiece_codec, sharding, simhash, toxicity
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,8 @@ def op3_sentencepiece(spark, sf_dir):
 @_register
 def op2_pii(spark, sf_dir):
     return pii.digests(read_table(spark, sf_dir, "documents"))
+
+
+@_register
+def op8_toxicity(spark, sf_dir):
+    return toxicity.judge_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
