@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, pii, quality_rules, sentencepiece_codec, sharding, simhash, toxicity
+from . import mixing, pii, quality_gam, quality_rules, sentencepiece_codec, sharding, simhash, toxicity
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,8 @@ def op2_pii(spark, sf_dir):
 @_register
 def op8_toxicity(spark, sf_dir):
     return toxicity.judge_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@_register
+def op6_quality(spark, sf_dir):
+    return quality_gam.judge_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
