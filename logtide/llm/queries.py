@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing, pii, quality_gam, quality_rules, sentencepiece_codec, sharding, simhash, toxicity
+from . import mixing, pii, quality_gam, quality_rules, sentencepiece_codec, sharding, simhash, topk_search, toxicity
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +67,26 @@ def op8_toxicity(spark, sf_dir):
 @_register
 def op6_quality(spark, sf_dir):
     return quality_gam.judge_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@_register
+def op5_topk_search(spark, sf_dir):
+    return topk_search.top_k(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 50 == 0, k=5)
+
+
+ORACLE_SQL["op5_topk_search"] = """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), s AS (
+        SELECT q.vec_id AS query_id, c.vec_id,
+               CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda x: x[1] * x[2])) AS BIGINT) AS score
+        FROM v q JOIN v c ON q.vec_id <> c.vec_id
+        WHERE q.vec_id % 50 = 0
+    )
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+           vec_id, score
+    FROM s QUALIFY rank <= 5
+"""
