@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pii, quality_gam, quality_rules, sentencepiece_codec, sharding, simhash, topk_search, toxicity
+from . import mixing, pii, quality_gam, quality_rules, sentencepiece_codec, sharding, simhash, token_store, topk_search, toxicity
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +74,11 @@ def op5_topk_search(spark, sf_dir):
     return topk_search.top_k(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 50 == 0, k=5)
 
 
+@_register
+def op10_token_store(spark, sf_dir):
+    return token_store.round_trip(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 ORACLE_SQL["op5_topk_search"] = """
     WITH v AS (
         SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
