@@ -84,7 +84,8 @@ def map_texts(df: DataFrame, column: str, keep: list[str], added: str, make) ->
     names = {f.name.lower() for f in new}
     keep = [c for c in keep if c.lower() not in names]
     schema = T.StructType([df.schema[c] for c in keep] + list(new))
-    text = free_name(df, "_text")
+    text = column if column in keep else free_name(df, "_text")
+    sent = df.select(*keep) if column in keep else df.select(*keep, F.col(column).alias(text))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -93,7 +94,7 @@ def map_texts(df: DataFrame, column: str, keep: list[str], added: str, make) ->
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(keep))), *make(texts)],
                                                  names=schema.names)
 
-    return df.select(*keep, F.col(column).alias(text)).mapInArrow(run, schema)
+    return sent.mapInArrow(run, schema)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:

@@ -115,3 +115,15 @@ def mix_documents(docs: DataFrame) -> DataFrame:
                          quality_weight(F.col("text")).alias("_quality"))
     mixed = mix(narrow, F.col("_words"), F.col("_quality"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def mixed_copies(docs: DataFrame) -> DataFrame:
+    """The mix as rows of ``docs``: each document as often as it is taken, the columns
+    unchanged. Rows that share a doc_id are taken equally often."""
+    doc_id, copies, each = (free_name(docs, c) for c in ("_doc_id", "_copies", "_copy"))
+    narrow = docs.select("doc_id", "source", word_count(F.col("text")).alias("_words"),
+                         quality_weight(F.col("text")).alias("_quality"))
+    taken = (mix(narrow, F.col("_words"), F.col("_quality")).filter("taken > 0")
+             .groupBy(F.col("doc_id").alias(doc_id)).agg(F.max((F.col("taken") / F.col("size")).cast("int")).alias(copies)))
+    return (docs.join(taken, F.col("doc_id").eqNullSafe(F.col(doc_id)))
+            .withColumn(each, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts
+from .common import free_name, map_texts
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, int]  # start, place in KINDS, end
@@ -243,11 +243,10 @@ def redacted(text: str) -> str:
 
 def redact(df: DataFrame, column: str) -> DataFrame:
     """``df`` with the spans of its text column replaced by their kinds; null stays null."""
-    nulls = F.col(column).isNull()
-    marked = df.withColumn("_null", nulls)
-    clean = map_texts(marked, column, marked.columns, "_clean string",
-                      lambda texts: [pa.array([redacted(t) for t in texts], pa.string())])
-    return clean.select(*[F.when(~F.col("_null"), F.col("_clean")).alias(c) if c == column else F.col(c) for c in df.columns])
+    clean = free_name(df, "_clean")
+    marked = map_texts(df, column, df.columns, f"{clean} string",
+                       lambda texts: [pa.array([redacted(t) for t in texts], pa.string())])
+    return marked.select(*[F.when(F.col(c).isNotNull(), F.col(clean)).alias(c) if c == column else F.col(c) for c in df.columns])
 
 
 def _joined(spans: Column) -> Column:
