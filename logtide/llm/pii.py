@@ -39,7 +39,7 @@ Span = tuple[int, int, int]  # start, place in KINDS, end
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)+")
+DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
@@ -62,7 +62,9 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
 def ips(text: str) -> Iterator[tuple[int, int]]:
     """Runs of dotted numbers taken four by four; parts over 255 drop the four."""
     for run in DOTTED.finditer(text):
-        parts, begin = run.group().split("."), run.start()
+        if "." not in (found := run.group()):
+            continue
+        parts, begin = found.split("."), run.start()
         for i in range(0, len(parts) - 3, 4):
             four = parts[i:i + 4]
             end = begin + sum(map(len, four)) + 3
@@ -257,6 +259,9 @@ def digests(docs: DataFrame) -> DataFrame:
     """doc_id, the base counts per kind, the hash of the base spans and all spans as text."""
     found = find(docs.select("doc_id", "text"), "text", keep=["doc_id"])
     base = F.filter("pii", lambda s: s["base"])
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
-    return found.select("doc_id", *counts, F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"),
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, KINDS), F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"),
                         _joined(F.col("pii")).alias("spans"))

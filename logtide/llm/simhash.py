@@ -10,7 +10,7 @@ for every choice of that many blocks, the fingerprints are grouped by the bits t
 the Hamming distance is verified within each group. Copies are one fingerprint from the
 start. A group of two is checked as it is counted. A larger group is dealt out in pairs of
 chunks of at most about CHUNK fingerprints, so no group meets in one task, and from each
-pair of chunks only a spanning forest of its links is returned, never all pairs.
+pair of chunks only its components are returned, a pair for each member, never all pairs.
 Components come from alternating large-star and small-star rounds over stored tables.
 
 Defined results: a null or wordless text has the fingerprint 0, linked like any other. A
@@ -81,7 +81,8 @@ def block_masks(blocks: int, distance: int) -> list[int]:
 
 
 def _near(f: np.ndarray, distance: int) -> Iterator[tuple[int, int]]:
-    """A spanning forest of the links among the fingerprints ``f``, as pairs (root, other)."""
+    """The components of the links among the fingerprints ``f``, as pairs (first, other): of
+    the first with each other one that links lead to."""
     left = np.arange(len(f))
     while len(left):
         root, left, front = left[0], left[1:], [left[0]]
