@@ -27,7 +27,15 @@ def main(argv=None) -> None:
         p.add_argument("output", help="output folder")
         p.add_argument("--compacted", action="store_true",
                        help="input is a table written by the compact command")
+        p.add_argument("--glob", default="*.log",
+                       help="names of the files to read; '*' reads every file in the tree")
+        if name == "usage":
+            p.add_argument("--top", type=int, default=5, help="clusters in the statistics")
+        if name == "messages":
+            p.add_argument("--top", type=int, default=10, help="slowest tasks and stages")
         if name == "levels":
+            p.add_argument("--sample", type=int, default=10, help="lines in the sample")
+            p.add_argument("--seed", type=int, default=42)
             p.add_argument("--errors", action="store_true", help="also write every ERROR line")
     p = sub.add_parser("compact")
     p.add_argument("output", help="Parquet table to write")
@@ -37,6 +45,7 @@ def main(argv=None) -> None:
     p.add_argument("output")
     p.add_argument("--year", type=int, required=True)
     p.add_argument("--months", default="1-12", help="e.g. 1-6 or 1,2,3")
+    p.add_argument("--accuracy", type=int, default=10000, help="of the approximate percentile")
     args = ap.parse_args(argv)
 
     builder = SparkSession.builder.appName(f"logtide-{args.job}")
@@ -47,11 +56,13 @@ def main(argv=None) -> None:
     spark = builder.getOrCreate()
     if args.job == "levels":
         out = jobs.levels_job(spark, args.input, args.output, errors=args.errors,
-                              compacted=args.compacted)
+                              compacted=args.compacted, glob=args.glob, sample_k=args.sample, seed=args.seed)
     elif args.job == "usage":
-        out = jobs.usage_job(spark, args.input, args.output, compacted=args.compacted)
+        out = jobs.usage_job(spark, args.input, args.output, compacted=args.compacted, glob=args.glob,
+                             top_k=args.top)
     elif args.job == "messages":
-        out = jobs.messages_job(spark, args.input, args.output, compacted=args.compacted)
+        out = jobs.messages_job(spark, args.input, args.output, compacted=args.compacted, glob=args.glob,
+                                slowest_k=args.top)
     elif args.job == "compact":
         out = {"roots": compact_logs(spark, args.roots, args.output, mode="overwrite"),
                "table": args.output}
@@ -62,7 +73,7 @@ def main(argv=None) -> None:
         else:
             months = [int(m) for m in args.months.split(",")]
         out = jobs.daily_job(spark, monthly_paths(args.base, args.year, months), args.output,
-                             year=args.year)
+                             year=args.year, accuracy=args.accuracy)
     print(json.dumps(out))
     spark.stop()
 

@@ -84,8 +84,9 @@ def container_role(path: str | Column = "file_path") -> Column:
             .otherwise(F.lit("")))
 
 
-def host(line: str | Column = "log_entry") -> Column:
-    return F.regexp_extract(_c(line), P.HOST, 1)
+def hosts(line: str | Column = "log_entry") -> Column:
+    """Every host a line names, once each."""
+    return F.array_distinct(F.regexp_extract_all(_c(line), F.lit(P.HOST), F.lit(1)))
 
 
 def epoch_millis_ntz(millis: Column) -> Column:
@@ -100,44 +101,11 @@ def extract_long(line: str | Column, pattern: str, idx: int) -> Column:
     return F.when(s != "", s.try_cast("bigint"))
 
 
-def with_log_fields(df, line: str = "log_entry", path: str = "file_path"):
-    """Add the parsed record columns. Unused ones are pruned by the optimizer."""
-    cols = {
-        "log_level": level(line),
-        "ts_text": timestamp_text(line),
-    }
-    if path in df.columns:
-        cols.update({
-            "cluster_id": cluster_id(path),
-            "app_id": app_id(path),
-        })
-    return df.withColumns(cols)
-
-
 # --- fixed-width codes ---------------------------------------------------------
 # Aggregation buffers of strings are not fixed-width, so Spark would aggregate
 # them by sorting. The codes below pack a short text into a long that decodes
 # back exactly, keeping aggregates on hash tables.
 
-_STAGE = r"^(\d+)\.(\d+)$"
-_ATTEMPT_BITS = 20
-
-
-def stage_code(stage: str | Column) -> Column:
-    """'<stage>.<attempt>' → stage·2^20 + attempt; NULL for other text."""
-    s = _c(stage)
-    sid = F.regexp_extract(s, _STAGE, 1).try_cast("bigint")
-    att = F.regexp_extract(s, _STAGE, 2).try_cast("bigint")
-    ok = sid.isNotNull() & att.isNotNull() & (att < (1 << _ATTEMPT_BITS))
-    return F.when(ok, F.shiftleft(sid, _ATTEMPT_BITS) + att)
-
-
-def stage_text(code: str | Column) -> Column:
-    c = _c(code)
-    return F.concat(F.shiftright(c, _ATTEMPT_BITS).cast("string"), F.lit("."),
-                    (c.bitwiseAND((1 << _ATTEMPT_BITS) - 1)).cast("string"))
-
-
 def head_code(ts_text: str | Column, level_text: str | Column) -> Column:
     """Entry head (timestamp text, level) → its 12 digits·8 + level number.
 

@@ -15,8 +15,6 @@ LEVEL_LOOSE = r"(INFO|WARN|ERROR|DEBUG)"
 COMPONENT = r"(INFO|WARN|ERROR|DEBUG)\s+([^:]+):"
 # timestamp text at the start of the line
 TIMESTAMP = r"^(\d{2}/\d{2}/\d{2} \d{2}:\d{2}:\d{2})"
-# timestamp format of the logs (two-digit year, 2000-2099)
-TIMESTAMP_FORMAT = "yy/MM/dd HH:mm:ss"
 
 # --- fixed values: path patterns ---------------------------------------------
 # cluster id (group 1) and zero-padded app number (group 2) from the folder
@@ -37,6 +35,7 @@ TASK_START = r"Running task (\S+) in stage (\S+) \(TID (\d+)\)"
 TASK_FINISH = r"Finished task (\S+) in stage (\S+) \(TID (\d+)\)"
 PYTHON_TIMES = r"Times: total = (-?\d+), boot = (-?\d+), init = (-?\d+), finish = (-?\d+)"
 RESOURCE_REQUEST = r"Will request (\d+) executor containers, each with (\d+) cores and (\d+) MB memory"
+CONTAINER_REQUEST = r"Container request \(host: ([^,]*), capability: <memory:(\d+), vCores:(\d+)>\)"
 SHUFFLE_FETCH = r"Getting (\d+) non-empty blocks out of (\d+) blocks"
 MEMORY_BLOCK = r"Block (\S+) stored as bytes in memory \(estimated size ([0-9.]+) (B|KB|MB|GB)"
 INPUT_SPLIT = r"Input split: (.*):(\d+)\+(\d+)$"

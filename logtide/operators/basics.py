@@ -6,10 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def range_source(spark: SparkSession, n: int) -> DataFrame:
-    return spark.range(n)
-
-
 def range_count(spark: SparkSession, n: int) -> DataFrame:
     return spark.range(n).agg(F.count(F.lit(1)).alias("total"))
 

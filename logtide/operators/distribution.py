@@ -17,9 +17,6 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 
-DENSITY_DECIMALS = 15
-GRID_DECIMALS = 9
-
 
 def bar_series(summary: DataFrame) -> DataFrame:
     """(cluster_id, num_applications) per cluster."""
@@ -83,11 +80,8 @@ def kde_curve(values: DataFrame, col: str = "duration_sec", points: int = P.KDE_
 
     Bandwidth by Scott's rule, ``h = sd · n^(-1/5)`` with the sample standard
     deviation. Values must be positive (log grid). No rows when n < 2 or
-    sd = 0. Grid points are rounded to ``GRID_DECIMALS`` places before the
-    kernel is evaluated (``10^y`` may differ in the last bit between math
-    libraries), and the density to ``DENSITY_DECIMALS`` places: the kernel sum
-    is a floating-point sum whose last bits depend on the order Spark adds
-    partitions in, and rounding makes the curve reproducible.
+    sd = 0. The kernel sum is a floating-point sum, so its last bits depend on the
+    order in which Spark adds partitions.
     """
     s = _stats(values, col)
     lo, hi, n, sd = s["lo"], s["hi"], s["n"], s["sd"]
@@ -100,9 +94,9 @@ def kde_curve(values: DataFrame, col: str = "duration_sec", points: int = P.KDE_
     norm = n.cast("double") * h * F.lit(math.sqrt(2.0 * math.pi))
     d = _weighted(values, col).filter((n >= 2) & (sd > 0))
     return (d.select("x", "w", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
-            .withColumn("grid_x", F.round(F.pow(F.lit(10.0), y), GRID_DECIMALS))
+            .withColumn("grid_x", F.pow(F.lit(10.0), y))
             .withColumn("k", F.col("w") * F.exp(F.lit(-0.5) * z * z))
             .groupBy("point", "grid_x").agg(F.sum("k").alias("k"))
             .select("point", F.col("grid_x").alias("x"),
-                    F.round(F.col("k") / norm, DENSITY_DECIMALS).alias("density"))
+                    (F.col("k") / norm).alias("density"))
             .orderBy("point"))

@@ -13,9 +13,13 @@ large share of all lines.
    batches of the same split.
 2. Lines with ``k > 0`` already know their entry: ``(split, k)``. Lines with
    ``k = 0`` sit before the first timestamp of their split; they continue the
-   last entry of the nearest earlier split that has one. That mapping comes
-   from a per-split table (one row per split, built by a JVM-only aggregate
-   pass), written once and broadcast behind a size check.
+   last entry of the nearest earlier split that has one. Only these lines are
+   joined with the per-split table that says so (one row per split, built by a
+   JVM-only aggregate pass); all others need no join.
+
+Lines that are not read from their files, such as a compacted table's, carry
+their block and their position in it; they are brought together per block and
+sorted by position first.
 
 An entry is identified by ``(file_path, entry_block, entry_k)``; text before a
 file's first timestamp forms the entry ``(first split, 0)``. Entry summaries
@@ -26,13 +30,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import parse
-from ..plans.broadcast import bounded_broadcast
-from ..plans.session import reuse
 
 _NUMBERED = T.StructType([
     T.StructField("file_path", T.StringType()),
@@ -91,17 +94,17 @@ def with_split_position(lines: DataFrame) -> DataFrame:
 
 
 def split_table(lines: DataFrame, line: str = "log_entry", path: str = "file_path",
-                block: str = "block") -> DataFrame:
+                block: str = "block", pos: str | None = None) -> DataFrame:
     """One row per split: entries starting in it and the head of its last entry.
 
-    A JVM-only pass with partial aggregation; the position inside a split is
-    ``monotonically_increasing_id``, which grows with the read order of a
-    partition.
+    A JVM-only pass with partial aggregation; without a ``pos`` column the position
+    inside a split is ``monotonically_increasing_id``, which grows with the read
+    order of a partition.
     """
     ts = parse.timestamp_text(line)
     src = lines.select(F.col(path).alias("file_path"), F.col(block).cast("long").alias("block"),
                        ts.alias("ts_text"), parse.level(line).alias("level"),
-                       F.monotonically_increasing_id().alias("pos"))
+                       (F.col(pos) if pos else F.monotonically_increasing_id()).alias("pos"))
     starts = F.col("ts_text") != ""
     # the head travels as a long code so the aggregate stays hash-based
     return (src.groupBy("file_path", "block")
@@ -123,47 +126,56 @@ def carry_table(splits: DataFrame) -> DataFrame:
 
 
 def number_entries(lines: DataFrame, line: str = "log_entry", path: str = "file_path",
-                   block: str = "block", max_splits: int = 2_000_000) -> DataFrame:
+                   block: str = "block", pos: str | None = None) -> DataFrame:
     """Every line with the entry it belongs to.
 
-    Input: lines in file order within each partition, with ``block`` telling
-    the split (see :func:`with_split_position`). Output columns:
+    Input: lines with ``block`` telling the split. Without ``pos`` they must be in file
+    order within each partition (see :func:`with_split_position`); with it, a column
+    that grows along a block, any order will do. Output columns:
     ``file_path, entry_block, entry_k, block, seq, log_entry, entry_ts_text,
     entry_level, continuation`` (``continuation`` is true for lines without
     their own timestamp).
-
-    The per-split table has one row per split (input size / split size); it
-    is written once and broadcast when it has at most ``max_splits`` rows,
-    otherwise joined by shuffle.
     """
-    carry = bounded_broadcast(reuse(carry_table(split_table(lines, line, path, block))),
-                              max_splits)
+    if pos is None and "_metadata" not in _hidden(lines):
+        raise ValueError("lines that are not a file scan need a position column")
     src = lines.select(F.col(path).alias("file_path"), F.col(block).cast("long").alias("block"),
                        F.col(line).alias("log_entry"),
                        parse.timestamp_text(line).alias("ts_text"),
-                       parse.level(line).alias("level"))
+                       parse.level(line).alias("level"),
+                       *([F.col(pos).alias("pos")] if pos else []))
+    if pos:
+        src = src.repartition("file_path", "block").sortWithinPartitions("file_path", "block", "pos")
     numbered = src.mapInPandas(_number_in_splits, _NUMBERED)
-    own = F.col("k") > 0
-    return (numbered.join(carry, ["file_path", "block"], "left")
-            .select("file_path",
-                    F.when(own, F.col("block"))
-                    .otherwise(F.coalesce(F.col("prev.b"), F.col("first_block"))).alias("entry_block"),
-                    F.when(own, F.col("k"))
-                    .otherwise(F.coalesce(F.col("prev.k"), F.lit(0).cast("long"))).alias("entry_k"),
-                    "block", "seq", "log_entry",
-                    F.when(own, F.col("entry_ts_text"))
-                    .otherwise(parse.head_ts_text("prev.head")).alias("entry_ts_text"),
-                    F.when(own, F.col("entry_level"))
-                    .otherwise(parse.head_level("prev.head")).alias("entry_level"),
-                    (parse.timestamp_text("log_entry") == "").alias("continuation")))
+    carry = carry_table(split_table(lines, line, path, block, pos))
+    out = ["file_path", "entry_block", "entry_k", "block", "seq", "log_entry", "entry_ts_text", "entry_level"]
+    own = numbered.filter("k > 0").withColumns({"entry_block": F.col("block"), "entry_k": F.col("k")}).select(*out)
+    heads = (numbered.filter("k = 0").join(carry, ["file_path", "block"], "left")
+             .withColumns({"entry_block": F.coalesce(F.col("prev.b"), F.col("first_block")),
+                           "entry_k": F.coalesce(F.col("prev.k"), F.lit(0).cast("long")),
+                           "entry_ts_text": parse.head_ts_text("prev.head"),
+                           "entry_level": parse.head_level("prev.head")}).select(*out))
+    return own.unionByName(heads).withColumn("continuation", parse.timestamp_text("log_entry") == "")
+
+
+def _hidden(lines: DataFrame) -> str:
+    """``_metadata`` where the lines come straight from a file scan."""
+    try:
+        lines.select("_metadata.file_block_start")
+    except AnalysisException:
+        return ""
+    return "_metadata"
 
 
 def entry_summary(numbered: DataFrame) -> DataFrame:
-    """One row per entry: first line, timestamp text, level and line count."""
-    pos = F.struct("block", "seq")
-    return (numbered.groupBy("file_path", "entry_block", "entry_k")
-            .agg(F.min_by("log_entry", pos).alias("first_line"),
-                 F.max("entry_ts_text").alias("entry_ts_text"),
-                 F.max("entry_level").alias("entry_level"),
-                 F.count(F.lit(1)).alias("lines"),
-                 F.count_if("continuation").alias("continuation_lines")))
+    """One row per entry: first line, timestamp text, level and line count.
+
+    The counts are a hash aggregate; first lines, one per entry, are joined to them
+    instead of being aggregated as strings, for which Spark would sort every line.
+    """
+    key = ["file_path", "entry_block", "entry_k"]
+    counts = numbered.groupBy(*key).agg(F.count(F.lit(1)).alias("lines"),
+                                        F.count_if("continuation").alias("continuation_lines"))
+    # an entry begins with its timestamped line, text before the first one with the file
+    first = ~F.col("continuation") | ((F.col("entry_k") == 0) & (F.col("block") == F.col("entry_block")) & (F.col("seq") == 0))
+    heads = numbered.filter(first).select(*key, F.col("log_entry").alias("first_line"), "entry_ts_text", "entry_level")
+    return heads.join(counts, key).select(*key, "first_line", "entry_ts_text", "entry_level", "lines", "continuation_lines")

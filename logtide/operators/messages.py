@@ -9,7 +9,7 @@ parse are skipped by the null-skipping aggregates rather than by a row
 filter, so each regex runs once per line; groups left empty are dropped
 after the aggregation. Numbers too large for a long (a corrupt line) become
 NULL through ``try_cast`` / ``try_multiply`` instead of failing the job. Grouping keys are
-(cluster, app) or (cluster, app, task id); partial aggregation runs before
+(cluster, app) or the task's key; partial aggregation runs before
 every shuffle, so one application holding most lines is no hot spot.
 """
 
@@ -31,20 +31,22 @@ def _app_cols(path: str = "file_path"):
 # --- tasks --------------------------------------------------------------------
 
 def tasks(lines: DataFrame, line: str = "log_entry", path: str = "file_path") -> DataFrame:
-    """One row per task (cluster, app, tid): stage, first start, last finish.
+    """One row per task: first start, last finish.
 
-    Start and finish lines are paired with one aggregation on the task key
+    Task ids restart with each attempt of an application, so a task is (cluster, app,
+    attempt, tid, stage text); both messages carry the stage and the attempt is in the
+    file name. Start and finish lines are paired with one aggregation on this key
     instead of a self-join: conditional ``min``/``max`` pick the start and
     finish times, so the input is shuffled once and no pair is ever emitted.
-    ``start_time`` / ``end_time`` are NULL when the task has no such line;
-    ``stage`` is the '<stage>.<attempt>' of its start line (NULL if that text
-    has another form).
+    ``start_time`` / ``end_time`` are NULL when the task has no such line.
     """
+    started_in = F.regexp_extract(F.col(line), P.TASK_START, 2)
+    finished_in = F.regexp_extract(F.col(line), P.TASK_FINISH, 2)
     ev = (lines.filter(F.col(line).contains("(TID "))
-          .select(*_app_cols(path),
+          .select(*_app_cols(path), parse.container_attempt(path).alias("attempt"),
                   parse.log_timestamp(line).alias("ts"),
                   parse.extract_long(line, P.TASK_START, 3).alias("start_tid"),
-                  parse.stage_code(F.regexp_extract(F.col(line), P.TASK_START, 2)).alias("start_stage"),
+                  F.concat(started_in, finished_in).alias("stage"),  # a line has one of them at most
                   parse.extract_long(line, P.TASK_FINISH, 3).alias("finish_tid"))
           .withColumn("tid", F.coalesce("start_tid", "finish_tid")))
     started = F.col("start_tid").isNotNull()
@@ -52,17 +54,12 @@ def tasks(lines: DataFrame, line: str = "log_entry", path: str = "file_path") ->
     # lines that are neither start nor finish form one NULL-tid group per app,
     # dropped after the aggregation (on an aggregate, so the optimizer does not
     # push it back below as a second regex evaluation per line)
-    # the stage is aggregated as a long code (a string min would make Spark
-    # aggregate by sorting) and turned back into its text afterwards
-    return (ev.groupBy(*APP, "tid")
-            .agg(F.min(F.when(started, F.col("start_stage"))).alias("stage_code"),
-                 F.min(F.when(started, F.col("ts"))).alias("start_time"),
+    return (ev.groupBy(*APP, "attempt", "tid", "stage")
+            .agg(F.min(F.when(started, F.col("ts"))).alias("start_time"),
                  F.max(F.when(finished, F.col("ts"))).alias("end_time"),
                  F.count_if(started).alias("start_lines"),
                  F.count_if(finished).alias("finish_lines"))
-            .filter(F.col("start_lines") + F.col("finish_lines") > 0)
-            .withColumn("stage", parse.stage_text("stage_code"))
-            .drop("stage_code"))
+            .filter(F.col("start_lines") + F.col("finish_lines") > 0))
 
 
 def finished(tasks_df: DataFrame) -> DataFrame:
@@ -88,24 +85,24 @@ def durations_of(times: DataFrame) -> DataFrame:
 
 def unfinished_of(tasks_df: DataFrame) -> DataFrame:
     return (tasks_df.filter((F.col("start_lines") > 0) & (F.col("finish_lines") == 0))
-            .select(*APP, "tid", "stage", "start_time"))
+            .select(*APP, "attempt", "tid", "stage", "start_time"))
 
 
 def slowest_tasks_of(times: DataFrame, k: int = 10) -> DataFrame:
-    return (times.select(*APP, "tid", "stage", "duration_sec")
-            .orderBy(F.desc("duration_sec"), *APP, "tid").limit(k))
+    return (times.select(*APP, "attempt", "tid", "stage", "duration_sec")
+            .orderBy(F.desc("duration_sec"), *APP, "attempt", "tid", "stage").limit(k))
 
 
 def slowest_stages_of(times: DataFrame, k: int = 10) -> DataFrame:
-    return (times.groupBy(*APP, "stage")
+    return (times.groupBy(*APP, "attempt", "stage")
             .agg(F.count(F.lit(1)).alias("num_tasks"),
                  F.sum("duration_sec").alias("task_sec"),
                  F.timestamp_diff("SECOND", F.min("start_time"), F.max("end_time")).alias("span_sec"))
-            .orderBy(F.desc("span_sec"), *APP, "stage").limit(k))
+            .orderBy(F.desc("span_sec"), *APP, "attempt", "stage").limit(k))
 
 
 def stage_skew_of(times: DataFrame) -> DataFrame:
-    return (times.groupBy(*APP, "stage")
+    return (times.groupBy(*APP, "attempt", "stage")
             .agg(F.count(F.lit(1)).alias("num_tasks"),
                  F.max("duration_sec").alias("max_task_sec"),
                  F.percentile("duration_sec", 0.5).alias("median_task_sec"))
@@ -125,19 +122,19 @@ def unfinished_tasks(lines: DataFrame, line: str = "log_entry", path: str = "fil
 
 def slowest_tasks(lines: DataFrame, k: int = 10, line: str = "log_entry",
                   path: str = "file_path") -> DataFrame:
-    """The ``k`` longest finished tasks (top-k, ties by cluster, app, tid)."""
+    """The ``k`` longest finished tasks (top-k, ties by cluster, app, attempt, tid, stage)."""
     return slowest_tasks_of(task_times(lines, line, path), k)
 
 
 def slowest_stages(lines: DataFrame, k: int = 10, line: str = "log_entry",
                    path: str = "file_path") -> DataFrame:
     """The ``k`` stages with the longest span (first task start to last finish),
-    with their finished tasks and summed task seconds; ties by cluster, app, stage."""
+    with their finished tasks and summed task seconds; ties by cluster, app, attempt, stage."""
     return slowest_stages_of(task_times(lines, line, path), k)
 
 
 def stage_skew(lines: DataFrame, line: str = "log_entry", path: str = "file_path") -> DataFrame:
-    """Per (cluster, app, stage): tasks, max and median duration, max / median.
+    """Per (cluster, app, attempt, stage): tasks, max and median duration, max / median.
 
     The exact median keeps a value → count map per stage, so its memory grows
     with the distinct durations (whole seconds), not with the task count.
@@ -187,6 +184,21 @@ def resource_requests(lines: DataFrame, line: str = "log_entry", path: str = "fi
             .filter(F.col("requests") > 0))
 
 
+def container_requests(lines: DataFrame, line: str = "log_entry", path: str = "file_path") -> DataFrame:
+    """Container requests per application and asked-for host: requests, memory and cores."""
+    m = (lines.filter(F.col(line).contains("Container request (host:"))
+         .select(*_app_cols(path),
+                 F.regexp_extract(F.col(line), P.CONTAINER_REQUEST, 1).alias("host"),
+                 parse.extract_long(line, P.CONTAINER_REQUEST, 2).alias("memory_mb"),
+                 parse.extract_long(line, P.CONTAINER_REQUEST, 3).alias("cores")))
+    return (m.groupBy(*APP, "host")
+            .agg(F.count("memory_mb").alias("requests"),
+                 F.sum("memory_mb").alias("memory_mb_requested"),
+                 F.max("memory_mb").alias("max_memory_mb"),
+                 F.sum("cores").alias("cores_requested"))
+            .filter(F.col("requests") > 0))
+
+
 def failure_rates(lines: DataFrame, line: str = "log_entry", path: str = "file_path") -> DataFrame:
     """Per application: lines, ERROR lines and their share."""
     m = lines.select(*_app_cols(path), (parse.level(line) == "ERROR").alias("is_error"))

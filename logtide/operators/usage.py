@@ -16,8 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import parse
-from ..plans.broadcast import bounded_broadcast, broadcast_single_row
-from ..plans.session import reuse
 
 
 def timestamped_lines(lines: DataFrame, line: str = "log_entry",
@@ -95,19 +93,16 @@ def top_clusters(summary: DataFrame, k: int = 5) -> DataFrame:
             .orderBy(F.desc("num_applications"), F.asc("cluster_id")).limit(k))
 
 
-def largest_cluster_apps(timeline: DataFrame, materialize: bool = True) -> DataFrame:
+def largest_cluster_apps(timeline: DataFrame) -> DataFrame:
     """Applications of the cluster with most applications, positive durations only.
 
     The top cluster is a ``limit(1)`` result, so broadcasting it is safe; the
     timeline keeps its partitioning and is filtered by a broadcast semi-join.
-    The timeline (one row per application) is read by both sides, so it is
-    materialised once instead of scanning the logs twice (pass
-    ``materialize=False`` when it already is).
+    Both sides read the timeline (one row per application); its exchange is planned
+    once and reused.
     """
-    if materialize:
-        timeline = reuse(timeline)
     top1 = top_clusters(cluster_summary(timeline, ordered=False), 1).select("cluster_id")
-    return (timeline.join(broadcast_single_row(top1), "cluster_id", "left_semi")
+    return (timeline.join(F.broadcast(top1), "cluster_id", "left_semi")
             .filter(F.col("duration_sec") > 0))
 
 
@@ -135,15 +130,10 @@ def cluster_lookup(timeline: DataFrame) -> DataFrame:
                         parse.epoch_millis_ntz(F.col("cluster_id").try_cast("bigint"))))
 
 
-def with_cluster_lookup(timeline: DataFrame, max_lookup_rows: int = 100_000) -> DataFrame:
-    """Timeline left-joined to the cluster lookup, broadcast only if it is small.
-
-    The timeline (one row per application) is materialised so that the size
-    check of the lookup and the join read it once.
-    """
-    tl = reuse(timeline)
-    lookup = bounded_broadcast(cluster_lookup(tl), max_lookup_rows)
-    return tl.join(lookup, "cluster_id", "left")
+def with_cluster_lookup(timeline: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Timeline left-joined to ``lookup`` (cluster_id, ...). Adaptive execution broadcasts the
+    lookup if its measured size allows."""
+    return timeline.join(lookup, "cluster_id", "left")
 
 
 def cluster_start(lines: DataFrame, path: str = "file_path") -> DataFrame:
@@ -168,14 +158,14 @@ def cluster_share(lines: DataFrame, path: str = "file_path") -> DataFrame:
         parse.app_id("file_path").alias("app_id"),
         parse.container_id("file_path").alias("container_id"),
         "log_lines")
-    per = reuse(files.groupBy("cluster_id")
-                .agg(F.count_distinct(F.when(F.col("app_id") != "", F.col("app_id")))
-                     .alias("num_applications"),
-                     F.count_distinct(F.when(F.col("container_id") != "", F.col("container_id")))
-                     .alias("num_containers"),
-                     F.sum("log_lines").cast("bigint").alias("log_lines")))
-    # totals as one scalar subquery over the materialised per-cluster table:
-    # partial sums per task, no step moves all cluster rows into one task
+    per = (files.groupBy("cluster_id")
+           .agg(F.count_distinct(F.when(F.col("app_id") != "", F.col("app_id")))
+                .alias("num_applications"),
+                F.count_distinct(F.when(F.col("container_id") != "", F.col("container_id")))
+                .alias("num_containers"),
+                F.sum("log_lines").cast("bigint").alias("log_lines")))
+    # totals as one scalar subquery over the same grouped plan, whose exchange is
+    # reused: partial sums per task, no step moves all cluster rows into one task
     tot = per.agg(F.struct(*[F.sum(c).alias(c) for c in
                              ("num_applications", "num_containers", "log_lines")])).scalar()
 
@@ -187,11 +177,14 @@ def cluster_share(lines: DataFrame, path: str = "file_path") -> DataFrame:
                       "log_lines", share("log_lines").alias("line_share"))
 
 
-def host_lines(lines: DataFrame, line: str = "log_entry") -> DataFrame:
-    """Lines mentioning each cluster host (mesos-slave-N / mesos-master-N)."""
-    return (lines.select(parse.host(line).alias("host"))
-            .filter(F.col("host") != "")
-            .groupBy("host").agg(F.count(F.lit(1)).alias("log_lines"))
+def host_lines(lines: DataFrame, line: str = "log_entry", path: str = "file_path") -> DataFrame:
+    """Per cluster host (mesos-slave-N / mesos-master-N): lines and container files that
+    mention it. A line counts once for every host it names. Lines are counted per host
+    and file first, so a host named in most lines is one row per task and file."""
+    per_file = (lines.select(F.col(path).alias("file_path"), F.explode(parse.hosts(line)).alias("host"))
+                .groupBy("host", "file_path").agg(F.count(F.lit(1)).alias("n")))
+    return (per_file.groupBy("host")
+            .agg(F.sum("n").alias("log_lines"), F.count(F.lit(1)).alias("containers"))
             .orderBy(F.desc("log_lines"), "host"))
 
 

@@ -15,9 +15,10 @@ LOG_LINES = r"""
 log_lines as (
 with g as (select *, cast(floor(event_id/2.0) as bigint) g, event_id % 10 r from events),
 a as (select *, cast(floor(sqrt(cast(g as double))) as bigint) app from g),
+m as (select *, cast(floor(g/5.0) as bigint) m, cast(floor(floor(g/5.0)/2.0) as bigint) tid from a),
 b as (select *, concat(case when app % 16 < 14 then '1485248649253' when app % 16 = 14 then '1472621869829' else '1448006111297' end,'_',lpad(cast(app as varchar),4,'0')) ca, strftime(ts,'%y/%m/%d %H:%M:%S') t,
- concat(cast(g % 8 as varchar),'.0 in stage ',cast(g % 16 as varchar),'.0 (TID ',cast(g as varchar),')') task from a)
-select event_id, concat('application_',ca,'/container_',ca,'_01_',lpad(cast(1+g%7 as varchar),6,'0'),'.log') file_path,
+ concat(cast(tid % 8 as varchar),'.0 in stage ',cast(tid % 16 as varchar),'.0 (TID ',cast(tid as varchar),')') task from m)
+select event_id, concat('application_',ca,'/container_',ca,'_0',cast(1+m%2 as varchar),'_',lpad(cast(1+g%7 as varchar),6,'0'),'.log') file_path,
  case r when 0 then concat(t,' INFO executor.Executor: Running task ',task)
  when 1 then case when event_type='error' then concat(t,' ERROR executor.Executor: Exception in task ',task) else concat(t,' INFO executor.Executor: Finished task ',task,'. 2364 bytes result sent to driver') end
  when 2 then concat(t,' INFO python.PythonRunner: Times: total = ',cast(user_id*10+20 as varchar),', boot = -12, init = 50, finish = ',cast(user_id as varchar))
@@ -25,9 +26,9 @@ select event_id, concat('application_',ca,'/container_',ca,'_01_',lpad(cast(1+g%
  when 4 then concat(t,' INFO storage.MemoryStore: Block rdd_',cast(g as varchar),'_25 stored as bytes in memory (estimated size ',cast(user_id as varchar),'.0 ',case when user_id%2=0 then 'KB' else 'MB' end,', free 4.5 GB)')
  when 5 then concat(t,' WARN YarnAllocator: Container request (host: Any, capability: <memory:',cast(1024*(1+user_id%28) as varchar),', vCores:5>)')
  when 6 then concat(t,' INFO storage.ShuffleBlockFetcherIterator: Getting ',cast(user_id as varchar),' non-empty blocks out of ',cast(user_id+50 as varchar),' blocks')
- when 7 then concat(t,' INFO rdd.HadoopRDD: Input split: hdfs://10.10.34.11:9000/in/f.txt:',cast(g*1024 as varchar),'+1024')
+ when 7 then concat(t,' INFO rdd.HadoopRDD: Input split: hdfs://namenode.example/in/f.txt:',cast(g*1024 as varchar),'+1024')
  when 8 then '    at foo.Bar(INFORMATION.java:1)'
- else concat(t,' DEBUG broadcast.TorrentBroadcast: retry after ERROR in variable ',cast(g as varchar)) end log_entry from b
+ else concat(t,' DEBUG broadcast.TorrentBroadcast: retry after ERROR in variable ',cast(g as varchar),' from mesos-slave-',cast(g % 20 as varchar),' via mesos-master-1') end log_entry from b
 )"""
 
 # parsed record, mirrors logtide.functions.parse
@@ -251,9 +252,17 @@ from (select cluster_id, count(distinct nullif(app_id, '')) num_applications,
   from files group by cluster_id)""", FILES)
 
 SQL["host_lines"] = with_logs(r"""
-select host, count(*) as log_lines from
- (select regexp_extract(log_entry, '(mesos-(?:slave|master)-\d+)', 1) host from log_lines)
-where host <> '' group by host order by log_lines desc, host""")
+select host, count(*) as log_lines, count(distinct file_path) as containers from
+ (select file_path, unnest(list_distinct(regexp_extract_all(log_entry, '(mesos-(?:slave|master)-\d+)', 1))) host from log_lines)
+group by host order by log_lines desc, host""")
+
+SQL["log_entries"] = with_logs(r"""
+select file_path, arg_min(log_entry, event_id) as first_line, max(nullif(ts_text, '')) as entry_ts_text,
+ max(case when ts_text <> '' then log_level end) as entry_level,
+ count(*) as lines, count(*) filter (where ts_text = '') as continuation_lines
+from (select *, sum(case when ts_text <> '' then 1 else 0 end)
+  over (partition by file_path order by event_id rows unbounded preceding) e from parsed)
+group by file_path, e""")
 
 SQL["cluster_bar"] = with_logs(
     "select cluster_id, num_applications from clusters order by cluster_id", TIMELINE, CLUSTERS)
@@ -285,12 +294,12 @@ from largest
 )""")
 
 SQL["duration_kde"] = with_logs("""
-select g.point, g.x, round(sum(exp(-0.5 * ((g.x - d.x) / s.h) * ((g.x - d.x) / s.h)))
-   / (cast(s.n as double) * s.h * sqrt(2 * pi())), 15) as density
+select g.point, round(g.x, 3) as x, round(sum(exp(-0.5 * ((g.x - d.x) / s.h) * ((g.x - d.x) / s.h)))
+   / (cast(s.n as double) * s.h * sqrt(2 * pi())), 12) as density
 from kstats s,
  (select cast(i as integer) point,
-   round(pow(10.0, case when i = 499 then log10(s.hi)
-            else cast(i as double) * ((log10(s.hi) - log10(s.lo)) / 499.0) + log10(s.lo) end), 9) x
+   pow(10.0, case when i = 499 then log10(s.hi)
+            else cast(i as double) * ((log10(s.hi) - log10(s.lo)) / 499.0) + log10(s.lo) end) x
   from kstats s, range(0, 500) r(i)) g,
  (select cast(duration_sec as double) x from largest) d
 where s.n >= 2 and s.sd > 0
@@ -304,24 +313,25 @@ from largest
 
 TASKS = r"""
 task_lines as (
-select cluster_id, app_id, ts,
+select cluster_id, app_id, regexp_extract(file_path, 'container_(\d+)_(\d+)_(\d+)_(\d+)', 3) attempt, ts,
  try_cast(nullif(regexp_extract(log_entry, 'Running task (\S+) in stage (\S+) \(TID (\d+)\)', 3), '') as bigint) start_tid,
- regexp_extract(log_entry, 'Running task (\S+) in stage (\S+) \(TID (\d+)\)', 2) start_stage,
+ concat(regexp_extract(log_entry, 'Running task (\S+) in stage (\S+) \(TID (\d+)\)', 2),
+  regexp_extract(log_entry, 'Finished task (\S+) in stage (\S+) \(TID (\d+)\)', 2)) stage,
  try_cast(nullif(regexp_extract(log_entry, 'Finished task (\S+) in stage (\S+) \(TID (\d+)\)', 3), '') as bigint) finish_tid
 from stamped where contains(log_entry, '(TID ')
 ),
 starts as (
-select cluster_id, app_id, start_tid tid, min(start_stage) stage, min(ts) start_time, count(*) n
+select cluster_id, app_id, attempt, start_tid tid, stage, min(ts) start_time, count(*) n
 from task_lines where start_tid is not null group by all
 ),
 finishes as (
-select cluster_id, app_id, finish_tid tid, max(ts) end_time, count(*) n
+select cluster_id, app_id, attempt, finish_tid tid, stage, max(ts) end_time, count(*) n
 from task_lines where finish_tid is not null group by all
 ),
 task_times as (
-select s.cluster_id, s.app_id, s.tid, s.stage, s.start_time, f.end_time,
+select s.cluster_id, s.app_id, s.attempt, s.tid, s.stage, s.start_time, f.end_time,
  date_diff('second', s.start_time, f.end_time) duration_sec
-from starts s join finishes f using (cluster_id, app_id, tid)
+from starts s join finishes f using (cluster_id, app_id, attempt, tid, stage)
 where s.start_time is not null and f.end_time is not null
 )"""
 
@@ -331,24 +341,24 @@ select cluster_id, app_id, count(*) as num_tasks, avg(duration_sec) as avg_task_
 from task_times group by cluster_id, app_id""", TASKS)
 
 SQL["unfinished_tasks"] = with_logs("""
-select s.cluster_id, s.app_id, s.tid, s.stage, s.start_time from starts s
-anti join finishes f using (cluster_id, app_id, tid)""", TASKS)
+select s.cluster_id, s.app_id, s.attempt, s.tid, s.stage, s.start_time from starts s
+anti join finishes f using (cluster_id, app_id, attempt, tid, stage)""", TASKS)
 
 SQL["slowest_tasks"] = with_logs("""
-select cluster_id, app_id, tid, stage, duration_sec from task_times
-order by duration_sec desc, cluster_id, app_id, tid limit 10""", TASKS)
+select cluster_id, app_id, attempt, tid, stage, duration_sec from task_times
+order by duration_sec desc, cluster_id, app_id, attempt, tid, stage limit 10""", TASKS)
 
 SQL["slowest_stages"] = with_logs("""
-select cluster_id, app_id, stage, count(*) as num_tasks, cast(sum(duration_sec) as bigint) as task_sec,
+select cluster_id, app_id, attempt, stage, count(*) as num_tasks, cast(sum(duration_sec) as bigint) as task_sec,
  date_diff('second', min(start_time), max(end_time)) as span_sec
-from task_times group by cluster_id, app_id, stage
-order by span_sec desc, cluster_id, app_id, stage limit 10""", TASKS)
+from task_times group by cluster_id, app_id, attempt, stage
+order by span_sec desc, cluster_id, app_id, attempt, stage limit 10""", TASKS)
 
 SQL["stage_skew"] = with_logs("""
-select cluster_id, app_id, stage, count(*) as num_tasks, max(duration_sec) as max_task_sec,
+select cluster_id, app_id, attempt, stage, count(*) as num_tasks, max(duration_sec) as max_task_sec,
  quantile_cont(duration_sec, 0.5) as median_task_sec,
  cast(max(duration_sec) as double) / nullif(quantile_cont(duration_sec, 0.5), 0) as skew
-from task_times group by cluster_id, app_id, stage""", TASKS)
+from task_times group by cluster_id, app_id, attempt, stage""", TASKS)
 
 SQL["python_timings"] = with_logs(r"""
 select cluster_id, app_id, count(*) as runs, cast(sum(total) as bigint) as sum_total,
@@ -374,6 +384,15 @@ from (select cluster_id, app_id,
  from parsed where contains(log_entry, 'Will request'))
 where executors is not null group by cluster_id, app_id""")
 
+SQL["container_requests"] = with_logs(r"""
+select cluster_id, app_id, host, count(*) as requests, cast(sum(memory_mb) as bigint) as memory_mb_requested,
+ max(memory_mb) as max_memory_mb, cast(sum(cores) as bigint) as cores_requested
+from (select cluster_id, app_id, regexp_extract(log_entry, 'Container request \(host: ([^,]*), capability: <memory:(\d+), vCores:(\d+)>\)', 1) host,
+  try_cast(nullif(regexp_extract(log_entry, 'Container request \(host: ([^,]*), capability: <memory:(\d+), vCores:(\d+)>\)', 2), '') as bigint) memory_mb,
+  try_cast(nullif(regexp_extract(log_entry, 'Container request \(host: ([^,]*), capability: <memory:(\d+), vCores:(\d+)>\)', 3), '') as bigint) cores
+ from parsed)
+where memory_mb is not null group by cluster_id, app_id, host""")
+
 SQL["failure_rates"] = with_logs("""
 select cluster_id, app_id, count(*) as log_lines, count(*) filter (where log_level = 'ERROR') as error_lines,
  cast(count(*) filter (where log_level = 'ERROR') as double) / cast(count(*) as double) as error_rate
@@ -439,8 +458,6 @@ select count(*) as num_days, cast(min(make_date(dt_year, dt_month, dt_day)) as t
  cast(max(make_date(dt_year, dt_month, dt_day)) as timestamp) as last_date, cast(sum(num_trips) as bigint) as total_trips,
  avg(num_trips) as avg_daily_trips from daily""", "daily as (" + DAILY.format(where=YEAR_1997) + ")")
 
-SQL["range_count"] = "select count(*) as total from range((select count(*) from events))"
-
 SQL["sql_count"] = with_logs("select count(*) as total from log_lines")
 
 SQL["even_doubled"] = "select event_id * 2 as doubled from events where event_id % 2 = 0"

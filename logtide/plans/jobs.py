@@ -1,9 +1,10 @@
 """End-to-end jobs: the three analyses with all their outputs.
 
-Each job reads its input once for all of its aggregate outputs: the first
-aggregate (level groups, application timeline, daily summary) is small by
-construction and is materialised, and every other output derives from it.
-Only results of bounded size are coalesced into single files.
+The first aggregate of a job (level groups, application timeline, daily summary, tasks)
+is stored once and its other aggregate outputs derive from it; row-level outputs
+(sample, ERROR lines, application report, parse quality) scan the input again. Only
+results with a row per level, cluster, day or chart point, and top-k results, are
+coalesced into single files.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import patterns as P
 from ..operators import daily, distribution, levels, messages, usage
-from ..sources.logs import read_compacted, read_log_lines
+from ..sources.logs import read_compacted, read_log_lines, with_position
 from ..sources.trips import read_trips_unified
 from .session import reuse, scratch
 from .sinks import write_csv, write_text
@@ -46,7 +47,9 @@ def _levels_job(spark: SparkSession, input_root: str, output_root: str, *,
         write_text(levels.error_lines(lines), out["all_errors"], column="log_entry",
                    single_file=False)
     write_csv(levels.counts_from_groups(groups), out["level_counts"], single_file=True)
-    sample = levels.sample_lines(lines, key=["file_path", "log_entry"], k=sample_k, seed=seed)
+    # repeated lines are lines of their own: the place they are read from tells them apart
+    placed = lines if "pos" in lines.columns else with_position(lines)
+    sample = levels.sample_lines(placed, key=["file_path", "block", "pos"], k=sample_k, seed=seed)
     write_csv(sample, out["level_sample"], single_file=True)
     summary = levels.summary_from_groups(groups)
     write_csv(summary, out["level_summary"], single_file=True)
@@ -82,11 +85,11 @@ def _usage_job(spark: SparkSession, input_root: str, output_root: str, *,
     names = ("app_timeline", "cluster_summary", "usage_stats",
              "cluster_bar", "duration_histogram", "duration_density")
     out = {k: _out(output_root, k) for k in names}
-    write_csv(timeline.orderBy("cluster_id", "start_time"), out["app_timeline"], single_file=True)
+    write_csv(timeline.orderBy("cluster_id", "start_time"), out["app_timeline"])
     write_csv(summary, out["cluster_summary"], single_file=True)
     write_text(stats_text(timeline, top_k), out["usage_stats"])
     write_csv(distribution.bar_series(summary), out["cluster_bar"], single_file=True)
-    apps = reuse(usage.largest_cluster_apps(timeline, materialize=False).select("duration_sec"))
+    apps = reuse(usage.largest_cluster_apps(timeline).select("duration_sec"))
     write_csv(distribution.histogram(spark, apps), out["duration_histogram"], single_file=True)
     write_csv(distribution.kde_curve(apps), out["duration_density"], single_file=True)
     return out
@@ -116,11 +119,10 @@ def _messages_job(spark: SparkSession, input_root: str, output_root: str, *,
     names = ("app_report", "task_durations", "unfinished_tasks", "stage_skew", "slowest_tasks",
              "slowest_stages", "parse_quality")
     out = {k: _out(output_root, k) for k in names}
-    write_csv(messages.app_report(lines).orderBy("cluster_id", "app_id"), out["app_report"],
-              single_file=True)
+    write_csv(messages.app_report(lines).orderBy("cluster_id", "app_id"), out["app_report"])
     tasks = reuse(messages.tasks(lines))
     done = messages.finished(tasks)
-    write_csv(messages.durations_of(done), out["task_durations"], single_file=True)
+    write_csv(messages.durations_of(done), out["task_durations"])
     write_csv(messages.unfinished_of(tasks), out["unfinished_tasks"])
     write_csv(messages.stage_skew_of(done), out["stage_skew"])
     write_csv(messages.slowest_tasks_of(done, slowest_k), out["slowest_tasks"], single_file=True)

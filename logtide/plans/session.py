@@ -8,7 +8,7 @@ when the session has none, as in local tests.
 from __future__ import annotations
 
 import contextlib
-import hashlib
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +21,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # percentile sketches: hash aggregation for this many groups a task, not 128
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
 }
 
 
@@ -34,13 +36,6 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
         return None
 
 
-def parallelism(spark: SparkSession, default: int = 8) -> int:
-    try:
-        return spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - no SparkContext (e.g. a Connect session)
-        return int(spark.conf.get("spark.default.parallelism", str(default)))
-
-
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     """Use the session's checkpoint folder; set ``fallback`` only when none is set."""
     d = checkpoint_dir(spark)
@@ -58,9 +53,10 @@ def scratch(spark: SparkSession):
     """Tables made by :func:`reuse` inside the block go to one folder that is
     deleted when the block ends (a job's intermediates, not its outputs)."""
     root = checkpoint_dir(spark)
-    if not root or not hasattr(spark, "_jvm"):
-        yield None  # intermediates go to the default reuse folder
-        return
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="logtide-ckpt-"))
     folder = f"{root.rstrip('/')}/logtide_reuse/job-{uuid.uuid4().hex}"
     _SCRATCH.append(folder)
     try:
@@ -78,15 +74,13 @@ def reuse(df: DataFrame) -> DataFrame:
     Written once as a Parquet table in the checkpoint folder and read back:
     one job computes it (``Dataset.checkpoint`` on an unpersisted plan would
     compute it twice), later readers survive executor loss without
-    recomputation, and the lineage is cut. Without a checkpoint folder the
-    result is persisted, so lost blocks are recomputed from lineage.
+    recomputation, and the lineage is cut. Used inside :func:`scratch` only, which
+    deletes the table.
     """
     spark = df.sparkSession
-    root = checkpoint_dir(spark)
-    if not root:
-        return df.persist()
-    base = _SCRATCH[-1] if _SCRATCH else f"{root.rstrip('/')}/logtide_reuse"
-    path = f"{base}/{uuid.uuid4().hex}"
+    if not _SCRATCH:
+        raise ValueError("results are kept for a job only")
+    path = f"{_SCRATCH[-1]}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.parquet(path)
 
@@ -98,43 +92,6 @@ def _fs(spark: SparkSession, path: str):
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path, or anything that a glob stands for, exists."""
     p, fs = _fs(spark, path)
-    return bool(fs.exists(p))
-
-
-def source_key(spark: SparkSession, path: str) -> str:
-    """Key that changes when the source file changes (path, size, modification time)."""
-    p, fs = _fs(spark, path)
-    st = fs.getFileStatus(p)
-    raw = f"{fs.makeQualified(p).toString()}|{st.getLen()}|{st.getModificationTime()}"
-    return hashlib.sha1(raw.encode()).hexdigest()[:16]
-
-
-def materialized(spark: SparkSession, name: str, source: str, build) -> DataFrame:
-    """Read ``name`` derived from ``source`` from the checkpoint folder, writing it once.
-
-    ``build()`` returns the DataFrame to write. Without a checkpoint folder the
-    DataFrame is returned as built.
-    """
-    root = checkpoint_dir(spark)
-    if not root or not hasattr(spark, "_jvm"):
-        return build()  # no shared folder, or no JVM file-system access here
-    target = f"{root.rstrip('/')}/logtide_tables/{name}_{source_key(spark, source)}"
-    # the folder name changes with the source, so a table opened once in this
-    # session stays valid; keep it instead of listing and reading its schema again
-    opened = spark.__dict__.setdefault("_logtide_opened", {})
-    if target in opened:
-        return opened[target]
-    if not path_exists(spark, f"{target}/_SUCCESS"):
-        # write beside the target, then rename: readers never see a partial
-        # table, and of two concurrent writers the first rename wins
-        tmp = f"{target}.tmp-{uuid.uuid4().hex}"
-        build().write.mode("overwrite").parquet(tmp)
-        p_tmp, fs = _fs(spark, tmp)
-        p_target, _ = _fs(spark, target)
-        if fs.exists(p_target) and not path_exists(spark, f"{target}/_SUCCESS"):
-            fs.delete(p_target, True)  # leftover of an interrupted older write
-        if not fs.rename(p_tmp, p_target):
-            fs.delete(p_tmp, True)
-    opened[target] = spark.read.parquet(target)
-    return opened[target]
+    return bool(fs.globStatus(p))

@@ -39,6 +39,12 @@ def read_log_lines(spark: SparkSession, root: str, *, recursive: bool = True,
     return _with_path(reader.text(root))
 
 
+def with_position(lines: DataFrame) -> DataFrame:
+    """Lines straight from a file scan with ``block`` (where in the file the split they
+    were read from begins) and ``pos`` (grows along a split)."""
+    return lines.withColumns({"block": F.col("_metadata.file_block_start"), "pos": F.monotonically_increasing_id()})
+
+
 def read_log_glob(spark: SparkSession, pattern: str) -> DataFrame:
     """Non-recursive glob scan, e.g. ``data/application_*/*.log``."""
     return _with_path(spark.read.text(pattern))
@@ -79,7 +85,7 @@ def stitch_entries(files: DataFrame, content: str = "content") -> DataFrame:
 
 def compact_logs(spark: SparkSession, roots, out: str, *, glob: str | None = "*.log",
                  mode: str = "append") -> int:
-    """Copy log trees into one Parquet table ``(log_entry, file_path)`` partitioned
+    """Copy log trees into one Parquet table ``(log_entry, file_path, block, pos)`` partitioned
     by ``cluster_id``; returns the number of roots written.
 
     A tree of many small container logs is listed on the driver when it is
@@ -92,7 +98,7 @@ def compact_logs(spark: SparkSession, roots, out: str, *, glob: str | None = "*.
 
     n = 0
     for root in roots:
-        lines = read_log_lines(spark, root, glob=glob)
+        lines = with_position(read_log_lines(spark, root, glob=glob))
         first_mode = mode if n == 0 else "append"  # later roots add to the first
         (lines.withColumn("cluster_id", parse.cluster_id("file_path"))
          .write.mode(first_mode).partitionBy("cluster_id").parquet(out))
@@ -101,5 +107,8 @@ def compact_logs(spark: SparkSession, roots, out: str, *, glob: str | None = "*.
 
 
 def read_compacted(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of a table written by :func:`compact_logs` (with ``cluster_id``)."""
-    return spark.read.parquet(path)
+    """Lines of a table written by :func:`compact_logs`: log_entry, file_path, block and
+    pos, and ``cluster_id`` as text ('' outside an application folder). A filter on
+    ``cluster_id`` prunes folders; operators that parse ids from the path do not."""
+    df = spark.read.schema("log_entry string, file_path string, block long, pos long, cluster_id string").parquet(path)
+    return df.withColumn("cluster_id", F.coalesce("cluster_id", F.lit("")))

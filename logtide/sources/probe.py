@@ -29,11 +29,6 @@ def source_probe(spark: SparkSession, path: str, glob: str | None = None) -> Dat
             .orderBy("directory"))
 
 
-def parquet_profile(spark: SparkSession, path: str) -> DataFrame:
-    """Row count of a Parquet source (answered from footers where Spark can)."""
-    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"))
-
-
 def describe_source(spark: SparkSession, path: str, fmt: str = "parquet",
                     preview: int = 5, names: int = 10) -> dict:
     """Diagnostic of one source, with bounded results only.
@@ -47,7 +42,7 @@ def describe_source(spark: SparkSession, path: str, fmt: str = "parquet",
 
     out: dict = {"path": path, "exists": False}
     try:
-        out["exists"] = path_exists(spark, path) if "*" not in path else True
+        out["exists"] = path_exists(spark, path)
         files = list_files(spark, path)
         out["files"] = [r.path for r in files.select("path").orderBy("path").limit(names).collect()]
         df = spark.read.format(fmt).load(path)

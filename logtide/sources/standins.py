@@ -6,7 +6,7 @@ size grows with the source table.
 
 ``log_lines``: one log line per ``events`` row, with a file path of the
 ``application_*/container_*.log`` layout. It yields three clusters (one much
-larger), application durations that grow with the app number, task start /
+larger), two application attempts whose task ids repeat, lines naming two hosts, application durations that grow with the app number, task start /
 finish / exception pairs, resource, memory, shuffle, input-split and
 PythonRunner messages, one line in ten without timestamp and DEBUG lines
 that carry the word ERROR later on.
@@ -42,11 +42,14 @@ def log_lines_from_events(events: DataFrame) -> DataFrame:
                .otherwise(F.lit(CLUSTER_SMALL)))
     g_s = _s(F.col("g"))
     u = F.col("user_id")
+    # every other task is the same task of the second attempt
+    m = F.floor(F.col("g") / F.lit(5.0)).cast("bigint")
+    base = base.withColumns({"attempt": 1 + m % 2, "tid": F.floor(m / F.lit(2.0)).cast("bigint")})
     base = base.withColumns({
         "ca": F.concat(cluster, F.lit("_"), F.lpad(_s(F.col("app")), 4, "0")),
         "t": F.date_format("ts", "yy/MM/dd HH:mm:ss"),
-        "task": F.concat(_s(F.col("g") % 8), F.lit(".0 in stage "), _s(F.col("g") % 16),
-                         F.lit(".0 (TID "), g_s, F.lit(")")),
+        "task": F.concat(_s(F.col("tid") % 8), F.lit(".0 in stage "), _s(F.col("tid") % 16),
+                         F.lit(".0 (TID "), _s(F.col("tid")), F.lit(")")),
     })
     t, task = F.col("t"), F.col("task")
     r = F.col("r")
@@ -70,13 +73,14 @@ def log_lines_from_events(events: DataFrame) -> DataFrame:
                                mem, F.lit(", vCores:5>)")))
         .when(r == 6, F.concat(t, F.lit(" INFO storage.ShuffleBlockFetcherIterator: Getting "), _s(u),
                                F.lit(" non-empty blocks out of "), _s(u + 50), F.lit(" blocks")))
-        .when(r == 7, F.concat(t, F.lit(" INFO rdd.HadoopRDD: Input split: hdfs://10.10.34.11:9000/in/f.txt:"),
+        .when(r == 7, F.concat(t, F.lit(" INFO rdd.HadoopRDD: Input split: hdfs://namenode.example/in/f.txt:"),
                                _s(F.col("g") * 1024), F.lit("+1024")))
         .when(r == 8, F.lit("    at foo.Bar(INFORMATION.java:1)"))
-        .otherwise(F.concat(t, F.lit(" DEBUG broadcast.TorrentBroadcast: retry after ERROR in variable "), g_s))
+        .otherwise(F.concat(t, F.lit(" DEBUG broadcast.TorrentBroadcast: retry after ERROR in variable "), g_s,
+                            F.lit(" from mesos-slave-"), _s(F.col("g") % 20), F.lit(" via mesos-master-1")))
     )
     ca = F.col("ca")
-    path = F.concat(F.lit("application_"), ca, F.lit("/container_"), ca, F.lit("_01_"),
+    path = F.concat(F.lit("application_"), ca, F.lit("/container_"), ca, F.lit("_0"), _s(F.col("attempt")), F.lit("_"),
                     F.lpad(_s(1 + F.col("g") % 7), 6, "0"), F.lit(".log"))
     return base.select("event_id", path.alias("file_path"), entry.alias("log_entry"))
 

@@ -37,12 +37,6 @@ def read_trips(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.parquet(*paths)
 
 
-def read_partitioned(spark: SparkSession, root: str) -> DataFrame:
-    """Read a ``key=value`` partitioned tree from its root, so filters on the
-    partition column prune whole directories."""
-    return spark.read.option("basePath", root).parquet(root)
-
-
 def read_trips_unified(spark: SparkSession, *paths: str) -> DataFrame:
     """Monthly files whose column types differ (e.g. ``passenger_count`` as
     long in some months, double in others) read as one table.

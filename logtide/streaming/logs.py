@@ -65,39 +65,6 @@ def stream_checkpoint(spark: SparkSession, name: str, location: str | None = Non
     return f"{root.rstrip('/')}/logtide_streams/{name}"
 
 
-GROUP_KEYS = ("log_level", "cluster_id", "app_id")
-
-
-def start_table(df: DataFrame, name: str, path: str, *, keys: list[str] | None = None,
-                checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
-    """Keep ``path`` holding the current result of an aggregating stream.
-
-    Each micro-batch carries the rows whose aggregate changed (update mode);
-    they replace their old versions (matched on ``keys``, by default the
-    grouping columns of the operators here) in the table. The table is small
-    (one row per group), so each batch rewrites it whole into a new version
-    folder; a replayed batch rewrites the same version, so retries are safe.
-    """
-    spark = df.sparkSession
-    keys = keys or [c for c in df.columns if c in GROUP_KEYS]
-    if not keys:
-        raise ValueError("pass the grouping columns as keys")
-
-    def merge(batch: DataFrame, epoch: int) -> None:
-        version = f"{path.rstrip('/')}/v={epoch:012d}"
-        prev = _latest(spark, path)
-        cur = batch if prev is None else prev.join(batch.select(*keys), keys, "left_anti").unionByName(batch)
-        cur.write.mode("overwrite").parquet(version)
-        _prune(spark, path, keep=2)
-
-    w = (df.writeStream.outputMode("update").foreachBatch(merge)
-         .option("checkpointLocation", stream_checkpoint(spark, name, checkpoint))
-         .queryName(name))
-    if trigger:
-        w = w.trigger(**trigger)
-    return w.start()
-
-
 def start_append(df: DataFrame, name: str, path: str, *, fmt: str = "parquet",
                  checkpoint: str | None = None, trigger: dict | None = None) -> StreamingQuery:
     """Append a stateless stream to files (exactly once through the file sink log)."""
@@ -108,37 +75,3 @@ def start_append(df: DataFrame, name: str, path: str, *, fmt: str = "parquet",
     if trigger:
         w = w.trigger(**trigger)
     return w.start()
-
-
-def _latest(spark: SparkSession, path: str) -> DataFrame | None:
-    """Newest complete version of a table written by :func:`start_table`."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return None
-    done = sorted(st.getPath().toString() for st in fs.listStatus(p)
-                  if st.isDirectory() and st.getPath().getName().startswith("v=")
-                  and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")))
-    return spark.read.parquet(done[-1]) if done else None
-
-
-def _prune(spark: SparkSession, path: str, keep: int) -> None:
-    """Delete all but the newest ``keep`` complete versions (and older partial ones)."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    versions = sorted((st.getPath().getName(), st.getPath()) for st in fs.listStatus(p)
-                      if st.isDirectory() and st.getPath().getName().startswith("v="))
-    complete = [name for name, vp in versions
-                if fs.exists(jvm.org.apache.hadoop.fs.Path(vp, "_SUCCESS"))]
-    if len(complete) <= keep:
-        return
-    oldest_kept = complete[-keep]
-    for name, vp in versions:
-        if name < oldest_kept:
-            fs.delete(vp, True)
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    return _latest(spark, path)

@@ -10,7 +10,7 @@ import pytest
 
 from logtide.functions import patterns as P
 from logtide.operators import entries
-from logtide.sources.logs import read_log_lines
+from logtide.sources.logs import compact_logs, read_compacted, read_log_lines
 
 from .conftest import write_tree
 
@@ -66,13 +66,17 @@ def _tree():
     return tree
 
 
-@pytest.mark.parametrize("max_splits", [2_000_000, 0])  # broadcast / shuffle join
-def test_entries_match_sequential_numbering(spark, tmp_dir, small_splits, max_splits):
+@pytest.mark.parametrize("compacted", [False, True])
+def test_entries_match_sequential_numbering(spark, tmp_dir, small_splits, compacted):
     tree = _tree()
     root = write_tree(os.path.join(tmp_dir, "logs"), tree)
     lines = entries.with_split_position(read_log_lines(spark, root))
     assert lines.rdd.getNumPartitions() > 6  # files really are split
-    got = entries.number_entries(lines, max_splits=max_splits).collect()
+    if compacted:
+        compact_logs(spark, [root], f"{tmp_dir}/compact")
+        got = entries.number_entries(read_compacted(spark, f"{tmp_dir}/compact"), pos="pos").collect()
+    else:
+        got = entries.number_entries(lines).collect()
     assert len(got) == sum(len(v) for v in tree.values())
 
     by_file = {}
@@ -103,3 +107,11 @@ def test_entry_summary_counts_lines(spark, tmp_dir, small_splits):
     assert sum(r.lines for r in summ) == sum(len(v) for v in tree.values())
     errors = [r for r in summ if r.entry_level == "ERROR"]
     assert all(r.first_line.split(" ")[2] == "ERROR" for r in errors)
+    plan = entries.entry_summary(entries.number_entries(lines))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+
+
+def test_lines_without_positions_are_refused(spark):
+    df = spark.createDataFrame([("f", 0, "x")], "file_path string, block long, log_entry string")
+    with pytest.raises(ValueError):
+        entries.number_entries(df)

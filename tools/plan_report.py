@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-import __spark_entry__ as E  # noqa: E402
+from logtide import queries as Q  # noqa: E402
 
 COLUMNS = [
     ("scans", ("Scan parquet", "Scan binaryFile", "Scan text", "Scan ExistingRDD", "Range")),
@@ -75,7 +75,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     jvm = spark._jvm
     rows = []
-    for name, fn in E.queries().items():
+    for name, fn in Q.REGISTRY.items():
         df = fn(spark, sf)
         text = jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(
             df._jdf.queryExecution(), "formatted")
@@ -94,9 +94,8 @@ def main() -> None:
         "# Physical plans of the registered queries",
         "",
         "Operator counts from `explain(\"formatted\")` at sf0.01 (`python tools/plan_report.py`).",
-        "`scans` counts file scans of the plan as run; for queries that materialise a small",
-        "intermediate first (timeline, largest-cluster durations) the scan is of that written",
-        "table. `partial aggs` counts partial and final aggregate operators together.",
+        "`scans` counts file scans of the plan before equal exchanges are reused at run time.",
+        "`partial aggs` counts partial and final aggregate operators together.",
         "",
         head, sep,
     ]

@@ -12,7 +12,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-import __spark_entry__ as E  # noqa: E402
+from logtide import oracle as O  # noqa: E402
+from logtide import queries as Q  # noqa: E402
 
 
 def main() -> None:
@@ -24,14 +25,14 @@ def main() -> None:
              .config("spark.sql.session.timeZone", "UTC")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    sql = E.oracle_sql()
+    sql = O.SQL
     lines = ["# Registered queries", "",
              "Generated by `python tools/query_catalog.py`: each query of",
              "`__spark_entry__.queries()` with its output columns (Spark types) and",
              "whether a DuckDB oracle checks it. Operators live in `logtide/operators/`,",
              "the query definitions in `logtide/queries.py`.", "",
              "| query | columns | oracle |", "| --- | --- | --- |"]
-    for name, fn in E.queries().items():
+    for name, fn in Q.REGISTRY.items():
         df = fn(spark, sf)
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
         lines.append(f"| `{name}` | {cols} | {'yes' if name in sql else 'rows only'} |")
