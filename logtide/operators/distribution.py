@@ -46,8 +46,9 @@ def histogram(spark: SparkSession, values: DataFrame, col: str = "duration_sec",
     (never past the last bin). ``density = count / width / n``. Empty bins
     are kept. No rows when n < 2 or all values are equal.
     """
-    s = _stats(values, col)
-    lo, hi, n = s["lo"], s["hi"], s["n"]
+    # the figures enter once, as a column beside the values and beside the bins
+    figures = _stats(values, col)
+    lo, hi, n = F.col("s.lo"), F.col("s.hi"), F.col("s.n")
     span = hi - lo
     step = span / F.lit(float(bins))
 
@@ -58,12 +59,12 @@ def histogram(spark: SparkSession, values: DataFrame, col: str = "duration_sec",
     guess = F.least(F.floor((x - lo) / span * F.lit(float(bins))).cast("int"), F.lit(bins - 1))
     below = (x < edge(F.col("i0"))).cast("int")
     above = ((x >= edge(F.col("i0") + 1)) & (F.col("i0") != bins - 1)).cast("int")
-    counts = (_weighted(values, col)
-              .select("w", guess.alias("i0"), "x")
+    counts = (_weighted(values, col).withColumn("s", figures).filter(span > 0)
+              .select("w", guess.alias("i0"), "x", "s")
               .select("w", (F.col("i0") - below + above).alias("bin"))
               .groupBy("bin").agg(F.sum("w").alias("count")))
     grid = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
-    out = (grid.join(counts, "bin", "left")
+    out = (grid.join(counts, "bin", "left").withColumn("s", figures)
            .filter((n >= 2) & (span > 0))
            .select("bin",
                    edge(F.col("bin")).alias("bin_start"),
@@ -83,8 +84,7 @@ def kde_curve(values: DataFrame, col: str = "duration_sec", points: int = P.KDE_
     sd = 0. The kernel sum is a floating-point sum, so its last bits depend on the
     order in which Spark adds partitions.
     """
-    s = _stats(values, col)
-    lo, hi, n, sd = s["lo"], s["hi"], s["n"], s["sd"]
+    lo, hi, n, sd = F.col("s.lo"), F.col("s.hi"), F.col("s.n"), F.col("s.sd")
     h = sd * F.pow(n.cast("double"), F.lit(-0.2))
     a, b = F.log10(lo), F.log10(hi)
     step = (b - a) / F.lit(float(points - 1))
@@ -92,11 +92,10 @@ def kde_curve(values: DataFrame, col: str = "duration_sec", points: int = P.KDE_
     y = F.when(i == points - 1, b).otherwise(i.cast("double") * step + a)
     z = (F.col("grid_x") - F.col("x")) / h
     norm = n.cast("double") * h * F.lit(math.sqrt(2.0 * math.pi))
-    d = _weighted(values, col).filter((n >= 2) & (sd > 0))
-    return (d.select("x", "w", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
+    d = _weighted(values, col).withColumn("s", _stats(values, col)).filter((n >= 2) & (sd > 0))
+    return (d.select("x", "w", "s", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
             .withColumn("grid_x", F.pow(F.lit(10.0), y))
-            .withColumn("k", F.col("w") * F.exp(F.lit(-0.5) * z * z))
-            .groupBy("point", "grid_x").agg(F.sum("k").alias("k"))
-            .select("point", F.col("grid_x").alias("x"),
-                    (F.col("k") / norm).alias("density"))
+            .withColumn("k", F.col("w") * F.exp(F.lit(-0.5) * z * z) / norm)
+            .groupBy("point", "grid_x").agg(F.sum("k").alias("density"))
+            .select("point", F.col("grid_x").alias("x"), "density")
             .orderBy("point"))

@@ -82,7 +82,9 @@ def log_lines_from_events(events: DataFrame) -> DataFrame:
     ca = F.col("ca")
     path = F.concat(F.lit("application_"), ca, F.lit("/container_"), ca, F.lit("_0"), _s(F.col("attempt")), F.lit("_"),
                     F.lpad(_s(1 + F.col("g") % 7), 6, "0"), F.lit(".log"))
-    return base.select("event_id", path.alias("file_path"), entry.alias("log_entry"))
+    # generated, so that a filter on the line isn't moved below and each line is rendered
+    # once, as a line is read once from a file
+    return base.select("event_id", path.alias("file_path"), F.explode(F.array(entry)).alias("log_entry"))
 
 
 def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
