@@ -95,3 +95,50 @@ ORACLE_SQL["op5_topk_search"] = """
            vec_id, score
     FROM s QUALIFY rank <= 5
 """
+
+ORACLE_SQL["op7_mixing"] = r"""
+    WITH d AS (
+        SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+               length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS visible,
+               length(regexp_replace(text, '[\p{L}\x20\x09-\x0D]+', '', 'g')) AS others,
+               CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12)) AS BIGINT) AS bits
+        FROM documents
+    ), k AS (
+        SELECT doc_id, source, size,
+               -ln((CAST(bits AS DOUBLE) + 0.5::DOUBLE) / 281474976710656::DOUBLE)
+               / coalesce(0.25::DOUBLE + 0.75::DOUBLE * (visible - others) / nullif(visible, 0), 0.25::DOUBLE) AS key
+        FROM d
+    ), s AS (
+        SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 3 * CAST(sum(size) AS BIGINT) AS cap,
+               (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight
+        FROM k GROUP BY source
+    ), l AS (
+        SELECT *, CAST(sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE)
+                  / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST
+                       ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+        FROM s
+    ), t AS (
+        SELECT source, source_size, coalesce(least(weight * (
+                   SELECT level FROM l WHERE level * weight <= cap ORDER BY cap / weight, source NULLS LAST LIMIT 1),
+                   CAST(cap AS DOUBLE)), CAST(cap AS DOUBLE)) AS target
+        FROM l
+    ), p AS (
+        SELECT k.*, t.source_size, t.target,
+               CASE WHEN t.source_size > 0 THEN CAST(floor(t.target / t.source_size) AS BIGINT) ELSE 0 END AS epochs,
+               sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) AS upto
+        FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source
+    ), f AS (
+        SELECT *, upto <= target - epochs * source_size AS fits,
+               size * (epochs + CASE WHEN upto <= target - epochs * source_size THEN 1 ELSE 0 END) AS whole
+        FROM p
+    ), m AS (
+        SELECT *, target - sum(whole) OVER (PARTITION BY source) AS missing FROM f
+    ), n AS (
+        SELECT *, NOT fits AND size > 0 AND abs(size - missing) < missing AS near FROM m
+    )
+    SELECT doc_id, size, source_size, target,
+           CAST(whole + CASE WHEN near AND row_number() OVER (PARTITION BY source, near
+                ORDER BY abs(size - missing), key, doc_id, size) = 1 THEN size ELSE 0 END AS BIGINT) AS taken
+    FROM n
+"""
