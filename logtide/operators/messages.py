@@ -28,6 +28,15 @@ def _app_cols(path: str = "file_path"):
     return [parse.cluster_id(path).alias("cluster_id"), parse.app_id(path).alias("app_id")]
 
 
+def _by_app(m: DataFrame, aggs: dict, keys: tuple = ()) -> DataFrame:
+    """Aggregate ``m`` (file_path, ...) per application: name -> (aggregate of lines, how the
+    files' figures are combined). The path is constant within a file, so lines are first
+    aggregated per file and the ids are taken from the path once per file, not per line."""
+    per_file = m.groupBy("file_path", *keys).agg(*[of_lines.alias(n) for n, (of_lines, _) in aggs.items()])
+    return (per_file.select(*_app_cols("file_path"), *keys, *aggs)
+            .groupBy(*APP, *keys).agg(*[combine(n).alias(n) for n, (_, combine) in aggs.items()]))
+
+
 # --- tasks --------------------------------------------------------------------
 
 def tasks(lines: DataFrame, line: str = "log_entry", path: str = "file_path") -> DataFrame:
@@ -170,41 +179,39 @@ def python_timings(lines: DataFrame, line: str = "log_entry", path: str = "file_
 def resource_requests(lines: DataFrame, line: str = "log_entry", path: str = "file_path") -> DataFrame:
     """Executor requests per application: executors, cores and memory asked for."""
     m = (lines.filter(F.col(line).contains("Will request"))
-         .select(*_app_cols(path),
+         .select(F.col(path).alias("file_path"),
                  parse.extract_long(line, P.RESOURCE_REQUEST, 1).alias("executors"),
                  parse.extract_long(line, P.RESOURCE_REQUEST, 2).alias("cores"),
                  parse.extract_long(line, P.RESOURCE_REQUEST, 3).alias("memory_mb")))
-    return (m.groupBy(*APP)
-            .agg(F.count("executors").alias("requests"),
-                 F.sum("executors").alias("executors_requested"),
-                 F.max("cores").alias("max_cores_per_executor"),
-                 F.max("memory_mb").alias("max_memory_mb_per_executor"),
-                 F.sum(F.try_multiply("executors", "cores")).alias("cores_requested"),
-                 F.sum(F.try_multiply("executors", "memory_mb")).alias("memory_mb_requested"))
-            .filter(F.col("requests") > 0))
+    return _by_app(m, {
+        "requests": (F.count("executors"), F.sum),
+        "executors_requested": (F.sum("executors"), F.sum),
+        "max_cores_per_executor": (F.max("cores"), F.max),
+        "max_memory_mb_per_executor": (F.max("memory_mb"), F.max),
+        "cores_requested": (F.sum(F.try_multiply("executors", "cores")), F.sum),
+        "memory_mb_requested": (F.sum(F.try_multiply("executors", "memory_mb")), F.sum),
+    }).filter(F.col("requests") > 0)
 
 
 def container_requests(lines: DataFrame, line: str = "log_entry", path: str = "file_path") -> DataFrame:
     """Container requests per application and asked-for host: requests, memory and cores."""
     m = (lines.filter(F.col(line).contains("Container request (host:"))
-         .select(*_app_cols(path),
+         .select(F.col(path).alias("file_path"),
                  F.regexp_extract(F.col(line), P.CONTAINER_REQUEST, 1).alias("host"),
                  parse.extract_long(line, P.CONTAINER_REQUEST, 2).alias("memory_mb"),
                  parse.extract_long(line, P.CONTAINER_REQUEST, 3).alias("cores")))
-    return (m.groupBy(*APP, "host")
-            .agg(F.count("memory_mb").alias("requests"),
-                 F.sum("memory_mb").alias("memory_mb_requested"),
-                 F.max("memory_mb").alias("max_memory_mb"),
-                 F.sum("cores").alias("cores_requested"))
-            .filter(F.col("requests") > 0))
+    return _by_app(m, {
+        "requests": (F.count("memory_mb"), F.sum),
+        "memory_mb_requested": (F.sum("memory_mb"), F.sum),
+        "max_memory_mb": (F.max("memory_mb"), F.max),
+        "cores_requested": (F.sum("cores"), F.sum),
+    }, keys=("host",)).filter(F.col("requests") > 0)
 
 
 def failure_rates(lines: DataFrame, line: str = "log_entry", path: str = "file_path") -> DataFrame:
     """Per application: lines, ERROR lines and their share."""
-    m = lines.select(*_app_cols(path), (parse.level(line) == "ERROR").alias("is_error"))
-    return (m.groupBy(*APP)
-            .agg(F.count(F.lit(1)).alias("log_lines"),
-                 F.count_if("is_error").alias("error_lines"))
+    m = lines.select(F.col(path).alias("file_path"), (parse.level(line) == "ERROR").alias("is_error"))
+    return (_by_app(m, {"log_lines": (F.count(F.lit(1)), F.sum), "error_lines": (F.count_if("is_error"), F.sum)})
             .withColumn("error_rate", F.try_divide(F.col("error_lines").cast("double"),
                                                    F.col("log_lines").cast("double"))))
 
@@ -212,13 +219,11 @@ def failure_rates(lines: DataFrame, line: str = "log_entry", path: str = "file_p
 def shuffle_blocks(lines: DataFrame, line: str = "log_entry", path: str = "file_path") -> DataFrame:
     """Shuffle fetches per application: non-empty and total blocks."""
     m = (lines.filter(F.col(line).contains("non-empty blocks"))
-         .select(*_app_cols(path),
+         .select(F.col(path).alias("file_path"),
                  parse.extract_long(line, P.SHUFFLE_FETCH, 1).alias("non_empty"),
                  parse.extract_long(line, P.SHUFFLE_FETCH, 2).alias("blocks")))
-    return (m.groupBy(*APP)
-            .agg(F.count("blocks").alias("fetches"),
-                 F.sum("non_empty").alias("non_empty_blocks"),
-                 F.sum("blocks").alias("total_blocks"))
+    return (_by_app(m, {"fetches": (F.count("blocks"), F.sum), "non_empty_blocks": (F.sum("non_empty"), F.sum),
+                        "total_blocks": (F.sum("blocks"), F.sum)})
             .filter(F.col("fetches") > 0)
             .withColumn("non_empty_share",
                         F.try_divide(F.col("non_empty_blocks").cast("double"),
@@ -233,12 +238,9 @@ def memory_blocks(lines: DataFrame, line: str = "log_entry", path: str = "file_p
         mult = mult.when(unit == u, F.lit(P.UNIT_BYTES[u]))
     size = F.regexp_extract(F.col(line), P.MEMORY_BLOCK, 2).try_cast("double")
     m = (lines.filter(F.col(line).contains("stored as bytes in memory"))
-         .select(*_app_cols(path), F.round(size * mult).try_cast("bigint").alias("bytes")))
-    return (m.groupBy(*APP)
-            .agg(F.count("bytes").alias("blocks"),
-                 F.sum("bytes").alias("bytes_stored"),
-                 F.max("bytes").alias("max_block_bytes"))
-            .filter(F.col("blocks") > 0))
+         .select(F.col(path).alias("file_path"), F.round(size * mult).try_cast("bigint").alias("bytes")))
+    return _by_app(m, {"blocks": (F.count("bytes"), F.sum), "bytes_stored": (F.sum("bytes"), F.sum),
+                       "max_block_bytes": (F.max("bytes"), F.max)}).filter(F.col("blocks") > 0)
 
 
 def input_splits(lines: DataFrame, line: str = "log_entry", path: str = "file_path") -> DataFrame:

@@ -78,3 +78,36 @@ def test_describe_source_reports_bounded_facts(spark):
     assert missing["exists"] is False and missing["error"] == "PATH_NOT_FOUND"
     assert describe_source(spark, f"{SF_SMALL}/none/*.parquet")["exists"] is False
     assert describe_source(spark, f"{SF_SMALL}/regio*.parquet")["exists"] is True
+
+
+def _fallbacks(plan) -> int:
+    """Tasks of object-hash aggregates that went over to sorting, in a plan that has run."""
+    n = 0
+    metrics = plan.metrics()
+    if metrics.contains("numTasksFallBacked"):
+        n += metrics.apply("numTasksFallBacked").value()
+    name = plan.getClass().getSimpleName()
+    below = [plan.executedPlan()] if name == "AdaptiveSparkPlanExec" else [plan.plan()] if "QueryStage" in name else []
+    children = plan.children()
+    below += [children.apply(i) for i in range(children.size())]
+    return n + sum(_fallbacks(p) for p in below)
+
+
+@pytest.mark.parametrize("name", ["daily_summary_all_years", "python_timings", "stage_skew"])
+def test_percentiles_do_not_fall_back_to_sorting(spark, name):
+    from logtide.plans.session import RECOMMENDED_CONF
+
+    from .conftest import SF_MID
+
+    key = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    spark.conf.set(key, RECOMMENDED_CONF[key])
+    try:
+        df = QUERIES[name](spark, SF_MID)
+        df.collect()
+        assert "ObjectHashAggregate" in _plan(df) and _fallbacks(df._jdf.queryExecution().executedPlan()) == 0
+    finally:
+        spark.conf.unset(key)
+    if name == "daily_summary_all_years":  # Spark's own threshold is passed: the metric counts
+        df = QUERIES[name](spark, SF_MID)
+        df.collect()
+        assert _fallbacks(df._jdf.queryExecution().executedPlan()) > 0
