@@ -6,7 +6,9 @@ leftmost among equals; the best pair is joined, its new neighbours enter, and en
 symbols have changed are skipped as they surface. Characters that are no piece become byte
 pieces. No piece of the vocabulary has U+2581 after another character (checked as the model
 is loaded), so no pair across such a place is ever joined and the text is encoded segment by
-segment; segments are remembered, up to REMEMBERED of them.
+segment. In the same way a segment falls into parts wherever no piece has its two
+neighbouring characters next to each other. Segments and parts are remembered, up to
+REMEMBERED of them.
 
 The ids of every document are compared with the sentencepiece library's in the same Arrow
 batch, and a difference fails the task. Decoding is the library's.
@@ -41,7 +43,7 @@ NEVER = float("inf")
 
 
 class Codec(dict):
-    """Encoder for one model; as a dict, from a segment to its ids."""
+    """Encoder for one model; as a dict, from a segment or part to its ids."""
 
     def __init__(self, model: bytes):
         super().__init__()
@@ -51,17 +53,25 @@ class Codec(dict):
         plain = [i for i in ids if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))]
         self.pieces = {sp.id_to_piece(i): i for i in plain}
         self.scores = {sp.id_to_piece(i): -sp.get_score(i) for i in plain}
+        #: Characters that are next to each other in some piece, with their score if they are one.
+        self.near = {a + b: NEVER for p in self.pieces for a, b in zip(p, p[1:])}
+        self.near |= {p: s for p, s in self.scores.items() if len(p) == 2}
         self.bytes = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         if any(SPACE in p.lstrip(SPACE) for p in self.pieces) or any(sp.is_unused(i) for i in plain):
             raise ValueError("this vocabulary has pieces across words, or unused ones")
 
     def __missing__(self, segment: str) -> tuple[int, ...]:
-        found = self[segment] = tuple(self.merged(segment))
+        near = self.near.get
+        pairs = [near(segment[i:i + 2]) for i in range(len(segment) - 1)]
+        if None in pairs:
+            cuts = [0, *(i + 1 for i, s in enumerate(pairs) if s is None), len(segment)]
+            found = tuple(chain.from_iterable([self[segment[a:b]] for a, b in zip(cuts, cuts[1:])]))
+        else:
+            found = tuple(self._ids(self._joined_short(segment, pairs) if len(segment) <= SHORT
+                                    else self._joined_long(segment)))
+        self[segment] = found
         return found
 
-    def merged(self, segment: str) -> list[int]:
-        return self._ids(self._joined_short(segment) if len(segment) <= SHORT else self._joined_long(segment))
-
     def _ids(self, symbols: list[str]) -> list[int]:
         out: list[int] = []
         for s in symbols:
@@ -72,12 +82,11 @@ class Codec(dict):
                 out.append(piece)
         return out
 
-    def _joined_short(self, segment: str) -> list[str]:
-        """The agenda as a list in text order: its best entry, leftmost among equals, is
-        found by a scan, which is the fastest for words."""
+    def _joined_short(self, segment: str, agenda: list[float]) -> list[str]:
+        """The agenda, the scores of all pairs, as a list in text order: its best entry,
+        leftmost among equals, is found by a scan, which is the fastest for words."""
         get = self.scores.get
         symbols = list(segment)
-        agenda = [get(a + b, NEVER) for a, b in zip(symbols, symbols[1:])]
         while agenda:
             best = min(agenda)
             if best == NEVER:
