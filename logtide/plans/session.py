@@ -45,6 +45,14 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     return fallback
 
 
+def local_checkpoint_dir(spark: SparkSession) -> str:
+    """A new machine-local checkpoint folder, for a session in one process only."""
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="logtide-ckpt-"))
+
+
 _SCRATCH: list[str] = []
 
 
@@ -54,9 +62,7 @@ def scratch(spark: SparkSession):
     deleted when the block ends (a job's intermediates, not its outputs)."""
     root = checkpoint_dir(spark)
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="logtide-ckpt-"))
+        root = local_checkpoint_dir(spark)
     folder = f"{root.rstrip('/')}/logtide_reuse/job-{uuid.uuid4().hex}"
     _SCRATCH.append(folder)
     try:
