@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -12,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.session import checkpoint_dir, ensure_checkpoint_dir
+from ..plans.session import checkpoint_dir, local_checkpoint_dir
 
 #: The characters that separate words: space, tab, line feed, vertical tab, form feed, return.
 SPACES = r"\x20\x09-\x0D"
@@ -26,11 +25,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """This application's folder below ``spark.checkpoint.dir``. A machine-local folder
     is set only where the session names none and runs in one process, as in tests."""
-    if not checkpoint_dir(spark):
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="logtide-ckpt-"))
-    return f"{checkpoint_dir(spark).rstrip('/')}/logtide_llm/{spark.sparkContext.applicationId}"
+    root = checkpoint_dir(spark) or local_checkpoint_dir(spark)
+    return f"{root.rstrip('/')}/logtide_llm/{spark.sparkContext.applicationId}"
 
 
 def stored(df: DataFrame) -> DataFrame:
