@@ -1,21 +1,23 @@
-"""Toxicity by nearest labelled examples under exact TF-IDF cosine.
+"""Toxicity by nearest labelled examples under an exact TF-IDF cosine over all words.
 
 Fitting, on a bounded sample of labelled documents (LABELLED):
 
-* terms are words; those that the labels depend on are kept, the others are one term (likelihood ratio of presence against label, over twice the
-  logarithm of the number of terms tried), TERMS of them at most;
-* document frequencies of the kept terms are counted over all documents;
-* the examples with a kept term go into an inverted index: per term its examples and
-  weights, in blocks of BLOCK examples with each block's largest weight.
+* every word of the sample is a term, and every example with a word is indexed;
+* document frequencies of the terms are counted over all documents;
+* a term's idf is raised by how much the labels depend on it (likelihood ratio of presence
+  against label, over EVIDENCE): under the plain idf a toxic word is lost among hundreds of
+  harmless ones. No word is left out;
+* the examples' unit vectors go into an inverted index; terms that many examples have are
+  rows of a dense matrix.
 
-Scoring a document sums the largest weights to a bound for each block, visits blocks by
-falling bound and stops at the first below the k-th similarity found, so the K nearest are
-exact. Their votes are weighted by similarity, and a monotone step function, fitted on the
+Scoring a document computes its similarity to every example, so the K nearest are exact.
+Their votes are weighted by similarity, and a monotone step function, fitted on the
 sample with every example left out of its own neighbours, turns the vote into a
 probability. The neighbours are returned as evidence.
 
-Defined results: a document without a kept term (a null or empty text, too) has no
-neighbours and gets the sample's smoothed share of toxic ones among such documents. Without
+Defined results: a word that no example has counts towards a document's length as a word of
+one document. A document without a word of the examples (a null or empty text, too) has no
+neighbours and gets the toxic share of wordless examples, smoothed by the share of all. Without
 labelled documents of both kinds every score is the smoothed share of all. Ties of
 similarity go to the smaller example id. Repeated texts are one example; repeated rows are
 scored alike. Labels, languages, sources and ids are no inputs of a score; extra columns are
@@ -27,8 +29,9 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,74 +41,102 @@ from pyspark.sql import functions as F
 from .common import in_fold, labelled_sample, map_texts, text_slices
 
 WORDS = re.compile(r"[^\W\d_]+")
-#: Labelled documents that are learned from, kept terms, neighbours, examples in a block.
+#: Labelled documents that are learned from, neighbours, documents scored together.
 LABELLED = 6000
-TERMS = 2000
 K = 15
-BLOCK = 64
+BLOCK = 128
+#: Likelihood ratio that doubles a term's weight.
+EVIDENCE = 4.0
+#: Terms that one in so many examples has are rows of the dense matrix.
+DENSE = 16
 TOXIC_FROM = 0.7
 
+#: Latin-1 with all but the characters of words blank.
+_BLANKED = bytes(c if WORDS.match(chr(c)) else 32 for c in range(256))
 
-class Terms:
-    """The kept terms by number, and one more number for all other words together: a text
-    with one kept term among many words is unlike one with several among few."""
+Vector = tuple[np.ndarray, np.ndarray]  # terms and their weights
 
-    def __init__(self, terms: list[str]):
-        self.number = {t: i for i, t in enumerate(terms)}
 
-    def count(self, text: str) -> dict[int, int]:
-        """How often each kept term, and any other word, occurs; empty without a kept term."""
-        number = self.number
-        words = WORDS.findall(text.lower())
-        counts = Counter([number[w] for w in words if w in number])
-        if counts and (others := len(words) - counts.total()):
-            counts[len(number)] = others
-        return counts
+def words_of(text: str) -> list[str]:
+    """What WORDS finds in the text in small letters; Latin-1 texts the fast way."""
+    small = text.lower()
+    try:
+        return small.encode("latin-1").translate(_BLANKED).decode("latin-1").split()
+    except UnicodeEncodeError:
+        return WORDS.findall(small)
 
 
 class Index:
-    """Unit vectors of examples as block-max posting lists."""
-
-    def __init__(self, vectors: list[dict[int, float]]):
-        self.size = len(vectors)
-        self.blocks = -(-self.size // BLOCK)
-        lists: dict[int, list[tuple[int, float]]] = {}
-        for i, v in enumerate(vectors):
-            for t, w in v.items():
-                lists.setdefault(t, []).append((i, w))
-        self.postings = {}
-        for t, pairs in lists.items():
-            ids = np.array([i for i, _ in pairs])
-            weights = np.array([w for _, w in pairs])
-            cuts = np.searchsorted(ids, np.arange(self.blocks + 1) * BLOCK)
-            largest = np.zeros(self.blocks)
-            np.maximum.at(largest, ids // BLOCK, weights)
-            self.postings[t] = ids, weights, cuts, largest
+    """Unit vectors of examples, by term."""
+
+    def __init__(self, vectors: Iterable[dict[int, float] | Vector]):
+        pairs = [_vector(v) for v in vectors]
+        self.size = len(pairs)
+        terms = np.concatenate([t for t, _ in pairs] or [np.zeros(0, np.int32)])
+        weights = np.concatenate([w for _, w in pairs] or [np.zeros(0)])
+        ids = np.repeat(np.arange(self.size), [len(t) for t, _ in pairs])
+        order = np.argsort(terms, kind="stable")
+        self.ids, self.weights = ids[order], weights[order]
+        counts = np.bincount(terms, minlength=1)
+        self.starts = np.concatenate([[0], np.cumsum(counts)])
+        common = np.flatnonzero(counts * DENSE >= max(self.size, 1))
+        self.row = np.full(len(counts), -1, np.int32)
+        self.row[common] = np.arange(len(common))
+        self.dense = np.zeros((len(common), self.size))
+        for r, t in enumerate(common.tolist()):
+            part = slice(self.starts[t], self.starts[t + 1])
+            self.dense[r, self.ids[part]] = self.weights[part]
+
+    def similarities(self, queries: list[Vector]) -> np.ndarray:
+        """A row for each query: the cosine with every example."""
+        common = np.zeros((len(queries), len(self.dense)))
+        rare = []
+        for i, (terms, weights) in enumerate(queries):
+            known = (terms >= 0) & (terms < len(self.row))
+            terms, weights = terms[known], weights[known]
+            rows = self.row[terms]
+            held = rows >= 0
+            common[i, rows[held]] = weights[held]
+            rare.append((terms[~held], weights[~held]))
+        out = common @ self.dense
+        for i, (terms, weights) in enumerate(rare):
+            begin, end = self.starts[terms], self.starts[terms + 1]
+            parts = [slice(a, b) for a, b in zip(begin.tolist(), end.tolist())]
+            if parts:
+                ids = np.concatenate([self.ids[p] for p in parts])
+                products = np.concatenate([self.weights[p] for p in parts]) * np.repeat(weights, end - begin)
+                out[i] += np.bincount(ids, products, minlength=self.size)
+        return out
+
+    def nearest_of(self, queries: list[Vector], k: int, without: list[int] | None = None) -> list[list[tuple[float, int]]]:
+        """For each query the k (similarity, example) with the largest similarity over zero, ties to the smaller example."""
+        found: list[list[tuple[float, int]]] = []
+        for begin in range(0, len(queries), BLOCK):
+            scores = self.similarities(queries[begin:begin + BLOCK])
+            if without is not None:
+                left = without[begin:begin + BLOCK]
+                scores[np.arange(len(left)), left] = 0
+            most = min(k, self.size)
+            last = np.partition(scores, self.size - most, axis=1)[:, self.size - most] if most else []
+            for row, least in zip(scores, last):
+                hits = np.flatnonzero(row >= max(least - 1e-11, 1e-12))
+                best = sorted(zip((-np.round(row[hits], 12)).tolist(), hits.tolist()))[:k]
+                found.append([(-s, i) for s, i in best])
+        return found if self.size else [[] for _ in queries]
 
     def nearest(self, query: dict[int, float], k: int, without: int = -1) -> list[tuple[float, int]]:
-        """The k (similarity, example) with the largest similarity over zero, ties to the smaller example."""
-        lists = [(w, *self.postings[t]) for t, w in query.items() if t in self.postings]
-        if not lists:
-            return []
-        bounds = sum(w * largest for w, _, _, _, largest in lists)
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[b] <= 0 or len(best) == k and bounds[b] < -best[-1][0] - 1e-9:
-                break
-            scores = np.zeros(BLOCK)
-            for w, ids, weights, cuts, _ in lists:
-                part = slice(cuts[b], cuts[b + 1])
-                scores[ids[part] - b * BLOCK] += w * weights[part]
-            hits = np.flatnonzero(scores)
-            found = [(-round(float(scores[i]), 12), b * BLOCK + int(i)) for i in hits if b * BLOCK + i != without]
-            best = sorted(best + found)[:k]
-        return [(-s, i) for s, i in best]
+        return self.nearest_of([_vector(query)], k, [without] if without >= 0 else None)[0]
+
+
+def _vector(v: dict[int, float] | Vector) -> Vector:
+    return v if isinstance(v, tuple) else (np.array(list(v), np.int32), np.array(list(v.values()), np.float64))
 
 
 @dataclass
 class Model:
-    terms: Terms
-    idf: list[float]
+    #: The number of each term; its weight, and at the end that of a word no example has.
+    number: dict[str, int]
+    weights: np.ndarray
     ids: list[int] = field(default_factory=list)
     toxic: list[int] = field(default_factory=list)
     index: Index | None = None
@@ -113,28 +144,27 @@ class Model:
     steps: list[float] = field(default_factory=list)
     chances: list[float] = field(default_factory=list)
     alone: float = 0.5
-    remembered: dict = field(default_factory=dict)
 
-    def vector(self, counts: dict[int, int]) -> dict[int, float]:
-        v = {t: (1 + math.log(n)) * self.idf[t] for t, n in sorted(counts.items())}
-        norm = math.sqrt(sum(w * w for w in v.values()))
-        return {t: w / norm for t, w in v.items()}
+    def vector(self, text: str) -> Vector:
+        """The unit vector of a text; words that no example has are term -1."""
+        counts = Counter(words_of(text))
+        terms = np.array(list(map(self.number.get, counts, repeat(-1))), np.int32)
+        order = np.argsort(terms, kind="stable")
+        weights = ((1 + np.log(np.array(list(counts.values()), np.float64))) * self.weights[terms])[order]
+        return terms[order], weights / max(math.sqrt(weights @ weights), 1e-300)
 
     def vote(self, near: list[tuple[float, int]]) -> float:
         """Weighted share of toxic neighbours, held back by one vote against."""
         return sum(s * self.toxic[i] for s, i in near) / (1 + sum(s for s, _ in near))
 
-    def judge(self, text: str) -> tuple[float, list[tuple[float, int]]]:
-        counts = self.terms.count(text)
-        if not counts or self.index is None:
-            return self.alone, []
-        key = tuple(sorted(counts.items()))
-        if key not in self.remembered:
-            if len(self.remembered) > 20_000:
-                self.remembered.clear()
-            near = self.index.nearest(self.vector(counts), K)
-            self.remembered[key] = self.chance(near), near
-        return self.remembered[key]
+    def judge(self, texts: list[str]) -> list[tuple[float, list[tuple[float, int]]]]:
+        if self.index is None:
+            return [(self.alone, [])] * len(texts)
+        found = []
+        for begin in range(0, len(texts), BLOCK):
+            vectors = [self.vector(t) for t in texts[begin:begin + BLOCK]]
+            found += [(self.chance(near), near) for near in self.index.nearest_of(vectors, K)]
+        return found
 
     def chance(self, near: list[tuple[float, int]]) -> float:
         if not near:
@@ -159,24 +189,15 @@ def steps_of(votes: list[float], labels: list[int]) -> tuple[list[float], list[f
     return [-1.0, *[v for v, _, _ in pools[1:]]], chances
 
 
-def _kept_terms(sample: DataFrame, positives: int, total: int) -> list[str]:
-    def words(texts: list[str]) -> list[pa.Array]:
-        return [pa.array([sorted(set(WORDS.findall(t.lower()))) for t in texts], pa.list_(pa.string()))]
-
-    seen = (map_texts(sample, "text", ["label"], "terms array<string>", words)
-            .select("label", F.explode("terms").alias("term"))
-            .groupBy("term").agg(F.sum("label").alias("p"), F.count(F.lit(1)).alias("n")).filter("n >= 3"))
-
+def _dependence(p: np.ndarray, n: np.ndarray, positives: int, total: int) -> np.ndarray:
+    """Likelihood ratio of presence against label for terms that ``p`` of the ``positives``
+    and ``n`` of all ``total`` examples have."""
     def part(have, of):  # have * log(have / expected), 0 for none
-        return F.when(have > 0, have * F.log(have / of)).otherwise(F.lit(0.0))
+        return np.where(have > 0, have * np.log(np.maximum(have, 1) / np.where(have > 0, of, 1)), 0.0)
 
-    p, n = F.col("p").cast("double"), F.col("n").cast("double")
-    share, q, m = positives / total, F.lit(float(positives)) - p, F.lit(float(total)) - n
-    ratio = 2 * (part(p, n * share) + part(n - p, n * (1 - share)) + part(q, m * share) + part(m - q, m * (1 - share)))
-    tried = seen.count()
-    kept = (seen.withColumn("g", ratio).filter(F.col("g") >= 2 * math.log(max(tried, 2)))
-            .orderBy(F.desc("g"), "term").limit(TERMS).select("term"))
-    return [r.term for r in kept.collect()]  # TERMS at most
+    share, q, m = positives / total, positives - p, total - n
+    ratio = part(p, n * share) + part(n - p, n * (1 - share)) + part(q, m * share) + part(m - q, m * (1 - share))
+    return np.maximum(2 * ratio, 0.0)
 
 
 def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Model:
@@ -185,11 +206,20 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Model:
     sample = labelled_sample(docs, labels, labelled)
     total, positives = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0))).first()
     if not 0 < positives < total:
-        return Model(Terms([]), [], alone=(positives + 1) / (total + 2))
-    names = _kept_terms(sample, positives, total)
-    terms = Terms(names)
+        return Model({}, np.zeros(1), alone=(positives + 1) / (total + 2))
+
+    def words(texts: list[str]) -> list[pa.Array]:
+        return [pa.array([sorted(set(words_of(t))) for t in texts], pa.list_(pa.string()))]
+
+    seen = (map_texts(sample, "text", ["label"], "terms array<string>", words)
+            .select("label", F.explode("terms").alias("term"))
+            .groupBy("term").agg(F.sum("label").alias("p"), F.count(F.lit(1)).alias("n")).toArrow().sort_by("term"))
+    names = seen.column("term").to_pylist()  # the words of the sample
+    number = {t: i for i, t in enumerate(names)}
+    shipped = spark.sparkContext.broadcast(number)
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms = frozenset(shipped.value)
         found: Counter = Counter()
         rows = 0
         for batch in batches:
@@ -197,33 +227,33 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Model:
             for part in text_slices(batch, "text"):
                 for text in part.column("text").to_pylist():
                     if text:
-                        found.update(terms.count(text).keys())
-        found[-1] = rows
-        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array(list(found.values()), pa.int64())],
-                                         names=["term", "n"])
-
-    counted = docs.select("text").mapInArrow(frequencies, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    df = {r.term: r.n for r in counted.collect()}  # a row for each kept term at most, and one
-    idf = [math.log((1 + df.get(-1, 0)) / (1 + df.get(i, 0))) + 1 for i in range(len(names))] + [1.0]
-
-    shipped = spark.sparkContext.broadcast(terms)
-
-    def vectors(texts: list[str]) -> list[pa.Array]:
-        counts = [sorted(shipped.value.count(t).items()) for t in texts]
-        return [pa.array([[t for t, _ in c] for c in counts], pa.list_(pa.int32())),
-                pa.array([[n for _, n in c] for c in counts], pa.list_(pa.int32()))]
-
-    model = Model(terms, idf)
-    rows = map_texts(sample, "text", ["doc_id", "label"], "terms array<int>, counts array<int>", vectors).collect()
-    rows.sort(key=lambda r: r.doc_id)  # the sample: LABELLED at most
-    with_terms = [r for r in rows if r.terms]
-    bare = [r.label for r in rows if not r.terms]
-    model.alone = (sum(bare) + 1) / (len(bare) + 2)
-    if with_terms:
-        unit = [model.vector(dict(zip(r.terms, r.counts))) for r in with_terms]
-        model.ids, model.toxic = [r.doc_id for r in with_terms], [r.label for r in with_terms]
+                        found.update(terms.intersection(words_of(text)))
+        yield pa.RecordBatch.from_arrays([pa.array([-1, *(shipped.value[t] for t in found)], pa.int32()),
+                                          pa.array([rows, *found.values()], pa.int64())], names=["term", "n"])
+
+    counted = (docs.select("text").mapInArrow(frequencies, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
+               .toArrow())  # a row for each word of the sample at most, and one
+    df = np.ones(len(names) + 1)
+    df[counted.column("term").to_numpy()] = counted.column("n").to_numpy()
+    rows, df[-1] = df[-1], 1  # the last is the number of documents; for a word no example has, one
+    raised = 1 + _dependence(seen.column("p").to_numpy().astype(float), seen.column("n").to_numpy().astype(float),
+                             positives, total) / EVIDENCE
+    model = Model(number, (np.log((1 + rows) / (1 + df)) + 1) * np.append(raised, 1.0))
+
+    examples = sample.orderBy("doc_id", "text").toLocalIterator()  # the sample: LABELLED at most
+    unit, bare = [], []
+    for r in examples:
+        vector = model.vector(r.text)
+        if len(vector[0]):
+            unit.append(vector)
+            model.ids.append(r.doc_id)
+            model.toxic.append(r.label)
+        else:
+            bare.append(r.label)
+    model.alone = (sum(bare) + 2 * positives / total) / (len(bare) + 2)
+    if unit:
         model.index = Index(unit)
-        near = [model.index.nearest(v, K, without=i) for i, v in enumerate(unit)]
+        near = model.index.nearest_of(unit, K, without=list(range(len(unit))))
         model.steps, model.chances = steps_of([model.vote(x) for x in near], model.toxic)
     return model
 
@@ -233,11 +263,11 @@ _EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float6
 
 def score(df: DataFrame, column: str, model: Model, keep: list[str] | None = None) -> DataFrame:
     """``keep`` (all columns by default), ``score`` and ``evidence``, the nearest examples."""
-    shipped = df.sparkSession.sparkContext.broadcast(model)  # bounded by LABELLED and TERMS
+    shipped = df.sparkSession.sparkContext.broadcast(model)  # bounded by LABELLED texts
 
     def judged(texts: list[str]) -> list[pa.Array]:
         m = shipped.value
-        found = [m.judge(t) for t in texts]
+        found = m.judge(texts)
         return [pa.array([s for s, _ in found], pa.float64()),
                 pa.array([[{"doc_id": m.ids[i], "similarity": s, "label": m.toxic[i]} for s, i in near]
                           for _, near in found], _EVIDENCE)]

@@ -135,3 +135,41 @@ def test_index_equals_all_cosines(monkeypatch):
 def test_steps_rise_and_are_smoothed():
     steps, chances = toxicity.steps_of([0.1, 0.2, 0.2, 0.5, 0.6, 0.9], [0, 1, 0, 0, 1, 1])
     assert steps[0] == -1.0 and steps == sorted(steps) and chances == sorted(chances) and 0 < chances[0] and chances[-1] < 1
+
+
+def test_toxicity_similarity_is_over_all_words(spark):
+    import math
+    from collections import Counter
+
+    texts = [cases.sentence(700 + i, 12) + (" slur" if i in (3, 4) else "") for i in range(40)] + ["", "zzz Été 2x"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 == 3 or i == 4)) for i in range(30)], "doc_id long, label int")
+    bags = [Counter(toxicity.WORDS.findall(t.lower())) for t in texts]
+    toxic = {i for i in range(30) if i % 5 == 3 or i == 4}
+    df, n, p = Counter(), Counter(), Counter()
+    for i, bag in enumerate(bags):
+        df.update(bag.keys())
+        n.update(bag.keys() if i < 30 else ())
+        p.update(bag.keys() if i in toxic else ())
+
+    def weight(w):
+        if not n[w]:
+            return math.log((1 + len(texts)) / 2) + 1
+        a, b, c, d = p[w], n[w] - p[w], len(toxic) - p[w], 30 - len(toxic) - n[w] + p[w]
+        want = [(a, n[w] * len(toxic) / 30), (b, n[w] * (1 - len(toxic) / 30)),
+                (c, (30 - n[w]) * len(toxic) / 30), (d, (30 - n[w]) * (1 - len(toxic) / 30))]
+        ratio = 2 * sum(have * math.log(have / of) for have, of in want if have)
+        return (math.log((1 + len(texts)) / (1 + df[w])) + 1) * (1 + ratio / toxicity.EVIDENCE)
+
+    unit = []
+    for bag in bags:
+        v = {w: (1 + math.log(c)) * weight(w) for w, c in bag.items()}
+        unit.append({w: x / math.sqrt(sum(y * y for y in v.values())) for w, x in v.items()})
+    got = {r.doc_id: r for r in toxicity.score(docs, "text", toxicity.fit(docs, labels)).collect()}
+    for i, v in enumerate(unit):
+        want = sorted(((-round(s, 9), j) for j in range(30) if (s := sum(x * unit[j].get(w, 0) for w, x in v.items())) > 0))
+        want = want[:toxicity.K]
+        assert [e.doc_id for e in got[i].evidence] == [j for _, j in want], i
+        assert [e.similarity for e in got[i].evidence] == pytest.approx([-s for s, _ in want], abs=1e-8)
+        assert got[i].evidence or i >= 30
+    assert toxicity.words_of("Ünï_x2y ª²µ ß") == toxicity.WORDS.findall("ünï_x2y ª²µ ß")
