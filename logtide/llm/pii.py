@@ -169,10 +169,11 @@ SPELLED = re.compile(rf"(?<![A-Za-z0-9])(?:{_WORD})(?:[ \t\n,-]{{1,3}}(?:{_WORD}
 PLUS = re.compile(r"(?<![A-Za-z0-9])plus[ \t\n]{1,3}(?=[0-9])", re.I)
 DOT = re.compile(r"\s{0,3}[(\[{<]\s?(?:dot|\.)\s?[)\]}>]\s{0,3}|(?<=[A-Za-z0-9])\s{1,3}dot\s{1,3}(?=[A-Za-z0-9])", re.I)
 AT = re.compile(r"\s{0,3}[(\[{<]\s?(?:at|@)\s?[)\]}>]\s{0,3}|(?<=[A-Za-z0-9])\s{1,3}at\s{1,3}(?=[A-Za-z0-9])", re.I)
-#: A text without any of these reads as itself.
+#: A text without any of these reads as itself: CUE finds all that the transducers start from
+#: (a bare "at" needs a rewritten dot).
 ODD = re.compile("[^\x00-\x7fÀ-ÖØ-öø-ÿ]")
-CUE = re.compile(rf"(?<![A-Za-z0-9])(?:{_WORD})[ \t\n,.-]{{1,3}}(?:{_WORD}|dot|[0-9])(?![A-Za-z])"
-                 r"|[(\[{<]\s?(?:dot|\.|at|@)\s?[)\]}>]|\sdot\s", re.I)
+CUE = re.compile(rf"(?<![A-Za-z0-9])(?:{_WORD})(?![A-Za-z0-9])"
+                 r"|(?<![A-Za-z0-9])plus[ \t\n]{1,3}[0-9]|[(\[{<]\s?(?:dot|\.|at|@)\s?[)\]}>]|\sdot\s", re.I)
 
 
 def _digits(_: Mapped, m: re.Match) -> str:

@@ -63,6 +63,26 @@ def test_disguises_are_mapped_back(text, kind, found):
     assert f"[{kind.upper()}]" in pii.redacted(text) and found not in pii.redacted(text)
 
 
+@pytest.mark.parametrize("text, kind, found", [
+    ("call plus 49 30 12345678 now", "phone", "plus 49 30 12345678"),
+    ("pay 4111 1111 1111 111 one", "card", "4111 1111 1111 111 one"),
+    ("host 192.168.1.one", "ip", "192.168.1.one"),
+])
+def test_lone_disguises_are_found(text, kind, found):
+    assert [(s["kind"], text[s["start"]:s["end"]]) for s in pii.spans_of(text) if not s["base"]] == [(kind, found)]
+
+
+def test_gate_hides_nothing(monkeypatch):
+    r = random.Random(14)
+    parts = ("plus one two double zero dot at (at) [dot] < . > @ joe example com 4111 1111 111 192.168.1. 49 + - , x é\n . \t"
+             .split(" ") + [" "] * 12)
+    texts = ["".join(r.choice(parts) for _ in range(r.randint(2, 14))) for _ in range(20_000)]
+    texts += ["plus 49 30 12345678", "pay 4111 1111 1111 111 one", "host 192.168.1.one", "PLUS\t1 555 123 4567"]
+    gated = [pii.disguised(t, pii.detect(t)) for t in texts]
+    monkeypatch.setattr(pii, "CUE", pii.re.compile(""))
+    assert gated == [pii.disguised(t, pii.detect(t)) for t in texts] and any(gated)
+
+
 @pytest.mark.parametrize("text", ["meet me at example.com", "look at the dot on it", "one two three", "double four one one",
                                   "the red dot is at home", "née à (at) la", "one (1) two", ""])
 def test_clean_text_stays(text):
