@@ -32,8 +32,6 @@ BUCKETS = 1 << 16
 PRIOR = 65536.0
 #: The lowest mean log-likelihood ratio that is kept.
 THRESHOLD = -0.12
-#: Trusted documents the target is counted from: the first by hash of their id.
-TARGET_DOCS = 10_000
 WINDOW = 8
 
 SYMBOLS = "#*$%&|<>"
@@ -92,12 +90,12 @@ def base_counts(docs: DataFrame) -> DataFrame:
         "base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
 
 
-def bucket_scores(docs: DataFrame, trusted: DataFrame, target_docs: int = TARGET_DOCS) -> DataFrame:
+def bucket_scores(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """(bucket, llr) of every bucket that the corpus has. ``trusted`` (doc_id): documents of
-    the target, of which the ``target_docs`` first by the hash of their id are counted."""
-    chosen = (trusted.filter("doc_id is not null").select("doc_id").distinct()
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(target_docs).withColumn("_target", F.lit(1)))
-    grams = (_with_words(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left"))
+    the target, all of which are counted."""
+    # stored, so that both sides of the join are plain shuffles, which Spark splits where they are skewed
+    ids = stored(trusted.filter("doc_id is not null").select("doc_id").distinct()).withColumn("_target", F.lit(1))
+    grams = (_with_words(docs.select("doc_id", "text").join(ids, "doc_id", "left"))
              .select("_target", F.explode(_buckets()).alias("bucket")))
     counts = stored(grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("corpus"), F.count("_target").alias("target")))
     corpus, target = counts.agg(F.sum("corpus"), F.sum("target")).first()
@@ -106,10 +104,10 @@ def bucket_scores(docs: DataFrame, trusted: DataFrame, target_docs: int = TARGET
     return counts.select("bucket", (F.log(smoothed) - F.log(share)).alias("llr"))
 
 
-def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, target_docs: int = TARGET_DOCS) -> DataFrame:
+def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): the base counts, base_failed, the mean
     log-likelihood ratio ``score`` and ``kept``."""
-    scores = bucket_scores(docs, trusted, target_docs)
+    scores = bucket_scores(docs, trusted)
     counted = base_counts(docs).withColumn("_row", F.monotonically_increasing_id())
     keys = ["_row", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     grams = counted.select(*keys, F.explode_outer("_buckets").alias("bucket"))

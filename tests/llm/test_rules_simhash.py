@@ -63,6 +63,13 @@ def test_score_is_the_mean_log_ratio(spark):
         assert r.kept == (not r.base_failed and want >= quality_rules.THRESHOLD)
 
 
+def test_all_trusted_documents_count(spark):
+    n = 12_000
+    docs = spark.range(n).selectExpr("id AS doc_id", "concat('w', id) AS text")
+    got = quality_rules.bucket_scores(docs, docs.select("doc_id")).collect()
+    assert max(abs(r.llr) for r in got) < 1e-9  # the target is the corpus
+
+
 def test_rules_with_odd_rows(spark):
     docs = cases.documents(spark)
     got = quality_rules.judge(docs, docs.select("doc_id")).collect()
