@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pii, quality_gam, quality_rules, sentencepiece_codec, sharding, simhash, token_store, topk_search, toxicity
+from . import merkle, mixing, pii, quality_gam, quality_rules, sentencepiece_codec, sharding, simhash, token_store, topk_search, toxicity
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +79,13 @@ def op10_token_store(spark, sf_dir):
     return token_store.round_trip(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+@_register
+def op11_merkle(spark, sf_dir):
+    return merkle.verified_documents(read_table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op11_merkle"] = merkle.ORACLE_SQL
+
 ORACLE_SQL["op5_topk_search"] = """
     WITH v AS (
         SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
