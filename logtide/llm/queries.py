@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import merkle, mixing, pii, quality_gam, quality_rules, sentencepiece_codec, sharding, simhash, token_store, topk_search, toxicity
+from . import alignment, merkle, mixing, order_minhash, pii, quality_gam, quality_rules, sentencepiece_codec, sharding, simhash, token_store, topk_search, toxicity
 from .common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,6 +84,17 @@ def op11_merkle(spark, sf_dir):
     return merkle.verified_documents(read_table(spark, sf_dir, "documents"))
 
 
+@_register
+def op12_alignment(spark, sf_dir):
+    return alignment.align_documents(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"),
+                                     vocabulary("piece_bpe_32k.model"))
+
+
+@_register
+def op13_order_minhash(spark, sf_dir):
+    return order_minhash.fingerprint_documents(read_table(spark, sf_dir, "documents"))
+
+
 ORACLE_SQL["op11_merkle"] = merkle.ORACLE_SQL
 
 ORACLE_SQL["op5_topk_search"] = """
