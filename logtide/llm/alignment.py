@@ -284,7 +284,7 @@ def _vector(rows: DataFrame, size: int) -> np.ndarray:
 def _frequent_from(pairs: DataFrame) -> int:
     """The least power of two for which FREQUENT pairs at most have so many documents."""
     rows = pairs.groupBy(F.length(F.bin("n")).alias("bits")).agg(F.count(F.lit(1)).alias("pairs")).collect()  # 63 at most
-    held, bits = 0, 64
+    held, bits = 0, 63
     for r in sorted(rows, reverse=True):
         held += r.pairs
         if held > FREQUENT:
