@@ -138,7 +138,7 @@ def cluster_start(spark, sf_dir):
 def log_entries(spark, sf_dir):
     """Multi-line entries; a block is what a file split would be."""
     lines = logs(spark, sf_dir).withColumn("block", F.floor(F.col("event_id") / F.lit(4096)))
-    return entries.entry_summary(entries.number_entries(lines, pos="event_id")).drop("entry_block", "entry_k")
+    return entries.split_entries(lines, pos="event_id").drop("entry_block", "entry_k")
 
 
 # --- cluster usage ------------------------------------------------------------

@@ -105,6 +105,7 @@ def test_entry_summary_counts_lines(spark, tmp_dir, small_splits):
     n_entries = sum(sum(1 for ln in v if re.match(P.TIMESTAMP, ln)) for v in tree.values()) + 1
     assert len(summ) == n_entries
     assert sum(r.lines for r in summ) == sum(len(v) for v in tree.values())
+    assert sorted(map(tuple, entries.split_entries(lines).collect()), key=repr) == sorted(map(tuple, summ), key=repr)
     errors = [r for r in summ if r.entry_level == "ERROR"]
     assert all(r.first_line.split(" ")[2] == "ERROR" for r in errors)
     plan = entries.entry_summary(entries.number_entries(lines))._jdf.queryExecution().executedPlan().toString()

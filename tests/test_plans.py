@@ -23,8 +23,7 @@ def _plan(df) -> str:
 def test_no_pair_joins_python_or_sort_aggregation_in_plan(spark, name):
     plan = _plan(QUERIES[name](spark, SF_SMALL))
     for op in FORBIDDEN:
-        if (name, op) != ("log_entries", "MapInPandas"):  # the running count along a split
-            assert op not in plan, f"{name} plans {op}"
+        assert op not in plan, f"{name} plans {op}"
 
 
 def test_scans_read_only_needed_columns(spark):
@@ -38,6 +37,15 @@ def test_partial_aggregation_before_shuffle(spark):
     assert "partial_count" in plan
 
 
+def test_entries_take_one_shuffle_of_lines_and_one_of_split_edges(spark):
+    df = QUERIES["log_entries"](spark, SF_SMALL)
+    df.collect()
+    plan = _plan(df)
+    final = plan[:plan.index("== Initial Plan ==")]
+    shuffles = [x for x in final.splitlines() if "Exchange hashpartitioning" in x and "ReusedExchange" not in x]
+    assert len(shuffles) == 2 and "ReusedExchange" in final and "Join" not in plan
+
+
 def test_installation_checks(spark):
     assert basics.range_count(spark, 1000).first().total == 1000
     df = spark.range(1000)
