@@ -1,4 +1,4 @@
-"""Command line: ``python -m logtide {levels,usage,daily} ...`` (or via spark-submit).
+"""Command line: ``python -m logtide {levels,usage,messages,inventory,daily,...} ...`` (or via spark-submit).
 
 The master URL and cluster settings come from spark-submit or the
 environment; ``--master`` is only for local runs.
@@ -37,6 +37,12 @@ def main(argv=None) -> None:
             p.add_argument("--sample", type=int, default=10, help="lines in the sample")
             p.add_argument("--seed", type=int, default=42)
             p.add_argument("--errors", action="store_true", help="also write every ERROR line")
+    p = sub.add_parser("inventory", help="figures of a tree's listing; no file is opened")
+    p.add_argument("input", help="root folder of application_*/container_*.log files (any URI)")
+    p.add_argument("output", help="output folder")
+    p.add_argument("--glob", default="*.log")
+    p.add_argument("--cluster", default=None, help="list this cluster's applications only")
+    p.add_argument("--top", type=int, default=5, help="applications with the most containers")
     p = sub.add_parser("compact")
     p.add_argument("output", help="Parquet table to write")
     p.add_argument("roots", nargs="+", help="log roots or globs, one Spark job each")
@@ -63,6 +69,8 @@ def main(argv=None) -> None:
     elif args.job == "messages":
         out = jobs.messages_job(spark, args.input, args.output, compacted=args.compacted, glob=args.glob,
                                 slowest_k=args.top)
+    elif args.job == "inventory":
+        out = jobs.inventory_job(spark, args.input, args.output, glob=args.glob, top_k=args.top, cluster=args.cluster)
     elif args.job == "compact":
         out = {"roots": compact_logs(spark, args.roots, args.output, mode="overwrite"),
                "table": args.output}

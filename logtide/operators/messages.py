@@ -8,9 +8,10 @@ substring test (pushed into the scan), then extracts numbers with
 parse are skipped by the null-skipping aggregates rather than by a row
 filter, so each regex runs once per line; groups left empty are dropped
 after the aggregation. Numbers too large for a long (a corrupt line) become
-NULL through ``try_cast`` / ``try_multiply`` instead of failing the job. Grouping keys are
-(cluster, app) or the task's key; partial aggregation runs before
-every shuffle, so one application holding most lines is no hot spot.
+NULL through ``try_cast`` / ``try_multiply`` instead of failing the job. Lines are grouped by
+file (and the task's key) first, and ids are taken from the path once per group, never per
+line; partial aggregation runs before every shuffle, so one application holding most
+lines is no hot spot.
 """
 
 from __future__ import annotations
@@ -52,7 +53,7 @@ def tasks(lines: DataFrame, line: str = "log_entry", path: str = "file_path") ->
     started_in = F.regexp_extract(F.col(line), P.TASK_START, 2)
     finished_in = F.regexp_extract(F.col(line), P.TASK_FINISH, 2)
     ev = (lines.filter(F.col(line).contains("(TID "))
-          .select(*_app_cols(path), parse.container_attempt(path).alias("attempt"),
+          .select(F.col(path).alias("file_path"),
                   parse.log_timestamp(line).alias("ts"),
                   parse.extract_long(line, P.TASK_START, 3).alias("start_tid"),
                   F.concat(started_in, finished_in).alias("stage"),  # a line has one of them at most
@@ -60,15 +61,20 @@ def tasks(lines: DataFrame, line: str = "log_entry", path: str = "file_path") ->
           .withColumn("tid", F.coalesce("start_tid", "finish_tid")))
     started = F.col("start_tid").isNotNull()
     finished = F.col("finish_tid").isNotNull()
-    # lines that are neither start nor finish form one NULL-tid group per app,
+    # lines that are neither start nor finish form one NULL-tid group per file,
     # dropped after the aggregation (on an aggregate, so the optimizer does not
     # push it back below as a second regex evaluation per line)
-    return (ev.groupBy(*APP, "attempt", "tid", "stage")
-            .agg(F.min(F.when(started, F.col("ts"))).alias("start_time"),
-                 F.max(F.when(finished, F.col("ts"))).alias("end_time"),
-                 F.count_if(started).alias("start_lines"),
-                 F.count_if(finished).alias("finish_lines"))
-            .filter(F.col("start_lines") + F.col("finish_lines") > 0))
+    per_file = (ev.groupBy("file_path", "tid", "stage")
+                .agg(F.min(F.when(started, F.col("ts"))).alias("start_time"),
+                     F.max(F.when(finished, F.col("ts"))).alias("end_time"),
+                     F.count_if(started).alias("start_lines"),
+                     F.count_if(finished).alias("finish_lines"))
+                .filter(F.col("start_lines") + F.col("finish_lines") > 0))
+    return (per_file.select(*_app_cols(), parse.container_attempt("file_path").alias("attempt"), "tid", "stage",
+                            "start_time", "end_time", "start_lines", "finish_lines")
+            .groupBy(*APP, "attempt", "tid", "stage")
+            .agg(F.min("start_time").alias("start_time"), F.max("end_time").alias("end_time"),
+                 F.sum("start_lines").alias("start_lines"), F.sum("finish_lines").alias("finish_lines")))
 
 
 def finished(tasks_df: DataFrame) -> DataFrame:
@@ -246,13 +252,11 @@ def memory_blocks(lines: DataFrame, line: str = "log_entry", path: str = "file_p
 def input_splits(lines: DataFrame, line: str = "log_entry", path: str = "file_path") -> DataFrame:
     """Input splits read per application and input file: splits and bytes."""
     m = (lines.filter(F.col(line).contains("Input split:"))
-         .select(*_app_cols(path),
+         .select(F.col(path).alias("file_path"),
                  F.regexp_extract(F.col(line), P.INPUT_SPLIT, 1).alias("input_file"),
                  parse.extract_long(line, P.INPUT_SPLIT, 3).alias("length")))
-    return (m.groupBy(*APP, "input_file")
-            .agg(F.count("length").alias("splits"),
-                 F.sum("length").alias("bytes_read"))
-            .filter(F.col("splits") > 0))
+    return _by_app(m, {"splits": (F.count("length"), F.sum), "bytes_read": (F.sum("length"), F.sum)},
+                   keys=("input_file",)).filter(F.col("splits") > 0)
 
 
 # --- parsing ------------------------------------------------------------------
@@ -305,7 +309,7 @@ def app_report(lines: DataFrame, line: str = "log_entry", path: str = "file_path
     block_bytes = F.when(L.contains("stored as bytes in memory"),
                          F.round(size * mult).try_cast("bigint"))
     m = lines.select(
-        *_app_cols(path),
+        F.col(path).alias("file_path"),
         (parse.level(line) == "ERROR").alias("is_error"),
         guarded("PythonRunner: Times:", P.PYTHON_TIMES, 1).alias("py_total"),
         guarded("PythonRunner: Times:", P.PYTHON_TIMES, 2).alias("py_boot"),
@@ -315,22 +319,32 @@ def app_report(lines: DataFrame, line: str = "log_entry", path: str = "file_path
         guarded("non-empty blocks", P.SHUFFLE_FETCH, 1).alias("non_empty"),
         guarded("non-empty blocks", P.SHUFFLE_FETCH, 2).alias("blocks"),
         block_bytes.alias("block_bytes"))
+    found = _by_app(m, {
+        "log_lines": (F.count(F.lit(1)), F.sum),
+        "error_lines": (F.count_if("is_error"), F.sum),
+        "python_runs": (F.count("py_total"), F.sum),
+        "python_total": (F.sum("py_total"), F.sum),
+        "python_boots": (F.count("py_boot"), F.sum),
+        "python_boot": (F.sum("py_boot"), F.sum),
+        "executors_requested": (F.sum("executors"), F.sum),
+        "memory_mb_requested": (F.sum(F.try_multiply("executors", "memory_mb")), F.sum),
+        "max_cores_per_executor": (F.max("cores"), F.max),
+        "shuffle_fetches": (F.count("blocks"), F.sum),
+        "non_empty_blocks": (F.sum("non_empty"), F.sum),
+        "total_blocks": (F.sum("blocks"), F.sum),
+        "memory_blocks": (F.count("block_bytes"), F.sum),
+        "bytes_stored": (F.sum("block_bytes"), F.sum),
+    })
+
     def zero(c):
-        return F.coalesce(c, F.lit(0).cast("bigint"))
+        return F.coalesce(F.col(c), F.lit(0).cast("bigint")).alias(c)
 
-    return (m.groupBy(*APP)
-            .agg(F.count(F.lit(1)).alias("log_lines"),
-                 F.count_if("is_error").alias("error_lines"),
-                 F.count("py_total").alias("python_runs"),
-                 F.avg("py_total").alias("avg_python_total"),
-                 F.avg("py_boot").alias("avg_python_boot"),
-                 zero(F.sum("executors")).alias("executors_requested"),
-                 zero(F.sum(F.try_multiply("executors", "memory_mb"))).alias("memory_mb_requested"),
-                 zero(F.max("cores")).alias("max_cores_per_executor"),
-                 F.count("blocks").alias("shuffle_fetches"),
-                 zero(F.sum("non_empty")).alias("non_empty_blocks"),
-                 zero(F.sum("blocks")).alias("total_blocks"),
-                 F.count("block_bytes").alias("memory_blocks"),
-                 zero(F.sum("block_bytes")).alias("bytes_stored"))
-            .withColumn("error_rate", F.try_divide(F.col("error_lines").cast("double"),
-                                                   F.col("log_lines").cast("double"))))
+    def mean(total, n):
+        return F.try_divide(F.col(total).cast("double"), F.col(n).cast("double"))
+
+    return found.select(
+        *APP, "log_lines", "error_lines", "python_runs",
+        mean("python_total", "python_runs").alias("avg_python_total"), mean("python_boot", "python_boots").alias("avg_python_boot"),
+        zero("executors_requested"), zero("memory_mb_requested"), zero("max_cores_per_executor"), "shuffle_fetches",
+        zero("non_empty_blocks"), zero("total_blocks"), "memory_blocks", zero("bytes_stored"),
+        mean("error_lines", "log_lines").alias("error_rate"))

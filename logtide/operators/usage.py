@@ -6,13 +6,16 @@ Plan shape. The path is constant within a file, so per-line work is only the
 timestamp regex: lines are first aggregated per file (``min``/``max``/``count``,
 partial aggregation inside the scan stage), and cluster / app ids are parsed
 once per file afterwards. The second aggregation runs on one row per file.
+Figures that paths alone tell (``app_containers``, ``cluster_starts``, ``id_counts``,
+``inventory``) take a table of files: :func:`files_of` lines, or a tree's listing
+(:func:`logtide.sources.tree.list_logs`), which reads no text.
 An application or a cluster holding a third of all lines is therefore no hot
 spot: map-side combining leaves one row per file per task before the shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import parse
@@ -73,10 +76,15 @@ def cluster_summary(timeline: DataFrame, ordered: bool = True) -> DataFrame:
     return s.orderBy("cluster_id") if ordered else s
 
 
-def usage_stats(timeline: DataFrame) -> DataFrame:
-    """One row: clusters, applications, average apps per cluster, avg/min/max duration."""
+def usage_stats(timeline: DataFrame, k: int = 5) -> DataFrame:
+    """One row: clusters, applications, average apps per cluster, avg/min/max duration, and the
+    ``k`` most heavily used clusters as an array ``most_used`` of (cluster_id, num_applications)."""
     clusters = F.count_distinct("cluster_id")
     apps = F.count(F.lit(1))
+    ranked = top_clusters(cluster_summary(timeline, ordered=False), k)
+    by_rank = F.array_sort(F.collect_list(F.struct((-F.col("num_applications")).alias("rank"), "cluster_id")))  # k entries
+    top = ranked.agg(F.transform(by_rank, lambda e: F.struct(
+        e["cluster_id"].alias("cluster_id"), (-e["rank"]).alias("num_applications"))).alias("top")).scalar()
     return timeline.agg(
         clusters.alias("total_clusters"),
         apps.alias("total_applications"),
@@ -84,7 +92,7 @@ def usage_stats(timeline: DataFrame) -> DataFrame:
         F.avg("duration_sec").alias("avg_duration_sec"),
         F.min("duration_sec").alias("min_duration_sec"),
         F.max("duration_sec").alias("max_duration_sec"),
-    )
+    ).withColumn("most_used", top)
 
 
 def top_clusters(summary: DataFrame, k: int = 5) -> DataFrame:
@@ -136,16 +144,25 @@ def with_cluster_lookup(timeline: DataFrame, lookup: DataFrame) -> DataFrame:
     return timeline.join(lookup, "cluster_id", "left")
 
 
-def cluster_start(lines: DataFrame, path: str = "file_path") -> DataFrame:
-    """Distinct cluster ids with the start time their epoch-millisecond id encodes."""
-    return (lines.select(F.col(path).alias("file_path")).distinct()
-            .select(parse.cluster_id("file_path").alias("cluster_id"))
+def files_of(lines: DataFrame, path: str = "file_path") -> DataFrame:
+    """(file_path): the files that lines were read from, as listing a tree gives them."""
+    return lines.select(F.col(path).alias("file_path")).distinct()
+
+
+def cluster_starts(files: DataFrame) -> DataFrame:
+    """Distinct cluster ids of files with the start time their epoch-millisecond id encodes."""
+    return (files.select(parse.cluster_id("file_path").alias("cluster_id"))
             .filter(F.col("cluster_id") != "")
             .distinct()
             .withColumn("cluster_started",
                         parse.epoch_millis_ntz(F.col("cluster_id").try_cast("bigint"))))
 
 
+def cluster_start(lines: DataFrame, path: str = "file_path") -> DataFrame:
+    """:func:`cluster_starts` of the files that lines were read from."""
+    return cluster_starts(files_of(lines, path))
+
+
 def per_file_lines(lines: DataFrame, path: str = "file_path") -> DataFrame:
     """``(file_path, log_lines)``: the one shuffle that per-file ids are derived from."""
     return lines.groupBy(F.col(path).alias("file_path")).agg(F.count(F.lit(1)).alias("log_lines"))
@@ -188,29 +205,61 @@ def host_lines(lines: DataFrame, line: str = "log_entry", path: str = "file_path
             .orderBy(F.desc("log_lines"), "host"))
 
 
+def _distinct(col: str) -> Column:
+    """Number of distinct texts, '' aside."""
+    return F.count_distinct(F.when(F.col(col) != "", F.col(col)))
+
+
+def _ids(files: DataFrame, *more: str) -> DataFrame:
+    return files.select(parse.application_id("file_path").alias("application_id"),
+                        parse.container_id("file_path").alias("container_id"), *more)
+
+
 def basic_counts(lines: DataFrame, path: str = "file_path") -> DataFrame:
     """One row: applications, containers and log entries."""
-    files = per_file_lines(lines, path).select(
-        parse.application_id("file_path").alias("application_id"),
-        parse.container_id("file_path").alias("container_id"), "log_lines")
-    return files.agg(
-        F.count_distinct(F.when(F.col("application_id") != "", F.col("application_id")))
-        .alias("applications"),
-        F.count_distinct(F.when(F.col("container_id") != "", F.col("container_id")))
-        .alias("containers"),
+    return _ids(per_file_lines(lines, path), "log_lines").agg(
+        _distinct("application_id").alias("applications"), _distinct("container_id").alias("containers"),
         F.coalesce(F.sum("log_lines"), F.lit(0)).cast("bigint").alias("log_entries"))
 
 
+def id_counts(files: DataFrame) -> DataFrame:
+    """One row: applications and containers of a table of files."""
+    return _ids(files).agg(_distinct("application_id").alias("applications"), _distinct("container_id").alias("containers"))
+
+
+def tree_counts(files: DataFrame, lines: DataFrame) -> DataFrame:
+    """:func:`basic_counts` of a tree: ids from its files, and a plain count of its lines, which
+    takes no path and no shuffle but one number a task."""
+    return id_counts(files).withColumn("log_entries", lines.agg(F.count(F.lit(1)).alias("n")).scalar())
+
+
+def app_containers(files: DataFrame, k: int | None = 5) -> DataFrame:
+    """Applications with the most containers, ties by application id; all of them without ``k``."""
+    out = (_ids(files).filter(F.col("application_id") != "")
+           .groupBy("application_id").agg(_distinct("container_id").alias("containers"))
+           .orderBy(F.desc("containers"), "application_id"))
+    return out.limit(k) if k else out
+
+
 def containers_per_app(lines: DataFrame, k: int = 5, path: str = "file_path") -> DataFrame:
-    """Applications with the most container files, ties by application id."""
-    files = per_file_lines(lines, path).select(
-        parse.application_id("file_path").alias("application_id"),
-        parse.container_id("file_path").alias("container_id"))
-    return (files.filter(F.col("application_id") != "")
+    """:func:`app_containers` of the files that lines were read from."""
+    return app_containers(files_of(lines, path), k)
+
+
+def app_sizes(files: DataFrame) -> DataFrame:
+    """Per application: files, containers, bytes and newest change, for files with ``length`` and ``modified``."""
+    return (_ids(files, "length", "modified").filter(F.col("application_id") != "")
             .groupBy("application_id")
-            .agg(F.count_distinct(F.when(F.col("container_id") != "", F.col("container_id")))
-                 .alias("containers"))
-            .orderBy(F.desc("containers"), "application_id").limit(k))
+            .agg(F.count(F.lit(1)).alias("files"), _distinct("container_id").alias("containers"),
+                 F.sum("length").alias("bytes"), F.max("modified").alias("last_modified")))
+
+
+def inventory(sizes: DataFrame) -> DataFrame:
+    """One row over :func:`app_sizes`: applications, files, files per application, and the least,
+    mean and largest size of an application."""
+    return sizes.agg(F.count(F.lit(1)).alias("applications"), F.coalesce(F.sum("files"), F.lit(0)).alias("files"),
+                     F.avg("files").alias("files_per_app"), F.min("bytes").alias("min_app_bytes"),
+                     F.avg("bytes").alias("avg_app_bytes"), F.max("bytes").alias("max_app_bytes"))
 
 
 def failed_containers(lines: DataFrame, line: str = "log_entry", path: str = "file_path") -> DataFrame:

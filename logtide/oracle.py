@@ -207,7 +207,10 @@ SQL["usage_stats"] = with_logs("""
 select count(distinct cluster_id) as total_clusters, count(*) as total_applications,
  cast(count(*) as double) / cast(count(distinct cluster_id) as double) as avg_apps_per_cluster,
  avg(duration_sec) as avg_duration_sec, min(duration_sec) as min_duration_sec,
- max(duration_sec) as max_duration_sec from timeline""", TIMELINE)
+ max(duration_sec) as max_duration_sec,
+ (select string_agg(cluster_id || ':' || cast(num_applications as varchar), ',' order by num_applications desc, cluster_id)
+  from (select * from clusters order by num_applications desc, cluster_id limit 5)) as most_used
+from timeline""", TIMELINE, CLUSTERS)
 
 SQL["top_cluster"] = with_logs("""
 select cluster_id, num_applications from clusters

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import patterns as P
 from ..operators import daily, distribution, levels, messages, usage
 from ..sources.logs import read_compacted, read_log_lines, with_position
+from ..sources.tree import list_logs
 from ..sources.trips import read_trips_unified
 from .session import reuse, scratch
 from .sinks import write_csv, write_text
@@ -59,20 +60,13 @@ def _levels_job(spark: SparkSession, input_root: str, output_root: str, *,
 
 def stats_text(timeline: DataFrame, top_k: int = 5) -> DataFrame:
     """The statistics report as one text cell (figures plus most used clusters)."""
-    st = usage.usage_stats(timeline)
-    top = (usage.top_clusters(usage.cluster_summary(timeline, ordered=False), top_k)
-           .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(
-               (-F.col("num_applications")).alias("k"), F.col("cluster_id"),
-               F.format_string(P.STATS_TOP_LINE, F.col("cluster_id"),
-                               F.col("num_applications")).alias("text")))),
-               lambda e: e["text"]), "\n").alias("top"))
-           .scalar())
     figures = ("total_clusters", "total_applications", "avg_apps_per_cluster",
                "avg_duration_sec", "min_duration_sec", "max_duration_sec")
     parts = [F.format_string(fmt, F.col(c)) for fmt, c in zip(P.STATS_LINES, figures)]
     parts += [F.lit(x) for x in P.STATS_LINES[len(figures):]]
-    text = F.concat_ws("\n", *parts, top)
-    return st.select(text.alias("stats"))
+    top = F.array_join(F.transform("most_used", lambda e: F.format_string(
+        P.STATS_TOP_LINE, e["cluster_id"], e["num_applications"])), "\n")
+    return usage.usage_stats(timeline, top_k).select(F.concat_ws("\n", *parts, top).alias("stats"))
 
 
 def _usage_job(spark: SparkSession, input_root: str, output_root: str, *,
@@ -95,6 +89,21 @@ def _usage_job(spark: SparkSession, input_root: str, output_root: str, *,
     return out
 
 
+def _inventory_job(spark: SparkSession, input_root: str, output_root: str, *, glob: str | None = "*.log",
+                   top_k: int = 5, cluster: str | None = None) -> dict[str, str]:
+    """What a tree's listing tells: counts of applications and containers, the applications with
+    the most containers, their sizes, an inventory and the clusters' start times. No file is opened."""
+    files = reuse(list_logs(spark, input_root, glob=glob, cluster=cluster))
+    out = {k: _out(output_root, k) for k in ("id_counts", "containers_per_app", "app_sizes", "inventory", "cluster_start")}
+    write_csv(usage.id_counts(files), out["id_counts"], single_file=True)
+    write_csv(usage.app_containers(files, top_k), out["containers_per_app"], single_file=True)
+    sizes = usage.app_sizes(files)
+    write_csv(sizes.orderBy("application_id"), out["app_sizes"])
+    write_csv(usage.inventory(sizes), out["inventory"], single_file=True)
+    write_csv(usage.cluster_starts(files).orderBy("cluster_id"), out["cluster_start"], single_file=True)
+    return out
+
+
 def _daily_job(spark: SparkSession, paths: list[str], output: str, *, year: int,
               accuracy: int = 10000) -> dict[str, str]:
     """Daily summaries of one year, newest day first, and their totals."""
@@ -142,5 +151,6 @@ def _in_scratch(impl):
 
 levels_job = _in_scratch(_levels_job)
 usage_job = _in_scratch(_usage_job)
+inventory_job = _in_scratch(_inventory_job)
 daily_job = _in_scratch(_daily_job)
 messages_job = _in_scratch(_messages_job)

@@ -164,7 +164,10 @@ def cluster_summary(spark, sf_dir):
 
 @register
 def usage_stats(spark, sf_dir):
-    return usage.usage_stats(_timeline(spark, sf_dir))
+    stats = usage.usage_stats(_timeline(spark, sf_dir))
+    # as text, which both engines write alike
+    return stats.withColumn("most_used", F.array_join(F.transform("most_used", lambda e: F.concat_ws(
+        ":", e["cluster_id"], e["num_applications"].cast("string"))), ","))
 
 
 @register
