@@ -52,6 +52,12 @@ def main(argv=None) -> None:
     p.add_argument("--year", type=int, required=True)
     p.add_argument("--months", default="1-12", help="e.g. 1-6 or 1,2,3")
     p.add_argument("--accuracy", type=int, default=10000, help="of the approximate percentile")
+    p = sub.add_parser("daily-states", help="add months to kept daily states; write the summary of all")
+    p.add_argument("base", help="folder holding the monthly Parquet files")
+    p.add_argument("states", help="folder of the kept states")
+    p.add_argument("output")
+    p.add_argument("--year", type=int, required=True)
+    p.add_argument("--months", default="1-12", help="the months to add, e.g. 1-6 or 1,2,3")
     args = ap.parse_args(argv)
 
     builder = SparkSession.builder.appName(f"logtide-{args.job}")
@@ -80,8 +86,11 @@ def main(argv=None) -> None:
             months = range(int(a), int(b) + 1)
         else:
             months = [int(m) for m in args.months.split(",")]
-        out = jobs.daily_job(spark, monthly_paths(args.base, args.year, months), args.output,
-                             year=args.year, accuracy=args.accuracy)
+        paths = monthly_paths(args.base, args.year, months)
+        if args.job == "daily":
+            out = jobs.daily_job(spark, paths, args.output, year=args.year, accuracy=args.accuracy)
+        else:
+            out = jobs.states_job(spark, {f"{args.year:04d}-{m:02d}": p for m, p in zip(months, paths)}, args.states, args.output)
     print(json.dumps(out))
     spark.stop()
 

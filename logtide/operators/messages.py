@@ -160,26 +160,34 @@ def stage_skew(lines: DataFrame, line: str = "log_entry", path: str = "file_path
 
 # --- message figures ----------------------------------------------------------
 
-def python_timings(lines: DataFrame, line: str = "log_entry", path: str = "file_path",
-                   accuracy: int = 10000) -> DataFrame:
+def python_timings(lines: DataFrame, line: str = "log_entry", path: str = "file_path", k: int = 4096) -> DataFrame:
     """PythonRunner phase times per application (values as logged; boot may be
-    negative): runs, sum, averages, maximum and approximate median / 95th
-    percentile of ``total`` (mergeable sketches, bounded memory per app)."""
+    negative): runs, sum, averages, maximum, median and 95th percentile of ``total``.
+
+    Times are summed up per file, quantiles as KLL sketches, and the files' figures are merged
+    per application. Sketches are exact up to ``k`` runs and of bounded size beyond
+    (:func:`logtide.operators.states.rank_error`).
+    """
+    times = ("total", "boot", "init", "finish")
     m = (lines.filter(F.col(line).contains("PythonRunner: Times:"))
-         .select(*_app_cols(path),
-                 *[parse.extract_long(line, P.PYTHON_TIMES, i).alias(n)
-                   for i, n in enumerate(["total", "boot", "init", "finish"], 1)]))
-    return (m.groupBy(*APP)
-            .agg(F.count("total").alias("runs"),
-                 F.sum("total").alias("sum_total"),
-                 F.avg("total").alias("avg_total"),
-                 F.avg("boot").alias("avg_boot"),
-                 F.avg("init").alias("avg_init"),
-                 F.avg("finish").alias("avg_finish"),
-                 F.max("total").alias("max_total"),
-                 F.percentile_approx("total", 0.5, accuracy).alias("p50_total"),
-                 F.percentile_approx("total", 0.95, accuracy).alias("p95_total"))
-            .filter(F.col("runs") > 0))
+         .select(F.col(path).alias("file_path"),
+                 *[parse.extract_long(line, P.PYTHON_TIMES, i).alias(n) for i, n in enumerate(times, 1)]))
+    found = _by_app(m, {
+        "runs": (F.count("total"), F.sum),
+        **{f"sum_{n}": (F.sum(n), F.sum) for n in times},
+        **{f"n_{n}": (F.count(n), F.sum) for n in times[1:]},
+        "max_total": (F.max("total"), F.max),
+        "sketch": (F.kll_sketch_agg_bigint("total", F.lit(k)), lambda c: F.kll_merge_agg_bigint(c, F.lit(k))),
+    }).filter(F.col("runs") > 0)
+
+    def mean(total, n):
+        return F.try_divide(F.col(total).cast("double"), F.col(n).cast("double"))
+
+    return found.select(
+        *APP, "runs", "sum_total", mean("sum_total", "runs").alias("avg_total"),
+        *[mean(f"sum_{n}", f"n_{n}").alias(f"avg_{n}") for n in times[1:]], "max_total",
+        F.kll_sketch_get_quantile_bigint("sketch", F.lit(0.5)).alias("p50_total"),
+        F.kll_sketch_get_quantile_bigint("sketch", F.lit(0.95)).alias("p95_total"))
 
 
 def resource_requests(lines: DataFrame, line: str = "log_entry", path: str = "file_path") -> DataFrame:

@@ -363,6 +363,28 @@ select cluster_id, app_id, attempt, stage, count(*) as num_tasks, max(duration_s
  cast(max(duration_sec) as double) / nullif(quantile_cont(duration_sec, 0.5), 0) as skew
 from task_times group by cluster_id, app_id, attempt, stage""", TASKS)
 
+RUNNING = """
+steps as (
+select {keys}, ts, sum(d) d from (
+ select *, start_time ts, 1 d from task_times where duration_sec > 0
+ union all select *, end_time ts, -1 d from task_times where duration_sec > 0)
+group by {keys}, ts having sum(d) <> 0
+),
+running as (
+select *, sum(d) over w as n, date_diff('second', ts, lead(ts) over w) as sec from steps
+window w as (partition by {keys} order by ts)
+)"""
+
+CONCURRENCY = """
+select {keys}, t.num_tasks, t.task_sec, cast(coalesce(r.busy_sec, 0) as bigint) as busy_sec,
+ cast(coalesce(r.peak_tasks, 0) as bigint) as peak_tasks,
+ cast(t.task_sec as double) / cast(nullif(r.busy_sec, 0) as double) as mean_tasks
+from (select {keys}, count(*) as num_tasks, cast(sum(greatest(duration_sec, 0)) as bigint) as task_sec from task_times group by {keys}) t
+left join (select {keys}, sum(sec) filter (where n > 0) as busy_sec, max(n) as peak_tasks from running group by {keys}) r using ({keys})"""
+
+for _name, _keys in (("task_concurrency", "cluster_id, app_id"), ("cluster_concurrency", "cluster_id")):
+    SQL[_name] = with_logs(CONCURRENCY.format(keys=_keys), TASKS, RUNNING.format(keys=_keys))
+
 SQL["python_timings"] = with_logs(r"""
 select cluster_id, app_id, count(*) as runs, cast(sum(total) as bigint) as sum_total,
  avg(total) as avg_total, avg(boot) as avg_boot, avg(init) as avg_init, avg(finish) as avg_finish,
@@ -456,6 +478,12 @@ SQL["daily_summary"] = with_trips(DAILY.format(where=YEAR_1997) + " order by 1 d
 
 SQL["daily_summary_all_years"] = with_trips(DAILY.format(where="") + " order by 1 desc, 2 desc, 3 desc")
 
+SQL["daily_summary_from_states"] = SQL["daily_summary_all_years"]
+
+SQL["yearly_quantile_ranks"] = with_trips("""
+select cast(year(tpep_pickup_datetime) as int) as dt_year, count(*) as num_trips, true as within_error
+from trips group by 1""")
+
 SQL["daily_totals"] = with_trips("""
 select count(*) as num_days, cast(min(make_date(dt_year, dt_month, dt_day)) as timestamp) as first_date,
  cast(max(make_date(dt_year, dt_month, dt_day)) as timestamp) as last_date, cast(sum(num_trips) as bigint) as total_trips,

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
-from ..operators import daily, distribution, levels, messages, usage
+from ..operators import concurrency, daily, distribution, levels, messages, states, usage
 from ..sources.logs import read_compacted, read_log_lines, with_position
 from ..sources.tree import list_logs
 from ..sources.trips import read_trips_unified
@@ -117,16 +117,26 @@ def _daily_job(spark: SparkSession, paths: list[str], output: str, *, year: int,
     return out
 
 
+def states_job(spark: SparkSession, loads: dict[str, str], folder: str, output: str, *, k: int = states.K) -> dict[str, str]:
+    """Add loads (name: trip file, e.g. a month's) to the kept daily states in ``folder`` and write the
+    summary of all loads. Only the new files are scanned; a load of a known name replaces it."""
+    for name, path in loads.items():
+        states.keep(states.daily_states(read_trips_unified(spark, path), k=k), folder, name)
+    out = {"daily_summary": _out(output, "daily_summary")}
+    write_csv(states.summary_of(states.merged(states.kept(spark, folder), k=k)), out["daily_summary"], single_file=True)
+    return out
+
+
 def _messages_job(spark: SparkSession, input_root: str, output_root: str, *,
                  glob: str | None = "*.log", slowest_k: int = 10,
                  compacted: bool = False) -> dict[str, str]:
     """Figures read from messages in three scans: the per-application report;
     one materialised task table (one row per task) that task durations,
-    unfinished tasks, stage skew and the slowest tasks and stages all read;
-    and the parse-quality counts."""
+    unfinished tasks, stage skew, the slowest tasks and stages and the tasks that run at a
+    time all read; and the parse-quality counts."""
     lines = _lines(spark, input_root, glob, compacted)
     names = ("app_report", "task_durations", "unfinished_tasks", "stage_skew", "slowest_tasks",
-             "slowest_stages", "parse_quality")
+             "slowest_stages", "task_concurrency", "cluster_concurrency", "parse_quality")
     out = {k: _out(output_root, k) for k in names}
     write_csv(messages.app_report(lines).orderBy("cluster_id", "app_id"), out["app_report"])
     tasks = reuse(messages.tasks(lines))
@@ -136,6 +146,8 @@ def _messages_job(spark: SparkSession, input_root: str, output_root: str, *,
     write_csv(messages.stage_skew_of(done), out["stage_skew"])
     write_csv(messages.slowest_tasks_of(done, slowest_k), out["slowest_tasks"], single_file=True)
     write_csv(messages.slowest_stages_of(done, slowest_k), out["slowest_stages"], single_file=True)
+    write_csv(concurrency.concurrency(done, messages.APP), out["task_concurrency"])
+    write_csv(concurrency.concurrency(done, ["cluster_id"]), out["cluster_concurrency"], single_file=True)
     write_csv(messages.parse_quality(lines), out["parse_quality"], single_file=True)
     return out
 

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import basics, daily, distribution, entries, levels, messages, usage
+from .operators import basics, concurrency, daily, distribution, entries, levels, messages, states, usage
 from .sources.standins import log_lines_from_events, trips_from_lineitem
 from .sources.tables import table
 
@@ -300,6 +300,16 @@ def app_report(spark, sf_dir):
     return messages.app_report(logs(spark, sf_dir))
 
 
+@register
+def task_concurrency(spark, sf_dir):
+    return concurrency.concurrency(messages.task_times(logs(spark, sf_dir)), ("cluster_id", "app_id"))
+
+
+@register
+def cluster_concurrency(spark, sf_dir):
+    return concurrency.concurrency(messages.task_times(logs(spark, sf_dir)), ("cluster_id",))
+
+
 # --- daily trip summaries -----------------------------------------------------
 
 TRIP_YEAR = 1997  # the stand-in's year for the reference's year filter
@@ -336,6 +346,26 @@ def daily_totals(spark, sf_dir):
                                                   ordered=False))
 
 
+@register
+def daily_summary_from_states(spark, sf_dir):
+    """Four loads, each with some of every day's trips, summed up on their own and merged."""
+    parts = trips(spark, sf_dir)
+    parts = parts.withColumn("load", F.pmod(F.xxhash64(*parts.columns), F.lit(4)))
+    return states.summary_of(states.merged(states.daily_states(parts, keys=("load",))))
+
+
+@register
+def yearly_quantile_ranks(spark, sf_dir):
+    """Years from days' states: whether the true ranks enclose 0.95, within the sketch's error."""
+    rows = trips(spark, sf_dir)
+    years = states.summary_of(states.merged(states.daily_states(rows), keys=("dt_year",)), keys=("dt_year",), ordered=False)
+    ranks = states.quantile_ranks(rows, years, F.year(daily.TS), "dt_year")
+    off = F.lit(0.95) * F.col("num_trips")
+    error = F.ceil(F.lit(states.rank_error()) * F.col("num_trips")) + 1
+    return ranks.select("dt_year", "num_trips",
+                        ((F.col("below") <= off + error) & (F.col("upto") >= off - error)).alias("within_error"))
+
+
 # --- installation checks -------------------------------------------------------
 
 @register

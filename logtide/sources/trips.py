@@ -41,13 +41,15 @@ def read_trips_unified(spark: SparkSession, *paths: str) -> DataFrame:
     """Monthly files whose column types differ (e.g. ``passenger_count`` as
     long in some months, double in others) read as one table.
 
-    Each file is scanned with its own footer schema, only the used columns are
-    cast to one type, and the scans are unioned; each scan still prunes
-    columns and takes pushed filters.
+    A file's footer tells its types; files whose used columns have the same types are one
+    scan, so there are as many scans as distinct schemas, a few, however many months. Only
+    the used columns are read and cast to one type; each scan still takes pushed filters.
     """
-    frames = [spark.read.parquet(p) for p in paths]
-    ts = "tpep_pickup_datetime"
-    ts_type = frames[0].schema[ts].dataType
+    same: dict[tuple, list[str]] = {}
+    for p in paths:
+        schema = spark.read.parquet(p).schema
+        same.setdefault(tuple(schema[c].dataType for c in TRIP_COLUMNS), []).append(p)
+    ts_type = next(iter(same))[0]  # the first file's
     cols = [(c, t or ts_type) for c, t in TRIP_COLUMNS.items()]
-    parts = [f.select(*[F.col(c).cast(t).alias(c) for c, t in cols]) for f in frames]
+    parts = [spark.read.parquet(*files).select(*[F.col(c).cast(t).alias(c) for c, t in cols]) for files in same.values()]
     return reduce(lambda a, b: a.unionByName(b), parts)
