@@ -28,6 +28,8 @@ from .common import SPACES, WORD, stored
 
 #: Hash buckets of the multinomials; the broadcast table has a row for each.
 BUCKETS = 1 << 16
+#: Bits of the filter of trusted ids: 1 MB.
+FILTER_BITS = 1 << 23
 #: Grams of the corpus that the target's counts are smoothed with.
 PRIOR = 65536.0
 #: The lowest mean log-likelihood ratio that is kept.
@@ -90,14 +92,39 @@ def base_counts(docs: DataFrame) -> DataFrame:
         "base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
 
 
+def _maybe_in(doc_id: Column, ids: DataFrame) -> Column:
+    """False only for ids that are not in ``ids`` (doc_id): a Bloom filter of FILTER_BITS bits, built by
+    aggregation and held by every task as one array of longs. Its size is fixed; the more ids, the more others pass."""
+    def places(c: Column) -> list[Column]:
+        return [F.pmod(F.xxhash64(c, F.lit(i)), F.lit(FILTER_BITS)) for i in range(3)]
+
+    def bit(place: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(63).cast("int"))
+
+    held = (ids.select(F.explode(F.array(*places(F.col("doc_id")))).alias("place"))
+            .groupBy(F.shiftright("place", 6).alias("word")).agg(F.bit_or(bit(F.col("place"))).alias("bits")))
+    every = ids.sparkSession.range(FILTER_BITS // 64).select(F.col("id").alias("word"))
+    words = every.join(held, "word", "left").agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")))),
+        lambda w: w["bits"])).scalar()
+    tests = [F.get(words, F.shiftright(p, 6).cast("int")).bitwiseAND(bit(p)) != 0 for p in places(doc_id)]
+    return tests[0] & tests[1] & tests[2]
+
+
 def bucket_scores(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     """(bucket, llr) of every bucket that the corpus has. ``trusted`` (doc_id): documents of
-    the target, all of which are counted."""
-    # stored, so that both sides of the join are plain shuffles, which Spark splits where they are skewed
-    ids = stored(trusted.filter("doc_id is not null").select("doc_id").distinct()).withColumn("_target", F.lit(1))
-    grams = (_with_words(docs.select("doc_id", "text").join(ids, "doc_id", "left"))
-             .select("_target", F.explode(_buckets()).alias("bucket")))
-    counts = stored(grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("corpus"), F.count("_target").alias("target")))
+    the target, all of which are counted. The corpus is counted without a join; only texts that pass a
+    filter of the trusted ids are shuffled to meet these, in the same way at every size."""
+    ids = stored(trusted.filter("doc_id is not null").select("doc_id").distinct())
+    rows = docs.select("doc_id", "text")
+    near = rows.filter(_maybe_in(F.col("doc_id"), ids)).join(ids.hint("merge"), "doc_id")
+
+    def grams(texts: DataFrame, name: str) -> DataFrame:
+        each = _with_words(texts).select(F.explode(_buckets()).alias("bucket"))
+        return each.groupBy("bucket").agg(F.count(F.lit(1)).alias(name))
+
+    counts = stored(grams(rows, "corpus").join(grams(near, "target"), "bucket", "left")
+                    .select("bucket", "corpus", F.coalesce("target", F.lit(0).cast("long")).alias("target")))
     corpus, target = counts.agg(F.sum("corpus"), F.sum("target")).first()
     share = F.col("corpus") / F.lit(float(corpus or 1))
     smoothed = (F.col("target") + F.lit(PRIOR) * share) / F.lit((target or 0) + PRIOR)
