@@ -1,4 +1,5 @@
-"""Toxicity by nearest labelled examples under an exact TF-IDF cosine over all words.
+"""Toxicity by nearest labelled examples: the cosine of label-weighted TF-IDF vectors over all
+words, searched exactly by a block-max inverted index.
 
 Fitting, on a bounded sample of labelled documents (LABELLED):
 
@@ -7,10 +8,11 @@ Fitting, on a bounded sample of labelled documents (LABELLED):
 * a term's idf is raised by how much the labels depend on it (likelihood ratio of presence
   against label, over EVIDENCE): under the plain idf a toxic word is lost among hundreds of
   harmless ones. No word is left out;
-* the examples' unit vectors go into an inverted index; terms that many examples have are
-  rows of a dense matrix.
+* the examples' unit vectors go into an inverted index in blocks with block maxima
+  (:class:`Index`).
 
-Scoring a document computes its similarity to every example, so the K nearest are exact.
+Scoring a document visits the blocks of examples whose bound reaches its K-th similarity, so
+the K nearest are exact.
 Their votes are weighted by similarity, and a monotone step function, fitted on the
 sample with every example left out of its own neighbours, turns the vote into a
 probability. The neighbours are returned as evidence.
@@ -41,10 +43,13 @@ from pyspark.sql import functions as F
 from .common import in_fold, labelled_sample, map_texts, text_slices
 
 WORDS = re.compile(r"[^\W\d_]+")
-#: Labelled documents that are learned from, neighbours, documents scored together.
+#: Labelled documents that are learned from, neighbours.
 LABELLED = 6000
 K = 15
-BLOCK = 128
+#: Examples of a block, blocks that a query visits first, documents scored together.
+BLOCK = 64
+FIRST = 8
+BATCH = 128
 #: Likelihood ratio that doubles a term's weight.
 EVIDENCE = 4.0
 #: Terms that one in so many examples has are rows of the dense matrix.
@@ -66,68 +71,131 @@ def words_of(text: str) -> list[str]:
         return WORDS.findall(small)
 
 
+def _alike(common: np.ndarray, size: int) -> np.ndarray:
+    """An order of the columns of ``common`` that puts similar ones into blocks of ``size``: halves by the
+    strongest directions in turn. Which columns share a block affects no result, only how many are visited."""
+    _, directions = np.linalg.eigh(common @ common.T) if len(common) else (None, np.zeros((0, 0)))
+    places = directions[:, ::-1][:, :8].T @ common
+    parts, depth = [np.arange(common.shape[1])], 0
+    while len(places) and any(len(p) > size for p in parts):
+        halves = []
+        for p in parts:
+            if len(p) > size:
+                p = p[np.argsort(places[depth % len(places), p], kind="stable")]
+                half = -(-len(p) // (2 * size)) * size
+                halves += [p[:half], p[half:]]
+            else:
+                halves.append(p)
+        parts, depth = halves, depth + 1
+    return np.concatenate(parts)
+
+
 class Index:
-    """Unit vectors of examples, by term."""
+    """Unit vectors of examples, by term, in blocks of BLOCK similar examples.
+
+    A term's posting list is cut where a block ends, and each part knows its largest weight. A query's
+    weights times these bound its similarity to any example of a block. The blocks with the highest
+    bounds are visited first, then those whose bound reaches the K-th similarity found; postings of
+    other blocks are never read. Terms that many examples have are rows of a dense matrix, with a
+    matrix of their block maxima.
+    """
 
     def __init__(self, vectors: Iterable[dict[int, float] | Vector]):
         pairs = [_vector(v) for v in vectors]
         self.size = len(pairs)
-        terms = np.concatenate([t for t, _ in pairs] or [np.zeros(0, np.int32)])
+        self.blocks = -(-self.size // BLOCK)
+        #: Blocks that queries visited, and could have.
+        self.visited = self.possible = 0
+        terms = np.concatenate([t for t, _ in pairs] or [np.zeros(0, np.int32)]).astype(np.int64)
         weights = np.concatenate([w for _, w in pairs] or [np.zeros(0)])
         ids = np.repeat(np.arange(self.size), [len(t) for t, _ in pairs])
-        order = np.argsort(terms, kind="stable")
-        self.ids, self.weights = ids[order], weights[order]
         counts = np.bincount(terms, minlength=1)
-        self.starts = np.concatenate([[0], np.cumsum(counts)])
         common = np.flatnonzero(counts * DENSE >= max(self.size, 1))
         self.row = np.full(len(counts), -1, np.int32)
         self.row[common] = np.arange(len(common))
-        self.dense = np.zeros((len(common), self.size))
-        for r, t in enumerate(common.tolist()):
-            part = slice(self.starts[t], self.starts[t + 1])
-            self.dense[r, self.ids[part]] = self.weights[part]
-
-    def similarities(self, queries: list[Vector]) -> np.ndarray:
-        """A row for each query: the cosine with every example."""
-        common = np.zeros((len(queries), len(self.dense)))
-        rare = []
-        for i, (terms, weights) in enumerate(queries):
-            known = (terms >= 0) & (terms < len(self.row))
-            terms, weights = terms[known], weights[known]
-            rows = self.row[terms]
-            held = rows >= 0
-            common[i, rows[held]] = weights[held]
-            rare.append((terms[~held], weights[~held]))
-        out = common @ self.dense
-        for i, (terms, weights) in enumerate(rare):
-            begin, end = self.starts[terms], self.starts[terms + 1]
-            parts = [slice(a, b) for a, b in zip(begin.tolist(), end.tolist())]
-            if parts:
-                ids = np.concatenate([self.ids[p] for p in parts])
-                products = np.concatenate([self.weights[p] for p in parts]) * np.repeat(weights, end - begin)
-                out[i] += np.bincount(ids, products, minlength=self.size)
-        return out
+        held = self.row[terms] >= 0
+        dense = np.zeros((len(common), self.size))
+        dense[self.row[terms[held]], ids[held]] = weights[held]
+        #: The example at each place, and the place of each example.
+        self.order = _alike(dense, BLOCK)
+        self.place = np.argsort(self.order)
+        self.dense = np.zeros((len(common), self.blocks * BLOCK))
+        self.dense[:, :self.size] = dense[:, self.order]
+        self.dense_most = self.dense.reshape(len(common), self.blocks, BLOCK).max(axis=2) if self.size else self.dense
+        # the other terms' postings, by term and place, and where a term's part in a block begins
+        terms, at, weights = terms[~held], self.place[ids[~held]], weights[~held]
+        by_term = np.lexsort((at, terms))
+        terms, self.at, self.weights = terms[by_term], at[by_term], weights[by_term]
+        first = np.flatnonzero(np.diff(terms * max(self.blocks, 1) + self.at // BLOCK, prepend=-1))
+        self.part_block = self.at[first] // BLOCK
+        self.part_most = np.maximum.reduceat(self.weights, first) if len(first) else np.zeros(0)
+        self.part_begin = np.append(first, len(terms))
+        self.starts = np.searchsorted(terms[first], np.arange(len(counts) + 1))
 
     def nearest_of(self, queries: list[Vector], k: int, without: list[int] | None = None) -> list[list[tuple[float, int]]]:
         """For each query the k (similarity, example) with the largest similarity over zero, ties to the smaller example."""
         found: list[list[tuple[float, int]]] = []
-        for begin in range(0, len(queries), BLOCK):
-            scores = self.similarities(queries[begin:begin + BLOCK])
-            if without is not None:
-                left = without[begin:begin + BLOCK]
-                scores[np.arange(len(left)), left] = 0
-            most = min(k, self.size)
-            last = np.partition(scores, self.size - most, axis=1)[:, self.size - most] if most else []
-            for row, least in zip(scores, last):
-                hits = np.flatnonzero(row >= max(least - 1e-11, 1e-12))
-                best = sorted(zip((-np.round(row[hits], 12)).tolist(), hits.tolist()))[:k]
+        if not self.size:
+            return [[] for _ in queries]
+        for begin in range(0, len(queries), BATCH):
+            batch = queries[begin:begin + BATCH]
+            n, most = len(batch), min(k, self.size)
+            terms = np.concatenate([t for t, _ in batch])
+            weights = np.concatenate([w for _, w in batch])
+            of = np.repeat(np.arange(n), [len(t) for t, _ in batch])
+            known = (terms >= 0) & (terms < len(self.row))
+            terms, weights, of = terms[known], weights[known], of[known]
+            rows = self.row[terms]
+            common = np.zeros((n, len(self.dense)))
+            common[of[rows >= 0], rows[rows >= 0]] = weights[rows >= 0]
+            first, last = (self.starts[terms[rows < 0] + i] for i in (0, 1))
+            parts = _ranges(first, last)
+            part_of, part_weight = (np.repeat(x[rows < 0], last - first) for x in (of, weights))
+            bounds = common @ self.dense_most + np.bincount(
+                part_of * self.blocks + self.part_block[parts], self.part_most[parts] * part_weight,
+                minlength=n * self.blocks).reshape(n, self.blocks)
+
+            scores = np.zeros((n, self.blocks * BLOCK))
+            visited = np.zeros(bounds.shape, bool)
+            first_blocks = min(FIRST, self.blocks)
+            least = np.partition(bounds, self.blocks - first_blocks, axis=1)[:, self.blocks - first_blocks]
+            for _ in range(2):  # the highest bounds, then all that reach the k-th similarity among these
+                which = ~visited & (bounds > 0) & (bounds >= least[:, None] - 1e-9)
+                for block in np.flatnonzero(which.any(axis=0)).tolist():
+                    some = np.flatnonzero(which[:, block])
+                    columns = slice(block * BLOCK, (block + 1) * BLOCK)
+                    scores[some, columns] = common[some] @ self.dense[:, columns]
+                keep = which[part_of, self.part_block[parts]]
+                lists, own = parts[keep], part_of[keep]
+                sizes = self.part_begin[lists + 1] - self.part_begin[lists]
+                postings = _ranges(self.part_begin[lists], self.part_begin[lists + 1])
+                scores += np.bincount(np.repeat(own, sizes) * scores.shape[1] + self.at[postings],
+                                      self.weights[postings] * np.repeat(part_weight[keep], sizes),
+                                      minlength=scores.size).reshape(scores.shape)
+                if without is not None:
+                    left = without[begin:begin + n]
+                    scores[np.arange(len(left)), self.place[left]] = 0
+                visited |= which
+                least = np.partition(scores, scores.shape[1] - most, axis=1)[:, scores.shape[1] - most]
+            self.visited += int(visited.sum())
+            self.possible += visited.size
+            for row, lowest in zip(scores, least):
+                hits = np.flatnonzero(row >= max(lowest - 1e-11, 1e-12))
+                best = sorted(zip((-np.round(row[hits], 12)).tolist(), self.order[hits].tolist()))[:k]
                 found.append([(-s, i) for s, i in best])
-        return found if self.size else [[] for _ in queries]
+        return found
 
     def nearest(self, query: dict[int, float], k: int, without: int = -1) -> list[tuple[float, int]]:
         return self.nearest_of([_vector(query)], k, [without] if without >= 0 else None)[0]
 
 
+def _ranges(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """begin, ..., end - 1 of each range, one after the other."""
+    sizes = end - begin
+    before = np.cumsum(sizes) - sizes
+    return np.arange(int(sizes.sum())) + np.repeat(begin - before, sizes)
+
+
 def _vector(v: dict[int, float] | Vector) -> Vector:
     return v if isinstance(v, tuple) else (np.array(list(v), np.int32), np.array(list(v.values()), np.float64))
 
@@ -161,8 +229,8 @@ class Model:
         if self.index is None:
             return [(self.alone, [])] * len(texts)
         found = []
-        for begin in range(0, len(texts), BLOCK):
-            vectors = [self.vector(t) for t in texts[begin:begin + BLOCK]]
+        for begin in range(0, len(texts), BATCH):
+            vectors = [self.vector(t) for t in texts[begin:begin + BATCH]]
             found += [(self.chance(near), near) for near in self.index.nearest_of(vectors, K)]
         return found
 

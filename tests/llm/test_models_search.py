@@ -132,6 +132,29 @@ def test_index_equals_all_cosines(monkeypatch):
     assert index.nearest({99: 1.0}, 5) == []
 
 
+@pytest.mark.parametrize("dense", [1, 16, 64, 10**9])
+def test_index_leaves_blocks_unvisited(monkeypatch, dense):
+    monkeypatch.setattr(toxicity, "BLOCK", 8)
+    monkeypatch.setattr(toxicity, "FIRST", 2)
+    monkeypatch.setattr(toxicity, "DENSE", dense)  # few terms, some or none in lists
+    r = np.random.default_rng(13)
+    vectors = []
+    for i in range(400):  # eight kinds of examples, each with words of its own and some of all
+        own = 100 * (i % 8) + r.choice(30, 8, replace=False)
+        v = {int(t): float(w) for t, w in zip([*own, *(1000 + r.choice(10, 3, replace=False))], [*r.integers(2, 6, 8), 1, 1, 1])}
+        n = np.sqrt(sum(w * w for w in v.values()))
+        vectors.append({t: w / n for t, w in v.items()})
+    vectors += [dict(vectors[5])] * 12  # ties
+    index = toxicity.Index(vectors)
+    got = index.nearest_of([toxicity._vector(v) for v in vectors], 7, without=list(range(len(vectors))))
+    for i, (q, near) in enumerate(zip(vectors, got)):
+        every = [(-round(sum(w * v.get(t, 0) for t, w in q.items()), 12), j) for j, v in enumerate(vectors) if j != i]
+        assert [(j, pytest.approx(-s)) for s, j in sorted(e for e in every if e[0] < 0)[:7]] == [(j, s) for s, j in near]
+    assert 0 < index.visited < index.possible
+    if dense == 64:  # blocks are put together by the words of a kind
+        assert index.visited < 0.6 * index.possible
+
+
 def test_steps_rise_and_are_smoothed():
     steps, chances = toxicity.steps_of([0.1, 0.2, 0.2, 0.5, 0.6, 0.9], [0, 1, 0, 0, 1, 1])
     assert steps[0] == -1.0 and steps == sorted(steps) and chances == sorted(chances) and 0 < chances[0] and chances[-1] < 1
