@@ -14,7 +14,7 @@ distribution function, each (source, range) is sorted and summed on its own, and
 starts at the sum of the ranges before it.
 
 Defined results: a null text has size 0 and is taken 0 words; a null source is a source of
-its own; rows that share doc_id, source and text get equal keys and are taken in any order
+its own; a very long text counts with all its words; rows that share doc_id, source and text get equal keys and are taken in any order
 (they are the same document); a null doc_id is the key of the empty string. A source
 without words has the target 0. Extra columns are carried by :func:`mix`; result names that
 the input has already are replaced.
@@ -118,12 +118,18 @@ def mix_documents(docs: DataFrame) -> DataFrame:
 
 
 def mixed_copies(docs: DataFrame) -> DataFrame:
-    """The mix as rows of ``docs``: each document as often as it is taken, the columns
-    unchanged. Rows that share a doc_id are taken equally often."""
-    doc_id, copies, each = (free_name(docs, c) for c in ("_doc_id", "_copies", "_copy"))
-    narrow = docs.select("doc_id", "source", word_count(F.col("text")).alias("_words"),
+    """The mix as rows of ``docs``: each row as often as it is taken, the columns unchanged. Rows
+    that share doc_id, source and text share what they are taken, as evenly as it goes."""
+    missing, known, sourced, source, text, copies, place = (free_name(docs, c) for c in (
+        "_missing", "_known", "_sourced", "_source", "_hash", "_copies", "_place"))
+    key = {missing: F.col("doc_id").isNull(), known: F.coalesce("doc_id", F.lit(0)), sourced: F.col("source").isNotNull(),
+           source: F.coalesce("source", F.lit("")), text: F.xxhash64(F.coalesce("text", F.lit("")))}
+    narrow = docs.select("doc_id", "source", *[c.alias(n) for n, c in key.items()], word_count(F.col("text")).alias("_words"),
                          quality_weight(F.col("text")).alias("_quality"))
-    taken = (mix(narrow, F.col("_words"), F.col("_quality")).filter("taken > 0")
-             .groupBy(F.col("doc_id").alias(doc_id)).agg(F.max((F.col("taken") / F.col("size")).cast("int")).alias(copies)))
-    return (docs.join(taken, F.col("doc_id").eqNullSafe(F.col(doc_id)))
-            .withColumn(each, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns))
+    taken = (mix(narrow, F.col("_words"), F.col("_quality")).filter("size > 0")
+             .groupBy(*key).agg(F.sum(F.col("taken") / F.col("size")).cast("int").alias(copies), F.count(F.lit(1)).alias(place)))
+    alike = Window.partitionBy(*key).orderBy(*[c for c in docs.columns if c not in ("doc_id", "source", "text")])
+    own = F.floor(F.col(copies) / F.col(place)) + F.when(F.row_number().over(alike) <= F.col(copies) % F.col(place), 1).otherwise(0)
+    rows = docs.withColumns(key).join(taken.filter(F.col(copies) > 0), list(key)).withColumn(copies, own.cast("int"))
+    return (rows.filter(F.col(copies) > 0)
+            .withColumn(place, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns))

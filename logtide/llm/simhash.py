@@ -14,10 +14,11 @@ pair of chunks only its components are returned, a pair for each member, never a
 Components come from alternating large-star and small-star rounds over stored tables.
 
 Defined results: a null or wordless text has the fingerprint 0, linked like any other. A
-text with fewer words than a shingle has one shingle, all its words. A row without a
-doc_id gets its fingerprint, takes no part in linking and has no component. Rows that share
-a doc_id keep their own fingerprints; ties of ids go to the smallest. Extra columns are
-ignored by :func:`components` and kept by :func:`keep_first`.
+text with fewer words than a shingle has one shingle, all its words; a very long text all
+of its shingles. In :func:`components` a row without a doc_id gets its fingerprint, takes no part in linking
+and has no component; :func:`keep_first` links it. Rows that share a doc_id keep their own
+fingerprints; ties of ids go to the smallest. An empty table gives an empty table. Extra columns
+are ignored by :func:`components` and kept by :func:`keep_first`.
 """
 
 from __future__ import annotations
@@ -178,6 +179,13 @@ def star_components(edges: DataFrame) -> DataFrame:
         state = seen
 
 
+def _roots(rows: DataFrame, distance: int, blocks: int) -> DataFrame:
+    """(fp, root) of every fingerprint of ``rows`` (fp, ...): equal roots are one component."""
+    fps = rows.select("fp").distinct()
+    roots = star_components(links(fps, distance, blocks))
+    return fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def components(docs: DataFrame, words: int = 4, distance: int = 4, blocks: int = 7) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id (the smallest doc_id of the
     component) of every row of ``docs`` (doc_id, text)."""
@@ -194,13 +202,17 @@ def components(docs: DataFrame, words: int = 4, distance: int = 4, blocks: int =
 
 
 def keep_first(docs: DataFrame, words: int = 4, distance: int = 4, blocks: int = 7) -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest doc_id. Rows
-    that share a doc_id are one document: of them the first by text stays. Rows without a
-    doc_id stay."""
-    found = components(docs, words, distance, blocks)
-    stay = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    n = free_name(docs, "_place")
-    first = Window.partitionBy("doc_id").orderBy("text")
-    named = (docs.filter("doc_id is not null").join(stay, "doc_id", "left_semi")
-             .withColumn(n, F.row_number().over(first)).filter(F.col(n) == 1))
-    return named.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    """``docs`` with one row of each component: the smallest doc_id's, rows without one last; of
+    rows that share it the first by hash of the text. Every row is judged by its own text, so rows that
+    share a doc_id but don't resemble each other all stay, and rows without a doc_id are linked as well."""
+    missing, known, text, place = (free_name(docs, c) for c in ("_missing", "_known", "_text", "_place"))
+    key = {missing: F.col("doc_id").isNull(), known: F.coalesce("doc_id", F.lit(0)),
+           text: F.xxhash64(F.coalesce("text", F.lit("")))}
+    rows = stored(docs.select(*[c.alias(n) for n, c in key.items()], fingerprints(F.col("text"), words).alias("fp")))
+    firsts = rows.groupBy("fp").agg(F.min(F.struct(*key)).alias("first"))
+    stay = stored(firsts.join(stored(_roots(rows, distance, blocks)), "fp")
+                  .groupBy("root").agg(F.min("first").alias("first")).select("first.*"))
+    # rows alike in doc_id and text are one; the window's filter leaves one a task before the shuffle
+    one = Window.partitionBy(*key).orderBy(*[c for c in docs.columns if c not in ("doc_id", "text")])
+    return (docs.withColumns(key).join(stay, list(key), "left_semi")
+            .withColumn(place, F.row_number().over(one)).filter(F.col(place) == 1).select(*docs.columns))

@@ -107,12 +107,28 @@ def test_components_with_odd_rows(spark):
         else:
             assert r.component_id == want[r.doc_id] and r.fingerprint == format(dict(rows)[r.doc_id], "016x")
     assert simhash.components(cases.nothing(spark)).collect() == []
-    kept = simhash.keep_first(docs)
-    assert kept.columns == docs.columns and kept.filter("doc_id is null").count() == 2
-    assert sorted(r.doc_id for r in kept.filter("doc_id is not null").collect()) == sorted(set(want.values()))
     assert simhash.keep_first(cases.nothing(spark)).collect() == []
 
 
+def test_one_row_of_each_component_stays(spark):
+    """Rows that share a doc_id and rows without one are judged by their own texts."""
+    more = [(1, cases.sentence(901, 60), "a"), (1, cases.sentence(902, 60), "a"), (1, cases.sentence(903, 60), "b"),
+            (2, cases.sentence(902, 60), "b"), (None, cases.sentence(904, 60), "a"), (None, cases.sentence(904, 60), "b"),
+            (None, cases.sentence(901, 60), "b"), (3, cases.sentence(905, 60), "a"), (3, cases.sentence(905, 60), "a")]
+    rows = cases.texts() + more
+    docs = spark.createDataFrame([(i, t, s, 7) for i, t, s in rows], "doc_id long, text string, source string, _missing int")
+    roots = cases.simhash_components([(n, cases.simhash(t)) for n, (_, t, _) in enumerate(rows)])
+    kept = simhash.keep_first(docs)
+    got = kept.collect()
+    assert kept.columns == docs.columns
+    place = {(i, t): n for n, (i, t, _) in enumerate(rows)}
+    assert sorted(roots[place[r.doc_id, r.text]] for r in got) == sorted(set(roots.values()))  # one of each component
+    for r in got:  # the one with the smallest id
+        ids = [rows[n][0] for n, root in roots.items() if root == roots[place[r.doc_id, r.text]]]
+        assert r.doc_id == min((i for i in ids if i is not None), default=None)
+    assert sum(r.doc_id == 1 for r in got) == 4 and sum(r.doc_id is None for r in got) == 2
+
+
 def test_dense_groups_are_linked_in_chunks(spark, monkeypatch):
     """Chains of close fingerprints around two centres, many more than a chunk holds."""
     monkeypatch.setattr(simhash, "CHUNK", 16)

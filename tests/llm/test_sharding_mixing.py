@@ -96,6 +96,18 @@ def test_mix_with_odd_rows(spark):
     docs = cases.documents(spark)
     copies = mixing.mixed_copies(docs)
     assert copies.columns == docs.columns and copies.filter("doc_id in (60, 61, 62)").count() == 0
+    more = [(1, cases.sentence(1, 40), "a"), (1, cases.sentence(2, 9), "a"), (1, cases.sentence(2, 9), "b"), (None, "x y z", "a"),
+            (None, "x y z", "a"), (None, "x y z", "a"), (None, "u v", "b"), (5, cases.sentence(3, 300), "b")]
+    docs = docs.select("doc_id", "text", "source").unionByName(spark.createDataFrame(more, "doc_id long, text string, source string"))
+    own = docs.select("doc_id", "text", "source", F.length("text").alias("_copies"))
+    want: dict = {}
+    narrow = own.select("doc_id", "source", "text", mixing.word_count(F.col("text")).alias("w"), mixing.quality_weight(F.col("text")).alias("q"))
+    for r in mixing.mix(narrow, F.col("w"), F.col("q")).collect():
+        want[r.doc_id, r.source, r.text] = want.get((r.doc_id, r.source, r.text), 0) + r.taken
+    found: dict = {}
+    for r in mixing.mixed_copies(own).collect():
+        found[r.doc_id, r.source, r.text] = found.get((r.doc_id, r.source, r.text), 0) + len(cases.words(r.text))
+    assert found == {k: v for k, v in want.items() if v}  # each row keeps its own decision
     blank = spark.createDataFrame([(1, None, "a"), (2, " ", "b")], "doc_id long, text string, source string")
     assert {(r.target, r.taken) for r in mixing.mix_documents(blank).collect()} == {(0.0, 0)}
 
