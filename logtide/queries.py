@@ -206,6 +206,25 @@ def cluster_share(spark, sf_dir):
     return usage.cluster_share(logs(spark, sf_dir))
 
 
+@register
+def distinct_ids_from_states(spark, sf_dir):
+    """Clusters from days' sketches: whether the estimates lie within the sketch's error of the exact counts."""
+    lines = logs(spark, sf_dir)
+    found = states.distinct_ids(states.id_states(lines))
+    exact = usage.cluster_share(lines).select("cluster_id", "num_applications", "num_containers", F.col("log_lines").alias("n"))
+    off = F.lit(states.distinct_error())
+    return found.join(exact, "cluster_id").select(
+        "cluster_id", "log_lines", (F.col("log_lines") == F.col("n")).alias("same_lines"),
+        (F.abs(F.col("applications") - F.col("num_applications")) <= off * F.col("num_applications")).alias("applications_within"),
+        (F.abs(F.col("containers") - F.col("num_containers")) <= off * F.col("num_containers")).alias("containers_within"))
+
+
+@register
+def containers_carried_over(spark, sf_dir):
+    """Exact while a day has 4,096 containers at most, as it has in the supplied tables."""
+    return states.carried_over(states.id_states(logs(spark, sf_dir)))
+
+
 @register
 def host_lines(spark, sf_dir):
     return usage.host_lines(logs(spark, sf_dir))

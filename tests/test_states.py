@@ -81,3 +81,24 @@ def test_exact_up_to_k_values(spark):
         parts = rows.withColumn("load", F.col("fare_amount") % 3)
         (r,) = states.summary_of(states.merged(states.daily_states(parts, ("load",)))).collect()
         assert r.q95_fare_amount == math.ceil(0.95 * n)
+
+
+def test_distinct_ids_of_merged_days(spark):
+    rows = [(f"application_9_000{a}/container_9_000{a}_01_{c:06d}.log", f"17/03/{d:02d} 10:00:00 INFO X: y")
+            for d in (1, 2, 4) for a in (1, 2) for c in range(d, d + 30)]
+    rows += [("application_9_0001/container_9_0001_01_000900.log", "no time"), ("stray/notes.log", "17/03/01 10:00:00 INFO X: z")]
+    lines = spark.createDataFrame(rows * 2, "file_path string, log_entry string")
+    kept = states.id_states(lines).cache()
+    got = {r.cluster_id: tuple(r)[1:] for r in states.distinct_ids(kept).collect()}
+    assert got == {"9": (2 * 181, 2, 2 * 33 + 1), "": (2, 0, 0)}
+    over = {(r.cluster_id, r.day.day): (r.containers, r.carried_over) for r in states.carried_over(kept).collect()}
+    assert over == {("9", 1): (60, None), ("9", 2): (60, 58), ("9", 4): (60, 56), ("", 1): (0, None)}
+
+
+def test_estimates_beyond_the_sketch_lie_within_the_error(spark):
+    lines = spark.range(60_000).select(
+        F.format_string("application_7_%04d/container_7_%04d_01_%06d.log", F.col("id") % 3, F.col("id") % 3, "id").alias("file_path"),
+        F.format_string("17/03/%02d 10:00:00 INFO X: y", F.col("id") % 20 + 1).alias("log_entry"))
+    (r,) = states.distinct_ids(states.id_states(lines)).collect()
+    assert r.log_lines == 60_000 and r.applications == 3
+    assert 0 < abs(r.containers - 60_000) <= states.distinct_error() * 60_000
