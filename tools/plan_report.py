@@ -45,12 +45,13 @@ NOTES = [
     "  per cluster. The later two carry one row per file or application.",
     "* A trailing sort is a range shuffle of the final, aggregated rows.",
     "* `largest_cluster_apps`, `cluster_lookup_join`, `cluster_share` and the chart",
-    "  queries first write their small intermediate (timeline, per-cluster table,",
-    "  durations) to the checkpoint folder, so their plans scan that table.",
+    "  queries use a timeline or a per-cluster table more than once; equal exchanges are",
+    "  planned once per use here and reused at run time.",
+    "* `log_entries` has two branches over one exchange of the lines, which is reused.",
     "* The `subqueries` column counts references to scalar subqueries; Spark runs",
     "  each distinct subquery once and reuses it (`ReusedSubquery`).",
-    "* The only broadcasts are the `limit(1)` top cluster, the checked cluster",
-    "  lookup and the 30-row bin counts; `pair joins` and `python` are 0 everywhere.",
+    "* The only hinted broadcast is the `limit(1)` top cluster; others are chosen by Spark",
+    "  from measured or estimated sizes. `pair joins` and `python` are 0 everywhere.",
 ]
 
 
