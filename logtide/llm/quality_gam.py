@@ -11,7 +11,8 @@ part of it is added to the feature's table. Then the pairs whose residuals a cut
 features explains best are chosen and their tables are boosted alike by trees of four
 leaves. All of it happens on a bounded sample of labelled rows (LABELLED).
 
-Defined results: a null or empty text has features of zero and the score that these get.
+Defined results: a null or empty text has features of zero and the score that these get; a
+very long text is scored whole.
 Without labels of both kinds every score is the smoothed share of good ones. Rows are
 independent, an empty table stays empty. Labels, languages, sources and ids are no inputs of
 a score; extra columns are kept as asked, a column named ``score`` is replaced.

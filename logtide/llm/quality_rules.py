@@ -12,7 +12,8 @@ their reach (1, 2, 4, 8 words), sorted within the document only where some windo
 
 Defined results: a null or wordless text has zero words, fails the base rules and is
 dropped with a null score. Rows that share a doc_id are scored one by one. Without trusted
-documents every score is 0, which keeps what the base rules keep. The results depend on
+documents every score is 0, which keeps what the base rules keep. A score equal to the threshold
+is kept. Very long texts are judged whole; an empty table gives an empty table. The results depend on
 doc_id only to find the trusted documents; extra columns are ignored. Windows are compared
 by 64-bit hashes.
 """

@@ -20,7 +20,8 @@ probability. The neighbours are returned as evidence.
 Defined results: a word that no example has counts towards a document's length as a word of
 one document. A document without a word of the examples (a null or empty text, too) has no
 neighbours and gets the toxic share of wordless examples, smoothed by the share of all. Without
-labelled documents of both kinds every score is the smoothed share of all. Ties of
+labelled documents of both kinds every score is the smoothed share of all. Very long texts
+are scored whole, and an empty table gives an empty table. Ties of
 similarity go to the smaller example id. Repeated texts are one example; repeated rows are
 scored alike. Labels, languages, sources and ids are no inputs of a score; extra columns are
 kept as asked, ``score`` and ``evidence`` replace columns of these names.

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -105,6 +107,54 @@ def test_features_of_odd_texts():
     assert rows.shape == (6, len(quality_gam.FEATURES)) and np.isfinite(rows).all() and not rows[:2].any()
 
 
+def test_additive_scores_are_sums_of_table_entries():
+    """Scores row by row from the tables, without vectors."""
+    r = np.random.default_rng(21)
+    x = r.integers(0, 9, (500, 4)).astype(float)  # values on the cuts themselves, too
+    y = (x[:, 0] + x[:, 1] * (x[:, 2] > 4) + r.random(500) > 6).astype(float)
+    model = quality_gam.learn(x, y, rounds=20, pairs=2)
+    assert len(model.pairs) == 2 and any(t.any() for t in model.pairs.values())
+    for row, got in zip(x, model.score(x)):
+        bins = [sum(v >= c for c in cuts) for v, cuts in zip(row, model.cuts)]
+        total = model.constant + sum(t[b] for t, b in zip(model.tables, bins))
+        total += sum(t[bins[j], bins[k]] for (j, k), t in model.pairs.items())
+        assert got == pytest.approx(1 / (1 + math.exp(-total)))
+
+
+def test_trees_equal_trying_all_cuts():
+    r = np.random.default_rng(22)
+
+    def gain(g, h):
+        return g.sum() ** 2 / (h.sum() + 1)
+
+    def value(g, h):
+        return np.full(g.shape, g.sum() / (h.sum() + 1))
+
+    for n in (1, 2, 3, 7, 12):
+        g, h = r.normal(size=n), r.random(n)
+        parts = [(0, n)]
+        for _ in range(2):  # greedy: the cut of any leaf that gains most
+            cuts = [(gain(g[a:c], h[a:c]) + gain(g[c:b], h[c:b]) - gain(g[a:b], h[a:b]), c) for a, b in parts for c in range(a + 1, b)]
+            best = max(cuts, default=(0, 0))
+            if best[0] > 1e-9:
+                ends = sorted({0, n, best[1], *(e for p in parts for e in p)})
+                parts = list(zip(ends, ends[1:]))
+        assert quality_gam._tree(g, h) == pytest.approx(np.concatenate([value(g[a:b], h[a:b]) for a, b in parts]))
+        m = n + 1
+        g, h = r.normal(size=(n, m)), r.random((n, m))
+        found, values = quality_gam._quarters(g, h)
+        best, want = (0.0, np.zeros((n, m))) if n < 2 else (-math.inf, None)
+        for i in range(1, n):
+            for j in range(1, m):
+                quarters = [(slice(a, b), slice(c, d)) for a, b in ((0, i), (i, n)) for c, d in ((0, j), (j, m))]
+                here = sum(gain(g[q], h[q]) for q in quarters) - gain(g, h)
+                if here > best:
+                    best, want = here, np.empty((n, m))
+                    for q in quarters:
+                        want[q] = value(g[q], h[q])
+        assert found == pytest.approx(best) and values == pytest.approx(want)
+
+
 def test_additive_model_learns_a_pair():
     r = np.random.default_rng(11)
     x = r.random((4000, 3))
