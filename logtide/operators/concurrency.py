@@ -20,7 +20,8 @@ def running(times: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys, ts, next_ts, running): the tasks that run from ``ts`` to before ``next_ts`` (NULL after the last end).
 
     ``times``: tasks with ``start_time`` and ``end_time``. A task runs from its start to before
-    its end; one that ends in the second it starts in, or earlier, never runs.
+    its end; one that ends in the second it starts in, or earlier, never runs. ``times`` is read twice
+    (:func:`concurrency` reads it once more): pass a stored table, as the messages job does.
     """
     ran = times.filter(F.col("end_time") > F.col("start_time"))
     steps = (ran.select(*keys, F.explode(F.array(F.struct(F.col("start_time").alias("ts"), F.lit(1).alias("d")),
