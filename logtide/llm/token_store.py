@@ -26,6 +26,7 @@ import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -212,13 +213,13 @@ class Encoder:
             self._forget()
         simple = [self.by_words and not HIGH.search(t) and not any(m in t for m in self.marks) for t in texts]
         cut = [PRETOKEN.findall(t.lower()) if s else [] for t, s in zip(texts, simple)]
-        words = [w for ws in cut for w in ws]
-        number = self.number
-        new = [w for w in dict.fromkeys(words) if w not in number]
+        words = list(chain.from_iterable(cut))
+        places = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(places < 0).tolist()
+        new = list(dict.fromkeys([words[i] for i in missing]))
         for i in range(0, len(new), 20_000):
             self._learn(new[i:i + 20_000])
-        number = self.number
-        places = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+        places[missing] = [self.number[words[i]] for i in missing]
         lengths = self.starts[places + 1] - self.starts[places]
         before = np.concatenate([[0], np.cumsum(lengths)])
         ids = self.flat[np.repeat(self.starts[places] - before[:-1], lengths) + np.arange(before[-1])]
