@@ -138,6 +138,31 @@ def test_agenda_equals_the_library():
             assert codec._joined_short(s, pairs) == codec._joined_long(s)
 
 
+def test_agendas_of_a_batch_together(monkeypatch):
+    monkeypatch.setattr(sentencepiece_codec, "COLUMNS", 300)  # several groups of columns
+    codec = sentencepiece_codec.Codec(vocabulary(PIECES))
+    r = random.Random(18)
+    letters = "  \t\n▁abcdeothing.,<>0x日é𝔘​/s"
+    texts = ["".join(r.choice(letters) for _ in range(r.randint(0, 120))) for _ in range(3000)]
+    texts += ["", " ", "▁", " a", "a ", "  a  b", "▁ a▁", "a" * 47, "a" * 48, "b" * 49, "日" * 200, "é日" * 40, " " * 60 + "x", "<s>"]
+    for batch in (texts, texts[::-1], [], [""]):
+        ids, ends = codec.encode_all(batch)
+        assert [x.tolist() for x in np.split(ids, ends)[:-1]] == codec.library.encode(batch)
+
+
+def test_new_segments_cost_little_over_the_library():
+    codec = sentencepiece_codec.Codec(vocabulary(PIECES))
+    r = random.Random(19)
+    texts = [" ".join("".join(r.choice("etaoinshr") for _ in range(r.randint(6, 12))) for _ in range(200)) for _ in range(200)]
+    began = time.process_time()
+    ids, _ = codec.encode_all(texts)
+    own = time.process_time() - began
+    assert ids.tolist() == sum(codec.library.encode(texts, num_threads=1), [])
+    began = time.process_time()
+    codec.library.encode(texts, num_threads=1)
+    assert own < 3 * (time.process_time() - began)  # 40,000 agendas one after the other take five times as long
+
+
 def test_memory_of_segments_is_bounded(monkeypatch):
     monkeypatch.setattr(sentencepiece_codec, "REMEMBERED", 50)
     codec = sentencepiece_codec.Codec(vocabulary(PIECES))
