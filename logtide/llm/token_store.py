@@ -8,10 +8,11 @@ place, how often an id occurs before a place, and where its n-th occurrence is.
 compressed with zstandard and kept as a row of a Parquet table, since a table is what Spark
 can write to any store; readers need nothing but the row.
 
-Encoding goes by pre-tokens. A text whose characters are all below U+0180 is cut here by the
-tokenizer's own rules for these characters; pre-tokens not met before are encoded by the
-library, many in one call, and remembered, up to REMEMBERED. Any other text is encoded by
-the library as a whole.
+Encoding goes by words. A text whose characters are all below U+0180 is cut here at its spaces,
+which the tokenizer's own rules leave out of every pre-token. Words not met before are cut into
+pre-tokens by these rules, and pre-tokens not met before are encoded by the library (those of
+visible ASCII characters by its model, as its steps before leave them as they are). Both are
+remembered, up to REMEMBERED of each. Any other text is encoded by the library as a whole.
 
 Defined results: a null text is empty and has the end id only. Rows without a doc_id come
 first, rows that share one stand together in any order. An empty table has no shards. Extra
@@ -26,7 +27,7 @@ import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ from tokenizers import Tokenizer
 from .common import stored, text_slices
 
 SHARD_TOKENS = 1 << 19
-#: Pre-tokens whose ids a worker remembers.
+#: Words, and pre-tokens, whose ids a worker remembers.
 REMEMBERED = 600_000
 END_ID = 1
 
@@ -65,7 +66,7 @@ class WaveletMatrix:
     def build(cls, ids: np.ndarray, docs: np.ndarray, ends: np.ndarray) -> WaveletMatrix:
         planes = []
         for bit in range(int(ids.max()).bit_length() - 1 if len(ids) else -1, -1, -1):
-            ones = (ids >> bit & 1).astype(bool)
+            ones = (ids & ids.dtype.type(1 << bit)) != 0
             planes.append(np.packbits(ones, bitorder="little"))
             ids = np.concatenate([ids[~ones], ids[ones]])
         return cls(planes, len(ids), docs, ends)
@@ -130,10 +131,10 @@ class WaveletMatrix:
         """All ids in order."""
         out = np.zeros(self.n, np.uint16 if len(self.planes) <= 16 else np.uint32)
         for level in range(len(self.planes) - 1, -1, -1):
-            ones = np.unpackbits(self.planes[level], count=self.n, bitorder="little").astype(bool)
+            ones = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
             back = np.empty_like(out)
-            back[~ones], back[ones] = out[:self.zeros[level]], out[self.zeros[level]:]
-            back |= ones.astype(out.dtype) << (len(self.planes) - 1 - level)
+            back[np.flatnonzero(~ones)] = out[:self.zeros[level]]
+            back[np.flatnonzero(ones)] = out[self.zeros[level]:] | out.dtype.type(1 << (len(self.planes) - 1 - level))
             out = back
         return out
 
@@ -166,7 +167,10 @@ def _class(kind: str) -> str:
 #: The tokenizer's pattern (fixed), its classes written out for characters below U+0180.
 PRETOKEN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_class('L')}]+|[{_class('N')}]"
                       rf"|[^{re.escape(_SPACES)}{_class('L')}{_class('N')}]+")
-HIGH = re.compile("[^\x00-įı-ſ]")
+#: Characters not below U+0180, or at which str.split() cuts but the rules don't.
+HIGH = re.compile("[^\x00-\x1b -įı-ſ]")
+_SEPARATORS = "\x1c\x1d\x1e\x1f"
+VISIBLE = re.compile("[!-~]+")
 #: What the rules above stand for; another tokenizer's texts all go to its library.
 RULES = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 
@@ -184,51 +188,60 @@ class Encoder:
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         if suffix:
             self.closes[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
-        self._forget()
-
-    def _forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.flat = np.zeros(1 << 16, np.int32)
-        self.starts = np.zeros(1 << 16, np.int64)
-        self.used = 0
+        self.kind = np.dtype(np.uint16 if len(self.closes) <= 1 << 16 else np.uint32)
+        self.end = np.array([END_ID], self.kind).tobytes()
+        self.known: dict[str, bytes] = {}  # the ids of words
+        self.tokens: dict[str, bytes] = {}  # and of their pre-tokens
+        self.model = self.library.model
 
     def _learn(self, words: list[str]) -> None:
-        ids = np.array(self.library.encode(" ".join(words), add_special_tokens=False).ids, np.int32)
-        ends = np.flatnonzero(self.closes[ids]) + 1
-        if len(ends) != len(words):
-            raise ValueError("pre-tokens and ends of words don't match")
-        first = len(self.number)
-        while len(self.flat) < self.used + len(ids):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while len(self.starts) < first + len(words) + 1:
-            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
-        self.flat[self.used:self.used + len(ids)] = ids
-        self.starts[first + 1:first + len(words) + 1] = self.used + ends
-        self.used += len(ids)
-        self.number.update(zip(words, range(first, first + len(words))))
+        alone, mixed = [w for w in words if w.isalpha()], [w for w in words if not w.isalpha()]
+        cut = [PRETOKEN.findall(w) for w in mixed]
+        new = [t for t in dict.fromkeys(chain(alone, chain.from_iterable(cut))) if t not in self.tokens]
+        plain = [t for t in new if VISIBLE.fullmatch(t)]
+        ids = [[x.id for x in self.model.tokenize(t)] for t in plain]
+        ends = np.cumsum([len(x) for x in ids], dtype=np.int64)
+        self._remember(plain, np.fromiter(chain.from_iterable(ids), self.kind), ends)
+        other = [t for t in new if t not in self.tokens]
+        if other:
+            coded = np.array(self.library.encode(" ".join(other), add_special_tokens=False).ids, self.kind)
+            ends = np.flatnonzero(self.closes[coded]) + 1
+            if len(ends) != len(other):
+                raise ValueError("pre-tokens and ends of words don't match")
+            self._remember(other, coded, ends)
+        token = self.tokens.__getitem__
+        self.known.update(zip(alone, map(token, alone)))
+        self.known.update(zip(mixed, [b"".join(map(token, c)) for c in cut]))
+
+    def _remember(self, tokens: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        raw, cuts = ids.tobytes(), (ends * self.kind.itemsize).tolist()
+        self.tokens.update(zip(tokens, [raw[a:b] for a, b in zip([0, *cuts], cuts)]))
+
+    def _simple(self, text: str) -> bool:
+        """Whether the rules written out here hold for a text."""
+        odd = any(c in text for c in _SEPARATORS) if text.isascii() else HIGH.search(text)
+        return self.by_words and not odd and not any([m in text for m in self.marks])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, END_ID after each, and where each text's ids end."""
-        if len(self.number) > REMEMBERED:
-            self._forget()
-        simple = [self.by_words and not HIGH.search(t) and not any(m in t for m in self.marks) for t in texts]
-        cut = [PRETOKEN.findall(t.lower()) if s else [] for t, s in zip(texts, simple)]
+        for held in (self.known, self.tokens):
+            if len(held) > REMEMBERED:
+                held.clear()
+        simple = [self._simple(t) for t in texts]
+        cut = [t.lower().split() if s else [] for t, s in zip(texts, simple)]
         words = list(chain.from_iterable(cut))
-        places = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
-        missing = np.flatnonzero(places < 0).tolist()
-        new = list(dict.fromkeys([words[i] for i in missing]))
-        for i in range(0, len(new), 20_000):
-            self._learn(new[i:i + 20_000])
-        places[missing] = [self.number[words[i]] for i in missing]
-        lengths = self.starts[places + 1] - self.starts[places]
-        before = np.concatenate([[0], np.cumsum(lengths)])
-        ids = self.flat[np.repeat(self.starts[places] - before[:-1], lengths) + np.arange(before[-1])]
-        own = before[np.cumsum([0, *map(len, cut)])]  # where each text's remembered ids begin
+        found = list(map(self.known.get, words))
+        missing = [i for i, x in enumerate(found) if x is None]
+        self._learn(list(dict.fromkeys([words[i] for i in missing])))
+        for i in missing:
+            found[i] = self.known[words[i]]
         whole = iter(self.library.encode_batch([t for t, s in zip(texts, simple) if not s], add_special_tokens=False))
-        end = np.array([END_ID], np.int32)
-        parts = [x for a, b, s in zip(own, own[1:], simple) for x in (ids[a:b] if s else np.array(next(whole).ids, np.int32), end)]
-        sizes = [len(a) + 1 for a in parts[::2]]
-        return (np.concatenate(parts) if parts else ids), np.cumsum(sizes, dtype=np.int64)
+        ends = np.cumsum([0, *map(len, cut)]).tolist()
+        parts = [b"".join(found[a:b]) if s else np.array(next(whole).ids, self.kind).tobytes()
+                 for a, b, s in zip(ends, ends[1:], simple)]
+        sizes = [len(p) // self.kind.itemsize + 1 for p in parts]
+        joined = b"".join([x for p in parts for x in (p, self.end)])
+        return np.frombuffer(joined, self.kind), np.cumsum(sizes, dtype=np.int64)
 
 
 _ENCODERS: dict[bytes, Encoder] = {}
@@ -259,7 +272,7 @@ def write_shards(docs: DataFrame, model: bytes) -> DataFrame:
         def close() -> pa.RecordBatch:
             whole = np.concatenate([x for x, _ in ids])
             sizes = np.concatenate([np.diff(e, prepend=0) for _, e in ids])
-            whole = whole.astype(np.uint16 if whole.max() < 1 << 16 else np.uint32)
+            whole = whole.astype(np.uint16 if whole.max() < 1 << 16 else np.uint32, copy=False)
             names = np.concatenate(docs)
             file = WaveletMatrix.build(whole, names, np.cumsum(sizes)).to_bytes()
             return pa.RecordBatch.from_pydict({"part": [part], "shard": [shard], "n_docs": [len(names)],

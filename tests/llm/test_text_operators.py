@@ -206,6 +206,34 @@ def test_encoder_equals_the_library():
     assert e.encode([])[1].tolist() == []
 
 
+def test_encoder_cuts_words_where_the_rules_do(monkeypatch):
+    e = token_store.Encoder(vocabulary(WORDS))
+    r = random.Random(20)
+    pieces = ["it's", "'S", "a,b", "...", "1984", "ªº", "ÿ÷", "\x1c", "a\x1db", "\x1e", "x\x1f", "\x85", "\xa0", "\x7f", "\x00", "é!", "'", "日", "é", "<|", "ab"]
+    texts = [r.choice(["", " ", "\n"]).join(r.choice(pieces) for _ in range(r.randint(0, 12))) for _ in range(3000)]
+    want = [e.library.encode(t, add_special_tokens=False).ids + [token_store.END_ID] for t in texts]
+    for _ in range(2):  # new, then remembered
+        ids, ends = e.encode(texts)
+        assert [x.tolist() for x in np.split(ids, ends[:-1])] == want
+    monkeypatch.setattr(token_store, "REMEMBERED", 50)
+    for t, w in zip(texts[:300], want):
+        assert e.encode([t])[0].tolist() == w and len(e.known) <= 100 and len(e.tokens) <= 100
+
+
+def test_remembered_words_cost_little():
+    e = token_store.Encoder(vocabulary(WORDS))
+    r = random.Random(21)
+    words = ["".join(r.choice("etaoinshr") for _ in range(r.randint(3, 9))) + r.choice(["", "", ",", "."]) for _ in range(3000)]
+    texts = [" ".join(r.choices(words, k=1000)) for _ in range(400)]
+    e.encode(texts)
+    spent = []
+    for work in (lambda: e.encode(texts), lambda: [token_store.PRETOKEN.findall(t) for t in texts]):
+        began = time.process_time()
+        work()
+        spent.append(time.process_time() - began)
+    assert spent[0] < spent[1]  # less than cutting the texts by the rules, which it did before
+
+
 @pytest.mark.parametrize("n", [0, 1, 7, 64, 511, 512, 513, 5000])
 @pytest.mark.parametrize("top", [1, 2, 50, 70_000])
 def test_wavelet_matrix(n, top):
