@@ -151,38 +151,55 @@ class Index:
             common[of[rows >= 0], rows[rows >= 0]] = weights[rows >= 0]
             first, last = (self.starts[terms[rows < 0] + i] for i in (0, 1))
             parts = _ranges(first, last)
-            part_of, part_weight = (np.repeat(x[rows < 0], last - first) for x in (of, weights))
+            sizes = last - first
+            part_weight = np.repeat(weights[rows < 0], sizes)
+            part_row = np.repeat(of[rows < 0], sizes)
+            part_at = part_row * self.blocks + self.part_block[parts]  # query and block
             bounds = common @ self.dense_most + np.bincount(
-                part_of * self.blocks + self.part_block[parts], self.part_most[parts] * part_weight,
-                minlength=n * self.blocks).reshape(n, self.blocks)
+                part_at, self.part_most[parts] * part_weight, minlength=n * self.blocks).reshape(n, self.blocks)
 
             scores = np.zeros((n, self.blocks * BLOCK))
             visited = np.zeros(bounds.shape, bool)
             first_blocks = min(FIRST, self.blocks)
-            least = np.partition(bounds, self.blocks - first_blocks, axis=1)[:, self.blocks - first_blocks]
-            for _ in range(2):  # the highest bounds, then all that reach the k-th similarity among these
-                which = ~visited & (bounds > 0) & (bounds >= least[:, None] - 1e-9)
+            highest = np.argpartition(bounds, self.blocks - first_blocks, axis=1)[:, self.blocks - first_blocks:]
+            which = np.zeros(bounds.shape, bool)
+            np.put_along_axis(which, highest, True, axis=1)
+            which &= bounds > 0
+            for again in (False, True):  # the highest bounds, then all that reach the k-th similarity among these
                 for block in np.flatnonzero(which.any(axis=0)).tolist():
                     some = np.flatnonzero(which[:, block])
                     columns = slice(block * BLOCK, (block + 1) * BLOCK)
                     scores[some, columns] = common[some] @ self.dense[:, columns]
-                keep = which[part_of, self.part_block[parts]]
-                lists, own = parts[keep], part_of[keep]
-                sizes = self.part_begin[lists + 1] - self.part_begin[lists]
-                postings = _ranges(self.part_begin[lists], self.part_begin[lists + 1])
-                scores += np.bincount(np.repeat(own, sizes) * scores.shape[1] + self.at[postings],
-                                      self.weights[postings] * np.repeat(part_weight[keep], sizes),
-                                      minlength=scores.size).reshape(scores.shape)
+                keep = np.flatnonzero(which.ravel().take(part_at))
+                lists = parts.take(keep)
+                begin_at = self.part_begin.take(lists)
+                sizes = self.part_begin.take(lists + 1) - begin_at
+                # places in the flat scores, and weights
+                postings = np.repeat(begin_at - (np.cumsum(sizes) - sizes), sizes)
+                postings += np.arange(len(postings))
+                place = np.repeat(part_row.take(keep) * scores.shape[1], sizes)
+                place += self.at.take(postings)
+                weight = np.repeat(part_weight.take(keep), sizes)
+                weight *= self.weights.take(postings)
+                scores += np.bincount(place, weight, minlength=scores.size).reshape(scores.shape)
                 if without is not None:
                     left = without[begin:begin + n]
                     scores[np.arange(len(left)), self.place[left]] = 0
                 visited |= which
-                least = np.partition(scores, scores.shape[1] - most, axis=1)[:, scores.shape[1] - most]
+                if not again:
+                    seen = np.take_along_axis(scores.reshape(n, self.blocks, BLOCK), highest[:, :, None], axis=1).reshape(n, -1)
+                    least = (np.partition(seen, seen.shape[1] - most, axis=1)[:, seen.shape[1] - most]
+                             if most <= seen.shape[1] else np.zeros(n))
+                    which = ~visited & (bounds > 0) & (bounds >= least[:, None] - 1e-9)
             self.visited += int(visited.sum())
             self.possible += visited.size
             for row, lowest in zip(scores, least):
-                hits = np.flatnonzero(row >= max(lowest - 1e-11, 1e-12))
-                best = sorted(zip((-np.round(row[hits], 12)).tolist(), self.order[hits].tolist()))[:k]
+                hits = np.flatnonzero(row >= max(lowest - 1e-11, 1e-12))  # the k nearest are among these
+                reached = row[hits]
+                if len(hits) > most:
+                    some = reached >= np.partition(reached, len(hits) - most)[len(hits) - most] - 1e-11
+                    hits, reached = hits[some], reached[some]
+                best = sorted(zip((-np.round(reached, 12)).tolist(), self.order[hits].tolist()))[:k]
                 found.append([(-s, i) for s, i in best])
         return found
 
@@ -217,9 +234,10 @@ class Model:
     def vector(self, text: str) -> Vector:
         """The unit vector of a text; words that no example has are term -1."""
         counts = Counter(words_of(text))
-        terms = np.array(list(map(self.number.get, counts, repeat(-1))), np.int32)
+        terms = np.fromiter(map(self.number.get, counts, repeat(-1)), np.int32, len(counts))
         order = np.argsort(terms, kind="stable")
-        weights = ((1 + np.log(np.array(list(counts.values()), np.float64))) * self.weights[terms])[order]
+        often = np.fromiter(counts.values(), np.float64, len(counts))
+        weights = ((1 + np.log(often)) * self.weights[terms])[order]
         return terms[order], weights / max(math.sqrt(weights @ weights), 1e-300)
 
     def vote(self, near: list[tuple[float, int]]) -> float:

@@ -182,6 +182,28 @@ def test_index_equals_all_cosines(monkeypatch):
     assert index.nearest({99: 1.0}, 5) == []
 
 
+def test_index_orders_only_the_first_blocks(monkeypatch):
+    """The k-th similarity comes from the blocks visited first, never from an order of all examples' scores."""
+    monkeypatch.setattr(toxicity, "BLOCK", 4)
+    monkeypatch.setattr(toxicity, "FIRST", 2)
+    ordered, partition = [], np.partition
+    monkeypatch.setattr(toxicity.np, "partition", lambda a, *x, **y: (ordered.append(a.shape), partition(a, *x, **y))[1])
+    r = np.random.default_rng(5)
+    vectors = []
+    for _ in range(90):
+        terms = r.choice(60, 6, replace=False)
+        vectors.append({int(t): float(w) for t, w in zip(terms, r.integers(1, 3, 6) / 8)})  # many ties
+    index = toxicity.Index(vectors)
+    for k in (1, 5, 8, 9, 200):  # up to more than the first blocks hold
+        ordered.clear()
+        got = index.nearest_of([toxicity._vector(v) for v in vectors], k, without=list(range(len(vectors))))
+        assert all(shape[-1] <= 8 for shape in ordered if len(shape) > 1)
+        for i, v in enumerate(vectors):
+            alike = [(sum(w * u.get(t, 0) for t, w in v.items()), j) for j, u in enumerate(vectors) if j != i]
+            want = sorted((-round(x, 12), j) for x, j in alike if x > 0)[:k]
+            assert [(-x, j) for x, j in got[i]] == want
+
+
 @pytest.mark.parametrize("dense", [1, 16, 64, 10**9])
 def test_index_leaves_blocks_unvisited(monkeypatch, dense):
     monkeypatch.setattr(toxicity, "BLOCK", 8)
