@@ -8,11 +8,12 @@ place, how often an id occurs before a place, and where its n-th occurrence is.
 compressed with zstandard and kept as a row of a Parquet table, since a table is what Spark
 can write to any store; readers need nothing but the row.
 
-Encoding goes by words. A text whose characters are all below U+0180 is cut here at its spaces,
-which the tokenizer's own rules leave out of every pre-token. Words not met before are cut into
-pre-tokens by these rules, and pre-tokens not met before are encoded by the library (those of
-visible ASCII characters by its model, as its steps before leave them as they are). Both are
-remembered, up to REMEMBERED of each. Any other text is encoded by the library as a whole.
+Encoding goes by pre-tokens. Texts whose characters are all below U+0180 are lower-cased and cut
+into pre-tokens by the tokenizer's own rules as arrays of bytes, about 4 MB of text at a time, and
+each different pre-token among these is looked up once. Those not met before are encoded by the
+library's model, in the characters that its byte-level step makes of them, and remembered: twice
+REMEMBERED and those of one step at most, and what is met again stays. Any other text is encoded by
+the library as a whole.
 
 Defined results: a null text is empty and has the end id only. Rows without a doc_id come
 first, rows that share one stand together in any order. An empty table has no shards. Extra
@@ -27,20 +28,22 @@ import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from .common import stored, text_slices
 
 SHARD_TOKENS = 1 << 19
-#: Words, and pre-tokens, whose ids a worker remembers.
+#: Pre-tokens whose ids a worker remembers: so many met lately, and as many from before them.
 REMEMBERED = 600_000
 END_ID = 1
 
@@ -68,7 +71,7 @@ class WaveletMatrix:
         for bit in range(int(ids.max()).bit_length() - 1 if len(ids) else -1, -1, -1):
             ones = (ids & ids.dtype.type(1 << bit)) != 0
             planes.append(np.packbits(ones, bitorder="little"))
-            ids = np.concatenate([ids[~ones], ids[ones]])
+            ids = np.concatenate([ids.take(np.flatnonzero(~ones)), ids.take(np.flatnonzero(ones))])
         return cls(planes, len(ids), docs, ends)
 
     def _bit(self, level: int, i: int) -> int:
@@ -167,78 +170,118 @@ def _class(kind: str) -> str:
 #: The tokenizer's pattern (fixed), its classes written out for characters below U+0180.
 PRETOKEN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_class('L')}]+|[{_class('N')}]"
                       rf"|[^{re.escape(_SPACES)}{_class('L')}{_class('N')}]+")
-#: Characters not below U+0180, or at which str.split() cuts but the rules don't.
-HIGH = re.compile("[^\x00-\x1b -įı-ſ]")
-_SEPARATORS = "\x1c\x1d\x1e\x1f"
-VISIBLE = re.compile("[!-~]+")
 #: What the rules above stand for; another tokenizer's texts all go to its library.
 RULES = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_SPACE, _LETTER, _NUMBER, _OTHER = range(4)
+_KINDS = np.array([_SPACE if c in _SPACES else {"L": _LETTER, "N": _NUMBER}.get(unicodedata.category(c)[0], _OTHER)
+                   for c in map(chr, range(0x180))], np.uint8)
+
+
+def pretokens(texts: pa.LargeStringArray) -> tuple[pa.LargeStringArray, np.ndarray]:
+    """The pre-tokens of all texts, as PRETOKEN finds them, and how many there are up to each
+    text's end. The texts are lower-cased, of characters below U+0180 and not null."""
+    ends, raw = _bytes(texts)
+    begins = ends[:-1][ends[:-1] < len(raw)]
+    ends = ends[1:]
+    kind = _KINDS[raw]
+    lead = np.flatnonzero(raw >= 0x80)[::2]  # of characters of two bytes
+    kind[lead] = kind[lead + 1] = _KINDS[(raw[lead] & 0x1F).astype(np.intp) << 6 | raw[lead + 1] & 0x3F]
+    first = np.zeros(len(raw) + 2, bool)  # bytes that begin a text, or stand after the last
+    first[begins], first[len(raw):] = True, True
+    starts = first[:-2] | (kind == _NUMBER)  # bytes that begin a pre-token, or a run of spaces
+    starts[1:] |= kind[1:] != kind[:-1]
+    starts[lead + 1] = False
+    mark = np.flatnonzero(raw == ord("'"))
+    mark = mark[starts[mark] & ~first[mark + 1]]
+    for end in (b"s", b"t", b"re", b"ve", b"m", b"ll", b"d"):
+        at = mark[raw[mark + 1] == end[0]]
+        if len(end) > 1:
+            at = at[~first[at + 2]]
+            at = at[raw[at + 2] == end[1]]
+        starts[at + 1] = False
+        after = at + 1 + len(end)
+        starts[after[after < len(raw)]] = True
+    kept = np.flatnonzero(kind != _SPACE)
+    begins = np.flatnonzero(starts.take(kept))
+    offsets = np.append(begins, len(kept)).astype(np.int64, copy=False)
+    found = pa.LargeStringArray.from_buffers(len(begins), pa.py_buffer(offsets), pa.py_buffer(raw.take(kept)))
+    return found, np.searchsorted(kept.take(begins), ends)
+
+
+def _bytes(texts: pa.LargeStringArray | pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the values begin and end in their joined bytes, and these."""
+    _, ends, raw = texts.buffers()
+    ends = np.frombuffer(ends, np.int64, len(texts) + 1, 8 * texts.offset) if len(texts) else np.zeros(1, np.int64)
+    return ends - ends[0], np.frombuffer(raw or b"", np.uint8)[ends[0]:ends[-1]]
 
 
 class Encoder:
     def __init__(self, model: bytes):
         self.library = Tokenizer.from_str(model.decode())
         spec = json.loads(model)
-        known = [x.get("pattern", {}).get("Regex") for x in spec["pre_tokenizer"].get("pretokenizers", [])]
         kinds = [x["type"] for x in (spec.get("normalizer") or {}).get("normalizers", [])]
-        suffix = spec["model"].get("end_of_word_suffix")
-        self.by_words = known[:1] == [RULES] and kinds == ["NFC", "Replace", "Lowercase"] and bool(suffix)
-        self.marks = [x["content"] for x in spec.get("added_tokens", [])]
-        vocabulary = self.library.get_vocab()
-        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
-        if suffix:
-            self.closes[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
-        self.kind = np.dtype(np.uint16 if len(self.closes) <= 1 << 16 else np.uint32)
+        steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        self.by_rules = (spec["model"]["type"] == "BPE" and kinds == ["NFC", "Replace", "Lowercase"]
+                         and [x["type"] for x in steps] == ["Split", "ByteLevel"]
+                         and (steps[0]["pattern"], steps[0]["behavior"], steps[0]["invert"]) == ({"Regex": RULES}, "Removed", True)
+                         and not steps[1]["add_prefix_space"] and not steps[1].get("use_regex", True))
+        marks = [x["content"] for x in spec.get("added_tokens", [])]
+        self.marks = re.compile(b"|".join(re.escape(m.encode()) for m in marks) or b"(?!)")
+        self.kind = np.dtype(np.uint16 if max(self.library.get_vocab().values()) < 1 << 16 else np.uint32)
         self.end = np.array([END_ID], self.kind).tobytes()
-        self.known: dict[str, bytes] = {}  # the ids of words
-        self.tokens: dict[str, bytes] = {}  # and of their pre-tokens
+        self.tokens: dict[str, bytes] = {}  # the ids of pre-tokens met lately
+        self.known: dict[str, bytes] = {}  # and from before them
         self.model = self.library.model
-
-    def _learn(self, words: list[str]) -> None:
-        alone, mixed = [w for w in words if w.isalpha()], [w for w in words if not w.isalpha()]
-        cut = [PRETOKEN.findall(w) for w in mixed]
-        new = [t for t in dict.fromkeys(chain(alone, chain.from_iterable(cut))) if t not in self.tokens]
-        plain = [t for t in new if VISIBLE.fullmatch(t)]
-        ids = [[x.id for x in self.model.tokenize(t)] for t in plain]
-        ends = np.cumsum([len(x) for x in ids], dtype=np.int64)
-        self._remember(plain, np.fromiter(chain.from_iterable(ids), self.kind), ends)
-        other = [t for t in new if t not in self.tokens]
-        if other:
-            coded = np.array(self.library.encode(" ".join(other), add_special_tokens=False).ids, self.kind)
-            ends = np.flatnonzero(self.closes[coded]) + 1
-            if len(ends) != len(other):
-                raise ValueError("pre-tokens and ends of words don't match")
-            self._remember(other, coded, ends)
-        token = self.tokens.__getitem__
-        self.known.update(zip(alone, map(token, alone)))
-        self.known.update(zip(mixed, [b"".join(map(token, c)) for c in cut]))
-
-    def _remember(self, tokens: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
-        raw, cuts = ids.tobytes(), (ends * self.kind.itemsize).tolist()
-        self.tokens.update(zip(tokens, [raw[a:b] for a, b in zip([0, *cuts], cuts)]))
-
-    def _simple(self, text: str) -> bool:
-        """Whether the rules written out here hold for a text."""
-        odd = any(c in text for c in _SEPARATORS) if text.isascii() else HIGH.search(text)
-        return self.by_words and not odd and not any([m in text for m in self.marks])
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, END_ID after each, and where each text's ids end."""
-        for held in (self.known, self.tokens):
-            if len(held) > REMEMBERED:
-                held.clear()
-        simple = [self._simple(t) for t in texts]
-        cut = [t.lower().split() if s else [] for t, s in zip(texts, simple)]
-        words = list(chain.from_iterable(cut))
-        found = list(map(self.known.get, words))
-        missing = [i for i, x in enumerate(found) if x is None]
-        self._learn(list(dict.fromkeys([words[i] for i in missing])))
-        for i in missing:
-            found[i] = self.known[words[i]]
-        whole = iter(self.library.encode_batch([t for t, s in zip(texts, simple) if not s], add_special_tokens=False))
-        ends = np.cumsum([0, *map(len, cut)]).tolist()
-        parts = [b"".join(found[a:b]) if s else np.array(next(whole).ids, self.kind).tobytes()
-                 for a, b, s in zip(ends, ends[1:], simple)]
+        of_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.byte_level = {ord(c): of_bytes.pre_tokenize_str(c)[0][0] for c in _LOW}
+
+    def _ids(self, tokens: list[str]) -> list[bytes]:
+        """The ids of different pre-tokens."""
+        if len(self.tokens) > REMEMBERED:
+            self.known = dict(islice(self.tokens.items(), REMEMBERED))  # frequent ones come early
+            self.tokens = {}
+        found = list(map(self.tokens.get, tokens))
+        absent = [i for i, x in enumerate(found) if x is None]
+        new = []
+        for i in absent:
+            found[i] = self.known.get(tokens[i])
+            if found[i] is None:
+                new.append(i)
+        ids, ends = [], [0]
+        for i in new:
+            ids.extend([x.id for x in self.model.tokenize(tokens[i].translate(self.byte_level))])
+            ends.append(len(ids) * self.kind.itemsize)
+        raw = np.array(ids, self.kind).tobytes()
+        for i, a, b in zip(new, ends, ends[1:]):
+            found[i] = raw[a:b]
+        self.tokens.update(zip([tokens[i] for i in absent], [found[i] for i in absent]))
+        return found
+
+    def _odd(self, texts: pa.LargeStringArray) -> np.ndarray:
+        """Whether a text has characters (not below U+0180, or U+0130) or marks that the rules
+        written out here are not for."""
+        if not self.by_rules:
+            return np.ones(len(texts), bool)
+        ends, raw = _bytes(texts)
+        at = [np.flatnonzero(raw >= 0xC6), np.flatnonzero((raw[:-1] == 0xC4) & (raw[1:] == 0xB0)),
+              np.array([m.start() for m in self.marks.finditer(raw)], np.int64)]
+        odd = np.zeros(len(texts), bool)
+        odd[np.searchsorted(ends, np.concatenate(at), side="right") - 1] = True
+        return odd
+
+    def encode(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (null: empty), END_ID after each, and where each text's ids end."""
+        column = texts.cast(pa.large_string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        column = column.fill_null("")
+        odd = self._odd(column)
+        cut, upto = pretokens(pc.utf8_lower(column.filter(pa.array(~odd))))
+        cut = cut.dictionary_encode()
+        ids = self._ids(cut.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ends, raw = _bytes(pa.array(ids, pa.large_binary()).take(cut.indices))
+        ends, raw = [0, *ends[upto].tolist()], raw.tobytes()
+        simple = (raw[a:b] for a, b in zip(ends, ends[1:]))
+        whole = (self.library.encode(t, add_special_tokens=False).ids for t in column.filter(pa.array(odd)).to_pylist())
+        parts = [np.array(next(whole), self.kind).tobytes() if x else next(simple) for x in odd.tolist()]
         sizes = [len(p) // self.kind.itemsize + 1 for p in parts]
         joined = b"".join([x for p in parts for x in (p, self.end)])
         return np.frombuffer(joined, self.kind), np.cumsum(sizes, dtype=np.int64)
@@ -267,25 +310,31 @@ def write_shards(docs: DataFrame, model: bytes) -> DataFrame:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, shard = TaskContext.get().partitionId(), 0
-        ids, docs, held = [], [], 0
+        ids, sizes, docs, held = [], [], [], 0
 
         def close() -> pa.RecordBatch:
-            whole = np.concatenate([x for x, _ in ids])
-            sizes = np.concatenate([np.diff(e, prepend=0) for _, e in ids])
+            whole = np.concatenate(ids)
             whole = whole.astype(np.uint16 if whole.max() < 1 << 16 else np.uint32, copy=False)
             names = np.concatenate(docs)
-            file = WaveletMatrix.build(whole, names, np.cumsum(sizes)).to_bytes()
+            file = WaveletMatrix.build(whole, names, np.cumsum(np.concatenate(sizes))).to_bytes()
             return pa.RecordBatch.from_pydict({"part": [part], "shard": [shard], "n_docs": [len(names)],
                                                "n_tokens": [len(whole)], "file": [file]}, _SHARDS)
 
         for batch in batches:
-            for rows in text_slices(batch, "text", SHARD_TOKENS):  # fewer ids than bytes
-                ids.append(encoder(shipped.value).encode([t or "" for t in rows.column("text").to_pylist()]))
-                docs.append(rows.column("doc_id").fill_null(NO_ID).to_numpy(zero_copy_only=False))
-                held += len(ids[-1][0])
-                if held >= SHARD_TOKENS:
-                    yield close()
-                    ids, docs, held, shard = [], [], 0, shard + 1
+            for rows in text_slices(batch, "text"):
+                coded, ends = encoder(shipped.value).encode(rows.column("text"))
+                names = rows.column("doc_id").fill_null(NO_ID).to_numpy(zero_copy_only=False)
+                begin, done = 0, 0  # documents, and their ids, that are in a shard
+                while begin < len(names):
+                    end = min(int(np.searchsorted(ends, done + SHARD_TOKENS - held)) + 1, len(names))
+                    ids.append(coded[done:ends[end - 1]])
+                    sizes.append(np.diff(ends[begin:end], prepend=done))
+                    docs.append(names[begin:end])
+                    held += len(ids[-1])
+                    begin, done = end, int(ends[end - 1])
+                    if held >= SHARD_TOKENS:
+                        yield close()
+                        ids, sizes, docs, held, shard = [], [], [], 0, shard + 1
         if ids:
             yield close()
 

@@ -7,6 +7,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -234,6 +235,44 @@ def test_remembered_words_cost_little():
     assert spent[0] < spent[1]  # less than cutting the texts by the rules, which it did before
 
 
+@pytest.mark.parametrize("letters", ["'stdrevlm a", "''aé5 .\n", "".join(map(chr, range(0x180)))])
+def test_pretokens_are_those_of_the_pattern(letters):
+    r = random.Random(22)
+    texts = ["".join(r.choice(letters) for _ in range(r.randint(0, 30))).replace("İ", "").lower() for _ in range(5000)] + ["'", "s", "'r", "e", "x'", ""]
+    for part in (texts, texts[:1], [""], []):
+        found, upto = token_store.pretokens(pa.array(part, pa.large_string()))
+        assert found.to_pylist() == [t for x in part for t in token_store.PRETOKEN.findall(x)]
+        assert np.diff(upto, prepend=0).tolist() == [len(token_store.PRETOKEN.findall(x)) for x in part]
+
+
+def test_frequent_pretokens_are_encoded_once(monkeypatch):
+    monkeypatch.setattr(token_store, "REMEMBERED", 600)
+    e = token_store.Encoder(vocabulary(WORDS))
+    model, asked = e.model, []
+    e.model = type("Counted", (), {"tokenize": lambda _, t: asked.append(t) or model.tokenize(t)})()
+    r = random.Random(23)
+    often = ["".join(r.choice("etaoin") for _ in range(9)) for _ in range(200)]
+    for i in range(30):
+        seldom = ["zq" + "".join(r.choice("hrdlu") for _ in range(12)) for _ in range(200)]
+        text = " ".join(w + end for w in often + seldom for end in ("", ",", "...", "'s"))
+        got, _ = e.encode([text])
+        assert got.tolist() == [*e.library.encode(text, add_special_tokens=False).ids, token_store.END_ID]
+    assert len([t for t in asked if t in set(often)]) == len(set(often))
+
+
+def test_shards_are_closed_at_documents(spark, monkeypatch):
+    monkeypatch.setattr(token_store, "SHARD_TOKENS", 100)
+    docs = spark.createDataFrame([(i, "word " * (i % 7 * 20)) for i in range(50)], "doc_id long, text string").coalesce(1)
+    shards = token_store.write_shards(docs, vocabulary(WORDS))
+    rows = shards.collect()
+    assert sum(r.n_docs for r in rows) == 50 and max(r.n_tokens for r in rows) < 100 + 121
+    last = {max(r.shard for r in rows if r.part == p) for p in {r.part for r in rows}}
+    assert all(r.n_tokens >= 100 or r.shard in last for r in rows)
+    got = sorted(token_store.read_documents(shards).collect())
+    assert [r.n_tokens for r in got] == [i % 7 * 20 + 1 for i in range(50)]
+    assert [r.start for r in got] == [0, *np.cumsum([r.n_tokens for r in got])[:-1].tolist()]
+
+
 @pytest.mark.parametrize("n", [0, 1, 7, 64, 511, 512, 513, 5000])
 @pytest.mark.parametrize("top", [1, 2, 50, 70_000])
 def test_wavelet_matrix(n, top):
